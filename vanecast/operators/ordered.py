@@ -77,12 +77,10 @@ class OrderedRows:
             return None
         key = F.struct(*self.group)
         edges = self.df.groupBy(_CHUNK).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-        ends = edges.select("lo").union(edges.select("hi")).groupBy("lo").count()
-        return ends.where("count > 2").select("lo.*").union(
-            # a group that only touches two partitions ends one and begins the next
-            edges.select("lo").join(edges.select(F.col("hi").alias("lo"), F.col(_CHUNK).alias("c2")), "lo")
-            .select("lo.*")
-        ).distinct()
+        begins = edges.select("lo", F.col(_CHUNK).alias("c1"))
+        ends = edges.select(F.col("hi").alias("key"), F.col(_CHUNK).alias("c2"))
+        cut = F.col("lo").eqNullSafe(F.col("key")) & (F.col("c1") != F.col("c2"))
+        return begins.join(F.broadcast(ends), cut, "left_semi").select("lo.*").distinct()
 
     def _per_chunk(self, aggs: list[Column]) -> DataFrame:
         rows = self.df
