@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,12 @@ def append_csv(df: DataFrame, path: str) -> None:
 
 def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``, empty before the first append."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 LABELS = "exec_time timestamp, date_time timestamp, power double"
