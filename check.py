@@ -54,8 +54,17 @@ def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
     names = [n for n in QUERIES if not argv[1:] or any(n.startswith(a) for a in argv[1:])]
+    # SPLIT=1 makes every group "hot" and every lookup "large", so the paths for big data run
+    small = {
+        "spark.vanecast.groupRows": "150",
+        "spark.vanecast.broadcastRows": "5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
     spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+        "check",
+        "local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **(small if os.environ.get("SPLIT") else {}),
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf_dir), 0

@@ -1,6 +1,6 @@
 """All registered queries and their SQL counterparts."""
 
-from vanecast.catalog import features  # noqa: F401
+from vanecast.catalog import cleaning, features, joining  # noqa: F401
 from vanecast.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -197,3 +197,15 @@ def submit_window(now: datetime, minutes: int, lag_minutes: int = 0, ahead_rows:
     end += timedelta(minutes=lag_minutes)
     start = end - timedelta(minutes=minutes)
     return start, end - timedelta(minutes=15 * ahead_rows)
+
+
+def keep_features(df: DataFrame, features: Sequence[str], target: str | None = None) -> DataFrame:
+    """The model's inputs, and the target where the rows have it."""
+    wanted = [*features, *([target] if target in df.columns else [])]
+    return df.select(*wanted)
+
+
+def constant_fill(df: DataFrame, column: str, value) -> DataFrame:
+    """A constant where the column is missing or NULL."""
+    filled = F.coalesce(F.col(column), F.lit(value)) if column in df.columns else F.lit(value)
+    return df.withColumn(column, filled)

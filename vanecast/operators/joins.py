@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.session import broadcast_rows, group_rows, sized
@@ -21,36 +21,35 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _any_null(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
-
 def lookup_join(
     left: DataFrame, lookup: DataFrame, keys: list[str], broadcast_limit: int | None = None
 ) -> DataFrame:
     """Left join to a table that is unique per key.
 
     The lookup is counted first. Small: broadcast, so the left side is not
-    shuffled. Large: keys holding more than ``group_rows`` left rows are split
-    off together with NULL keys and joined to their few lookup rows by
-    broadcast (at most rows / group_rows of them); all other keys are joined by
-    shuffle. Every left row comes out once.
+    shuffled. Large: a shuffle join in which each key holding more than
+    ``group_rows`` left rows (NULL included) is spread over as many salts as it
+    needs, and its one lookup row is copied to each. There are at most
+    rows / group_rows such keys and copies, so their list may be broadcast.
     """
     spark = left.sparkSession
     limit = broadcast_rows(spark) if broadcast_limit is None else broadcast_limit
     lookup, rows = sized(lookup)
     if rows <= limit:
         return left.join(F.broadcast(lookup), keys, "left")
-    hot_keys = (
-        left.groupBy(*keys).count().where(F.col("count") > group_rows(spark)).drop("count").dropna()
+    most = group_rows(spark)
+    salts = F.ceil(F.col("count") / most).cast("int").alias("__salts")
+    hot, found = sized(left.groupBy(*keys).count().where(F.col("count") > most).select(*keys, salts))
+    if not found:
+        return left.join(lookup.hint("merge"), keys, "left")
+    # the salt follows the input partition, so a repeated task gives the same salts
+    salt = F.coalesce(F.pmod(F.spark_partition_id(), F.col("__salts")), F.lit(0)).cast("int")
+    spread = null_safe_join(left, F.broadcast(hot), keys).withColumn("__salt", salt).drop("__salts")
+    last = F.coalesce(F.col("__salts"), F.lit(1)) - 1
+    copies = null_safe_join(lookup, F.broadcast(hot), keys).withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), last))
     )
-    hot_lookup, _ = sized(lookup.join(F.broadcast(hot_keys), keys, "left_semi"))
-    hot_flag = sized(hot_keys)[0].withColumn("__hot", F.lit(True))
-    flagged = left.join(F.broadcast(hot_flag), keys, "left")
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False)) | _any_null(keys)
-    cold = flagged.where(~is_hot).drop("__hot").join(lookup.hint("merge"), keys, "left")
-    hot = flagged.where(is_hot).drop("__hot").join(F.broadcast(hot_lookup), keys, "left")
-    return cold.unionByName(hot)
+    return spread.join(copies.drop("__salts").hint("merge"), [*keys, "__salt"], "left").drop("__salt")
 
 
 def scalar_join(df: DataFrame, one_row: DataFrame) -> DataFrame:

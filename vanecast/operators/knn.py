@@ -128,17 +128,20 @@ def neighbour_distance(
     )
     pairs = own.select("block", F.explode("near").alias("other"))
     asked = blocks.join(pairs, "block").select("block", "other", "id", "__v")
-    others = blocks.select(F.col("block").alias("other"), "__v", "m").join(pairs, "other").select("block", "other", "__v", "m")
+    # renamed throughout, since both sides come from the same table
+    answer = pairs.select(F.col("block").alias("b1"), F.col("other").alias("b2"))
+    others = blocks.select(F.col("block").alias("b2"), F.col("__v").alias("v2"), F.col("m").alias("m2")).join(answer, "b2")
+    others = others.select("b1", "b2", "v2", "m2")
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"id": [], "d": [], "w": []})
-        d = _distances(np.array(left["__v"].tolist()), np.array(right["__v"].tolist()))
-        dist, weight = _nearest(d, right["m"].to_numpy(), k)
+        d = _distances(np.array(left["__v"].tolist()), np.array(right["v2"].tolist()))
+        dist, weight = _nearest(d, right["m2"].to_numpy(), k)
         return pd.DataFrame({"id": left["id"], "d": list(dist), "w": list(weight)})
 
     found = (
-        asked.groupBy("block", "other").cogroup(others.groupBy("block", "other")).applyInPandas(across, lists)
+        asked.groupBy("block", "other").cogroup(others.groupBy("b1", "b2")).applyInPandas(across, lists)
     )
     # one list per compared block, at most k entries each
     every = own.select("id", "d", "w").unionByName(found)
