@@ -183,12 +183,6 @@ def auc_table(df: DataFrame, actual: str, scores: Mapping[object, str]) -> DataF
 # -- feature scoring ----------------------------------------------------------------------
 
 
-def unpivot(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows (feature, value) for every listed column."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
-    return df.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.feature", "p.value")
-
-
 def gini_table(
     df: DataFrame, target: str, key: str, columns: Sequence[str], max_rows: int | None = None
 ) -> DataFrame:
@@ -197,10 +191,12 @@ def gini_table(
     Ranks are places in the total order (value, key) inside each feature; the
     target itself is ranked over the same rows. One job scores all columns.
     """
-    long = unpivot(df, [target, key], columns).where(F.col("value").isNotNull())
-    long = long.select("feature", key, F.col(target).cast("double").alias("a"), "value")
-    by_value = OrderedRows(long, ["feature"], ["value", key], max_rows).positions("r")
-    by_target = OrderedRows(long, ["feature"], ["a", key], max_rows).positions("r")
+    named = df.select(F.col(target).cast("double").alias("a"), F.col(key).alias("key"), *[F.col(c).alias(f"f_{c}") for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"f_{c}").cast("double").alias("value")) for c in columns])
+    long = named.select("a", "key", F.explode(pairs).alias("p")).select("a", "key", "p.feature", "p.value")
+    long = long.where(F.col("value").isNotNull())
+    by_value = OrderedRows(long, ["feature"], ["value", "key"], max_rows).positions("r")
+    by_target = OrderedRows(long, ["feature"], ["a", "key"], max_rows).positions("r")
 
     def area(placed: DataFrame, name: str) -> DataFrame:
         # sum a*(n - r + 1) / sum a - (n + 1)/2, over n
