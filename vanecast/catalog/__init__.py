@@ -1,6 +1,6 @@
 """All registered queries and their SQL counterparts."""
 
-from vanecast.catalog import aggregates, cleaning, drifting, features, joining, sampled  # noqa: F401
+from vanecast.catalog import aggregates, cleaning, drifting, features, forecasting, joining, sampled  # noqa: F401
 from vanecast.catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -76,9 +76,14 @@ def missing_from(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
     return df.join(known.select(*on).distinct(), on, "left_anti")
 
 
-def lead_label(df: DataFrame, group: list[str], time: str, target: str, minutes: int) -> DataFrame:
-    """``label`` = target observed ``minutes`` later, matched by time (unique per group and time)."""
-    future = df.select(
+def lead_label(
+    df: DataFrame, group: list[str], time: str, target: str, minutes: int, observed: DataFrame | None = None
+) -> DataFrame:
+    """``label`` = target observed ``minutes`` later, matched by time (unique per group and time).
+
+    ``observed`` holds the target; by default the rows themselves.
+    """
+    future = (df if observed is None else observed).select(
         *group,
         (F.col(time) - F.expr(f"INTERVAL '{minutes}' MINUTE")).alias(time),
         F.col(target).alias("label"),

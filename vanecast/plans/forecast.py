@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanecast.operators.clean import time_text
-from vanecast.operators.joins import scalar_join
+from vanecast.operators.joins import lookup_join, scalar_join
 from vanecast.operators.metrics import r2, rse
 
 QUARTER = 15  # minutes between rows
@@ -47,7 +47,7 @@ def with_fallback(grid: DataFrame, predictions: DataFrame, mean: DataFrame, time
     """
     by = [c for c in on if c != time and c in mean.columns]
     rows = grid.join(predictions, list(on), "left")
-    rows = rows.join(F.broadcast(mean), by, "left") if by else scalar_join(rows, mean)
+    rows = lookup_join(rows, mean, by) if by else scalar_join(rows, mean)
     target = F.col(time) + F.expr(f"INTERVAL '{minutes}' MINUTE")
     out = rows.select(
         *[c for c in on if c != time],
@@ -90,9 +90,9 @@ def history_means(
     bins = series.groupBy(*group, origins.number_after(time).alias("number")).agg(
         F.sum(value).alias("s"), F.count(value).alias("c")
     )
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(origins.count - 1)))
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(origins.count - 1).cast("long")))
     zero = [F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("c"), F.lit(True).alias("wanted")]
-    wanted = series.select(*group).distinct().select(*group, numbers.cast("long").alias("number"), *zero)
+    wanted = series.select(*group).distinct().select(*group, numbers.alias("number"), *zero)
     both = bins.withColumn("wanted", F.lit(False)).unionByName(wanted)
     low = Window.unboundedPreceding if lookback is None else -(int(lookback / origins.step) - 1)
     # one row per origin step: the window is bounded by the time span

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanecast.operators.clean import clean_names, nan_to_null, parse_time
+from vanecast.operators.joins import missing_from
+from vanecast.operators.ordered import OrderedRows
 from vanecast.operators.weather import add_vintage_keys, unique_vintages
 from vanecast.sources.schemas import TOWER, TRIAL_LOG, WEATHER
 
@@ -76,5 +78,22 @@ def latest_valid_model(runs: DataFrame) -> DataFrame:
 
 
 def numbered(runs: DataFrame, start: int = 0) -> DataFrame:
-    """Run numbers by execution time; the log has one row per training run."""
-    return runs.withColumn("seq", F.row_number().over(Window.orderBy("exec_time", "model_id")) + start)
+    """Run numbers in order of execution."""
+    placed = OrderedRows(runs, [], ["exec_time", "model_id"]).positions("seq")
+    return placed.withColumn("seq", F.col("seq") + start)
+
+
+# -- folders watched for new files ------------------------------------------------------
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """Paths below a folder; only file status is read, not the content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return files.load(folder).select("path", "length")
+
+
+def new_file_paths(known: DataFrame, current: DataFrame) -> DataFrame:
+    """Files not known before. A known file that has disappeared is an error."""
+    if missing_from(known, current, ["path"]).limit(1).count():
+        raise ValueError("files read earlier are missing from the folder")
+    return missing_from(current, known, ["path"])
