@@ -49,7 +49,7 @@ def sliding_means(df: DataFrame, time: str, group: Sequence[str], value: str, si
     return (
         panes.groupBy(F.window("pane", size, slide), *group)
         .agg(F.sum("s").alias("s"), F.sum("c").alias("n"))
-        .select(F.col("window.end").alias("at"), *group, F.try_divide("s", "n").alias("mean"), "n")
+        .select(F.col("window.end").alias("until"), *group, F.try_divide("s", "n").alias("mean"), "n")
     )
 
 
