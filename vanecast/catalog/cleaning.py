@@ -241,7 +241,7 @@ def p26_issue_evening(spark, sf_dir):
     )
 
 
-@query("p27_round_probability", f"SELECT event_id, {R('1 / (1 + exp(-(value - 50) / 20))', 5)} AS p FROM events")
+@query("p27_round_probability", f"SELECT event_id, round(1 / (1 + exp(-(value - 50) / 20)), 5) + 0.0 AS p FROM events")
 def p27_round_probability(spark, sf_dir):
     p = 1 / (1 + F.exp(-(F.col("value") - 50) / 20))
     return events(spark, sf_dir).select("event_id", clean.round_probability(p).alias("p"))

@@ -212,7 +212,7 @@ def g11_label_decode(spark, sf_dir):
 
 @query(
     "g12_feature_set",
-    f"""WITH e AS (SELECT event_id, ts, user_id, event_type, value, ln(value) AS lv FROM events),
+    f"""WITH e AS (SELECT event_id, ts, user_id, event_type, value, CASE WHEN value = 0 THEN -1e7 ELSE ln(CASE WHEN value = 0 THEN 1 ELSE value END) END AS lv FROM events),
     s AS (SELECT user_id, avg(lv) AS m, count(*) AS n FROM e WHERE {_TRAIN} GROUP BY user_id)
     SELECT event_id, {R('lv')} AS log__value, {R('s.m')} AS aggmean__user_id__log__value, s.n AS count__user_id,
     {R('lv - lag(lv, 2) OVER (PARTITION BY event_type ORDER BY ts, event_id)')} AS diff__log__value__2

@@ -106,14 +106,14 @@ def m27_backtest_short_lookback(spark, sf_dir):
 
 
 def _summary_sql(sql: str) -> str:
-    return f"""SELECT event_type, {TS('origin')} AS origin, {R('sqrt(sum((y_true - y_pred) ** 2))', 4)} AS rse,
+    return f"""SELECT event_type, {TS('origin')} AS origin, {R('sqrt(sum((y_true - y_pred) ** 2))', 9)} AS rse,
     {R('coalesce(1 - sum((y_true - y_pred) ** 2) / nullif(var_pop(y_true) * count(*), 0), -1)', 4)} AS r2, count(*) AS n
     FROM ({sql}) WHERE y_true IS NOT NULL GROUP BY event_type, origin"""
 
 
 def _summary(df):
     out = forecast.summarize(df, ["event_type", "origin"])
-    return out.select("event_type", ts("origin").alias("origin"), r("rse", 4).alias("rse"), r("r2", 4).alias("r2"), "n")
+    return out.select("event_type", ts("origin").alias("origin"), r("rse", 9).alias("rse"), r("r2", 4).alias("r2"), "n")
 
 
 @query("m28_backtest_summary", _summary_sql(backtest_sql(24, _DAYS, 96)))

@@ -10,7 +10,7 @@ from vanecast.operators import metrics, sampling
 from vanecast.operators.metrics import mse
 from vanecast.plans import features, model
 from vanecast.plans.train import train_run
-from vanecast.session import scratch_path
+from vanecast.session import materialize, scratch_path
 
 NUMERIC, CATEGORICAL = ["quantity", "lines", "discount", "tax"], ["flag", "status"]
 # small trees keep the checks short; the defaults of the library are larger
@@ -76,10 +76,19 @@ def m14_candidate_scores(spark, sf_dir):
     rows = order_rows(spark, sf_dir)
     values = FeatureSet(_CANDIDATES).fit(rows).transform(rows)
     names = [f.name for f in _CANDIDATES]
-    values = values.select("l_orderkey", "price", *[F.round(n, 9).alias(n) for n in names])
+    values = materialize(values.select("l_orderkey", "price", *[F.round(n, 9).alias(n) for n in names]), "candidates")
     return metrics.gini_table(values, "price", "l_orderkey", names).select("feature", r("gini", 5).alias("gini"))
 
 
+@query("m14_search_round")
+def m14_search_round(spark, sf_dir):
+    """A whole round of the search up to the model: 128 candidates enumerated, computed and scored."""
+    rows = order_rows(spark, sf_dir)
+    found = features.enumerate_features(NUMERIC, CATEGORICAL, ordered=True)
+    scores = features.score_features(rows, found, "price", "l_orderkey", ["flag"], ["l_orderkey"])
+    return metrics.top_features(scores, NUMERIC).select("feature", r("gini").alias("gini"))
+
+
 @query("m15_materialize_features", f"WITH o AS ({ORDER_SQL}) SELECT l_orderkey, crosscount__flag__status, " + ", ".join(f"{R(f.name)} AS {f.name}" for f in _CANDIDATES[:4]) + f" FROM ({_VALUES})")
 def m15_materialize_features(spark, sf_dir):
     rows = order_rows(spark, sf_dir)

@@ -183,30 +183,53 @@ def auc_table(df: DataFrame, actual: str, scores: Mapping[object, str]) -> DataF
 # -- feature scoring ----------------------------------------------------------------------
 
 
+def _gini_area(weighted: Column, total: Column, n: Column) -> Column:
+    """(sum of a * (n - r + 1) / sum of a - (n + 1) / 2) / n from the sum of a * r."""
+    return (F.try_divide((n + 1) * total - weighted, total) - (n + 1) / 2) / n
+
+
+def _gini_best(rows: DataFrame, known: Mapping[str, int], total: int, max_rows: int | None) -> DataFrame:
+    """Area of the target ranked by itself, per column over the rows where the column is known.
+
+    One order of (target, key) serves all columns: the place among known rows is
+    a running count. Columns without NULLs share one of them.
+    """
+    partial = [c for c, n in known.items() if n < total]
+    flags = rows.select("a", "key", *[F.col(c).isNotNull().cast("int").alias(f"k_{c}") for c in partial])
+    counts = {"r": F.lit(1).cast("long"), **{f"r_{c}": F.col(f"k_{c}").cast("long") for c in partial}}
+    placed = OrderedRows(flags, [], ["a", "key"], max_rows, largest=total).running_sum(counts)
+    a = F.col("a")
+    aggs = [_gini_area(F.sum(a * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("whole")]
+    for c in partial:
+        mine = F.col(f"k_{c}") == 1
+        aggs.append(_gini_area(F.sum(F.when(mine, a * F.col(f"r_{c}"))), F.sum(F.when(mine, a)), F.count(F.when(mine, 1))).alias(c))
+    cells = ", ".join(f"'{c}', `{c if c in partial else 'whole'}`" for c in known)
+    return placed.agg(*aggs).select(F.expr(f"stack({len(known)}, {cells}) as (id, best)"))
+
+
 def gini_table(
     df: DataFrame, target: str, key: str, columns: Sequence[str], max_rows: int | None = None
 ) -> DataFrame:
     """Normalised gini of every column against the target, rows with a NULL column masked.
 
-    Ranks are places in the total order (value, key) inside each feature; the
-    target itself is ranked over the same rows. One job scores all columns.
+    Ranks are places in the total order (value, key) inside each feature. One
+    job scores all columns; they travel under short numbers.
     """
-    named = df.select(F.col(target).cast("double").alias("a"), F.col(key).alias("key"), *[F.col(c).alias(f"f_{c}") for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"f_{c}").cast("double").alias("value")) for c in columns])
-    long = named.select("a", "key", F.explode(pairs).alias("p")).select("a", "key", "p.feature", "p.value")
-    long = long.where(F.col("value").isNotNull())
-    by_value = OrderedRows(long, ["feature"], ["value", "key"], max_rows).positions("r")
-    by_target = OrderedRows(long, ["feature"], ["a", "key"], max_rows).positions("r")
-
-    def area(placed: DataFrame, name: str) -> DataFrame:
-        # sum a*(n - r + 1) / sum a - (n + 1)/2, over n
-        n, total = F.count(F.lit(1)), F.sum("a")
-        weighted = (n + 1) * total - F.sum(F.col("a") * F.col("r"))
-        return placed.groupBy("feature").agg(((F.try_divide(weighted, total) - (n + 1) / 2) / n).alias(name))
-
+    ids = {f"c{i}": c for i, c in enumerate(columns)}
+    rows = df.select(
+        F.col(target).cast("double").alias("a"), F.col(key).alias("key"), *[F.col(c).cast("double").alias(i) for i, c in ids.items()]
+    )
+    sizes = rows.agg(F.count(F.lit(1)).alias("total"), *[F.count(i).alias(i) for i in ids]).first().asDict()
+    total = sizes.pop("total")
+    long = rows.unpivot(["a", "key"], list(ids), "id", "value").where(F.col("value").isNotNull())
+    placed = OrderedRows(long, ["id"], ["value", "key"], max_rows, largest=max(sizes.values(), default=0)).positions("r")
+    scores = placed.groupBy("id").agg(
+        _gini_area(F.sum(F.col("a") * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("g")
+    )
+    names = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
     # one row per column on both sides
-    return area(by_value, "g").join(area(by_target, "best"), "feature").select(
-        "feature", F.abs(F.try_divide(F.col("g"), F.col("best"))).alias("gini")
+    return scores.join(F.broadcast(_gini_best(rows, sizes, total, max_rows)), "id").select(
+        names[F.col("id")].alias("feature"), F.abs(F.try_divide(F.col("g"), F.col("best"))).alias("gini")
     )
 
 

@@ -39,7 +39,8 @@ class OrderedRows:
     """Rows of a DataFrame in a total order inside each group.
 
     ``order`` must be unique within a group. ``max_rows`` is the largest group
-    one task may hold; the default comes from the session.
+    one task may hold; the default comes from the session. ``largest`` is the
+    size of the largest group where the caller knows it already.
     """
 
     def __init__(
@@ -48,13 +49,15 @@ class OrderedRows:
         group: Sequence[str],
         order: Sequence[OrderItem],
         max_rows: int | None = None,
+        largest: int | None = None,
     ):
         self.group = list(group)
         self.order = list(order)
         self.max_rows = group_rows(df.sparkSession) if max_rows is None else max_rows
         self.columns = df.columns
-        counts = df.groupBy(*self.group).count() if self.group else df.groupBy().count()
-        largest = counts.agg(F.max("count")).first()[0] or 0
+        if largest is None:
+            counts = df.groupBy(*self.group).count() if self.group else df.groupBy().count()
+            largest = counts.agg(F.max("count")).first()[0] or 0
         self.split = largest > self.max_rows
         self.df = self._place(df) if self.split else df
         self._spanning = self._groups_in_several_chunks() if self.split else None

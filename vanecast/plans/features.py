@@ -91,6 +91,7 @@ def search_features(
     ``select(train, validation, originals, candidates)`` fits a model and returns
     its validation score (higher is better) and the candidates it used, best first.
     """
+    train, validation = materialize(train, "search-train"), materialize(validation, "search-validation")
     result = SearchResult(score=baseline)
     operands: list[str | Feature] = list(numeric)
     tried: set[str] = set()

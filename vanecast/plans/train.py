@@ -13,6 +13,7 @@ from vanecast.functions.registry import Feature, FeatureSet
 from vanecast.operators.metrics import as_rows, capacity_error, evaluate, mae, mse, r2, rmse
 from vanecast.plans.features import search_features
 from vanecast.plans.model import REGRESSORS, fit, predict, search_models, selector, validation_score
+from vanecast.session import materialize
 from vanecast.sources.sinks import append, log_run, save_model
 
 METRICS = {"mse": mse, "rmse": rmse, "mae": mae, "r2": r2, "capacity_error": capacity_error}
@@ -44,6 +45,7 @@ def train_run(
 ) -> TrainedRun:
     """Train on ``train``, choose on ``validation``, write everything below ``out``."""
     spark = train.sparkSession
+    train, validation = materialize(train, "train"), materialize(validation, "validation")
     base = fit(train, "gbt", numeric, target, **params)
     baseline = validation_score(base, validation, target)
     found = search_features(
