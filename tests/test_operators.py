@@ -273,3 +273,12 @@ def test_group_function_refuses_hot_groups(spark):
     assert per_group(df, ["g"], identity, "id long").count() == 50
     with pytest.raises(ValueError):
         per_group(df, ["g"], identity, "id long", max_rows=10)
+
+
+def test_copies_are_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "COPIES_PER_TASK", 7)
+    rows = spark.range(203).select("id", F.when(F.col("id") < 200, "big").otherwise("small").alias("c"))
+    filled = sampling.oversample(rows, "c", ["id"])
+    counts = {r["id"]: r["count"] for r in filled.where("c = 'small'").groupBy("id").count().collect()}
+    assert sum(counts.values()) == 200 and sorted(counts.values()) == [66, 67, 67]
+    assert filled.where("c = 'big'").count() == 200

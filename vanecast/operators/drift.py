@@ -107,7 +107,7 @@ def js_distance(history: DataFrame, new: DataFrame, column: str, bins: int = BIN
 
 
 def text_clusters(
-    history: DataFrame, new: DataFrame, column: str, clusters: int = CLUSTERS, features: int = 1 << 12
+    history: DataFrame, new: DataFrame, column: str, clusters: int = CLUSTERS, features: int = 1 << 16
 ) -> DataFrame:
     """Rows (cluster, n0, n1): both sides assigned to clusters fitted on the history texts.
 

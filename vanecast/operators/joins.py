@@ -66,14 +66,19 @@ def left_on_time(tower: DataFrame, fans: DataFrame, time: str) -> DataFrame:
     return tower.join(fans, [time], "left")
 
 
+def _mark_known(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``__known`` is true where the key occurs in ``keys``; hot keys are spread as in ``lookup_join``."""
+    return lookup_join(df, keys.select(*on).distinct().withColumn("__known", F.lit(True)), on)
+
+
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``; the keys are made distinct before the join."""
-    return df.join(keys.select(*on).distinct(), on, "left_semi")
+    """Rows whose key occurs in ``keys``."""
+    return _mark_known(df, keys, on).where(F.col("__known").isNotNull()).drop("__known")
 
 
 def missing_from(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``known``."""
-    return df.join(known.select(*on).distinct(), on, "left_anti")
+    return _mark_known(df, known, on).where(F.col("__known").isNull()).drop("__known")
 
 
 def lead_label(

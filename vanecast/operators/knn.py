@@ -5,9 +5,9 @@
    blocks of bounded size.
 3. Inside its own block each point finds k neighbours: an upper bound of its
    true k-th distance.
-4. A block is compared with another block only if the triangle inequality
-   leaves a point of the first closer to the second's cell than its bound.
-   Each comparison is one numpy product that returns k distances per point.
+4. A point is compared with another block only if the triangle inequality
+   leaves the block's cell closer than its bound. Each comparison of the points
+   of two blocks is one numpy product that returns k distances per point.
 5. The lists of a point are merged into its k smallest distances.
 
 How much step 4 prunes depends on the data; the result does not.
@@ -73,7 +73,8 @@ def neighbour_distance(
     if k <= 0:
         return rows.withColumn("distance", F.lit(0.0)).drop("__v")
 
-    wanted = max(1, min(max_pivots, int(n**0.5)))
+    # cells of about a quarter block, so that most blocks are one cell
+    wanted = max(1, min(max_pivots, n // max(1, block_rows // 4)))
     chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("__v").collect()
     pivots = np.array([r[0] for r in chosen])
 
@@ -114,20 +115,21 @@ def neighbour_distance(
         weight = np.where(np.isinf(dist), 0, weight)
         bound = _kth(np.where(weight > 0, dist, np.inf), weight, k)
         to_pivots = _distances(v, pivots)
-        # cells that may hold a closer point than the bound, for any point of the block
-        reachable = (to_pivots - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-12).any(axis=0)
-        near = [int(b) for c in np.flatnonzero(reachable & (radius >= 0)) for b in range(first_block[c], first_block[c] + parts[c])]
+        # cells that may hold a closer point than the bound
+        reachable = (to_pivots - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-12) & (radius >= 0)[None, :]
         block = int(pdf["block"].iloc[0])
+        blocks_of = [[b for b in range(first_block[c], first_block[c] + parts[c]) if b != block] for c in range(len(parts))]
         out = pd.DataFrame({"id": pdf["id"], "d": list(np.where(weight > 0, dist, 0.0)), "w": list(weight)})
+        out["__v"] = pdf["__v"]
         out["block"] = block
-        out["near"] = [[b for b in near if b != block] if i == 0 else [] for i in range(len(out))]
+        out["near"] = [[b for c in np.flatnonzero(row) for b in blocks_of[c]] for row in reachable]
         return out
 
     own = materialize(
-        blocks.groupBy("block").applyInPandas(within, f"{lists}, block int, near array<int>"), "own"
+        blocks.groupBy("block").applyInPandas(within, f"{lists}, __v array<double>, block int, near array<int>"), "own"
     )
-    pairs = own.select("block", F.explode("near").alias("other"))
-    asked = blocks.join(pairs, "block").select("block", "other", "id", "__v")
+    asked = own.select("block", F.explode("near").alias("other"), "id", "__v")
+    pairs = asked.select("block", "other").distinct()
     # renamed throughout, since both sides come from the same table
     answer = pairs.select(F.col("block").alias("b1"), F.col("other").alias("b2"))
     others = blocks.select(F.col("block").alias("b2"), F.col("__v").alias("v2"), F.col("m").alias("m2")).join(answer, "b2")

@@ -197,7 +197,7 @@ def _gini_best(rows: DataFrame, known: Mapping[str, int], total: int, max_rows:
     partial = [c for c, n in known.items() if n < total]
     flags = rows.select("a", "key", *[F.col(c).isNotNull().cast("int").alias(f"k_{c}") for c in partial])
     counts = {"r": F.lit(1).cast("long"), **{f"r_{c}": F.col(f"k_{c}").cast("long") for c in partial}}
-    placed = OrderedRows(flags, [], ["a", "key"], max_rows, largest=total).running_sum(counts)
+    placed = OrderedRows(flags, [], ["a", "key"], max_rows, (total, total)).running_sum(counts)
     a = F.col("a")
     aggs = [_gini_area(F.sum(a * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("whole")]
     for c in partial:
@@ -222,7 +222,8 @@ def gini_table(
     sizes = rows.agg(F.count(F.lit(1)).alias("total"), *[F.count(i).alias(i) for i in ids]).first().asDict()
     total = sizes.pop("total")
     long = rows.unpivot(["a", "key"], list(ids), "id", "value").where(F.col("value").isNotNull())
-    placed = OrderedRows(long, ["id"], ["value", "key"], max_rows, largest=max(sizes.values(), default=0)).positions("r")
+    largest, cells = max(sizes.values(), default=0), sum(sizes.values())
+    placed = OrderedRows(long, ["id"], ["value", "key"], max_rows, (largest, cells)).positions("r")
     scores = placed.groupBy("id").agg(
         _gini_area(F.sum(F.col("a") * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("g")
     )

@@ -39,8 +39,8 @@ class OrderedRows:
     """Rows of a DataFrame in a total order inside each group.
 
     ``order`` must be unique within a group. ``max_rows`` is the largest group
-    one task may hold; the default comes from the session. ``largest`` is the
-    size of the largest group where the caller knows it already.
+    one task may hold; the default comes from the session. ``sizes`` is (rows
+    of the largest group, rows in all) where the caller knows them already.
     """
 
     def __init__(
@@ -49,25 +49,27 @@ class OrderedRows:
         group: Sequence[str],
         order: Sequence[OrderItem],
         max_rows: int | None = None,
-        largest: int | None = None,
+        sizes: tuple[int, int] | None = None,
     ):
         self.group = list(group)
         self.order = list(order)
         self.max_rows = group_rows(df.sparkSession) if max_rows is None else max_rows
         self.columns = df.columns
-        if largest is None:
+        if sizes is None:
             counts = df.groupBy(*self.group).count() if self.group else df.groupBy().count()
-            largest = counts.agg(F.max("count")).first()[0] or 0
+            sizes = tuple(counts.agg(F.max("count"), F.sum("count")).first())
+        largest, total = sizes[0] or 0, sizes[1] or 0
         self.split = largest > self.max_rows
-        self.df = self._place(df) if self.split else df
+        self.df = self._place(df, total) if self.split else df
         self._spanning = self._groups_in_several_chunks() if self.split else None
 
     # -- layout -----------------------------------------------------------------
 
-    def _place(self, df: DataFrame) -> DataFrame:
+    def _place(self, df: DataFrame, total: int) -> DataFrame:
         keys = [F.col(g).asc() for g in self.group] + sort_columns(self.order)
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = (
-            df.repartitionByRange(*keys)
+            df.repartitionByRange(max(shuffle, -(-total // self.max_rows)), *keys)
             .sortWithinPartitions(*keys)
             .withColumn(_ID, F.monotonically_increasing_id())
             .withColumn(_CHUNK, F.shiftright(F.col(_ID), _ROW_BITS))

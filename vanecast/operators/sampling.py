@@ -22,6 +22,8 @@ SAMPLE_ABOVE, SAMPLE_SIZE = 5_000_000, 500_000
 SMALL_CLASS = 10
 # Up to this many rows a top-n is kept in memory; more are cut by position.
 TOP_IN_MEMORY = 100_000
+# A task makes at most this many copies of one row at a time.
+COPIES_PER_TASK = 100_000
 
 
 def top_rows(df: DataFrame, order: Sequence[OrderItem], n: int) -> DataFrame:
@@ -130,9 +132,16 @@ def _fill(df: DataFrame, target: str, wanted: Column, key: Sequence[str]) -> Dat
     placed = OrderedRows(df, [target], list(key)).positions("__place")
     rows = lookup_join(placed, counts, [target])
     # place p of n is used once for each copy c with p + c*n <= want
-    copies = F.greatest(F.lit(1), F.ceil((F.col("__want") - F.col("__place") + 1) / F.col("n")))
-    repeated = rows.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("__copy"))
-    return repeated.drop("__copy")
+    copies = F.greatest(F.lit(1), F.ceil((F.col("__want") - F.col("__place") + 1) / F.col("n"))).cast("long")
+    rows = rows.select(*df.columns, copies.alias("__copies"))
+    most = counts.agg(F.max(F.ceil(F.col("__want") / F.col("n")))).first()[0] or 1
+    if most > COPIES_PER_TASK:
+        # a row with very many copies is first cut into pieces that go to different tasks
+        last = F.floor((F.col("__copies") - 1) / COPIES_PER_TASK)
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("__piece"))
+        left = F.col("__copies") - F.col("__piece") * COPIES_PER_TASK
+        rows = rows.withColumn("__copies", F.least(left, F.lit(COPIES_PER_TASK))).repartition(*key, "__piece")
+    return rows.select(*df.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__copy")).drop("__copy")
 
 
 def fill_small_classes(df: DataFrame, target: str, key: Sequence[str], least: int = SMALL_CLASS) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vanecast.operators.drift import SCORE_THRESHOLD
 from vanecast.operators.metrics import r2
+from vanecast.session import broadcast_rows, sized
 
 DELAY = "1 hour"
 
@@ -80,9 +81,13 @@ def append_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return run_available(df.writeStream.foreachBatch(write), checkpoint)
 
 
-def join_static(stream: DataFrame, vintages: DataFrame, time: str, minutes: int, issue) -> DataFrame:
-    """Fresh rows with their forecast: stream-static left join on (target, issue)."""
-    right = vintages.withColumnsRenamed({"target": "__target", "issue": "__issue"})
+def join_static(stream: DataFrame, vintages: DataFrame, time: str, minutes: int, issue: Column) -> DataFrame:
+    """Fresh rows with their forecast: stream-static left join on (target, issue).
+
+    The forecasts are counted; a small table is broadcast to every micro-batch.
+    """
+    right, rows = sized(vintages.withColumnsRenamed({"target": "__target", "issue": "__issue"}))
+    right = F.broadcast(right) if rows <= broadcast_rows(stream.sparkSession) else right
     left = stream.withColumn("__target", F.col(time) + F.expr(f"INTERVAL '{minutes}' MINUTE")).withColumn("__issue", issue)
     return left.join(right, ["__target", "__issue"], "left").drop("__target", "__issue")
 
