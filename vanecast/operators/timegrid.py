@@ -65,10 +65,10 @@ def asof_fill(
     partial aggregate before the ordered step.
     """
     unique = mean_per_time(observed, [*group, time], values)
-    row = F.struct(F.col(time).alias("t"), *values)
-    last = unique.groupBy(*group, ceil_time(time, minutes).alias(_CELL)).agg(F.max_by(row, time).alias("__row"))
-    events = last.select(*group, F.col(_CELL).alias(time), "__row", F.lit(0).alias("__grid"))
-    points = grid.select(*group, time, F.lit(None).cast(last.schema["__row"].dataType).alias("__row"), F.lit(1).alias("__grid"))
+    last = unique.groupBy(*group, ceil_time(time, minutes).alias(_CELL)).agg(*[F.max_by(v, time).alias(v) for v in values])
+    row = F.struct(*[F.col(v) for v in values])
+    events = last.select(*group, F.col(_CELL).alias(time), row.alias("__row"), F.lit(0).alias("__grid"))
+    points = grid.select(*group, time, F.lit(None).cast(events.schema["__row"].dataType).alias("__row"), F.lit(1).alias("__grid"))
     w = Window.partitionBy(*group).orderBy(time, "__grid").rowsBetween(Window.unboundedPreceding, 0)
     filled = points.unionByName(events).withColumn("__row", F.last("__row", ignorenulls=True).over(w))
     return filled.where("__grid = 1").select(*group, time, *[F.col(f"__row.{v}").alias(v) for v in values])
@@ -84,17 +84,20 @@ def interpolate(
     cell only the first and last known value can be a neighbour, so each value
     column is reduced to these two by a partial aggregate.
     """
-    step = minutes * 60_000_000
     t = F.unix_micros(F.col(time).cast("timestamp"))
-    per_cell = []
+    per_cell, pairs = [], []
     for v in values:
         known = F.when(F.col(v).isNotNull(), t)
         per_cell += [
-            F.min(F.when(F.col(v).isNotNull(), F.struct(known.alias("t"), F.col(v).alias("v")))).alias(f"__first_{v}"),
-            F.max(F.when(F.col(v).isNotNull(), F.struct(known.alias("t"), F.col(v).alias("v")))).alias(f"__last_{v}"),
+            F.min(known).alias(f"__ft_{v}"), F.min_by(v, known).alias(f"__fv_{v}"),
+            F.max(known).alias(f"__lt_{v}"), F.max_by(v, known).alias(f"__lv_{v}"),
         ]
+        for end in ("f", "l"):
+            at = F.col(f"__{end}t_{v}")
+            pair = F.struct(at.alias("t"), F.col(f"__{end}v_{v}").alias("v"))
+            pairs.append(F.when(at.isNotNull(), pair).alias(f"__{'first' if end == 'f' else 'last'}_{v}"))
     unique = mean_per_time(df, [*group, time], values)
-    cells = unique.groupBy(*group, floor_time(time, minutes).alias(time)).agg(*per_cell)
+    cells = unique.groupBy(*group, floor_time(time, minutes).alias(time)).agg(*per_cell).select(*group, time, *pairs)
     ends = df.groupBy(*group).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
     grid = ends.select(*group, F.explode(time_range(floor_time("__lo", minutes), floor_time("__hi", minutes), minutes)).alias(time))
     joined = grid.join(cells, [*group, time], "left")
