@@ -130,8 +130,22 @@ class OrderedRows:
 
     def positions(self, name: str = "pos") -> DataFrame:
         """1-based place of every row in its group."""
+        if self.split and not self.group:
+            return self._clean(self._places().withColumnRenamed(_POS, name), [name])
         return self.running_sum({name: F.lit(1).cast("long")})
 
+    def _places(self) -> DataFrame:
+        """1-based place of the rows of groups cut by a partition border, NULL for other groups.
+
+        Rows of a group are consecutive inside a partition, so their place
+        follows from the row number given when they were written.
+        """
+        before = Window.partitionBy(*self.group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = self._per_chunk([F.count(F.lit(1)).alias("__n"), F.min(_ID).alias("__first")])
+        carry = sizes.select(*self.group, _CHUNK, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        place = F.col(_ID) - F.col("__first") + F.col("__before") + 1
+        return self._attach(self.df, carry).withColumn(_POS, place).drop("__first", "__before")
+
     def fill_forward(self, values: Mapping[str, Column]) -> DataFrame:
         """Last non-NULL value up to and including each row."""
         w = self.window().rowsBetween(Window.unboundedPreceding, 0)
@@ -167,7 +181,7 @@ class OrderedRows:
             columns = build(self.window())
             out = self.df.select("*", *[c.alias(n) for n, c in columns.items()])
             return self._clean(out, list(columns))
-        return self.in_blocks(max(self.max_rows, reach), reach, lambda w, _: build(w))
+        return self._blocks(self._places(), _ID, max(self.max_rows, reach), reach, lambda w, _: build(w))
 
     def in_blocks(
         self, size: int, reach: int, build: Callable[[WindowSpec, Column], Mapping[str, Column]]
@@ -179,15 +193,22 @@ class OrderedRows:
         """
         if size < reach:
             raise ValueError("a block must be at least as long as the look-back")
-        placed = self._running({_POS: F.lit(1).cast("long")})
+        return self._blocks(self._running({_POS: F.lit(1).cast("long")}), _POS, size, reach, build)
+
+    def _blocks(
+        self,
+        placed: DataFrame,
+        order: str,
+        size: int,
+        reach: int,
+        build: Callable[[WindowSpec, Column], Mapping[str, Column]],
+    ) -> DataFrame:
+        """Blocks by place; a group without places is one block."""
         place = F.col(_POS) - 1
-        home = F.floor(place / size).cast("long")
+        home = F.coalesce(F.floor(place / size).cast("long"), F.lit(0).cast("long"))
         copies = F.when(place % size >= size - reach, F.array(home, home + 1)).otherwise(F.array(home))
-        blocks = placed.select("*", F.explode(copies).alias(_BLOCK)).withColumn(
-            _MAIN, F.col(_BLOCK) == home
-        )
-        w = Window.partitionBy(*self.group, _BLOCK).orderBy(_POS)
-        columns = build(w, place)
+        blocks = placed.select("*", F.explode(copies).alias(_BLOCK)).withColumn(_MAIN, F.col(_BLOCK) == home)
+        columns = build(Window.partitionBy(*self.group, _BLOCK).orderBy(order), place)
         out = blocks.select("*", *[c.alias(n) for n, c in columns.items()]).where(_MAIN)
         return self._clean(out, list(columns))
 
