@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vanecast.catalog.base import Q15, R, TS, events, query, r, rounded, table, ts
-from vanecast.catalog.modelling import order_rows, split
-from vanecast.operators import metrics
+from vanecast.catalog.modelling import LINE, LINE_SQL, line, order_rows, split
+from vanecast.operators import groupstat, metrics
 from vanecast.operators.clean import floor_time
 from vanecast.plans import model
 from vanecast.session import scratch_path
@@ -210,21 +210,24 @@ def k5_model_store(spark, sf_dir):
     return spark.createDataFrame([(i, type(s).__name__) for i, s in enumerate(stages)], "place int, stage string")
 
 
-@query("s9_model_scan")
+@query("s9_model_scan", f"{LINE_SQL} SELECT l_orderkey, {LINE} AS y_pred FROM o, f")
 def s9_model_scan(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
+    rows = order_rows(spark, sf_dir)
     path = scratch_path(spark, "model")
-    sinks.save_model(model.fit(train, "linear", ["quantity", "lines"], "price"), path)
-    return model.predict(readers.load_model(path), validation).select("l_orderkey", r("y_pred", 2).alias("y_pred"))
+    sinks.save_model(line(rows), path)
+    return model.predict(readers.load_model(path), rows).select("l_orderkey", r("y_pred", 2).alias("y_pred"))
 
 
-@query("k6_validation_table")
+@query("k6_validation_table", f"{LINE_SQL} SELECT l_orderkey, flag, quantity, {R('price', 2)} AS y_true, {LINE} AS y_pred FROM o, f")
 def k6_validation_table(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
-    fitted = model.fit(train, "linear", ["quantity", "lines"], "price")
+    """Stored with coded categories; the codes are turned back for the report."""
+    rows = order_rows(spark, sf_dir)
+    classes = groupstat.fit_labels(rows, "flag")
+    coded = groupstat.encode_labels(rows, classes, "flag").withColumnRenamed("flag", "code")
     path = scratch_path(spark, "validation")
-    sinks.append(model.predict(fitted, validation), path)
-    return spark.read.parquet(path).select("l_orderkey", "flag", "quantity", "price", r("y_pred", 2).alias("y_pred"))
+    sinks.append(model.predict(line(coded), coded), path)
+    out = groupstat.decode_labels(spark.read.parquet(path), classes, "code", "flag")
+    return out.select("l_orderkey", "flag", "quantity", r("price", 2).alias("y_true"), r("y_pred", 2).alias("y_pred"))
 
 
 # one training run per day; days with few rows failed

@@ -45,7 +45,15 @@ def st2_quarter_means(spark, sf_dir):
     return _quarters(jobs.quarter_means(events(spark, sf_dir), "ts", ["event_type"], "value"))
 
 
-@query("st2_quarter_means_stream")
+# windows that end before the watermark, one hour behind the newest event
+_CLOSED = TS("(SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
+
+
+@query(
+    "st2_quarter_means_stream",
+    f"""SELECT {TS(Q15('ts'))} AS start, event_type, {R('avg(value)')} AS mean, count(*) AS n FROM events
+    GROUP BY {Q15('ts')}, event_type HAVING {TS(Q15('ts') + ' + INTERVAL 15 MINUTE')} <= {_CLOSED}""",
+)
 def st2_quarter_means_stream(spark, sf_dir):
     """Windows closed by the watermark; the last hour is still open when the stream ends."""
     rows = jobs.event_time(stream_of(spark, sf_dir, "events"), "ts")
@@ -55,18 +63,18 @@ def st2_quarter_means_stream(spark, sf_dir):
     return _quarters(spark.read.schema(result.schema).parquet(out))
 
 
-@query(
-    "st3_sliding_means",
-    f"""WITH q AS (SELECT event_type, {Q15('ts')} AS q, sum(value) AS s, count(*) AS c FROM events GROUP BY ALL),
+_SLIDING = f"""WITH q AS (SELECT event_type, {Q15('ts')} AS q, sum(value) AS s, count(*) AS c FROM events GROUP BY ALL),
     w AS (SELECT event_type, q + to_minutes(CAST(15 * (k + 1) AS INTEGER)) AS until, s, c FROM q, range(16) r(k))
-    SELECT {TS('until')} AS until, event_type, {R('sum(s) / sum(c)')} AS mean, CAST(sum(c) AS BIGINT) AS n FROM w GROUP BY until, event_type""",
-)
+    SELECT {TS('until')} AS until, event_type, {R('sum(s) / sum(c)')} AS mean, CAST(sum(c) AS BIGINT) AS n FROM w GROUP BY until, event_type"""
+
+
+@query("st3_sliding_means", _SLIDING)
 def st3_sliding_means(spark, sf_dir):
     out = jobs.sliding_means(events(spark, sf_dir), "ts", ["event_type"], "value")
     return out.select(ts("until").alias("until"), "event_type", r("mean").alias("mean"), "n")
 
 
-@query("st3_sliding_means_stream")
+@query("st3_sliding_means_stream", f"SELECT * FROM ({_SLIDING}) WHERE until <= {_CLOSED}")
 def st3_sliding_means_stream(spark, sf_dir):
     rows = jobs.event_time(stream_of(spark, sf_dir, "events"), "ts")
     out, checkpoint = paths(spark, "sliding")
