@@ -83,7 +83,7 @@ def m14_candidate_scores(spark, sf_dir):
 @query("m14_search_round")
 def m14_search_round(spark, sf_dir):
     """A whole round of the search up to the model: 128 candidates enumerated, computed and scored."""
-    rows = order_rows(spark, sf_dir)
+    rows = materialize(order_rows(spark, sf_dir), "orders")
     found = features.enumerate_features(NUMERIC, CATEGORICAL, ordered=True)
     scores = features.score_features(rows, found, "price", "l_orderkey", ["flag"], ["l_orderkey"])
     return metrics.top_features(scores, NUMERIC).select("feature", r("gini").alias("gini"))

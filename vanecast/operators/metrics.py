@@ -8,6 +8,7 @@ per distinct score, which is a partial aggregate, and on ``OrderedRows``.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,10 +16,14 @@ from pyspark.sql import types as T
 
 from vanecast.operators.joins import lookup_join, scalar_join
 from vanecast.operators.ordered import OrderedRows
+from vanecast.session import materialize
 
 # Installed capacity and tolerated relative deviation.
 CAPACITY, TOLERANCE = 147.0, 0.25
 
+# Columns turned into rows by one generated loop; more make it too long to be compiled.
+UNPIVOT_COLUMNS = 16
+
 Metric = Callable[[Column, Column], Column]
 
 
@@ -204,7 +209,7 @@ def _gini_best(rows: DataFrame, known: Mapping[str, int], total: int, max_rows:
         mine = F.col(f"k_{c}") == 1
         aggs.append(_gini_area(F.sum(F.when(mine, a * F.col(f"r_{c}"))), F.sum(F.when(mine, a)), F.count(F.when(mine, 1))).alias(c))
     cells = ", ".join(f"'{c}', `{c if c in partial else 'whole'}`" for c in known)
-    return placed.agg(*aggs).select(F.expr(f"stack({len(known)}, {cells}) as (id, best)"))
+    return placed.agg(*aggs).select(F.expr(f"stack({len(known)}, {cells}) as (name, best)"))
 
 
 def gini_table(
@@ -219,18 +224,26 @@ def gini_table(
     rows = df.select(
         F.col(target).cast("double").alias("a"), F.col(key).alias("key"), *[F.col(c).cast("double").alias(i) for i, c in ids.items()]
     )
+    if len(ids) > UNPIVOT_COLUMNS:
+        rows = materialize(rows, "scored")  # read once per part below
     sizes = rows.agg(F.count(F.lit(1)).alias("total"), *[F.count(i).alias(i) for i in ids]).first().asDict()
     total = sizes.pop("total")
-    long = rows.unpivot(["a", "key"], list(ids), "id", "value").where(F.col("value").isNotNull())
+    number = F.substring("id", 2, 9).cast("int").alias("id")
+    parts = [
+        rows.unpivot(["a", "key"], list(ids)[i : i + UNPIVOT_COLUMNS], "id", "value").select("a", "key", number, "value")
+        for i in range(0, len(ids), UNPIVOT_COLUMNS)
+    ]
+    long = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
     largest, cells = max(sizes.values(), default=0), sum(sizes.values())
     placed = OrderedRows(long, ["id"], ["value", "key"], max_rows, (largest, cells)).positions("r")
     scores = placed.groupBy("id").agg(
         _gini_area(F.sum(F.col("a") * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("g")
     )
     names = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    scores = scores.withColumn("name", F.concat(F.lit("c"), "id"))
     # one row per column on both sides
-    return scores.join(F.broadcast(_gini_best(rows, sizes, total, max_rows)), "id").select(
-        names[F.col("id")].alias("feature"), F.abs(F.try_divide(F.col("g"), F.col("best"))).alias("gini")
+    return scores.join(F.broadcast(_gini_best(rows, sizes, total, max_rows)), "name").select(
+        names[F.col("name")].alias("feature"), F.abs(F.try_divide(F.col("g"), F.col("best"))).alias("gini")
     )
 
 

@@ -58,7 +58,6 @@ def score_features(
 ) -> DataFrame:
     """Gini of every candidate: one transform and one scoring job."""
     values = FeatureSet(features, group, order).fit(train).transform(train)
-    values = materialize(values.select(target, key, *[f.name for f in features]), "candidates")
     return gini_table(values, target, key, [f.name for f in features])
 
 
