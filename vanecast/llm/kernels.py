@@ -86,19 +86,21 @@ class Words(NamedTuple):
 
 def find_words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> Words:
     """Byte spans and hashes of all words of all texts; no word crosses a text border."""
+    return find_tokens(raw, offsets, (~separators).astype(np.uint8))
+
+
+def find_tokens(raw: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> Words:
+    """Maximal runs of bytes of one kind other than 0, such as letters or punctuation."""
     n = len(raw)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
-    inside = ~separators[raw]
-    opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
-    closes = inside.copy()
-    closes[:-1] &= ~inside[1:]
-    borders = offsets[(offsets > 0) & (offsets < n)]
-    opens[borders] = inside[borders]
-    closes[borders - 1] = inside[borders - 1]
-    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    kind = kinds[raw]
+    change = np.ones(n + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=change[1:-1])
+    change[offsets] = True
+    inside = kind > 0
+    start, end = np.flatnonzero(change[:-1] & inside), np.flatnonzero(change[1:] & inside) + 1
     return Words(start, end, hash_spans(raw, start, end), np.searchsorted(start, offsets))
 
 
