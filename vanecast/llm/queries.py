@@ -56,3 +56,63 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# -- 5 ------------------------------------------------------------------------------
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str, docs: DataFrame | None = None) -> DataFrame:
+    """Texts with one known label; a document with several labels of a kind counts by the smallest."""
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min(label).alias(label)).filter(F.col(label).isNotNull())
+    docs = table(spark, sf_dir, "documents") if docs is None else docs
+    return docs.select("doc_id", "text").join(labels, "doc_id")
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows with crc32(doc_id) mod 5 = 0 are held out."""
+    from vanecast.llm.toxicity import fit_toxicity, fold, score_toxicity
+
+    held = fold("doc_id", 5) == 0
+    model = fit_toxicity(labelled(spark, sf_dir, "toxic").filter(~held))
+    scored = score_toxicity(table(spark, sf_dir, "documents"), model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+# -- 8 ------------------------------------------------------------------------------
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels and base phrases of every document."""
+    from vanecast.llm.licenses import license_scan
+
+    out = license_scan(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+# -- 9 ------------------------------------------------------------------------------
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; rows with crc32(doc_id) mod 4 = 2 are held out."""
+    from vanecast.llm.quality import fit_quality, score_quality
+    from vanecast.llm.toxicity import fold
+
+    docs = table(spark, sf_dir, "documents")
+    held = fold("doc_id", 4) == 2
+    model = fit_quality(docs, labelled(spark, sf_dir, "quality").filter(~held))
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+# -- 10 -----------------------------------------------------------------------------
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from vanecast.llm.htmltext import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
