@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanecast.llm.blocks import Deal, deal, look_up, read_flags, repeated_cells
+from vanecast.llm.blocks import FULL, Deal, deal, look_up, read_flags, repeated_cells
 from vanecast.llm.kernels import batches, find_words, text_bytes, window_hash, window_starts
 
 LAST = (1 << 63) - 1  # stands for a missing id: later than every other
@@ -49,8 +49,12 @@ def _repeating(width: int, how: Deal):
         if not part.num_rows or not flags.num_rows:
             return pa.table({"h1": pa.array([], pa.int64()), "h2": pa.array([], pa.int64()), "block": pa.array([], pa.int64()), "id": pa.array([], pa.int64())})
         h1, h2, rows = _windows(part, width, second=True)
-        keep = look_up(how.cells(h1), *read_flags(flags, how)) > 1
-        h1, h2, ids = h1[keep], h2[keep], _ids(part)[rows[keep]]
+        total = look_up(how.cells(h1), *read_flags(flags, how))
+        h1, h2, ids, total = (x[total > 1] for x in (h1, h2, _ids(part)[rows], total))
+        # all places of a cell in this block: no other block has the window
+        _, where, own = np.unique(how.cells(h1), return_inverse=True, return_counts=True)
+        away = (total > own[where]) | (total == FULL)
+        h1, h2, ids = h1[away], h2[away], ids[away]
         order = np.lexsort((ids, h2, h1))
         h1, h2, ids = h1[order], h2[order], ids[order]
         lead = np.ones(len(h1), bool)
@@ -79,9 +83,9 @@ def _strip(width: int):
         if earlier.num_rows:  # and in other blocks
             e1 = earlier.column("h1").to_numpy().view(np.uint64)
             by = np.argsort(e1, kind="stable")
-            e1, e2, g = e1[by], earlier.column("h2").to_numpy().view(np.uint64)[by], earlier.column("first").to_numpy()[by]
+            e1, g = e1[by], earlier.column("first").to_numpy()[by]
             at = np.minimum(np.searchsorted(e1, h1), len(e1) - 1)
-            hit = (e1[at] == h1) & (e2[at] == h2)
+            hit = e1[at] == h1
             least[hit] = np.minimum(least[hit], g[at[hit]])
         drop = least < ids[rows]
         by_row = np.searchsorted(rows, np.arange(part.num_rows + 1))
@@ -115,7 +119,7 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_column: str = "doc_id",
     missing id counts as later than all others and stays missing.  Other columns are not read.
     """
     plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    blocks, how = deal(plain, "id", "text")
+    blocks, how = deal(plain, "id", "text", keys_per_byte=8)
     flags = repeated_cells(blocks, lambda part: _windows(part, width)[0], how)
     found = (
         blocks.groupBy("block")
@@ -123,7 +127,7 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_column: str = "doc_id",
         .applyInArrow(_repeating(width, how), "h1 long, h2 long, block long, id long")
     )
     first = F.min("id").over(Window.partitionBy("h1", "h2"))
-    earlier = found.withColumn("first", first).filter("first < id").select("block", "h1", "h2", "first")
+    earlier = found.withColumn("first", first).filter("first < id").select("block", "h1", "first")
     kept = (
         blocks.groupBy("block")
         .cogroup(earlier.groupBy("block"))
