@@ -116,3 +116,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vanecast.llm.htmltext import extract_text
 
     return extract_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+# -- 4 ------------------------------------------------------------------------------
+
+MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
+MIX_BUDGET = 0.5
+
+
+def _mix_sql() -> str:
+    from vanecast.llm.mixing import mixing_sql
+
+    return mixing_sql("documents", MIX_POWERS, MIX_BUDGET, "doc_id, source, lang, topic, n_tokens, round(weight, 6) AS weight, round(p, 6) AS p")
+
+
+@query("op4_source_mixing", _mix_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn so that tokens follow flattened source, language and topic shares."""
+    from vanecast.llm.mixing import measure, mix_sources
+    from vanecast.session import materialize
+
+    slim = measure(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens")
+    out = mix_sources(materialize(slim, "measured"), MIX_POWERS, MIX_BUDGET)
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("p", 6).alias("p"))
