@@ -159,3 +159,24 @@ def batches(offsets: np.ndarray, size: int = 4 * CHUNK):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, min(stop, n)
         at = min(stop, n)
+
+
+class Ranges:
+    """Hashes of arbitrary runs of words from one running sum; equal runs hash equally wherever they stand."""
+
+    STEP = _U(0xC2B2AE3D27D4EB4F)
+
+    def __init__(self, hashes: np.ndarray, seed: int = 0):
+        n = len(hashes)
+        self.powers, self.inverses = _powers(self.STEP, n + 1), _powers(_inverse(self.STEP), n + 1)
+        own = mix(hashes ^ _U(seed)) if seed else hashes
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(own * self.powers[:n], out=self.sums[1:])
+
+    def plain(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Polynomial of the words a .. b-1; still to be mixed."""
+        return (self.sums[b] - self.sums[a]) * self.inverses[a]
+
+    def join(self, a: np.ndarray, i: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Polynomial of the words a .. b-1 without word i."""
+        return self.plain(a, i) + self.powers[i - a] * self.plain(i + 1, b)

@@ -139,3 +139,42 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = measure(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens")
     out = mix_sources(materialize(slim, "measured"), MIX_POWERS, MIX_BUDGET)
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"), F.round("p", 6).alias("p"))
+
+
+# -- 3 ------------------------------------------------------------------------------
+
+
+def line_dedup_sql(documents: str, columns: str) -> str:
+    """Line dedup as SQL: ``columns`` may use doc_id, n_lines, n_removed, left_over and those of ``documents``."""
+    return f"""
+WITH d AS MATERIALIZED (SELECT *, string_split(coalesce(text, ''), chr(10)) AS ls FROM {documents}),
+l AS MATERIALIZED (SELECT doc_id, n, {WORDS_SQL.format("x")} AS w FROM (SELECT doc_id, unnest(ls) AS x, unnest(range(len(ls))) AS n FROM d)),
+s AS MATERIALIZED (SELECT doc_id, n, len(w) AS k, w, array_to_string(w, ' ') AS s FROM l WHERE len(w) > 0),
+f AS MATERIALIZED (SELECT s, any_value(w) AS w, any_value(k) AS k, min((doc_id, n)) AS p FROM s GROUP BY s),
+v AS MATERIALIZED (
+  SELECT s, p, i, array_to_string(w[:i - 1] || w[i + 1:], ' ') AS v FROM (SELECT s, p, w, unnest(range(1, k + 1)) AS i FROM f WHERE k >= 8)
+  UNION ALL SELECT s, p, 0, s FROM f WHERE k >= 7),
+same AS (SELECT v, i, min(p) AS p FROM v GROUP BY v, i),
+less AS (SELECT v, min(p) AS p FROM v WHERE i > 0 GROUP BY v),
+near AS (
+  SELECT v.s FROM v JOIN same ON v.v = same.v AND v.i = same.i WHERE same.p < v.p
+  UNION SELECT v.s FROM v JOIN same ON v.v = same.v AND same.i = 0 AND v.i > 0 WHERE same.p < v.p
+  UNION SELECT v.s FROM v JOIN less ON v.v = less.v AND v.i = 0 WHERE less.p < v.p),
+gone AS (SELECT doc_id, list(n) AS ns FROM (SELECT s.doc_id, s.n FROM s JOIN f USING (s) LEFT JOIN near USING (s)
+         WHERE near.s IS NOT NULL OR f.p < (s.doc_id, s.n)) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_lines FROM s GROUP BY doc_id)
+SELECT {columns} FROM (
+  SELECT d.*, coalesce(n_lines, 0) AS n_lines, CAST(coalesce(len(ns), 0) AS BIGINT) AS n_removed,
+         CASE WHEN ns IS NULL THEN coalesce(text, '')
+              ELSE coalesce(array_to_string(list_filter(ls, lambda x, k: NOT list_contains(ns, k - 1)), chr(10)), '') END AS left_over
+  FROM d LEFT JOIN n USING (doc_id) LEFT JOIN gone USING (doc_id))
+"""
+
+
+@query("op3_line_dedup", line_dedup_sql("documents", "doc_id, n_lines, n_removed, sha256(left_over) AS kept_sha256"))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal and nearly equal lines of all documents, the earliest kept: counts and the digest of what is left."""
+    from vanecast.llm.lines import line_dedup
+
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
