@@ -178,3 +178,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# -- 7 ------------------------------------------------------------------------------
+
+
+def near_duplicates_sql(documents: str, columns: str) -> str:
+    """Near-duplicate groups as SQL: ``columns`` may use those of ``documents``, n_shingles and component_id."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT *, {WORDS_SQL.format(lower)} AS w FROM {documents}),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM g a JOIN g b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 80 * (p.n + q.n - o)),
+u AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT x AS v, x AS c FROM u UNION SELECT r.v, u.y FROM r JOIN u ON r.c = u.x),
+c AS (SELECT v, min(c) AS c FROM r GROUP BY v)
+SELECT {columns} FROM (SELECT d.*, coalesce(n.n, 0) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id
+  FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.v = d.doc_id)
+"""
+
+
+@query("op7_ngram_jaccard_join", near_duplicates_sql("documents", "doc_id, n_shingles, component_id"))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at a shingle similarity of 0.8."""
+    from vanecast.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
