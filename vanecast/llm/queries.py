@@ -207,3 +207,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vanecast.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# -- 1 ------------------------------------------------------------------------------
+
+
+@query("op1_benchmark_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within a fifth of its words of edits, with the place."""
+    from vanecast.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
