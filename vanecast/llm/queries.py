@@ -218,3 +218,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vanecast.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# -- 2 ------------------------------------------------------------------------------
+
+
+OP2_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS MATERIALIZED (SELECT vec_id, e FROM v WHERE len(e) = len(list_filter(e, lambda x: isfinite(x))) AND len(list_filter(e, lambda x: x <> 0)) > 0),
+u AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT x AS v, x AS c FROM u UNION SELECT r.v, u.y FROM r JOIN u ON r.c = u.x),
+c AS (SELECT v, min(c) AS c FROM r GROUP BY v), n AS (SELECT x, count(*) AS n FROM u GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, vec_id) AS component_id, coalesce(c.c, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.v = vec_id
+"""
+
+
+@query("op2_embedding_near_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at a cosine of 0.95."""
+    from vanecast.llm.embeddings import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
