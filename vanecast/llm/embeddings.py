@@ -30,6 +30,7 @@ MAX_SHARDS = 4096  # bounds the centres that go to every task
 PART_ROWS = 3000  # vectors of one graph at most, about
 SAMPLE_ROWS = 20_000  # for the centres
 AUDIT_ROWS = 1000  # vectors compared with all others
+APART = 0.8  # cosine of two centres at most
 RECALL = 0.95
 TRIES = 3
 
@@ -47,7 +48,10 @@ def _matrix(column, width: int) -> np.ndarray:
 
 
 def centres(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
-    """Spherical k-means; empty clusters take a new random row."""
+    """Spherical k-means; empty clusters take a new random row.
+
+    Of centres closer than ``APART`` one stays, so that a dense group is not cut by borders.
+    """
     rng = np.random.default_rng(seed)
     out = sample[rng.choice(len(sample), min(k, len(sample)), replace=False)]
     for _ in range(rounds):
@@ -58,7 +62,11 @@ def centres(sample: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.n
         empty = norm[:, 0] < 1e-12
         out = np.where(norm > 1e-12, sums / np.maximum(norm, 1e-12), out)
         out[empty] = sample[rng.integers(0, len(sample), empty.sum())]
-    return out
+    kept: list[int] = []
+    for i in range(len(out)):
+        if not kept or (out[kept] @ out[i]).max() < APART:
+            kept.append(i)
+    return out[kept]
 
 
 def _assign(middle, overlap: int, width: int):
