@@ -221,7 +221,7 @@ def fit_quality(docs: DataFrame, labelled: DataFrame, sample_rows: int = 20_000,
 
     rows = sample.mapInArrow(pool, "y double, id long, x binary").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
     y = rows.column("y").to_numpy()
-    x = np.array([np.frombuffer(v, np.float32) for v in rows.column("x").to_pylist()], float).reshape(len(y), -1)
+    x = np.array([np.frombuffer(v, np.float32) for v in rows.column("x").to_pylist()], float).reshape(len(y), 2 * WIDTH + 5)
     return Quality(table, train_network(x, y) if len(y) else constant_network(2 * WIDTH + 5, 0.5))
 
 
@@ -240,3 +240,19 @@ def score_quality(docs: DataFrame, model: Quality, id_column: str = "doc_id", te
 
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     return plain.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_column)
+
+
+def keep_quality(docs: DataFrame, model: Quality, least: float = 0.7, text_column: str = "text") -> DataFrame:
+    """Rows of ``docs`` with a score of ``least`` or more, all columns as they are."""
+    spread = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_column)
+
+    def run(stream):
+        table, network = spread.value
+        for batch in stream:
+            x = np.zeros((batch.num_rows, 2 * WIDTH + 5), np.float32)
+            for a, b, words in _tokens(batch.column(at)):
+                x[a:b] = pooled(words, table)
+            yield batch.filter(pa.array(network.score(x.astype(float)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
