@@ -203,8 +203,9 @@ def test_sampling_is_repeatable(spark):
     assert once == {r["id"] for r in sampling.random_rows(rows.repartition(7), ["id"], 50, 7).collect()} and len(once) == 50
     assert sampling.sample_history(rows, "random", ["id"], size=10, above=1000).count() == 1000
     assert sampling.sample_history(rows, "random", ["id"], size=10, above=999).count() == 10
+    assert sampling.sample_history(rows, "random", ["id"], size=10).count() == 10
     with pytest.raises(ValueError):
-        sampling.sample_history(rows, "other", ["id"])
+        sampling.sample_history(rows, "other", ["id"], size=10)
 
 
 def test_no_forecast_from_the_future(spark):
@@ -234,6 +235,10 @@ def test_cleaning(spark):
     df = spark.createDataFrame([("50%", 1.0, None), (" 7 ", float("inf"), None)], "p string, x double, e double")
     out = clean.bound_infinities(clean.percent_to_fraction(df)).collect()
     assert [(r["p"], r["x"]) for r in out] == [(0.5, 1.0), (7.0, 1e9)]
+    mixed = spark.createDataFrame([("5%", "5%"), ("7", "7"), ("grew a lot", None)], "p string, q string")
+    assert clean.percent_columns(mixed) == (["q"], ["p"])
+    rows = clean.percent_to_fraction(mixed).collect()
+    assert [(r["p"], r["q"]) for r in rows] == [("5%", 0.05), ("7", 7.0), ("grew a lot", None)]
     kept, dropped = clean.drop_constant(df)
     assert dropped == ["e"] and kept.columns == ["p", "x"]
     repeated = spark.createDataFrame([(1, 2.0, 2.0, None), (2, 3.0, 3.0, None)], "k int, a double, b double, c double")
@@ -249,9 +254,12 @@ def test_kinds_and_profile(spark):
     assert profile == {"n": (0, 3, False, False), "z": (1, 1, True, True)}
 
 
-def test_enumeration_is_capped_and_nested(spark):
+def test_enumeration_is_whole_and_nested(spark):
+    everything = enumerate_features(["a", "b"], ["c", "d"], ordered=True)
+    assert {"ts_cov", "ts_corr", "ewm_mean", "ewm_std", "ewm_cov", "ewm_corr"} <= {f.op for f in everything}
+    assert {f.span for f in everything if f.span} == {1, 2, 3, 4, 5}
     found = enumerate_features(["a", "b"], ["c", "d"], ordered=True, limit=60)
-    assert len(found) == len({f.name for f in found}) == 60
+    assert found == everything[:60] and len({f.name for f in everything}) == len(everything) > 60
     assert {"sine", "add", "count", "crosscount", "aggmean", "ts_mean"} <= {f.op for f in found}
     nested = enumerate_features([Feature("add", ("a", Feature("log", ("b",))))], [], limit=60)
     assert nested == []  # one level more would exceed the depth

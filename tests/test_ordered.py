@@ -131,3 +131,23 @@ def test_ewm_holds_its_value_over_a_long_gap(spark):
     pdf = pd.DataFrame({"g": "a", "k": range(len(x)), "x": pd.array(x, dtype="float64")})
     out = ewm_features(frame(spark, pdf), ["g"], ["k"], {"m": Ewm("mean", "x", 3)})
     np.testing.assert_allclose(by_key(out, "m"), pdf["x"].ewm(span=3).mean().to_numpy(), atol=1e-9)
+
+
+@pytest.mark.parametrize("max_rows", SPLITS)
+@pytest.mark.parametrize("span", [1.0001, 1.001, 5, 500])
+@pytest.mark.parametrize("step", [1e3, 1e6, 1e9])
+def test_ewm_keeps_its_digits_over_a_level_shift(spark, monkeypatch, max_rows, span, step):
+    from vanecast.operators import window
+
+    monkeypatch.setattr(window, "BLOCK_ROWS", 50)  # several blocks even here
+    rng = np.random.default_rng(8)
+    n = 600
+    x = rng.normal(0, 0.01, n) + np.where(np.arange(n) >= n // 2, step, 0.0)
+    pdf = pd.DataFrame({"g": "a", "k": range(n), "x": x, "y": x * 2 + rng.normal(0, 0.01, n)})
+    specs = {"std": Ewm("std", "x", span), "cov": Ewm("cov", "x", span, "y"), "corr": Ewm("corr", "x", span, "y"), "mean": Ewm("mean", "x", span)}
+    out = ewm_features(frame(spark, pdf), ["g"], ["k"], specs, max_rows).cache()
+    e = pdf["x"].ewm(span=span)
+    want = {"std": e.std(), "cov": e.cov(pdf["y"]), "corr": e.corr(pdf["y"]), "mean": e.mean()}
+    for name, values in want.items():
+        np.testing.assert_allclose(by_key(out, name), values.to_numpy(), rtol=1e-9, err_msg=name)
+    out.unpersist()

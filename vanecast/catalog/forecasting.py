@@ -13,18 +13,27 @@ from vanecast.plans import forecast
 from vanecast.plans.forecast import TASKS, Origins
 from vanecast.plans.skill import forecast_skill
 
-_FIRST, _DAYS = datetime(2024, 1, 8, 8), 18
-DAILY = Origins(_FIRST, timedelta(days=1), _DAYS)
-FOUR_HOURLY = Origins(_FIRST, timedelta(hours=4), _DAYS * 6)
+# The first origin is 08:00 a week after the first day of the series, the last one its last time.
+WARM_UP_HOURS = 7 * 24 + 8
+DAILY, FOUR_HOURLY = 24, 4
 
 
-def backtest_sql(step_hours: int, count: int, rows: int, subs: int = 1, lookback_days: int | None = None) -> str:
+def origins_of(s, step_hours: int) -> Origins:
+    ends = s.agg(F.date_trunc("day", F.min("t")).alias("lo"), F.max("t").alias("hi")).first()
+    if ends["lo"] is None:
+        return Origins(datetime(1970, 1, 1), timedelta(hours=step_hours), 0)
+    first = ends["lo"] + timedelta(hours=WARM_UP_HOURS)
+    count = (ends["hi"] - first) // timedelta(hours=step_hours) + 1
+    return Origins(first, timedelta(hours=step_hours), max(count, 0))
+
+
+def backtest_sql(step_hours: int, rows: int, subs: int = 1, lookback_days: int | None = None) -> str:
     """Seasonal-naive back-test written as plain joins."""
     since = "" if lookback_days is None else f"AND s.t >= o.origin - INTERVAL {lookback_days} DAY"
     seen = "p.y" if lookback_days is None else f"CASE WHEN p.t >= w.origin - INTERVAL {lookback_days} DAY THEN p.y END"
     return f"""SELECT event_type, origin, exec_point, date_time, y_pred, y_true FROM (
     WITH s AS ({SERIES_SQL}),
-    o AS (SELECT TIMESTAMP '2024-01-08 08:00:00' + to_hours(CAST(i * {step_hours} AS INTEGER)) AS origin FROM range({count}) r(i)),
+    o AS (SELECT unnest(generate_series(date_trunc('day', min(t))::TIMESTAMP + INTERVAL {WARM_UP_HOURS} HOUR, max(t), INTERVAL {step_hours} HOUR)) AS origin FROM s),
     m AS (SELECT g.event_type, o.origin, avg(s.y) AS mean FROM (SELECT DISTINCT event_type FROM s) g CROSS JOIN o
         LEFT JOIN s ON s.event_type = g.event_type AND s.t < o.origin {since} GROUP BY ALL),
     x AS (SELECT *, unnest(generate_series(origin, origin + INTERVAL {15 * (subs - 1)} MINUTE, INTERVAL 15 MINUTE)) AS exec_point FROM m),
@@ -46,8 +55,9 @@ def _show(df, *extra):
     )
 
 
-def _run(spark, sf_dir, origins, rows, subs=1, lookback=None):
-    return forecast.backtest_naive(series(spark, sf_dir), ["event_type"], "t", "y", origins, rows, subs, lookback)
+def _run(spark, sf_dir, step_hours, rows, subs=1, lookback=None):
+    s = series(spark, sf_dir)
+    return forecast.backtest_naive(s, ["event_type"], "t", "y", origins_of(s, step_hours), rows, subs, lookback)
 
 
 @query(
@@ -82,25 +92,25 @@ def m24_forecast_history_mean(spark, sf_dir):
     return forecast.forecast_text(out).withColumn("power", r("power"))
 
 
-_ROWS = {name: TASKS[name].rows for name in ("Forecast1Day", "Forecast3Day")}
+_ROWS = {name: task.rows for name, task in TASKS.items() if name != "Forecast4Hour"}
 
 
-@query("m25_backtest_daily", " UNION ALL ".join(_shown(backtest_sql(24, _DAYS, n), name) for name, n in _ROWS.items()))
+@query("m25_backtest_daily", " UNION ALL ".join(_shown(backtest_sql(24, n), name) for name, n in _ROWS.items()))
 def m25_backtest_daily(spark, sf_dir):
     return _show(forecast.all_tasks({name: _run(spark, sf_dir, DAILY, n) for name, n in _ROWS.items()}), "task")
 
 
-@query("m26_backtest_four_hour", _shown(backtest_sql(4, _DAYS * 6, 16, 16)))
+@query("m26_backtest_four_hour", _shown(backtest_sql(4, 16, 16)))
 def m26_backtest_four_hour(spark, sf_dir):
     return _show(_run(spark, sf_dir, FOUR_HOURLY, 16, 16))
 
 
-@query("m27_backtest_lookback", _shown(backtest_sql(24, _DAYS, 96, 1, 365)))
+@query("m27_backtest_lookback", _shown(backtest_sql(24, 96, 1, 365)))
 def m27_backtest_lookback(spark, sf_dir):
     return _show(_run(spark, sf_dir, DAILY, 96, lookback=timedelta(days=365)))
 
 
-@query("m27_backtest_short_lookback", _shown(backtest_sql(24, _DAYS, 288, 1, 2)))
+@query("m27_backtest_short_lookback", _shown(backtest_sql(24, 288, 1, 2)))
 def m27_backtest_short_lookback(spark, sf_dir):
     return _show(_run(spark, sf_dir, DAILY, 288, lookback=timedelta(days=2)))
 
@@ -116,12 +126,12 @@ def _summary(df):
     return out.select("event_type", ts("origin").alias("origin"), r("rse", 9).alias("rse"), r("r2", 4).alias("r2"), "n")
 
 
-@query("m28_backtest_summary", _summary_sql(backtest_sql(24, _DAYS, 96)))
+@query("m28_backtest_summary", _summary_sql(backtest_sql(24, 96)))
 def m28_backtest_summary(spark, sf_dir):
     return _summary(_run(spark, sf_dir, DAILY, 96))
 
 
-@query("a14_rse_per_backtest", _summary_sql(backtest_sql(4, _DAYS * 6, 16, 16)))
+@query("a14_rse_per_backtest", _summary_sql(backtest_sql(4, 16, 16)))
 def a14_rse_per_backtest(spark, sf_dir):
     return _summary(_run(spark, sf_dir, FOUR_HOURLY, 16, 16))
 

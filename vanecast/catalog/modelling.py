@@ -11,11 +11,11 @@ from vanecast.operators.metrics import mse
 from vanecast.plans import features, model
 from vanecast.plans.train import train_run
 from vanecast.session import materialize, scratch_path
+from vanecast.sources.sinks import save_run
 
+# candidates of one search round, as many as the baseline's
+ROUND_CANDIDATES = 128
 NUMERIC, CATEGORICAL = ["quantity", "lines", "discount", "tax"], ["flag", "status"]
-# small trees keep the checks short; the defaults of the library are larger
-QUICK = {"maxIter": 5, "maxDepth": 4}
-
 ORDER_SQL = """SELECT l_orderkey, max(l_returnflag) AS flag, min(l_linestatus) AS status, count(*) AS lines, sum(l_quantity) AS quantity,
     avg(l_discount) AS discount, avg(l_tax) AS tax, sum(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey"""
 
@@ -29,6 +29,11 @@ def order_rows(spark, sf_dir):
     )
 
 
+def kept_orders(spark, sf_dir):
+    """The order rows written once, for learners that read them many times."""
+    return materialize(order_rows(spark, sf_dir), "orders")
+
+
 def split(rows):
     marked = sampling.random_split(rows, ["l_orderkey"])
     return marked.where("NOT is_test").drop("is_test"), marked.where("is_test").drop("is_test")
@@ -84,7 +89,7 @@ def m14_candidate_scores(spark, sf_dir):
 def m14_search_round(spark, sf_dir):
     """A whole round of the search up to the model: 128 candidates enumerated, computed and scored."""
     rows = materialize(order_rows(spark, sf_dir), "orders")
-    found = features.enumerate_features(NUMERIC, CATEGORICAL, ordered=True)
+    found = features.enumerate_features(NUMERIC, CATEGORICAL, ordered=True, limit=ROUND_CANDIDATES)
     scores = features.score_features(rows, found, "price", "l_orderkey", ["flag"], ["l_orderkey"])
     return metrics.top_features(scores, NUMERIC).select("feature", r("gini").alias("gini"))
 
@@ -98,37 +103,36 @@ def m15_materialize_features(spark, sf_dir):
 
 @query("m16_select_by_importance")
 def m16_select_by_importance(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
+    train, validation = split(kept_orders(spark, sf_dir))
     fitted = FeatureSet(_CANDIDATES).fit(train)
-    choose = model.selector("price", **QUICK)
+    choose = model.selector("price")
     score, used = choose(fitted.transform(train), fitted.transform(validation), NUMERIC, [f.name for f in _CANDIDATES])
-    return spark.createDataFrame([(f.name, f.name in used, score > 0.5) for f in _CANDIDATES], "feature string, used boolean, good boolean")
+    places = {n: i + 1 for i, n in enumerate(used)}
+    return spark.createDataFrame([(f.name, places.get(f.name), round(score, 4)) for f in _CANDIDATES], "feature string, place int, score double")
 
 
 @query("m17_feature_search")
 def m17_feature_search(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
-    base = model.validation_score(model.fit(train, "gbt", ["discount"], "price", **QUICK), validation, "price")
-    found = features.search_features(
-        train, validation, "price", "l_orderkey", NUMERIC, CATEGORICAL, model.selector("price", **QUICK), base, rounds=2, limit=16
-    )
-    return spark.createDataFrame(found.log, "round int, candidates int, scored int, kept int, score double").select("round", "candidates", "scored")
+    train, validation = split(kept_orders(spark, sf_dir))
+    base = model.validation_score(model.fit(train, "gbt", ["discount"], "price"), validation, "price")
+    found = features.search_features(train, validation, "price", "l_orderkey", NUMERIC, CATEGORICAL, model.selector("price"), base)
+    log = spark.createDataFrame(found.log, "round int, candidates int, left_out int, scored int, kept int, score double")
+    return log.withColumn("score", r("score", 4))
 
 
 def _scores(spark, sf_dir, learners, target, classification):
-    rows = expensive(order_rows(spark, sf_dir))
-    train, validation = split(rows)
+    train, validation = split(expensive(kept_orders(spark, sf_dir)))
     out = []
     for name, params in learners:
         fitted = model.fit(train, name, NUMERIC, target, **params)
-        out.append((name, model.validation_score(fitted, validation, target, classification) > 0.5))
-    return spark.createDataFrame(out, "learner string, good boolean")
+        out.append((name, round(model.validation_score(fitted, validation, target, classification), 4)))
+    return spark.createDataFrame(out, "learner string, score double")
 
 
 @query("m18_boosted_trees")
 def m18_boosted_trees(spark, sf_dir):
-    one = _scores(spark, sf_dir, [("gbt", {**QUICK, "stepSize": 0.3})], "price", False)
-    return one.unionByName(_scores(spark, sf_dir, [("gbt_class", QUICK), ("forest_class", {"numTrees": 5})], "dear", True))
+    one = _scores(spark, sf_dir, [("gbt", {"stepSize": 0.3})], "price", False)
+    return one.unionByName(_scores(spark, sf_dir, [("gbt_class", {}), ("forest_class", {})], "dear", True))
 
 
 @query("m19_linear_models")
@@ -138,17 +142,17 @@ def m19_linear_models(spark, sf_dir):
 
 @query("m20_model_search")
 def m20_model_search(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
-    trials = [("linear", {}), ("linear", {"regParam": 0.1}), ("gbt", QUICK)]
+    train, validation = split(kept_orders(spark, sf_dir))
+    trials = model.draw_trials(["linear", "tree", "forest", "gbt"], 8)
     _, log = model.search_models(train, validation, NUMERIC, "price", trials, mse)
-    return spark.createDataFrame(log, "trial int, learner string, settings string, loss double").select("trial", "learner", "settings")
+    return spark.createDataFrame(log, "trial int, learner string, settings string, loss double").withColumn("loss", r("loss", 2))
 
 
 @query("m21_train_run")
 def m21_train_run(spark, sf_dir):
-    train, validation = split(order_rows(spark, sf_dir))
-    done = train_run(train, validation, "price", "l_orderkey", NUMERIC, CATEGORICAL, scratch_path(spark, "run"), candidates=12, **QUICK)
-    return done.metrics.select("run", "metric")
+    train, validation = split(kept_orders(spark, sf_dir))
+    done = train_run(train, validation, "price", "l_orderkey", NUMERIC, CATEGORICAL, scratch_path(spark, "run"))
+    return done.metrics
 
 
 # least squares with one input has a closed form in SQL
@@ -166,6 +170,20 @@ def m22_batch_score(spark, sf_dir):
     return model.predict(line(rows), rows).select("l_orderkey", r("y_pred", 2).alias("y_pred"))
 
 
+@query(
+    "m22_stored_run",
+    f"""WITH o AS ({ORDER_SQL}), v AS (SELECT *, avg(quantity) OVER (PARTITION BY flag) AS x FROM o),
+    f AS (SELECT regr_slope(price, x) AS b, regr_intercept(price, x) AS a FROM v) SELECT l_orderkey, {R('a + b * x', 2)} AS y_pred FROM v, f""",
+)
+def m22_stored_run(spark, sf_dir):
+    """A model on a derived feature, stored with its fitted lookup, loaded again and given raw rows."""
+    rows = kept_orders(spark, sf_dir)
+    fitted = FeatureSet([Feature("aggmean", ("flag", "quantity"))]).fit(rows)
+    path = scratch_path(spark, "stored-run")
+    save_run(spark, path, model.fit(fitted.transform(rows), "linear", ["aggmean__flag__quantity"], "price"), fitted)
+    return model.predict_run(spark, path, rows).select("l_orderkey", r("y_pred", 2).alias("y_pred"))
+
+
 @query("m23_class_probability")
 def m23_class_probability(spark, sf_dir):
     rows = expensive(order_rows(spark, sf_dir))
@@ -174,8 +192,8 @@ def m23_class_probability(spark, sf_dir):
 
 
 def _importances(spark, sf_dir):
-    train, _ = split(order_rows(spark, sf_dir))
-    return model.importance_table(spark, model.fit(train, "gbt", NUMERIC, "price", **QUICK))
+    train, _ = split(kept_orders(spark, sf_dir))
+    return model.importance_table(spark, model.fit(train, "gbt", NUMERIC, "price"))
 
 
 @query("a24_importance_table")
@@ -200,9 +218,9 @@ def x2_custom_metric(spark, sf_dir):
 @query("x3_custom_learner")
 def x3_custom_learner(spark, sf_dir):
     """A learner registered by name takes part in the search."""
-    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.ml.regression import GeneralizedLinearRegression
 
-    model.LEARNERS.setdefault("tree", lambda **p: DecisionTreeRegressor(**p))
-    train, validation = split(order_rows(spark, sf_dir))
-    _, log = model.search_models(train, validation, NUMERIC, "price", [("tree", {"maxDepth": 4}), ("linear", {})], mse)
-    return spark.createDataFrame(log, "trial int, learner string, settings string, loss double").select("trial", "learner")
+    model.LEARNERS.setdefault("gamma", lambda **p: GeneralizedLinearRegression(**{"family": "gamma", "link": "log", **p}))
+    train, validation = split(kept_orders(spark, sf_dir))
+    _, log = model.search_models(train, validation, NUMERIC, "price", [("gamma", {}), ("linear", {})], mse)
+    return spark.createDataFrame(log, "trial int, learner string, settings string, loss double").withColumn("loss", r("loss", 2))

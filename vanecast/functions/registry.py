@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanecast.functions import scalar
-from vanecast.operators.groupstat import STATS, GroupStat, fit_combined, combine, fit_stats
+from vanecast.operators.groupstat import STATS, FittedStats, GroupStat, fit_combined, combine, fit_stats
 from vanecast.operators.joins import lookup_join, scalar_join
 from vanecast.operators.window import ROLLING_OPS, Ewm, Rolling, ewm_features, rolling_features
 
@@ -54,6 +55,14 @@ class Feature:
     def input_names(self) -> list[str]:
         return [i.name if isinstance(i, Feature) else i for i in self.inputs]
 
+    def spec(self) -> dict:
+        """The feature as plain values, for storing."""
+        return {"op": self.op, "inputs": [i.spec() if isinstance(i, Feature) else i for i in self.inputs], "span": self.span}
+
+    @classmethod
+    def from_spec(cls, spec: Mapping) -> Feature:
+        return cls(spec["op"], tuple(cls.from_spec(i) if isinstance(i, Mapping) else i for i in spec["inputs"]), spec["span"])
+
 
 def softmax(df: DataFrame, column: str, name: str) -> DataFrame:
     """exp(x) over its total, shifted by the maximum so that it cannot overflow."""
@@ -83,7 +92,7 @@ class FeatureSet:
     """
 
     def __init__(self, features: Sequence[Feature], group: Sequence[str] = (), order: Sequence[str] = ()):
-        self.group, self.order = list(group), list(order)
+        self.features, self.group, self.order = list(features), list(group), list(order)
         self.wanted = [f.name for f in features]
         ordered: dict[str, Feature] = {}
         for f in features:
@@ -154,3 +163,33 @@ class FeatureSet:
         for level, state in zip(self.levels, self.fitted, strict=True):
             df = self._apply(df, level, state)
         return df.select(*columns, *[n for n in self.wanted if n not in columns])
+
+    # -- storing ------------------------------------------------------------------
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Specs as one line of JSON, every fitted lookup as parquet."""
+        levels = []
+        for number, state in enumerate(self.fitted):
+            stats = []
+            for i, (keys, table) in enumerate(state["stats"].tables.items()):
+                name = f"stats-{number}-{i}"
+                table.write.mode("overwrite").parquet(f"{path}/{name}")
+                stats.append({"keys": list(keys), "table": name})
+            codes = {}
+            for i, (feature, table) in enumerate(state["combine"].items()):
+                codes[feature] = f"codes-{number}-{i}"
+                table.write.mode("overwrite").parquet(f"{path}/{codes[feature]}")
+            levels.append({"stats": stats, "combine": codes})
+        text = json.dumps({"features": [f.spec() for f in self.features], "group": self.group, "order": self.order, "levels": levels})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/specs")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureSet:
+        """A fitted set that computes the same columns as the one that was saved."""
+        stored = json.loads(spark.read.text(f"{path}/specs").first()["value"])
+        out = cls([Feature.from_spec(f) for f in stored["features"]], stored["group"], [tuple(o) if isinstance(o, list) else o for o in stored["order"]])
+        for level in stored["levels"]:
+            stats = FittedStats({tuple(s["keys"]): spark.read.parquet(f"{path}/{s['table']}") for s in level["stats"]})
+            codes = {f: spark.read.parquet(f"{path}/{t}") for f, t in level["combine"].items()}
+            out.fitted.append({"stats": stats, "combine": codes, "softmax": {}})
+        return out

@@ -103,22 +103,29 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
     return df.dropna("all")
 
 
-def percent_columns(df: DataFrame) -> list[str]:
-    """String columns in which some value ends with a percent sign."""
+def _percent_number(c: str) -> Column:
+    """A value as a number, in which a final percent sign divides by 100; NULL where it is no number."""
+    text = F.trim(F.col(c))
+    number = F.regexp_replace(text, "%$", "").try_cast("double")
+    return F.when(F.endswith(text, F.lit("%")), number / 100).otherwise(number)
+
+
+def percent_columns(df: DataFrame) -> tuple[list[str], list[str]]:
+    """String columns in which some value ends with a percent sign: those whose known values are all
+    numbers, and those that hold other text too."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
-        return []
-    row = df.agg(*[F.bool_or(F.endswith(F.trim(F.col(c)), F.lit("%"))).alias(c) for c in names]).first()
-    return [c for c in names if row[c]]
+        return [], []
+    marked = [F.bool_or(F.endswith(F.trim(F.col(f"`{c}`")), F.lit("%"))).alias(f"m{i}") for i, c in enumerate(names)]
+    whole = [F.bool_and(F.col(f"`{c}`").isNull() | _percent_number(f"`{c}`").isNotNull()).alias(f"w{i}") for i, c in enumerate(names)]
+    row = df.agg(*marked, *whole).first()
+    found = [(c, row[f"w{i}"]) for i, c in enumerate(names) if row[f"m{i}"]]
+    return [c for c, w in found if w], [c for c, w in found if not w]
 
 
 def percent_to_fraction(df: DataFrame) -> DataFrame:
-    def convert(c: str) -> Column:
-        text = F.trim(F.col(c))
-        number = F.regexp_replace(text, "%$", "").try_cast("double")
-        return F.when(F.endswith(text, F.lit("%")), number / 100).otherwise(number)
-
-    return df.withColumns({c: convert(c) for c in percent_columns(df)})
+    """Percentages as fractions, value by value; a column that also holds other text stays as it is."""
+    return df.withColumns({c: _percent_number(f"`{c}`") for c in percent_columns(df)[0]})
 
 
 def as_category(df: DataFrame, columns: Sequence[str]) -> DataFrame:

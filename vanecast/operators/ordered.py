@@ -14,8 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanecast.operators.joins import null_safe_join
 from vanecast.session import group_rows, materialize
@@ -183,17 +187,35 @@ class OrderedRows:
             return self._clean(out, list(columns))
         return self._blocks(self._places(), _ID, max(self.max_rows, reach), reach, lambda w, _: build(w))
 
-    def in_blocks(
-        self, size: int, reach: int, build: Callable[[WindowSpec, Column], Mapping[str, Column]]
+    def in_tables(
+        self, size: int, reach: int, inputs: Sequence[str], names: Sequence[str], compute: Callable[[list[np.ndarray]], list[np.ndarray]]
     ) -> DataFrame:
-        """As ``rolling``, on blocks of ``size`` rows preceded by copies of ``reach`` rows.
+        """Adds double columns ``names``, computed on blocks of ``size`` rows preceded by copies of ``reach`` rows.
 
-        ``build(w, place)`` also receives the place of the row in its group,
-        counted from 0; ``w`` covers the block and the copied rows before it.
+        ``compute`` gets the input columns of a block in order, as doubles with
+        NaN for NULL, and returns one array per name; what is not finite
+        becomes NULL. A block never grows with its group.
         """
         if size < reach:
             raise ValueError("a block must be at least as long as the look-back")
-        return self._blocks(self._running({_POS: F.lit(1).cast("long")}), _POS, size, reach, build)
+        placed = self._running({_POS: F.lit(1).cast("long")})
+        home = F.floor((F.col(_POS) - 1) / size).cast("long")
+        copies = F.when((F.col(_POS) - 1) % size >= size - reach, F.array(home, home + 1)).otherwise(F.array(home))
+        rows = placed.select("*", F.explode(copies).alias(_BLOCK)).withColumn(_MAIN, F.col(_BLOCK) == home)
+        keep = [c for c in self.columns if c not in names]
+        typed = [F.col(c).cast("double").alias(f"__in_{i}") for i, c in enumerate(inputs)]
+        rows = rows.select(*keep, _BLOCK, _MAIN, _POS, *typed)
+        schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in names])
+
+        def run(part: pa.Table) -> pa.Table:
+            part = part.take(pc.sort_indices(part, sort_keys=[(_POS, "ascending")]))
+            columns = [part.column(f"__in_{i}").to_numpy().astype(float) for i in range(len(inputs))]
+            out = part.select(keep)
+            for name, values in zip(names, compute(columns), strict=True):
+                out = out.append_column(name, pa.array(values, mask=~np.isfinite(values)))
+            return out.filter(part.column(_MAIN))
+
+        return rows.groupBy(*self.group, _BLOCK).applyInArrow(run, schema).select(*keep, *names)
 
     def _blocks(
         self,

@@ -16,8 +16,6 @@ from vanecast.operators.joins import lookup_join
 from vanecast.operators.knn import neighbour_distance
 from vanecast.operators.ordered import OrderedRows, OrderItem, first_rows_per_group
 
-# History is sampled above this many rows, down to this many.
-SAMPLE_ABOVE, SAMPLE_SIZE = 5_000_000, 500_000
 # Fixed value: classes smaller than this are filled up when no mode is chosen.
 SMALL_CLASS = 10
 # Up to this many rows a top-n is kept in memory; more are cut by position.
@@ -100,8 +98,8 @@ def sample_history(
     df: DataFrame,
     method: str,
     key: Sequence[str],
-    size: int = SAMPLE_SIZE,
-    above: int = SAMPLE_ABOVE,
+    size: int,
+    above: int | None = None,
     *,
     target: str | None = None,
     time: str | None = None,
@@ -110,7 +108,7 @@ def sample_history(
     classification: bool = False,
     seed: int = 42,
 ) -> DataFrame:
-    """All rows up to ``above`` of them, else a sample by the named method."""
+    """``size`` rows by the named method; if ``above`` is given, tables of up to that many rows stay whole."""
     methods = {
         "random": lambda: random_rows(df, key, size, seed),
         "uniform": lambda: uniform_sample(df, target, key, size, classification, seed),
@@ -120,7 +118,7 @@ def sample_history(
     }
     if method not in methods:
         raise ValueError(f"unknown sampling method {method}")
-    return methods[method]() if df.count() > above else df
+    return methods[method]() if above is None or df.count() > above else df
 
 
 # -- class balancing --------------------------------------------------------------------

@@ -90,7 +90,8 @@ def history_means(
     bins = series.groupBy(*group, origins.number_after(time).alias("number")).agg(
         F.sum(value).alias("s"), F.count(value).alias("c")
     )
-    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(origins.count - 1).cast("long")))
+    steps = F.sequence(F.lit(0).cast("long"), F.lit(origins.count - 1).cast("long")) if origins.count > 0 else F.array().cast("array<long>")
+    numbers = F.explode(steps)
     zero = [F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("c"), F.lit(True).alias("wanted")]
     wanted = series.select(*group).distinct().select(*group, numbers.alias("number"), *zero)
     both = bins.withColumn("wanted", F.lit(False)).unionByName(wanted)

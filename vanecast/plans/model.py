@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,14 +11,16 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanecast.operators.clean import round_probability
 from vanecast.operators.drift import accuracy
+from vanecast.operators.groupstat import decode_labels
 from vanecast.operators.metrics import r2
 from vanecast.session import materialize
+from vanecast.sources.readers import folder_exists, load_run
 
 # Fixed values of the boosted baseline: about 31 leaves per tree, learning rate 0.05.
 DEPTH, RATE = 5, 0.05
@@ -27,9 +31,36 @@ LEARNERS: dict[str, Callable[..., Estimator]] = {
     "gbt_class": lambda **p: GBTClassifier(**{"maxDepth": DEPTH, "stepSize": RATE, "seed": 42, "maxIter": 20, **p}),
     "forest_class": lambda **p: RandomForestClassifier(**{"maxDepth": DEPTH, "seed": 42, "numTrees": 20, **p}),
     "logistic": lambda **p: LogisticRegression(**p),
+    "forest": lambda **p: RandomForestRegressor(**{"maxDepth": DEPTH, "seed": 42, "numTrees": 20, **p}),
+    "tree": lambda **p: DecisionTreeRegressor(**{"maxDepth": DEPTH, "seed": 42, **p}),
 }
 REGRESSORS, CLASSIFIERS = ("gbt", "linear"), ("gbt_class", "forest_class", "logistic")
 
+# Ranges of the settings a search draws from, per learner; the first value is the default.
+SPACES: dict[str, dict[str, tuple]] = {
+    "gbt": {"maxIter": (20, 40, 80), "maxDepth": (5, 3, 7), "stepSize": (RATE, 0.1, 0.3)},
+    "linear": {"regParam": (0.0, 0.01, 0.1), "elasticNetParam": (0.0, 0.5, 1.0)},
+    "forest": {"numTrees": (20, 50), "maxDepth": (5, 8)},
+    "tree": {"maxDepth": (5, 3, 8)},
+    "gbt_class": {"maxIter": (20, 40, 80), "maxDepth": (5, 3, 7), "stepSize": (RATE, 0.1, 0.3)},
+    "forest_class": {"numTrees": (20, 50), "maxDepth": (5, 8)},
+    "logistic": {"regParam": (0.0, 0.01, 0.1)},
+}
+
+
+def draw_trials(learners: Sequence[str], count: int, seed: int = 42) -> list[tuple[str, dict]]:
+    """``count`` distinct trials: every learner's default first, then settings drawn in turn."""
+    rng = random.Random(seed)
+    grids = {}
+    for learner in learners:
+        space = SPACES[learner]
+        grid = [dict(zip(space, values)) for values in itertools.product(*space.values())]
+        rest = grid[1:]
+        rng.shuffle(rest)
+        grids[learner] = [grid[0], *rest]
+    turns = itertools.zip_longest(*[[(name, params) for params in grids[name]] for name in learners])
+    return [t for turn in turns for t in turn if t is not None][:count]
+
 
 def build_pipeline(learner: str, features: Sequence[str], target: str, **params) -> Pipeline:
     """Missing inputs become the training mean; then the named learner."""
@@ -48,7 +79,7 @@ def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit(train: DataFrame, learner: str, features: Sequence[str], target: str, **params) -> PipelineModel:
-    rows = as_doubles(train, [*features, target])
+    rows = materialize(as_doubles(train, [*features, target]).select(*features, target), "fit")  # read once per pass of the learner
     # an input without any known value has no mean to fill in
     known = rows.agg(*[F.count(f).alias(f) for f in features]).first()
     usable = [f for f in features if known[f]]
@@ -62,6 +93,16 @@ def predict(model: PipelineModel, df: DataFrame, name: str = "y_pred") -> DataFr
     return model.transform(typed).select(*df.columns, F.col("prediction").alias(name))
 
 
+def predict_run(spark: SparkSession, path: str, rows: DataFrame, name: str = "y_pred") -> DataFrame:
+    """Score raw rows with a stored run: rebuild its features, predict, and decode a classifier's codes."""
+    model, features = load_run(spark, path)
+    scored = predict(model, features.transform(rows), name)
+    if folder_exists(spark, f"{path}/classes"):
+        coded = scored.withColumn("__code", F.col(name).cast("long")).drop(name)
+        scored = decode_labels(coded, spark.read.parquet(f"{path}/classes"), "__code", name).drop("__code")
+    return scored.select(*rows.columns, name)
+
+
 def predict_probability(model: PipelineModel, df: DataFrame, classes: int) -> DataFrame:
     """Input columns plus one probability per class, rounded to five digits."""
     p = vector_to_array("probability")

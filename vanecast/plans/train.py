@@ -6,17 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.functions.registry import Feature, FeatureSet
+from vanecast.operators.drift import accuracy
 from vanecast.operators.metrics import as_rows, capacity_error, evaluate, mae, mse, r2, rmse
-from vanecast.plans.features import search_features
-from vanecast.plans.model import REGRESSORS, fit, predict, search_models, selector, validation_score
+from vanecast.plans.features import search_features, transform_parts
+from vanecast.plans.model import CLASSIFIERS, REGRESSORS, fit, predict, search_models, selector, validation_score
 from vanecast.session import materialize
-from vanecast.sources.sinks import append, log_run, save_model
+from vanecast.sources.sinks import append, log_run, save_run
 
 METRICS = {"mse": mse, "rmse": rmse, "mae": mae, "r2": r2, "capacity_error": capacity_error}
+CLASS_METRICS = {"accuracy": accuracy}
+
+
+def error_share(y: Column, p: Column) -> Column:
+    """Share of wrong classes, the loss of a classifier's search."""
+    return 1 - accuracy(y, p)
 
 
 @dataclass
@@ -39,26 +46,41 @@ def train_run(
     out: str,
     model_id: int = 1,
     rounds: int = 1,
-    candidates: int = 32,
-    learners: Sequence[str] = REGRESSORS,
+    candidates: int | None = None,
+    learners: Sequence[str] | None = None,
+    classification: bool = False,
+    group: Sequence[str] = (),
+    order: Sequence[str] = (),
+    classes: DataFrame | None = None,
     **params,
 ) -> TrainedRun:
-    """Train on ``train``, choose on ``validation``, write everything below ``out``."""
+    """Train on ``train``, choose on ``validation``, write everything below ``out``.
+
+    A classifier's target holds codes from 0; ``classes`` (class, ``code``) decodes
+    them when the stored run scores rows. ``group`` and ``order`` add window features.
+    """
     spark = train.sparkSession
+    learners = learners or (CLASSIFIERS if classification else REGRESSORS)
+    first, measures, loss = ("gbt_class", CLASS_METRICS, error_share) if classification else ("gbt", METRICS, mse)
     train, validation = materialize(train, "train"), materialize(validation, "validation")
-    base = fit(train, "gbt", numeric, target, **params)
-    baseline = validation_score(base, validation, target)
+    base = fit(train, first, numeric, target, **params)
+    baseline = validation_score(base, validation, target, classification)
+    choose = selector(target, first, classification, **params)
     found = search_features(
-        train, validation, target, key, numeric, categorical, selector(target, **params), baseline, rounds, limit=candidates
+        train, validation, target, key, numeric, categorical, choose, baseline, rounds, group, order, limit=candidates
     )
-    fitted = FeatureSet(found.features).fit(train)
+    fitted = FeatureSet(found.features, group, order).fit(train)
     columns = [*numeric, *[f.name for f in found.features]]
-    wide_train, wide_validation = fitted.transform(train), fitted.transform(validation)
+    wide_train, wide_validation = transform_parts(fitted, train, validation)
     trials = [(name, params if name.startswith("gbt") else {}) for name in learners]
-    model, _ = search_models(wide_train, wide_validation, columns, target, trials, mse)
-    scored = predict(model, wide_validation)
-    metrics = as_rows(evaluate(scored, target, "y_pred", METRICS), list(METRICS), f"run-{model_id}")
-    save_model(model, f"{out}/model-{model_id}")
+    _, log = search_models(wide_train, wide_validation, columns, target, trials, loss)
+    best = min((r for r in log if r[3] is not None), key=lambda r: (r[3], r[0]))
+    # measured on rows the model has not seen; the stored one is fitted on all
+    name, settings = trials[best[0]]
+    scored = predict(fit(wide_train, name, columns, target, **settings), wide_validation)
+    metrics = as_rows(evaluate(scored, target, "y_pred", measures), list(measures), f"run-{model_id}")
+    model = fit(wide_train.unionByName(wide_validation), name, columns, target, **settings)
+    save_run(spark, f"{out}/model-{model_id}", model, fitted, classes)
     append(metrics, f"{out}/metrics")
     append(scored.select(key, F.col(target).alias("y_true"), "y_pred"), f"{out}/validation")
     log_run(spark, f"{out}/runs", model_id, "train", "", model_id, "success")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vanecast.functions.registry import FeatureSet
 from vanecast.operators.clean import clean_names, nan_to_null, parse_time
 from vanecast.operators.joins import missing_from
 from vanecast.operators.ordered import OrderedRows
@@ -68,6 +70,20 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the store that Spark reads."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def load_run(spark: SparkSession, path: str) -> tuple[PipelineModel, FeatureSet]:
+    """Model and fitted features as ``save_run`` stored them."""
+    return load_model(f"{path}/model"), FeatureSet.load(spark, f"{path}/features")
+
+
 def latest_success(runs: DataFrame) -> DataFrame:
     """Newest successful run of the log."""
     return runs.where(F.col("state") == "success").agg(F.max_by(F.struct(*runs.columns), "seq").alias("r")).select("r.*")

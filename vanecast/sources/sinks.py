@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vanecast.functions.registry import FeatureSet
 from vanecast.operators.clean import newer_than
 
 
@@ -52,6 +53,14 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_run(spark: SparkSession, path: str, model: PipelineModel, features: FeatureSet, classes: DataFrame | None = None) -> None:
+    """All that scoring raw rows takes: the model, the fitted features and, for a classifier, the classes of its codes."""
+    save_model(model, f"{path}/model")
+    features.save(spark, f"{path}/features")
+    if classes is not None:
+        classes.write.mode("overwrite").parquet(f"{path}/classes")
+
+
 def log_run(
     spark: SparkSession, path: str, seq: int, training_type: str, train_end: str, model_id: int, state: str, source: str = ""
 ) -> None:
