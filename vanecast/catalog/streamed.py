@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from vanecast.catalog.base import Q15, R, TS, events, query, r, table, ts
 from vanecast.catalog.joining import ISSUE, VINTAGES_SQL, vintages
 from vanecast.operators import drift, weather
-from vanecast.session import scratch_path
-from vanecast.sources import sinks
+from vanecast.plans import model
+from vanecast.session import materialize, scratch_path
+from vanecast.sources import readers, sinks
 from vanecast.streaming import jobs
 
 
@@ -104,7 +105,7 @@ def st5_score_monitor(spark, sf_dir):
     rows = stream_of(spark, sf_dir, "lineitem").withColumn("p", F.col("l_quantity") * 1500)
     out, checkpoint = paths(spark, "status")
     jobs.keep_status(jobs.score_monitor(rows, "l_returnflag", "l_extendedprice", "p"), out, checkpoint)
-    return spark.read.parquet(out).select("l_returnflag", "n", r("r2").alias("r2"), "drift")
+    return jobs.latest_status(spark, out, "l_returnflag").select("l_returnflag", "n", r("r2").alias("r2"), "drift")
 
 
 @query(
@@ -122,17 +123,23 @@ def st6_stream_static_join(spark, sf_dir):
     return spark.read.schema(joined.schema).parquet(out).select("event_id", r("speed").alias("speed"))
 
 
-@query("st7_retrain_on_drift")
+@query(
+    "st7_retrain_on_drift",
+    f"""SELECT CAST(0 AS BIGINT) AS seq, 'incremental' AS training_type, 'success' AS state, true AS drift, o_orderkey, {R('a + b * o_custkey', 2)} AS y_pred
+    FROM orders, (SELECT regr_slope(o_totalprice, o_custkey) AS b, regr_intercept(o_totalprice, o_custkey) AS a FROM orders)""",
+)
 def st7_retrain_on_drift(spark, sf_dir):
-    """New orders against the customers' balances: the batch drifts, so a model is trained."""
-    history = table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("amount"))
-    rows = stream_of(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("amount"))
+    """New orders against the customers' balances: the batch drifts, so a model is trained, stored and used."""
+    history = materialize(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("amount")), "history")
+    rows = stream_of(spark, sf_dir, "orders").select("o_custkey", F.col("o_totalprice").alias("amount"))
     out, checkpoint = paths(spark, "runs")
     trained = scratch_path(spark, "trained")
 
     def train(batch, number):
-        batch.agg(F.avg("amount").alias("mean")).write.mode("overwrite").parquet(f"{trained}/model={number}")
+        sinks.save_model(model.fit(batch, "linear", ["o_custkey"], "amount"), f"{trained}/{number}")
 
     jobs.retrain_on_drift(rows, lambda b: drift.detect(history, b, "ttest", ["amount"]), train, out, checkpoint)
     runs = spark.read.parquet(out).select("seq", "training_type", "state", "drift")
-    return runs.join(spark.read.parquet(trained).select(F.col("model").cast("long").alias("seq"), F.col("mean").isNotNull().alias("trained")), "seq", "left")
+    newest = runs.where("drift").agg(F.max("seq")).first()[0]
+    scored = model.predict(readers.load_model(f"{trained}/{newest}"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
+    return runs.crossJoin(scored.select("o_orderkey", r("y_pred", 2).alias("y_pred")))

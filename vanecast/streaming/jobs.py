@@ -105,12 +105,22 @@ def score_monitor(stream: DataFrame, key: str, actual: str, predicted: str, thre
 
 
 def keep_status(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Overwrite the status table with the current value of every key."""
+    """Write the keys that a batch changed to a folder of their own; ``latest_status`` reads the current ones.
+
+    Files that readers use are never replaced, and a repeated batch writes the same folder again.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return run_available(df.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
 
-    return run_available(df.writeStream.outputMode("complete").foreachBatch(write), checkpoint)
+def latest_status(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The newest row of every key."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c != "batch"]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*columns), "batch").alias("__row")).select("__row.*")
 
 
 def retrain_on_drift(
@@ -119,9 +129,13 @@ def retrain_on_drift(
     """Check every batch for drift; log the outcome under the batch number and retrain when it drifted."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        drifted = bool(check(batch).where("drift").limit(1).count())
-        if drifted:
-            train(batch, number)
+        batch = batch.persist()  # read by the check and by the training
+        try:
+            drifted = bool(check(batch).where("drift").limit(1).count())
+            if drifted:
+                train(batch, number)
+        finally:
+            batch.unpersist()
         row = batch.sparkSession.range(1).select(
             F.lit(number).cast("long").alias("seq"), F.lit("incremental").alias("training_type"),
             F.lit("success" if drifted else "skipped").alias("state"), F.lit(drifted).alias("drift"),
