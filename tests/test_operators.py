@@ -290,3 +290,13 @@ def test_copies_are_cut_into_pieces(spark, monkeypatch):
     counts = {r["id"]: r["count"] for r in filled.where("c = 'small'").groupBy("id").count().collect()}
     assert sum(counts.values()) == 200 and sorted(counts.values()) == [66, 67, 67]
     assert filled.where("c = 'big'").count() == 200
+
+
+def test_lookup_must_be_unique(spark):
+    from vanecast.operators.joins import lookup_join
+
+    left = spark.createDataFrame([("a",), (None,)], "k string")
+    once = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert sorted(r["v"] or 0 for r in lookup_join(left, once, ["k"]).collect()) == [0, 1]
+    with pytest.raises(ValueError):
+        lookup_join(left, once.unionByName(once), ["k"])

@@ -26,7 +26,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table that is unique per key.
 
-    The lookup is counted first. Small: broadcast, so the left side is not
+    The lookup is counted first, and several rows for one key are an error. Small: broadcast, so the left side is not
     shuffled. Large: a shuffle join in which each key holding more than
     ``group_rows`` left rows (NULL included) is spread over as many salts as it
     needs, and its one lookup row is copied to each. There are at most
@@ -35,6 +35,9 @@ def lookup_join(
     spark = left.sparkSession
     limit = broadcast_rows(spark) if broadcast_limit is None else broadcast_limit
     lookup, rows = sized(lookup)
+    known = lookup.dropna(subset=list(keys))
+    if known.count() > known.select(*keys).distinct().count():
+        raise ValueError(f"the lookup has several rows for one value of {keys}")
     if rows <= limit:
         return left.join(F.broadcast(lookup), keys, "left")
     most = group_rows(spark)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from vanecast.operators.joins import lookup_join, scalar_join
 from vanecast.operators.ordered import OrderedRows
-from vanecast.session import materialize
+from vanecast.session import materialize, sized
 
 # Installed capacity and tolerated relative deviation.
 CAPACITY, TOLERANCE = 147.0, 0.25
@@ -144,7 +144,7 @@ def roc_points(df: DataFrame, truth: Column, score: str, by: Sequence[str] = ())
     """One point (fpr, tpr) per distinct score, from the highest down. ``by`` names classes."""
     counts = _score_counts(df, truth, score, by)
     curve, totals = _curve(counts, by), _totals(counts, by)
-    joined = curve.join(F.broadcast(totals), list(by)) if by else scalar_join(curve, totals)
+    joined = lookup_join(curve, totals, list(by)) if by else scalar_join(curve, totals)
     return joined.select(
         *by,
         "score",
@@ -277,7 +277,9 @@ def box_summary(df: DataFrame, category: str, value: str) -> DataFrame:
     category is collected in one place.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(category, value).agg(F.count(F.lit(1)).alias("c"))
-    placed = OrderedRows(counts, [category], [value]).running_sum({"upto": F.col("c")})
+    counts, rows = sized(counts)  # read for the places, the totals and the largest category
+    largest = counts.groupBy(category).count().agg(F.max("count")).first()[0] or 0
+    placed = OrderedRows(counts, [category], [value], None, (largest, rows)).running_sum({"upto": F.col("c")})
     totals = counts.groupBy(category).agg(F.sum("c").alias("n"))
     rows = lookup_join(placed, totals, [category])
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanecast.operators.clean import floor_time
+from vanecast.operators.ordered import OrderedRows
 
 _CELL = "__cell"
 
@@ -69,9 +70,9 @@ def asof_fill(
     row = F.struct(*[F.col(v) for v in values])
     events = last.select(*group, F.col(_CELL).alias(time), row.alias("__row"), F.lit(0).alias("__grid"))
     points = grid.select(*group, time, F.lit(None).cast(events.schema["__row"].dataType).alias("__row"), F.lit(1).alias("__grid"))
-    w = Window.partitionBy(*group).orderBy(time, "__grid").rowsBetween(Window.unboundedPreceding, 0)
-    filled = points.unionByName(events).withColumn("__row", F.last("__row", ignorenulls=True).over(w))
-    return filled.where("__grid = 1").select(*group, time, *[F.col(f"__row.{v}").alias(v) for v in values])
+    rows = OrderedRows(points.unionByName(events), list(group), [time, "__grid"])
+    filled = rows.fill_forward({"__last": F.col("__row")})
+    return filled.where("__grid = 1").select(*group, time, *[F.col(f"__last.{v}").alias(v) for v in values])
 
 
 def interpolate(
