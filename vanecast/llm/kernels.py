@@ -165,10 +165,13 @@ class Ranges:
     """Hashes of arbitrary runs of words from one running sum; equal runs hash equally wherever they stand."""
 
     STEP = _U(0xC2B2AE3D27D4EB4F)
+    _tables = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
     def __init__(self, hashes: np.ndarray, seed: int = 0):
         n = len(hashes)
-        self.powers, self.inverses = _powers(self.STEP, n + 1), _powers(_inverse(self.STEP), n + 1)
+        if len(Ranges._tables[0]) <= n:
+            Ranges._tables = _powers(self.STEP, n + 1), _powers(_inverse(self.STEP), n + 1)
+        self.powers, self.inverses = Ranges._tables
         own = mix(hashes ^ _U(seed)) if seed else hashes
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(own * self.powers[:n], out=self.sums[1:])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanecast.llm.blocks import Deal, add_up, deal, look_up, read_flags, sketch_rows
-from vanecast.llm.kernels import Ranges, batches, find_words, mix, text_bytes
+from vanecast.llm.kernels import Ranges, Words, batches, find_words, mix, text_bytes
 
 LAST = (1 << 63) - 1  # stands for a missing id: later than every other
 MIN_WORDS = 8  # a line of fewer words is compared for equality only
@@ -43,9 +43,19 @@ class Lines(NamedTuple):
     halves: np.ndarray  # 4 keys per line, 0 where it gives none
 
 
-def _lines(part: pa.Table, min_words: int, halves: bool = False):
-    """Yields the lines of each sub-batch, its word hashes' ranges, bytes and word spans."""
+class Piece(NamedTuple):
+    """Some documents of a block: their lines, hashes of runs of their words, bytes and word spans."""
+
+    lines: Lines
+    ranges: Ranges
+    raw: np.ndarray
+    words: Words
+
+
+def _pieces(part: pa.Table, min_words: int = MIN_WORDS, halves: bool = False, second: bool = False) -> list[Piece]:
+    """The block's documents, read once; the keys of halves and the second hash only if asked."""
     raw_all, offsets = text_bytes(part.column("text"))
+    out = []
     for a, b in batches(offsets):
         raw, own = raw_all[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         words = find_words(raw, own)
@@ -56,7 +66,7 @@ def _lines(part: pa.Table, min_words: int, halves: bool = False):
         lead[1:] = (owner[1:] != owner[:-1]) | (number[1:] != number[:-1])
         first = np.flatnonzero(lead)
         end = np.append(first[1:], len(owner)) if len(first) else first
-        ranges, second = Ranges(words.hash), Ranges(words.hash, 0x5851F42D4C957F2D)
+        ranges = Ranges(words.hash)
         n = end - first
         keys = np.zeros((len(first), 4), np.uint64)
         if halves:
@@ -65,16 +75,17 @@ def _lines(part: pa.Table, min_words: int, halves: bool = False):
                 some = (m >= min_words) & (n > 1)
                 keys[:, 2 * k] = np.where(some, mix(ranges.plain(first, first + np.minimum(half, n)) + m.astype(np.uint64) * _U(4)), 0)
                 keys[:, 2 * k + 1] = np.where(some, mix(ranges.plain(np.maximum(end - (m - half), first), end) + m.astype(np.uint64) * _U(4) + _U(1)), 0)
-        lines = Lines(owner[first] + a, number[first], first, end, mix(ranges.plain(first, end)), mix(second.plain(first, end)), keys)
-        yield lines, ranges, raw, words
+        h1 = mix(ranges.plain(first, end))
+        h2 = mix(Ranges(words.hash, 0x5851F42D4C957F2D).plain(first, end)) if second else h1
+        out.append(Piece(Lines(owner[first] + a, number[first], first, end, h1, h2, keys), ranges, raw, words))
+    return out
 
 
-def _all(part: pa.Table, min_words: int, halves: bool = False) -> Lines:
-    pieces = [x[0] for x in _lines(part, min_words, halves)]
+def _all(pieces: list[Piece]) -> Lines:
     if not pieces:
         none = np.zeros(0, np.int64)
         return Lines(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64), np.zeros((0, 4), np.uint64))
-    return Lines(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
+    return Lines(*(np.concatenate(x) for x in zip(*(p.lines for p in pieces), strict=True)))
 
 
 def _first_in_block(lines: Lines, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,18 +99,14 @@ def _first_in_block(lines: Lines, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order[lead], least
 
 
-def _distinct(min_words: int):
+def _distinct(part: pa.Table) -> pa.Table:
     """The distinct lines of a block with their earliest place."""
-
-    def give(part: pa.Table) -> pa.Table:
-        lines, ids = _all(part, min_words), part.column("id").to_numpy()
-        lead, _ = _first_in_block(lines, ids)
-        block = np.full(len(lead), part.column("block")[0].as_py(), np.int64)
-        return pa.table(
-            {"h1": lines.h1[lead].view(np.int64), "h2": lines.h2[lead].view(np.int64), "block": block, "id": ids[lines.row[lead]], "line": lines.number[lead]}
-        )
-
-    return give
+    lines, ids = _all(_pieces(part, second=True)), part.column("id").to_numpy()
+    lead, _ = _first_in_block(lines, ids)
+    block = np.full(len(lead), part.column("block")[0].as_py(), np.int64)
+    return pa.table(
+        {"h1": lines.h1[lead].view(np.int64), "h2": lines.h2[lead].view(np.int64), "block": block, "id": ids[lines.row[lead]], "line": lines.number[lead]}
+    )
 
 
 def _is_first(lines: Lines, ids: np.ndarray, later: np.ndarray) -> np.ndarray:
@@ -122,7 +129,7 @@ def _sketch(min_words: int, how: Deal):
     def give(part: pa.Table, flags: pa.Table) -> pa.Table:
         if not part.num_rows:
             return sketch_rows(0, np.zeros(0, np.uint64), how)
-        lines = _all(part, min_words, halves=True)
+        lines = _all(_pieces(part, min_words, halves=True))
         first = _is_first(lines, part.column("id").to_numpy(), _hashes(flags))
         keys = lines.halves[first].reshape(-1)
         return sketch_rows(part.column("block")[0].as_py(), how.cells(keys[keys != 0]), how)
@@ -137,15 +144,15 @@ class Variant(NamedTuple):
     words: list[bytes]
 
 
-def _variants(part: pa.Table, flags: pa.Table, min_words: int, how: Deal):
+def _variants(pieces: list[Piece], ids: np.ndarray, flags: pa.Table, min_words: int, how: Deal):
     """Variants of the first occurrences that share a half: (hash, place, line) each."""
-    ids, later, cells = part.column("id").to_numpy(), _hashes(flags), read_flags(_kind(flags, 1), how)
-    everything = _all(part, min_words, halves=True)
-    first = _is_first(everything, ids, later)
+    cells = read_flags(_kind(flags, 1), how)
+    everything = _all(pieces)
+    first = _is_first(everything, ids, _hashes(flags))
     shared = (look_up(how.cells(everything.halves.reshape(-1)), *cells).reshape(-1, 4) > 1) & (everything.halves != 0)
     chosen = first & shared.any(axis=1)
     at = 0
-    for lines, ranges, raw, words in _lines(part, min_words):
+    for lines, ranges, raw, words in pieces:
         own = np.flatnonzero(chosen[at : at + len(lines.row)])
         at += len(lines.row)
         for i in own.tolist():
@@ -166,7 +173,8 @@ def _earliest(min_words: int, how: Deal):
     def give(part: pa.Table, flags: pa.Table) -> pa.Table:
         best: dict[tuple[int, int], Variant] = {}
         if part.num_rows and flags.num_rows:
-            for v, place, line in _variants(part, flags, min_words, how):
+            pieces = _pieces(part, min_words, halves=True)
+            for v, place, line in _variants(pieces, part.column("id").to_numpy(), flags, min_words, how):
                 old = best.get((v, place))
                 if old is None or line[:2] < old[:2]:
                     best[v, place] = line
@@ -194,17 +202,18 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[i + 1 :] == (b[i + 1 :] if len(a) == len(b) else b[i:]) or a == b
 
 
-def _keep(min_words: int, how: Deal):
+def _keep(min_words: int, how: Deal, carry: bool):
     """The documents of a block without the lines that go."""
 
     def keep(part: pa.Table, flags: pa.Table) -> pa.Table:
         ids, later = part.column("id").to_numpy(), _hashes(flags)
-        lines = _all(part, min_words)
+        pieces = _pieces(part, min_words, halves=True)
+        lines = _all(pieces)
         gone = ~_is_first(lines, ids, later)
         near: set[tuple[int, int]] = set()
         if flags.num_rows:
             local: dict[int, dict[int, Variant]] = {}
-            mine = list(_variants(part, flags, min_words, how))
+            mine = list(_variants(pieces, ids, flags, min_words, how))
             for v, place, line in mine:
                 places = local.setdefault(v, {})
                 old = places.get(place)
@@ -235,7 +244,8 @@ def _keep(min_words: int, how: Deal):
             total.append(len(own))
             removed.append(len(out))
             texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in out) if out else text)
-        return pa.table({"id": ids, "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "text": pa.array(texts, pa.string())})
+        out = {"id": ids, "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "text": pa.array(texts, pa.string())}
+        return pa.table(out | ({"rest": part.column("rest")} if carry else {}))
 
     return keep
 
@@ -253,8 +263,10 @@ def _flags(df: DataFrame, kind: int, **columns) -> DataFrame:
     return df.select(*out)
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: id, ``n_lines``, ``n_removed`` and the ``text`` that is left.
+def line_dedup(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per document: id, ``n_lines``, ``n_removed``, the ``text`` that is left, and the columns to ``carry``.
 
     Lines end at line feeds and count if they have a word (a run of non-space characters); a
     line goes if an earlier line - smaller id, or same id and further up - has the same words,
@@ -264,11 +276,12 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "do
     at the same place of both stays in both.  A missing id is later than all others.  Other
     columns are not read.  An empty table gives an empty table.
     """
-    plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
+    plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), *rest)
     blocks, how = deal(plain, "id", "text")
     by_block = blocks.groupBy("block")
 
-    distinct = by_block.applyInArrow(_distinct(min_words), "h1 long, h2 long, block long, id long, line long")
+    distinct = by_block.applyInArrow(_distinct, "h1 long, h2 long, block long, id long, line long")
     first = F.min(F.struct("id", "line")).over(Window.partitionBy("h1", "h2"))
     later = distinct.withColumn("first", first).filter(F.col("first") < F.struct("id", "line"))
     later = _flags(later, 0, block=F.col("block"), h=F.col("h1"))
@@ -284,20 +297,22 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "do
     place = F.struct("id", "line", "h")
     whole = Window.partitionBy("v")
     own = F.struct("id", "line")
+    # both readings take all rows and columns of the exchange, so that the pass before it runs once
+    ranked = rows.withColumn("size", F.count("*").over(whole))
     found = (
-        rows.filter(F.col("place").isNotNull())
-        .withColumn("same", F.min(place).over(Window.partitionBy("v", "place")))
+        rows.withColumn("same", F.min(place).over(Window.partitionBy("v", "place")))
         .withColumn("full", F.min(F.when(F.col("place") == WHOLE, place)).over(whole))
         .withColumn("less", F.min(F.when(F.col("place") != WHOLE, place)).over(whole))
         .withColumn("best", F.when(F.col("place") == WHOLE, F.col("less")).otherwise(F.least("same", "full")))
-        .filter(F.struct("best.id", "best.line") < own)
-        .select("block", "v", "place", "best.*")
+        .filter(F.col("same").isNotNull() & F.col("place").isNotNull() & (F.struct("best.id", "best.line") < own))
+        .select("block", "v", "place", "best.*", F.col("text").alias("__none"))
     )
-    words = rows.filter(F.col("place").isNull()).select("h", "text")
-    found = found.join(words, "h")
+    words = ranked.filter("size > 0 AND place IS NULL AND id IS NOT NULL AND line IS NOT NULL AND block IS NOT NULL").select("h", "text")
+    found = found.join(words, "h").withColumn("text", F.coalesce("text", "__none"))
     near = _flags(found, 2, block=F.col("block"), slice=F.col("place"), h=F.col("v"), first_id=F.col("id"), first_line=F.col("line"), text=F.col("text"))
 
     kept = by_block.cogroup(known.unionByName(near).groupBy("block")).applyInArrow(
-        _keep(min_words, how), "id long, n_lines long, n_removed long, text string"
+        _keep(min_words, how, bool(carry)),
+        "id long, n_lines long, n_removed long, text string" + (f", rest {plain.schema['rest'].dataType.simpleString()}" if carry else ""),
     )
-    return kept.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_column), "n_lines", "n_removed", "text")
+    return kept.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_column), "n_lines", "n_removed", "text", *[f"rest.`{c}`" for c in carry])
