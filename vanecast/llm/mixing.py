@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vanecast.llm.graph import compact
 from vanecast.operators.joins import lookup_join
 from vanecast.session import materialize
 
@@ -75,11 +76,12 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     for dim, target in targets.items():
         goal = goal.join(target.select(dim, F.col("target").alias(f"__{dim}")), dim, "left").fillna(0.0, [f"__{dim}"])
     now = materialize(goal.withColumn("weight", F.lit(1.0)), "cells")
+    size = now.count()
     for _ in range(rounds):
         for dim in targets:  # written out each time: the next step reads the cells twice
             mass = now.groupBy(dim).agg(F.sum(F.col("weight") * F.col("tokens")).alias("__mass"))
             now = now.join(mass, dim).withColumn("weight", F.when(F.col("__mass") > 0, F.col("weight") * F.col(f"__{dim}") * total / F.col("__mass")).otherwise(F.col("weight"))).drop("__mass")
-            now = materialize(now, "cells")
+            now = materialize(compact(now, size), "cells")
     return now.drop(*[f"__{d}" for d in targets])
 
 
