@@ -16,7 +16,7 @@ BEAM = 64
 ALPHA = 1.2
 WIDTH = 4  # beam entries expanded per step
 QUERIES = 512  # queries that advance together
-PAIRS = 1 << 18  # similarities computed at a time
+PAIRS = 1 << 16  # similarities computed at a time
 
 
 def medoid(vectors: np.ndarray) -> int:
