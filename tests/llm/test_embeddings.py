@@ -71,7 +71,7 @@ def test_graph_reaches_all_and_finds_the_range():
     tight = E.unit(rng.normal(size=(1, 24)) + 0.08 * rng.normal(size=(300, 24)))
     vectors = np.concatenate([E.unit(rng.normal(size=(900, 24))), tight]).astype(np.float32)
     graph = G.build(vectors)
-    start = G.medoid(vectors)
+    start = G.medoids(vectors)
     assert G.reached(graph, start).all()
     hits = np.concatenate([h for _, h in G.in_range(vectors, graph, start, vectors, 0.95)])
     true = vectors @ vectors.T >= 0.95

@@ -134,9 +134,10 @@ def _search(width: int, threshold: float, beam: int):
             inside = order[at[reps[order[at]] == near]]
             graph[i, : len(inside)] = inside
         shards, asked_shards = (np.array(x.column("shards").to_pylist(), np.int64) for x in (points, queries))
-        narrow, start = vectors.astype(np.float32), flatgraph.medoid(vectors)
+        narrow = vectors.astype(np.float32)
+        starts = flatgraph.medoids(narrow)
         links = []
-        for at, hits in flatgraph.in_range(narrow, graph, start, wanted.astype(np.float32), threshold - 1e-4, beam=beam):
+        for at, hits in flatgraph.in_range(narrow, graph, starts, wanted.astype(np.float32), threshold - 1e-4, beam=beam):
             q, p = np.nonzero(hits)
             keep = np.zeros(len(q), bool)
             for a in range(0, len(q), flatgraph.PAIRS):

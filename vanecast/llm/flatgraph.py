@@ -1,7 +1,7 @@
 """A flat proximity graph in numpy: robust-pruned neighbours, greedy and range-expanding search.
 
 Vectors have unit length; similarity is the cosine.  The graph is built by inserting points
-in batches that double in size: a batch searches the graph so far from its medoid, every
+in batches that double in size: a batch searches the graph so far from its medoids, every
 point keeps a robust-pruned part of what the search met (a candidate goes if a kept
 neighbour is closer to it than the point is, by a factor), and the reverse links are added
 and pruned the same way.
@@ -12,6 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 DEGREE = 24
+NEAREST = 8  # of them the closest points, whatever pruning says
+REPAIRS = 8  # further columns that the greedy search reads
 BEAM = 64
 ALPHA = 1.2
 WIDTH = 4  # beam entries expanded per step
@@ -19,12 +21,30 @@ QUERIES = 512  # queries that advance together
 PAIRS = 1 << 16  # similarities computed at a time
 
 
-def medoid(vectors: np.ndarray) -> int:
-    return int((vectors @ vectors.mean(0)).argmax())
+def medoids(vectors: np.ndarray, most: int = BEAM // 2, rounds: int = 4, seed: int = 9) -> np.ndarray:
+    """Entry points: the points closest to the centres of about sqrt(n) clusters.
+
+    With one entry a search from inside a dense group would not leave it: all its links and
+    its whole beam stay in the group.
+    """
+    n = len(vectors)
+    k = min(most, int(np.sqrt(n)) + 1, n)
+    centres = vectors[np.random.default_rng(seed).choice(n, k, replace=False)]
+    for _ in range(rounds):
+        nearest = (vectors @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, vectors)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), centres)
+    return np.unique((vectors @ centres.T).argmax(0))
 
 
 def robust_prune(vectors: np.ndarray, points: np.ndarray, found: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.ndarray:
-    """Neighbours (-1: none) of ``points`` chosen from the rows of ``found`` (-1: none), all points at once."""
+    """Neighbours (-1: none) of ``points`` chosen from the rows of ``found`` (-1: none), all points at once.
+
+    The closest ``NEAREST`` come first and stay: pruning alone would leave the members of a
+    dense group one link, to its middle, and a search in range needs to walk the group.
+    """
     rows = np.arange(len(points))
     found = np.where(found == points[:, None], -1, found)
     near = vectors[found]
@@ -38,6 +58,9 @@ def robust_prune(vectors: np.ndarray, points: np.ndarray, found: np.ndarray, deg
         if not live.any():
             break
         out[live, k] = found[rows, best][live]
+        if k < NEAREST - 1:
+            close[rows, best] = -np.inf
+            continue
         apart = 2 - 2 * np.einsum("bcd,bd->bc", near, near[rows, best])
         close[alpha * apart <= own] = -np.inf
         close[rows, best] = -np.inf
@@ -52,24 +75,26 @@ def _distinct_rows(ids: np.ndarray) -> np.ndarray:
     return ids
 
 
-def greedy(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int = BEAM, met: list | None = None, least: float = 2.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best-first search of all ``queries`` from ``start``: ids and similarities of the beams,
+def greedy(vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int = BEAM, met: list | None = None, least: float = 2.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best-first search of all ``queries`` from ``starts``: ids and similarities of the beams,
     and which points each query was compared with.
 
     ``met``, if given, receives (query, point, similarity) of all comparisons of at least
     ``least``; the beam may have dropped some of those points again.
     """
     n = len(queries)
+    graph = graph[:, : DEGREE + REPAIRS]
     rows = np.arange(n)[:, None]
     seen = np.zeros((n, len(vectors)), bool)
     ids = np.full((n, beam), -1, np.int64)
     close = np.full((n, beam), -np.inf, np.float32)
     done = np.ones((n, beam), bool)
-    ids[:, 0], close[:, 0], done[:, 0] = start, queries @ vectors[start], False
-    seen[:, start] = True
+    first = len(starts)
+    ids[:, :first], close[:, :first], done[:, :first] = starts, queries @ vectors[starts].T, False
+    seen[:, starts] = True
     if met is not None:
-        near = np.flatnonzero(close[:, 0] >= least)
-        met.append((near, np.full(len(near), start), close[near, 0]))
+        q, c = np.nonzero(close[:, :first] >= least)
+        met.append((q, starts[c], close[q, c]))
     while not done.all():
         open_ = np.where(done, -np.inf, close)
         pick = np.argpartition(-open_, min(WIDTH, beam - 1), axis=1)[:, :WIDTH]
@@ -102,8 +127,8 @@ def build(vectors: np.ndarray, seed: int = 5) -> np.ndarray:
     if n < 2:
         return graph
     order = np.random.default_rng(seed).permutation(n)
-    start = medoid(vectors)
-    order = np.concatenate([[start], order[order != start]])
+    starts = medoids(vectors)
+    order = np.concatenate([starts, order[~np.isin(order, starts)]])
     size = min(n, 2 * DEGREE)
     first = order[:size]
     graph[first] = robust_prune(vectors, first, np.broadcast_to(first, (size, size)).copy())
@@ -111,7 +136,7 @@ def build(vectors: np.ndarray, seed: int = 5) -> np.ndarray:
         batch = order[size : min(n, 2 * size)]
         for at in range(0, len(batch), QUERIES):
             some = batch[at : at + QUERIES]
-            ids = greedy(vectors, graph, start, vectors[some])[0]
+            ids = greedy(vectors, graph, starts, vectors[some])[0]
             graph[some] = robust_prune(vectors, some, ids)
         # reverse links of the whole batch
         source = np.repeat(batch, DEGREE)
@@ -130,13 +155,13 @@ def build(vectors: np.ndarray, seed: int = 5) -> np.ndarray:
             both = _distinct_rows(np.hstack([graph[some], more]))
             graph[some] = _pruned(vectors, some, both)
         size += len(batch)
-    return connect(vectors, graph, start)
+    return back_links(connect(vectors, graph, starts))
 
 
-def reached(graph: np.ndarray, start: int) -> np.ndarray:
+def reached(graph: np.ndarray, starts: np.ndarray) -> np.ndarray:
     seen = np.zeros(len(graph), bool)
-    seen[start] = True
-    front = np.array([start])
+    seen[starts] = True
+    front = starts
     while len(front):
         near = np.unique(graph[front])
         near = near[near >= 0]
@@ -145,14 +170,14 @@ def reached(graph: np.ndarray, start: int) -> np.ndarray:
     return seen
 
 
-def connect(vectors: np.ndarray, graph: np.ndarray, start: int) -> np.ndarray:
-    """Give every point that ``start`` does not reach a link from its closest reached neighbour.
+def connect(vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Give every point that ``starts`` do not reach a link from its closest reached neighbour.
 
     Pruning drops the links to points at the rim of a dense group; the repair takes further
     columns, and of several neighbours the one with the fewest of them.
     """
     extra: list[list[int]] = [[] for _ in graph]
-    seen = reached(graph, start)
+    seen = reached(graph, starts)
     while not seen.all():
         lost = np.flatnonzero(~seen)
         own = graph[lost]
@@ -167,18 +192,38 @@ def connect(vectors: np.ndarray, graph: np.ndarray, start: int) -> np.ndarray:
         more = np.full((len(graph), width), -1, np.int64)
         for v, links in enumerate(extra):
             more[v, : len(links)] = links
-        seen = reached(np.hstack([graph[:, :DEGREE], more]), start)
+        seen = reached(np.hstack([graph[:, :DEGREE], more]), starts)
         full = np.hstack([graph[:, :DEGREE], more])
     return full if any(extra) else graph
 
 
+def back_links(graph: np.ndarray) -> np.ndarray:
+    """Give every point a link from one of its closest neighbours, the one with the fewest of these.
+
+    A point at the rim of a dense group is nobody's neighbour; without this the group could
+    not be walked to it.
+    """
+    n = len(graph)
+    near = graph[:, :NEAREST]
+    held = ((graph[near] == np.arange(n)[:, None, None]).any(2) & (near >= 0)).any(1)
+    extra: dict[int, list[int]] = {}
+    for i in np.flatnonzero(~held & (near >= 0).any(1)).tolist():
+        extra.setdefault(min(near[i][near[i] >= 0].tolist(), key=lambda v: len(extra.get(v, ()))), []).append(i)
+    if not extra:
+        return graph
+    more = np.full((n, max(map(len, extra.values()))), -1, np.int64)
+    for v, links in extra.items():
+        more[v, : len(links)] = links
+    return np.hstack([graph, more])
+
+
 def _pruned(vectors: np.ndarray, points: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Robust pruning only where there are more candidates than links, the widest rows in small groups."""
     out = np.full((len(points), DEGREE), -1, np.int64)
     count = (found >= 0).sum(1)
     few = np.flatnonzero(count <= DEGREE)
     if len(few):
-        out[few] = -np.sort(-found[few], axis=1)[:, :DEGREE]
+        out[few] = robust_prune(vectors, points[few], -np.sort(-found[few], axis=1)[:, :DEGREE], alpha=1e9)  # sorted only
     many = np.flatnonzero(count > DEGREE)
     many = many[np.argsort(count[many], kind="stable")]
     at = 0
@@ -191,7 +236,7 @@ def _pruned(vectors: np.ndarray, points: np.ndarray, found: np.ndarray) -> np.nd
     return out
 
 
-def in_range(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, least: float, slack: float = 0.03, beam: int = BEAM):
+def in_range(vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries: np.ndarray, least: float, slack: float = 0.03, beam: int = BEAM):
     """Yields (first query, hits): all points of similarity >= ``least`` that the search reaches.
 
     After the greedy search every point met within ``least - slack`` is expanded, and what that
@@ -200,7 +245,7 @@ def in_range(vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.nda
     for at in range(0, len(queries), QUERIES):
         own = queries[at : at + QUERIES]
         met: list = []
-        seen = greedy(vectors, graph, start, own, beam, met, least - slack)[2]
+        seen = greedy(vectors, graph, starts, own, beam, met, least - slack)[2]
         hits = np.zeros((len(own), len(vectors)), bool)
         q, p, close = (np.concatenate(x) for x in zip(*met, strict=True))
         hits[q, p] = close >= least
