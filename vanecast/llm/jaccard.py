@@ -14,10 +14,11 @@ documents use the same one, and the sketch never undercounts, so a shingle that
 once is shared with nobody and needs no index entry.  Equal sets are merged before; only
 documents whose prefix holds a shared shingle go on.
 
-Lists are not expanded into pairs.  In each round a list's documents are compared with a few
-hubs of the list, those with the smallest share of unshared shingles, exactly; documents
-that are already connected are not compared again, hubs leave the list, and a list ends when
-what is left is connected or cannot be similar.  Hubs double per round.
+Lists are not expanded into pairs.  In a first round all documents of a list are compared with
+one hub of it, the one with the smallest share of unshared shingles.  After that only documents
+outside the largest component of their list are hubs, up to 64 of a list per round: what is
+left once they have met everyone is one component.  Documents that are already connected, or
+cannot be similar by size, are not compared; a list ends when it holds one component.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.llm.blocks import Deal, add_up, deal, look_up, read_flags, sketch_rows
-from vanecast.llm.graph import components
+from vanecast.llm.graph import compact, components
 from vanecast.llm.kernels import LOWER, batches, find_words, mix, text_bytes, window_hash
 from vanecast.session import materialize
 
@@ -153,7 +154,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``id``, ``hub``) that are similar; large sides are split by adaptive execution."""
     own = sets.select("id", "n", F.col("shared").alias("x"))
     other = sets.select(F.col("id").alias("hub"), F.col("n").alias("m"), F.col("shared").alias("y"))
-    joined = pairs.join(own.hint("merge"), "id").join(other.hint("merge"), "hub")
+    joined = pairs.join(own, "id").join(other, "hub")
     return joined.select("id", "hub", "n", "m", "x", "y").mapInArrow(_overlaps, "a long, b long")
 
 
@@ -165,37 +166,37 @@ def link_components(candidates: DataFrame) -> DataFrame:
     shared = materialize(lists.groupBy("entry").agg(F.count("*").alias("size"), F.min("n").alias("least")).filter("size > 1"), "entries")
     # a document stays in a list only if some document of the list is small enough for it
     lists = lists.join(shared, "entry").filter("4 * least <= 5 * n - 9 * alone").select("entry", "id", "n", "alone")
-    lists = materialize(lists, "lists")
-    edges = spark.createDataFrame([], "a long, b long")
+    lists = materialize(lists.withColumns({"component": F.col("id"), "minor": F.lit(True)}), "lists")
     labels = spark.createDataFrame([], "id long, component long")
     buckets = 1
-    while not lists.isEmpty():
-        rank = F.struct((F.col("alone") / F.col("n")).alias("share"), "id", "n", "alone")
-        hubs = lists.groupBy("entry", F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket")).agg(F.min(rank).alias("hub"))
-        hubs = materialize(hubs.select("entry", "hub"), "hubs")
-        met = lists.join(hubs, "entry").filter(F.col("id") != F.col("hub.id"))
-        pairs = met.filter(_possible(F.col("n"), F.col("alone"), F.col("hub.n"), F.col("hub.alone"))).select("id", F.col("hub.id").alias("hub")).distinct()
-        pairs = _apart(pairs, labels, "hub").select("id", "hub")
-        edges = materialize(edges.unionByName(_verified(pairs, candidates)), "edges")
-        labels = components(edges)
-        # hubs have met everyone in their list
-        done = hubs.select("entry", F.col("hub.id").alias("id")).distinct()
-        left = lists.join(done, ["entry", "id"], "left_anti").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = left.groupBy("entry").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi")).filter("__lo < __hi").select("entry")
-        open_ = materialize(open_, "open")
-        lists = materialize(left.drop("component").join(open_, "entry", "left_semi").select("entry", "id", "n", "alone"), "lists")
-        buckets *= 2
+    rows = lists.count()
+    while rows:
+        rank = F.struct((F.col("alone") / F.col("n")).alias("share"), "id", "n", "alone", "component")
+        bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket")
+        hubs = lists.filter("minor").groupBy("entry", bucket).agg(F.min(rank).alias("hub"))
+        hubs = materialize(compact(hubs.select(F.col("entry").alias("at"), "hub"), rows), "hubs")
+        hub = {c: F.col(f"hub.{c}") for c in ("id", "n", "alone", "component")}
+        wanted = (F.col("entry") == F.col("at")) & (F.col("component") != hub["component"])
+        met = lists.join(hubs, wanted & _possible(F.col("n"), F.col("alone"), hub["n"], hub["alone"]))
+        pairs = met.select("id", hub["id"].alias("hub")).distinct()
+        found = materialize(_verified(pairs, candidates), "found")
+        # known groups are stars; only new links join them
+        labels = components(found.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        # hubs have met everyone in their list; what is left of it is open while it has several components
+        done = hubs.select(F.col("at").alias("entry"), hub["id"].alias("id"), F.lit(True).alias("__done"))
+        left = lists.drop("component", "minor").join(done, ["entry", "id"], "left").filter("__done IS NULL").drop("__done")
+        left = materialize(compact(left.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), rows), "left")
+        parts = left.groupBy("entry", "component").agg(F.count("*").alias("size"), F.min("n").alias("least"))
+        open_ = parts.groupBy("entry").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("big"), F.min("least").alias("least"))
+        open_ = materialize(compact(open_.filter("parts > 1").select("entry", "least", F.col("big.component").alias("big")), rows), "open")
+        left = left.join(open_, "entry").filter("4 * least <= 5 * n - 9 * alone")
+        left = left.withColumn("minor", F.col("component") != F.col("big"))
+        lists = materialize(compact(left.select("entry", "id", "n", "alone", "component", "minor"), rows), "lists")
+        rows = lists.filter("minor").count()
+        buckets = 64
     return labels
 
 
-def _apart(pairs: DataFrame, labels: DataFrame, other: str) -> DataFrame:
-    """Pairs that no known link connects."""
-    own = labels.select("id", F.col("component").alias("__c"))
-    far = labels.select(F.col("id").alias(other), F.col("component").alias("__d"))
-    joined = pairs.join(own, "id", "left").join(far, other, "left")
-    return joined.filter(F.coalesce("__c", "id") != F.coalesce("__d", other)).drop("__c", "__d")
-
-
 def near_duplicates(docs: DataFrame, width: int = WIDTH, rare: int = RARE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id reachable by links).
 
