@@ -96,3 +96,33 @@ def test_every_article_of_the_table(spark, sf_dir):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
         blocks = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " " if "<br>" in b else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+LONG = "This paragraph of the story is long enough to be told from a menu, and it goes on for a while."
+
+
+def test_cluster_decides_inside_and_outside_regions():
+    body = "".join(f"<div>{LONG} {k}</div>" for k in range(6))
+    lines = [f"{LONG} {k}" for k in range(6)]
+    teaser = f"<article><p>{LONG} teaser</p></article>"
+    # body text in plain blocks beside one article
+    assert main_text(f"<body>{body}{teaser}</body>").split("\n") == [*lines, f"{LONG} teaser"]
+    # heading and lead of main weigh less than its article
+    page = f"<body><main><h1>Heading</h1><p>A short lead.</p><article>{body}</article></main></body>"
+    assert main_text(page).split("\n") == ["Heading", "A short lead.", *lines]
+    # a small article beside a large one
+    assert main_text(f"<body><article>{body}</article>{teaser}</body>").split("\n") == [*lines, f"{LONG} teaser"]
+    # without article and main, and with lists of links around
+    menu = "<ul>" + "".join(f"<li><a href='/{k}'>Menu entry {k}</a></li>" for k in range(8)) + "</ul>"
+    assert main_text(f"<body>{menu}{body}{menu}</body>").split("\n") == lines
+    assert main_text(f"<body>{menu}<article>{body}</article>{menu}</body>").split("\n") == lines
+    # inside a region: a list of links far from the cluster goes, a list of short lines stays
+    short = "<ul>" + "".join(f"<li>No {k}</li>" for k in range(8)) + "</ul>"
+    assert "Menu entry 7" not in main_text(f"<article>{body}{menu}</article>")
+    assert main_text(f"<article>{body}{short}</article>").split("\n") == [*lines, *(f"No {k}" for k in range(8))]
+
+
+def test_head_without_its_end():
+    for start in ("<body><p>", "<p>", "<div>", "<body><main><p>"):
+        assert main_text(f"<html><head><meta charset=utf-8><title>T</title>{start}{LONG}") == LONG
+    assert main_text(f"<html><head><title>T</title><nav><a href='/'>Home</a></nav><p>{LONG}") == LONG

@@ -4,10 +4,13 @@ The streaming parser of the standard library turns a page into *lines*: the text
 block element each, with its number of characters, of tags and of characters inside links.
 A line's text-to-tag ratio is smoothed over its neighbours with a Gaussian kernel; lines
 whose smoothed ratio reaches a threshold (a share of the page's standard deviation) form the
-content cluster.  The cluster picks regions, not single lines: the innermost article, main
-or body region that holds most of the cluster's characters is kept with all its lines, so
-that short paragraphs and headings between long ones are not lost.  Elements that are
-boilerplate by their name, role or class never become lines.
+content cluster, wherever on the page they stand.  An outermost article or main keeps its
+lines from the first to the last of the cluster, and the others of a region (article or main)
+that holds some of the cluster unless they are mostly links; lines outside all regions stay
+from the first to the last of the cluster there, but for lists of links.  So short paragraphs
+and headings between long ones are not lost.  Where no region holds any of the cluster, the
+regions are kept as well.  Elements that are boilerplate by their name, role or class never
+become lines.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ BLOCKS = frozenset(
     "blockquote pre figure figcaption address details summary hr center fieldset legend hgroup search".split()
 )
 REGIONS = frozenset("article main".split())
+# whatever else starts ends an open head
+IN_HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # an open element of the key ends where one of the values starts
 ENDED_BY = {
@@ -70,12 +75,13 @@ def _boilerplate(tag: str, attrs: list) -> bool:
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, linked characters, region) per block element, in page order."""
+    """Collects (text, tags, linked characters, region, outermost region) per block element, in page order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.open: list[tuple[str, int, int]] = []  # tag, region and skip depth before it
+        self.outer = [0]  # of every region, the outermost one around it
         self.parts: list[str] = []
         self.tags = self.linked = self.region = self.regions = self.skip = self.links = 0
 
@@ -83,11 +89,14 @@ class _Lines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.tags, self.linked, self.region))
+                self.lines.append((text, self.tags, self.linked, self.region, self.outer[self.region]))
                 self.tags = self.linked = 0
             self.parts = []
 
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and any(x[0] == "head" for x in self.open if tag == "body" or x is self.open[-1]):
+            while self._close() != "head":
+                pass
         while self.open and tag in ENDED_BY.get(self.open[-1][0], ()):
             self._close()
         if tag in BLOCKS or tag in SKIPPED:
@@ -102,6 +111,7 @@ class _Lines(HTMLParser):
             self.skip += 1
         elif tag in REGIONS:
             self.regions += 1
+            self.outer.append(self.outer[self.region] or self.regions)
             self.region = self.regions
         if tag == "a":
             self.links += 1
@@ -121,13 +131,14 @@ class _Lines(HTMLParser):
             self._close()
         self._close()
 
-    def _close(self) -> None:
+    def _close(self) -> str:
         tag, region, skip = self.open.pop()
         if tag in BLOCKS or tag in SKIPPED:
             self.cut()
         if tag == "a":
             self.links = max(0, self.links - 1)
         self.region, self.skip = region, skip
+        return tag
 
     def handle_data(self, data):
         if not self.skip:
@@ -140,7 +151,7 @@ class _Lines(HTMLParser):
         self.cut()
 
 
-def parse_lines(html: str) -> list[tuple[str, int, int, int]]:
+def parse_lines(html: str) -> list[tuple[str, int, int, int, int]]:
     parser = _Lines()
     parser.feed(html)
     parser.close()
@@ -164,26 +175,22 @@ def main_text(html: str | None, radius: int = 2, share: float = 0.5) -> str:
     size = np.array([len(x[0]) for x in lines], float)
     tags = np.array([x[1] for x in lines], float)
     linked = np.minimum(np.array([x[2] for x in lines], float), size)
-    region = np.array([x[3] for x in lines])
+    region, outer = np.array([x[3:5] for x in lines]).T
     ratio = smooth((size - linked) / np.maximum(tags, 1), radius)
-    content = ratio >= min(share * ratio.std(), ratio.max())
-    weight = np.bincount(region, weights=np.where(content, size - linked, 0.0))
-    if len(weight) > 1:
-        if not weight[1:].any():  # no long line in any region: what they hold still is the article
-            weight = np.bincount(region, weights=size)
-        # articles of one page stand side by side: keep every region with a fair part of the cluster
-        chosen = np.flatnonzero(weight >= 0.25 * weight[1:].max())
-        chosen = chosen[chosen > 0]
-        keep = np.isin(region, chosen)
-    else:
-        keep = content & (linked < 0.5 * size)
-        inside = np.flatnonzero(keep)
-        if len(inside):  # the cluster from its first to its last line, but for lists of links
-            span = np.zeros(len(lines), bool)
-            span[inside[0] : inside[-1] + 1] = True
-            keep = span & (linked < 0.5 * size)
-        else:
-            keep = linked < size
+    inside, prose = outer > 0, linked < 0.5 * size
+    cluster = (ratio >= min(share * ratio.std(), ratio.max())) & np.where(inside, linked < size, prose)
+    # from the first to the last line of the cluster, in every outermost region and outside of all
+    at = np.arange(len(lines))
+    first, last = np.full(outer.max() + 1, len(lines)), np.full(outer.max() + 1, -1)
+    np.minimum.at(first, outer[cluster], at[cluster])
+    np.maximum.at(last, outer[cluster], at[cluster])
+    span = (first[outer] <= at) & (at <= last[outer])
+    held = np.isin(region, region[cluster & inside])
+    keep = np.where(inside, span | (held & prose), span & prose)
+    if not (cluster & inside).any():  # no long line in any region: what they hold still is the article
+        keep |= inside
+    if not keep.any():
+        keep = linked < size
     return "\n".join(x[0] for x, k in zip(lines, keep, strict=True) if k)
 
 
