@@ -108,3 +108,35 @@ def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in up}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_audit_is_not_masked_by_a_dense_group(spark):
+    rng = np.random.default_rng(5)
+    dense = E.unit(rng.normal(size=(1, 32)) + 0.02 * rng.normal(size=(200, 32)))
+    alone = E.unit(rng.normal(size=(60, 32)))
+    vectors = E.unit(np.concatenate([dense, alone, alone + 0.01 * rng.normal(size=alone.shape)]))
+    classes = spark.createDataFrame([(k, 1, v.tobytes()) for k, v in enumerate(vectors)], "rep long, size long, vector binary")
+    found = spark.createDataFrame([(k, 199, 0) for k in range(200)], "rep long, linked long, star long")
+    assert E.measured_recall(classes, found, len(vectors), 32, 0.95) == 0.0
+
+
+def test_exact_when_no_try_meets_the_audit(spark, rows, monkeypatch):
+    monkeypatch.setattr(E, "_links", lambda classes, *_: spark.createDataFrame([], "rep long, linked long, star long"))
+    frame = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<float>")
+    for rows_of_one in (E.EXACT_ROWS, 50):
+        monkeypatch.setattr(E, "EXACT_ROWS", rows_of_one)
+        got = [tuple(r) for r in E.near_vectors(frame).collect() if r.vec_id is not None]
+        assert sorted(got) == sorted(x for x in brute(rows) if x[0] is not None)
+
+
+def test_every_length_is_searched(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    out = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(40)]
+    for at, width, n in ((100, 3, 30), (200, 5, 12), (300, 6, 1)):
+        for k in range(n):
+            v = rng.normal(size=width)
+            out += [(at + 2 * k, [float(x) for x in v]), (at + 2 * k + 1, [float(x) for x in v * 2 + 0.001])]
+    frame = spark.createDataFrame(out, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in E.near_vectors(frame).collect()) == sorted(brute(out))
+    monkeypatch.setattr(E, "PART_ROWS", 30)  # a graph for the second length, too
+    assert sum(r.n_links for r in E.near_vectors(frame).collect()) >= 0.95 * sum(x[1] for x in brute(out))

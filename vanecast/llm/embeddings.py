@@ -1,15 +1,18 @@
 """Embedding near-dedup: a flat graph built on overlapping shards, searched in range, audited.
 
 Equal vectors are merged first.  A bounded sample gives cluster centres; every vector goes
-to the shards of its nearest two.  Each shard builds a robust-pruned graph, the adjacency
+to the shards of its nearest two, or of more where there are many.  Each shard builds a robust-pruned graph, the adjacency
 lists that a vector has in its shards are united, and every vector searches its shards from
 their medoids, expanding all points in range.  What the search returns is checked with
 cosines in double precision.  A pair that two shards hold counts in the smaller one only, so
 counts add up without a list of pairs; for the components each shard gives out stars.
 
 A shard beyond a size is cut into parts: a graph per part, searched by the vectors of every
-part.  The audit compares a bounded sample of vectors with all others by brute force; below
-the wanted recall the work is done again with more shards per vector and a wider beam.
+part.  The audit compares a bounded sample of vectors with all others by brute force and
+takes the mean share of its own links that a vector got, apart for vectors with few and with
+many links, so that a dense group hides nothing; below the wanted recall the work is done
+again with more shards per vector and a wider beam, and at last exactly, all with all.
+Vectors of every length are searched among their like.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ AUDIT_ROWS = 1000  # vectors compared with all others
 APART = 0.8  # cosine of two centres at most
 RECALL = 0.95
 TRIES = 3
+AUDIT_LEAST = 20  # audited vectors of a like number of links that are judged apart
+EXACT_ROWS = 10_000  # vectors of one side of an exact comparison, about
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -179,6 +184,48 @@ def _search(width: int, threshold: float, beam: int):
     return run
 
 
+def _compared(reps: np.ndarray, size: np.ndarray, vectors: np.ndarray, asked: np.ndarray, asked_size: np.ndarray, wanted: np.ndarray, threshold: float) -> pa.Table:
+    """All links between two sets of classes, or inside one if both are the same."""
+    same = wanted is vectors
+    total, asked_total = np.zeros(len(reps), np.int64), np.zeros(len(asked), np.int64)
+    shift = 0 if same else len(asked)
+    label = np.arange(shift + len(reps))
+    rows = max(1, flatgraph.PAIRS // max(1, len(reps)))
+    for a in range(0, len(asked), rows):
+        close = wanted[a : a + rows] @ vectors.T >= threshold
+        if same:
+            close[np.arange(len(close)), np.arange(a, a + len(close))] = False
+        else:
+            total += close.T @ asked_size[a : a + rows]
+        asked_total[a : a + rows] = close @ size
+        q, p = np.nonzero(close)
+        label = _stars(label[q + a], label[p + shift], len(label))[label]
+    every, linked = (reps, asked_total) if same else (np.concatenate([asked, reps]), np.concatenate([asked_total, total]))
+    least = np.full(len(every), np.iinfo(np.int64).max)
+    np.minimum.at(least, label, every)
+    keep = (linked > 0) | (every != least[label])
+    return pa.table({"rep": every[keep], "linked": linked[keep], "star": least[label][keep]})
+
+
+def _exact(classes: DataFrame, n: int, width: int, threshold: float) -> DataFrame:
+    """What ``_links`` gives, by comparing all classes with all in blocks."""
+    parts = -(-n // EXACT_ROWS)
+
+    def run(key, points: pa.Table, queries: pa.Table) -> pa.Table:
+        sides = []
+        for part in (points, queries):
+            sides += [part.column("rep").to_numpy(), part.column("size").to_numpy(), _matrix(part.column("vector"), width)]
+        if key[0].as_py() == key[1].as_py():
+            sides[3:] = sides[:3]
+        return _compared(*sides, threshold)
+
+    rows = classes.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(parts)))
+    points = rows.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), "part"))).withColumnRenamed("part", "to")
+    queries = rows.withColumn("to", F.explode(F.sequence("part", F.lit(parts - 1).cast("long")))).withColumnRenamed("part", "from")
+    found = points.groupBy("from", "to").cogroup(queries.groupBy("from", "to")).applyInArrow(run, "rep long, linked long, star long")
+    return materialize(found, "exact")
+
+
 def _links(classes: DataFrame, n: int, width: int, threshold: float, overlap: int, beam: int) -> DataFrame:
     """(``rep``, ``linked``, ``star``) per shard: linked rows of other classes, and a connected class."""
     spark = classes.sparkSession
@@ -221,14 +268,39 @@ def _true_links(classes: DataFrame, asked: pa.Table, width: int, threshold: floa
 
 
 def measured_recall(classes: DataFrame, found: DataFrame, n: int, width: int, threshold: float) -> float:
-    """Share of the true links of about AUDIT_ROWS classes that ``found`` holds (1.0 without links)."""
+    """Mean share of its own true links that a class has in ``found``, of about AUDIT_ROWS classes (1.0 without links).
+
+    Classes are taken apart by the power of two of their number of links, and the worst mean counts.
+    """
     draw = F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(1_000_000)) / 1_000_000
     asked = classes.filter(draw < min(1.0, AUDIT_ROWS / n)).select("rep", "vector").toArrow()
     if not asked.num_rows:
         return 1.0
     have = found.groupBy("rep").agg(F.sum("linked").alias("linked"))
-    sums = _true_links(classes, asked, width, threshold).join(have, "rep", "left").agg(F.sum("truth"), F.sum("linked")).first()
-    return 1.0 if not sums[0] else (sums[1] or 0) / sums[0]
+    truth = _true_links(classes, asked, width, threshold).filter("truth > 0").join(have, "rep", "left")
+    rows = sorted((r.truth, (r.linked or 0) / r.truth) for r in truth.collect())  # one per audited class
+    groups: list[list[float]] = []
+    level = 0
+    for links, share in rows:
+        if not groups or (links.bit_length() > level and len(groups[-1]) >= AUDIT_LEAST):
+            groups.append([])
+            level = links.bit_length()
+        groups[-1].append(share)
+    if len(groups) > 1 and len(groups[-1]) < AUDIT_LEAST:
+        few = groups.pop()
+        groups[-1] += few
+    return min((sum(x) / len(x) for x in groups), default=1.0)
+
+
+def _searched(classes: DataFrame, n: int, width: int, threshold: float) -> DataFrame:
+    """Links of classes of one length: searched until the audit is met, exact if it never is."""
+    shards = min(max(MIN_SHARDS, n // SHARD_ROWS), MAX_SHARDS)
+    overlap = 2 + (shards > 64) + (shards > 512)  # the more centres, the more pairs without a common one
+    for step in range(TRIES):
+        linked = _links(classes, n, width, threshold, overlap + step, flatgraph.BEAM * (1 + step))
+        if measured_recall(classes, linked, n, width, threshold) >= RECALL:
+            return linked
+    return _exact(classes, n, width, threshold)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -237,9 +309,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     Vectors link at a cosine of ``threshold`` or more, in double precision; ``n_links`` counts
     the other rows linked directly, equal vectors included.  Vectors that are null, zero or
     hold null or non-finite components, and rows without an id, link with nothing: they are
-    components of their own (a missing id has none) and kept.  Only vectors of the most
-    frequent length of the table are comparable; others link with nothing but equals.  Equal
-    ids are one node of the components.  Other columns are not read; an empty table gives an
+    components of their own (a missing id has none) and kept.  Only vectors of the same
+    length are comparable.  Equal ids are one node of the components.  Other columns are not read; an empty table gives an
     empty table.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
@@ -249,27 +320,36 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     # equal vectors make one class
     classes = valid.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
     classes = materialize(classes.select("rep", "size", "v", F.size("v").alias("width")), "classes")
-    usual = classes.groupBy("width").count().orderBy(F.desc("count"), "width").first()
+    lengths = classes.groupBy("width").count().orderBy(F.desc("count"), "width").filter("count > 1").collect()
     spark = vectors.sparkSession
-    linked = spark.createDataFrame([], "rep long, linked long, star long")
-    if usual is not None:
-        width, n = usual["width"], usual["count"]
-
-        def units(stream):
-            for batch in stream:
-                values = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                packed = [x.tobytes() for x in unit(values)] if len(values) else []
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["rep", "size", "vector"])
+    linked = spark.createDataFrame([], "width int, rep long, linked long, star long")
 
+    def units(stream):
+        for batch in stream:
+            values = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            packed = [x.tobytes() for x in unit(values.reshape(batch.num_rows, -1))] if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["rep", "size", "vector"])
+
+    def few(part: pa.Table) -> pa.Table:
+        width = part.column("width")[0].as_py()
+        part = part.sort_by("rep")
+        rows = [part.column("rep").to_numpy(), part.column("size").to_numpy(), unit(np.array(part.column("v").to_pylist()))]
+        out = _compared(*rows, *rows, threshold)
+        return out.add_column(0, "width", pa.array([width] * out.num_rows, pa.int32()))
+
+    for k, (width, n) in enumerate(lengths):
+        if k and n <= PART_ROWS:
+            break
         same = classes.filter(F.col("width") == width).select("rep", "size", "v")
         ready = materialize(same.mapInArrow(units, "rep long, size long, vector binary"), "units")
-        for step in range(TRIES):
-            linked = _links(ready, n, width, threshold, 2 + step, flatgraph.BEAM * (1 + step))
-            if measured_recall(ready, linked, n, width, threshold) >= RECALL:
-                break
+        linked = linked.unionByName(_searched(ready, n, width, threshold).withColumn("width", F.lit(width)))
+    rare = [x["width"] for k, x in enumerate(lengths) if k and x["count"] <= PART_ROWS]
+    if rare:  # lengths of few vectors, compared at once
+        some = classes.join(F.broadcast(spark.createDataFrame([(x,) for x in rare], "width int")), "width").select("width", "rep", "size", "v")
+        linked = linked.unionByName(materialize(some.groupBy("width").applyInArrow(few, linked.schema), "few"))
     stars = components(linked.filter("rep <> star").select(F.col("rep").alias("a"), F.col("star").alias("b")))
-    counts = linked.groupBy("rep").agg(F.sum("linked").alias("linked"))
-    known = classes.join(counts, "rep", "left").join(stars.withColumnRenamed("id", "rep"), "rep", "left")
+    counts = linked.groupBy("width", "rep").agg(F.sum("linked").alias("linked"))
+    known = classes.join(counts, ["width", "rep"], "left").join(stars.withColumnRenamed("id", "rep"), "rep", "left")
     known = materialize(known.select("v", "rep", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "known")
     good = valid.select("id", "v").join(known, "v").select("id", "n_links", "component_id")
     alone = rows.filter(~F.col("ok")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
