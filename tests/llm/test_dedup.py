@@ -139,3 +139,39 @@ def test_near_duplicates(spark, rows):
 @pytest.mark.parametrize("operator", [substring_dedup, line_dedup, near_duplicates])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).collect() == []
+
+
+def test_missing_and_repeated_ids_part(spark, monkeypatch):
+    """A third of the rows has no id, a third one id and text: no block holds more than a few, and results are whole."""
+    from vanecast.llm import blocks as B
+
+    monkeypatch.setattr(B, "BLOCK_BYTES", 4096)
+    word = [f"w{k}" for k in range(40)]
+    line = lambda rng: " ".join(rng.choice(word) for _ in range(9))
+    rng = random.Random(9)
+    common = [line(rng) for _ in range(4)]
+    text = lambda: "\n".join(rng.choice((line(rng), rng.choice(common), rng.choice(common).replace("w1", "x", 1))) for _ in range(5))
+    same = text()
+    data = [(k, text()) for k in range(200)] + [(None, text()) for _ in range(200)] + [(7777, same)] * 200
+    docs = frame(spark, data)
+    dealt, how = B.deal_rows(docs.selectExpr("doc_id id", "text"), "id", "text")
+    sizes = [r["count"] for r in dealt.groupBy("block").count().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 600 / how.blocks * 4
+    first = {}
+    for i, t in data:
+        for n, x in enumerate(t.split("\n")):
+            w = tuple(x.encode().split())
+            first[w] = min(first.get(w, (LAST, LAST)), (key(i), n))
+    order = sorted(first, key=first.get)
+    near = {x for k, x in enumerate(order) for y in order[:k] if first[y] < first[x] and len(x) >= 8 and within_one(list(x), list(y))}
+    want = []
+    for i, t in data:
+        left = [x for n, x in enumerate(t.split("\n")) if first[tuple(x.encode().split())] == (key(i), n) and tuple(x.encode().split()) not in near]
+        want.append((key(i), 5, 5 - len(left), "\n".join(left)))
+    got = [(key(r.doc_id), r.n_lines, r.n_removed, r.text) for r in line_dedup(docs).collect()]
+    assert sorted(got) == sorted(want)
+    out = substring_dedup(docs).collect()
+    again = {(r.doc_id, r.text) for r in out if r.doc_id == 7777}
+    assert len(out) == 600 and len(again) == 1
+    monkeypatch.undo()
+    assert sorted(map(str, substring_dedup(docs).collect())) == sorted(map(str, out))

@@ -1,6 +1,6 @@
 """Counting keys over all documents without shuffling the keys.
 
-Documents are dealt by a hash of their id to *blocks* of a few megabytes.  A block's keys
+Documents are dealt by a hash of their id, or of id and text, to *blocks* of a few megabytes.  A block's keys
 (64-bit hashes of windows, shingles, variants ...) become a partition sketch: the sorted
 cells of one row of a count-min sketch with their counts, delta-coded in byte planes, cut
 into slices by cell range.  Per slice one task adds up the sketches of all blocks and tells
@@ -19,8 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vanecast.session import materialize
+
 BLOCK_BYTES = 8 << 20  # text per block
 MIN_BLOCKS = 64  # an even deal on small inputs
+ROW_BYTES = 64  # that a row takes besides its text
 SLICE_CELLS = 1 << 25  # cells added up in one task: 64 MB of counters
 MIN_SLICES = 64
 MIN_CELLS = 1 << 20
@@ -53,6 +56,26 @@ def deal(docs: DataFrame, id_column: str, text_column: str, keys_per_byte: float
     return docs.withColumn("block", F.pmod(F.xxhash64(F.col(id_column)), F.lit(how.blocks))), how
 
 
+def deal_rows(docs: DataFrame, id_column: str, text_column: str, keys_per_byte: float = 1.0) -> tuple[DataFrame, Deal]:
+    """``docs`` with its ``block``, dealt by id and text, so that rows of a repeated or missing id part.
+
+    Rows that are equal in both and together exceed a block are dealt one by one; only they
+    are written out, so that every pass finds a row in the same block.
+    """
+    key = F.xxhash64(F.col(id_column), F.col(text_column))
+    size = F.octet_length(F.col(text_column))
+    sums = docs.groupBy(key.alias("key")).agg(F.sum(size).alias("size"), F.count("*").alias("rows"))
+    heavy = F.col("size") + F.col("rows") * ROW_BYTES > BLOCK_BYTES  # at most one key for each block of the input
+    total = sums.agg(F.sum("size").alias("size"), F.collect_list(F.when(heavy, F.col("key"))).alias("keys")).first()
+    how = Deal(total["size"] or 0, keys_per_byte)
+    if not total["keys"]:
+        return docs.withColumn("block", F.pmod(key, F.lit(how.blocks))), how
+    hot = F.array_contains(F.lit(total["keys"]).cast("array<bigint>"), key)
+    even = docs.filter(~hot).withColumn("block", F.pmod(key, F.lit(how.blocks)))
+    split = docs.filter(hot).withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(how.blocks)))
+    return even.unionByName(materialize(split, "split")), how
+
+
 def pack(values: np.ndarray) -> bytes:
     """Sorted distinct numbers as byte planes of their differences (zero planes compress away)."""
     steps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanecast.llm.blocks import Deal, add_up, deal, look_up, read_flags, sketch_rows
+from vanecast.llm.blocks import Deal, add_up, deal_rows, look_up, read_flags, sketch_rows
 from vanecast.llm.kernels import Ranges, Words, batches, find_words, mix, text_bytes
 
 LAST = (1 << 63) - 1  # stands for a missing id: later than every other
@@ -142,6 +142,7 @@ class Variant(NamedTuple):
     number: int
     h: int
     words: list[bytes]
+    row: int = -1  # of the block; ids may repeat
 
 
 def _variants(pieces: list[Piece], ids: np.ndarray, flags: pa.Table, min_words: int, how: Deal):
@@ -158,7 +159,7 @@ def _variants(pieces: list[Piece], ids: np.ndarray, flags: pa.Table, min_words:
         for i in own.tolist():
             a, b = int(lines.first[i]), int(lines.end[i])
             text = raw[words.start[a] : words.end[b - 1]].tobytes().split()
-            line = Variant(int(ids[lines.row[i]]), int(lines.number[i]), int(lines.h1[i].astype(np.int64)), text)
+            line = Variant(int(ids[lines.row[i]]), int(lines.number[i]), int(lines.h1[i].astype(np.int64)), text, int(lines.row[i]))
             yield int(mix(ranges.plain(lines.first[i : i + 1], lines.end[i : i + 1])).astype(np.int64)[0]), WHOLE, line
             if b - a >= min_words:
                 k = np.arange(a, b)
@@ -224,7 +225,7 @@ def _keep(min_words: int, how: Deal, carry: bool):
             for v, place, i, n, text in zip(*(remote.column(c).to_pylist() for c in ("h", "slice", "first_id", "first_line", "text")), strict=True):
                 far.setdefault((v, place), []).append(Variant(i, n, 0, text.encode().split()))
             for v, place, line in mine:
-                if line[:2] in near:
+                if (line.row, line.number) in near:
                     continue
                 same = local[v]
                 others = list(same.values()) if place == WHOLE else [same[p] for p in (place, WHOLE) if p in same]
@@ -232,14 +233,14 @@ def _keep(min_words: int, how: Deal, carry: bool):
                     if other[:2] >= line[:2]:
                         break
                     if within_one(line.words, other.words):
-                        near.add(line[:2])
+                        near.add((line.row, line.number))
                         break
         by_row = np.searchsorted(lines.row, np.arange(part.num_rows + 1))
         total, removed, texts = [], [], []
         column = part.column("text")
         for r in range(part.num_rows):
             own = range(by_row[r], by_row[r + 1])
-            out = {int(lines.number[i]) for i in own if gone[i] or (near and (int(ids[r]), int(lines.number[i])) in near)}
+            out = {int(lines.number[i]) for i in own if gone[i] or (r, int(lines.number[i])) in near}
             text = column[r].as_py()
             total.append(len(own))
             removed.append(len(out))
@@ -278,7 +279,7 @@ def line_dedup(
     """
     rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
     plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), *rest)
-    blocks, how = deal(plain, "id", "text")
+    blocks, how = deal_rows(plain, "id", "text")
     by_block = blocks.groupBy("block")
 
     distinct = by_block.applyInArrow(_distinct, "h1 long, h2 long, block long, id long, line long")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanecast.llm.blocks import FULL, Deal, deal, look_up, read_flags, repeated_cells
+from vanecast.llm.blocks import FULL, Deal, deal_rows, look_up, read_flags, repeated_cells
 from vanecast.llm.kernels import batches, find_words, text_bytes, window_hash, window_starts
 
 LAST = (1 << 63) - 1  # stands for a missing id: later than every other
@@ -119,7 +119,7 @@ def substring_dedup(docs: DataFrame, width: int = 13, id_column: str = "doc_id",
     missing id counts as later than all others and stays missing.  Other columns are not read.
     """
     plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    blocks, how = deal(plain, "id", "text", keys_per_byte=8)
+    blocks, how = deal_rows(plain, "id", "text", keys_per_byte=8)
     flags = repeated_cells(blocks, lambda part: _windows(part, width)[0], how)
     found = (
         blocks.groupBy("block")
