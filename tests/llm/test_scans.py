@@ -126,3 +126,43 @@ def test_head_without_its_end():
     for start in ("<body><p>", "<p>", "<div>", "<body><main><p>"):
         assert main_text(f"<html><head><meta charset=utf-8><title>T</title>{start}{LONG}") == LONG
     assert main_text(f"<html><head><title>T</title><nav><a href='/'>Home</a></nav><p>{LONG}") == LONG
+
+
+def test_gate_is_lossless_next_to_any_character(spark):
+    """Against all rules on texts with quotes, dashes, CJK and letters around the phrases."""
+    import random
+
+    import numpy as np
+
+    from vanecast.llm.kernels import LOWER, text_bytes
+    from vanecast.llm.licenses import keyword_gate, open_rules
+
+    rng, rules = random.Random(3), build_rules()
+    phrases = ["MIT License", "All rights reserved", "Apache Licenses", "Apache License, Version 2.0", "Licensed under CC BY-SA 4.0", "(c) 2020", "linux.org/licenses"]
+    phrases += ["GNU General Public License v3", "SPDX-License-Identifier: MIT", "creativecommons.org/licenses/by/4.0", "New BSD Licences", "not for commercial use"]
+    around = ["“", "”", "—", "…", "许可", "é", " ", "x", ".", "\n", "_", "3"]
+    texts = ["".join(rng.choice(around) + rng.choice(phrases) + rng.choice(around) for _ in range(rng.randint(0, 3))) for _ in range(600)] + [""]
+    import pyarrow as pa
+
+    raw, offsets = text_bytes(pa.array(texts))
+    low = LOWER[raw]
+    opened = open_rules(low, offsets, keyword_gate(rules))
+    every = set(range(len(rules)))
+    found = 0
+    for k in range(len(texts)):
+        part = low[offsets[k] : offsets[k + 1]].tobytes()
+        want = detect(part, rules, every)
+        found += len(want)
+        assert detect(part, rules, opened.get(k, set())) == want
+    assert found > 600 and open_rules(np.zeros(0, np.uint8), np.zeros(2, np.int64), keyword_gate(rules)) == {}
+    docs = spark.createDataFrame([(1, "“MIT License”"), (2, "“All rights reserved”"), (3, "Apache Licenses")], "doc_id long, text string")
+    labels = {r.doc_id: r.labels for r in license_scan(docs).collect()}
+    assert labels == {1: ["mit"], 2: ["reserved"], 3: ["apache"]}
+
+
+def test_only_contained_detections_are_suppressed():
+    from vanecast.llm.licenses import Rule
+
+    rule = lambda label, priority, expression: Rule(label, priority, ("a",), re.compile(expression), 0.5)
+    rules = [rule("best", 9, b"bc"), rule("overlaps", 5, b"cd"), rule("inside", 7, b"c"), rule("around", 3, b"abcde"), rule("late", 2, b"ab")]
+    assert [rules[i].label for i, _, _ in detect(b"abcde", rules, set(range(5)))] == ["around", "best", "overlaps"]

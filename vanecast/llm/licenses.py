@@ -1,18 +1,19 @@
 """License scans: ordered signature rules with a keyword gate and suppression of overlaps.
 
 A rule is a regular expression over the lower-cased text with a label, a priority and
-keywords; the expression runs only on texts that hold one of the keywords as a whole word,
-which is looked up among the hashes of all words at once.  The rules come from one table of licenses (names, versions, identifiers) and the
+keywords; the expression runs only on texts that hold one of the keywords, whatever letters
+stand next to it, which is looked up among the hashes of the distinct words of a batch.  The rules come from one table of licenses (names, versions, identifiers) and the
 forms in which a license is granted, named, linked or tagged.  Of overlapping detections the
-one with the higher priority stays, then the longer one, then the earlier rule; detections
-inside the interval of a better one are suppressed.  Base phrases are counted on the words
+one with the higher priority comes first, then the longer one, then the earlier rule; detections
+inside the interval of a better one are suppressed, those that only overlap one stay.  Base phrases are counted on the words
 of the text, whatever the rules find.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
+import unicodedata
+from bisect import bisect_left, bisect_right
 from typing import NamedTuple
 
 import numpy as np
@@ -27,6 +28,10 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 
 BASE_CONFIDENCE = 0.8
 
+# words of the gate end at every byte outside ASCII, too, as do those of regular expressions over bytes
+GATE = NOT_ALNUM.copy()
+GATE[0x80:] = True
+
 # fixed values: label; names (regular expressions); versions; SPDX stem; page of the text
 LICENSES = """
 apache ; apache(?: software)? license ; 1.0 1.1 2.0 ; apache ; apache.org/licenses
@@ -133,7 +138,7 @@ def _rule(label: str, priority: int, keywords: str, expression: str, confidence:
 
 
 def _keywords(name: str) -> str:
-    """A whole word that every match of ``name`` holds: the longest outside groups and classes."""
+    """Letters and digits that every match of ``name`` holds: the longest outside groups and classes."""
     plain = re.sub(r"\((?:[^()]|\([^()]*\))*\)\??", " ", name).replace("licen[cs]e", " ")
     return max(re.findall(r"[a-z0-9]+", re.sub(r"\[[^]]*\]", " ", plain)), key=len, default="license licence")
 
@@ -154,7 +159,7 @@ def build_rules() -> list[Rule]:
         rules.append(_rule(label, 75, keyword, rf"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?{name}", 0.95))
         rules.append(_rule(label, 65, keyword, rf"\b{name}", 0.8))
         rules.append(_rule(label, 85, "spdx", rf"spdx-license-identifier: ?{re.escape(stem)}(?![a-z0-9])", 1.0))
-        rules.append(_rule(label, 70, re.findall("[a-z0-9]+", page)[0], re.escape(page), 0.9))
+        rules.append(_rule(label, 70, max(re.findall("[a-z0-9]+", page), key=len), re.escape(page), 0.9))
     for kind, words in CC_KINDS.items():
         for version in CC_VERSIONS:
             v = re.escape(version)
@@ -170,41 +175,79 @@ def build_rules() -> list[Rule]:
     return rules
 
 
-def keyword_gate(rules: list[Rule]) -> tuple[np.ndarray, list[tuple[int, ...]]]:
-    """Hashes of all keywords in order, and the rules that each opens."""
+def keyword_gate(rules: list[Rule]) -> list[tuple[bytes, tuple[int, ...]]]:
+    """All keywords and the rules that each opens."""
     numbers: dict[str, list[int]] = {}
     for i, rule in enumerate(rules):
         for keyword in rule.keywords:
             numbers.setdefault(keyword, []).append(i)
-    hashes = np.concatenate([_hashes(k) for k in numbers])
-    order = np.argsort(hashes)
-    opened = [tuple(x) for x in numbers.values()]
-    return hashes[order], [opened[i] for i in order]
+    return [(k.encode(), tuple(x)) for k, x in numbers.items()]
+
+
+def open_rules(low: np.ndarray, offsets: np.ndarray, gate: list[tuple[bytes, tuple[int, ...]]]) -> dict[int, set[int]]:
+    """Rules to run per text: those with a keyword anywhere in a word (one letter: a whole word)."""
+    words = find_words(low, offsets, GATE)
+    _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
+    raw = low.tobytes()
+    listed = b"\n" + b"".join(raw[a:b] + b"\n" for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True))
+    starts = np.cumsum(words.end[at] - words.start[at] + 1) + 1  # of the next word
+    opens: dict[int, set[int]] = {}
+    for keyword, numbers in gate:
+        wanted = keyword if len(keyword) > 1 else b"\n" + keyword + b"\n"
+        places, place = [], listed.find(wanted)
+        while place >= 0:
+            places.append(place + len(wanted) - len(keyword) - (len(keyword) == 1))
+            place = listed.find(wanted, place + 1)
+        for k in set(np.searchsorted(starts, places, "right").tolist()):
+            opens.setdefault(k, set()).update(numbers)
+    some = np.zeros(len(at), bool)
+    some[list(opens)] = True
+    hits = np.flatnonzero(some[which]) if len(at) else at
+    opened: dict[int, set[int]] = {}
+    pairs = {*zip((np.searchsorted(words.first, hits, "right") - 1).tolist(), which[hits].tolist(), strict=True)}
+    for row, k in pairs:
+        opened.setdefault(row, set()).update(opens[k])
+    return opened
 
 
 def _hashes(phrase: str) -> np.ndarray:
     return find_words(*text_bytes(pa.array([phrase])), NOT_ALNUM).hash
 
 
+def _letter(text: bytes, at: int, step: int) -> bool:
+    """Whether a letter outside ASCII of a script with capitals, such as é, ends or starts at a byte."""
+    near = text[max(0, at - 16) : at] if step < 0 else text[at : at + 16]
+    one = near.decode(errors="ignore")[-1 if step < 0 else 0 :][:1]
+    return one > "\x7f" and (one.lower() != one.upper() or unicodedata.combining(one) > 0)
+
+
+def _apart(m: re.Match) -> bool:
+    """Whether the word borders of a rule hold for letters outside ASCII, too."""
+    text, pattern = m.string, m.re.pattern
+    if pattern.startswith(b"\\b") and _letter(text, m.start(), -1):
+        return False
+    return not (pattern.endswith(b"\\b") and _letter(text, m.end(), 1))
+
+
 def detect(text: bytes, rules: list[Rule], opened: set[int]) -> list[tuple[int, int, int]]:
     """Surviving detections (rule, start, end) of the opened rules in one lower-cased text, by start."""
     found = []
     for i in opened:
-        found += [(i, m.start(), m.end()) for m in rules[i].pattern.finditer(text) if m.end() > m.start()]
-    # better ones first; a detection goes if a better one overlaps it
+        found += [(i, m.start(), m.end()) for m in rules[i].pattern.finditer(text) if m.end() > m.start() and _apart(m)]
+    # better ones first; a detection goes if it lies inside a better one
     found.sort(key=lambda x: (-rules[x[0]].priority, x[1] - x[2], x[1], x[0]))
     kept: list[tuple[int, int, int]] = []
-    starts: list[int] = []
-    by_start: dict[int, tuple[int, int, int]] = {}
+    starts: list[int] = []  # of the kept intervals inside no other one, and their ends
+    ends: list[int] = []
     for one in found:
         _, a, b = one
-        at = bisect_left(starts, a)
-        left = by_start[starts[at - 1]] if at else None
-        right = by_start[starts[at]] if at < len(starts) else None
-        if (left and left[2] > a) or (right and right[1] < b):
+        at = bisect_right(starts, a)
+        if at and ends[at - 1] >= b:
             continue
-        insort(starts, a)
-        by_start[a] = one
+        at = stop = bisect_left(starts, a)
+        while stop < len(ends) and ends[stop] <= b:
+            stop += 1
+        starts[at:stop], ends[at:stop] = [a], [b]
         kept.append(one)
     return sorted(kept, key=lambda x: x[1])
 
@@ -249,7 +292,7 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     kind = pa.struct([("label", pa.string()), ("priority", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scan(stream):
-        keywords, opens = keyword_gate(rules)
+        gate = keyword_gate(rules)
         for batch in stream:
             raw, offsets = text_bytes(batch.column(1))
             n = len(offsets) - 1
@@ -271,12 +314,7 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                     sure.setdefault(row, {})[names[k]] = BASE_CONFIDENCE
                 for row, own_base in sure.items():
                     base[a + row] = sorted(map(str, own_base))
-                at = np.minimum(np.searchsorted(keywords, words.hash), len(keywords) - 1)
-                hits = np.flatnonzero(keywords[at] == words.hash)
-                opened: dict[int, set[int]] = {}
-                for row, k in zip((np.searchsorted(words.first, hits, "right") - 1).tolist(), at[hits].tolist(), strict=True):
-                    opened.setdefault(row, set()).update(opens[k])
-                for row, numbers in opened.items():
+                for row, numbers in open_rules(low, own, gate).items():
                     part = low[own[row] : own[row + 1]].tobytes()
                     wide = not part.isascii()
                     for r, s, e in detect(part, rules, numbers):
