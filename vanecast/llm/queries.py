@@ -240,3 +240,62 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vanecast.llm.embeddings import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# -- 11 -----------------------------------------------------------------------------
+
+# CRC-32 of the decimal id: bits shifted out of the reflected polynomial 0xEDB88320
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda s: ascii(s)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP11_SQL = f"""
+WITH c AS (SELECT doc_id, {WORDS_SQL.format("coalesce(text, '')")} AS w, {CRC_SQL.format("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM c),
+p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM g),
+t AS MATERIALIZED (SELECT doc_id, n, CASE WHEN a = n THEN w
+  ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM p),
+-- a run repeats at least six consecutive words one period later
+x AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT doc_id, w, unnest(range(n - 5)) AS i FROM t WHERE n >= 7)),
+e AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.s = b.s AND a.i < b.i),
+s AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+m AS (SELECT doc_id, q, min(i) AS i, count(*) + 5 + q AS l FROM s GROUP BY doc_id, q, island),
+r AS MATERIALIZED (SELECT doc_id, i, l, min(q) AS q FROM m WHERE l >= greatest(12, 2 * q) GROUP BY doc_id, i, l),
+best AS (SELECT doc_id, count(*) AS n_runs, min((-l, i, q)) AS b, string_agg(concat(i, ',', l, ',', q, chr(10)), '' ORDER BY i, q) AS runs FROM r GROUP BY doc_id),
+gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(range(i + q, i + l)) AS k FROM r) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b[2] AS start, CAST(-b[1] AS BIGINT) AS length, b[3] AS period,
+       CAST(1000 * -b[1] // b[3] AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(array_to_string(CASE WHEN ks IS NULL THEN w ELSE list_filter(w, lambda y, k: NOT list_contains(ks, k - 1)) END, ' '), '')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """The input of query 11: every tenth text by crc32(doc_id) repeats a period from one of its words on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    word = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, word).alias("w"))
+    n = F.nullif(F.size("w"), F.lit(0))
+    drawn = split.withColumns({"n": n, "a": F.col("g") % n}).withColumn("p", F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1)
+    places = F.expr("transform(sequence(0, n - 1), i -> get(w, cast(if(i < a, i, a + (i - a) % p) as int)))")
+    return drawn.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(places, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document: their number, the longest, digests of all and of the text without repetitions."""
+    from vanecast.llm.periodic import periodic_runs
+
+    out = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    ranked = F.expr("transform(runs, r -> struct(-r.length as l, r.start as s, r.period as q))")
+    best = F.array_min(ranked)
+    lines = F.expr("transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))")
+    return out.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"),
+        F.col("best.q").alias("period"),
+        F.expr("-1000 * best.l div best.q").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
