@@ -299,3 +299,22 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# -- 12 -----------------------------------------------------------------------------
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds, and all spans."""
+    from vanecast.llm.personal import BASE_KINDS, find_personal
+
+    out = find_personal(table(spark, sf_dir, "documents"))
+    shown = "transform({}, s -> concat(s.kind, ':', s.start, ':', s.`end`))"
+    base = f"filter(spans, s -> s.kind IN {BASE_KINDS})"
+    return out.select(
+        "doc_id",
+        *(F.expr(f"CAST(size(filter(spans, s -> s.kind = '{kind}')) AS BIGINT) AS n_{kind}") for kind in BASE_KINDS),
+        F.sha2(F.array_join(F.expr(shown.format(base)), ","), 256).alias("base_sha256"),
+        F.array_join(F.expr(shown.format("spans")), ",").alias("spans"),
+    )
