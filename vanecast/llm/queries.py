@@ -318,3 +318,40 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.expr(shown.format(base)), ","), 256).alias("base_sha256"),
         F.array_join(F.expr(shown.format("spans")), ",").alias("spans"),
     )
+
+
+# -- 13 -----------------------------------------------------------------------------
+
+OP13_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM t),
+x AS MATERIALIZED (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+g AS MATERIALIZED (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM x),
+n AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+f1 AS MATERIALIZED (SELECT lang, a, count(*) AS f FROM g GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, a, b, count(*) AS f FROM g WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS MATERIALIZED (SELECT lang, a, b, c, count(*) AS f FROM g WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+inside AS (SELECT lang, a, b, max(f) AS longer FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3) GROUP BY ALL),
+cuts AS (
+  SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM f2 LEFT JOIN inside USING (lang, a, b) JOIN f1 l ON l.lang = f2.lang AND l.a = f2.a JOIN f1 r ON r.lang = f2.lang AND r.a = f2.b
+  WHERE coalesce(100 * longer < 50 * f2.f, true)
+  UNION ALL
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 1, l.f, r.f
+  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.a = f3.a JOIN f2 r ON r.lang = f3.lang AND r.a = f3.b AND r.b = f3.c
+  UNION ALL
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, 2, l.f, r.f
+  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.a = f3.a AND l.b = f3.b JOIN f1 r ON r.lang = f3.lang AND r.a = f3.c),
+s AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+m AS (SELECT lang, phrase, a, min((score, k, l, r)) AS c FROM s GROUP BY ALL),
+o AS (SELECT lang, phrase, a, c[1] AS score, c[3] AS l, c[4] AS r, row_number() OVER (PARTITION BY lang ORDER BY c[1] DESC, a DESC, phrase) AS rank FROM m)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of each language by their weakest cut."""
+    from vanecast.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
