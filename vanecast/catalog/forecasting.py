@@ -10,6 +10,7 @@ from vanecast.catalog.base import R, SERIES_SQL, TS, events, query, r, series, t
 from vanecast.operators.metrics import history_mean
 from vanecast.operators.timegrid import grid_between
 from vanecast.plans import forecast
+from vanecast.plans.backtest import backtest_trained
 from vanecast.plans.forecast import TASKS, Origins
 from vanecast.plans.skill import forecast_skill
 
@@ -97,7 +98,8 @@ _ROWS = {name: task.rows for name, task in TASKS.items() if name != "Forecast4Ho
 
 @query("m25_backtest_daily", " UNION ALL ".join(_shown(backtest_sql(24, n), name) for name, n in _ROWS.items()))
 def m25_backtest_daily(spark, sf_dir):
-    return _show(forecast.all_tasks({name: _run(spark, sf_dir, DAILY, n) for name, n in _ROWS.items()}), "task")
+    longest = _run(spark, sf_dir, DAILY, max(_ROWS.values()))
+    return _show(forecast.tasks_within(longest, _ROWS), "task")
 
 
 @query("m26_backtest_four_hour", _shown(backtest_sql(4, 16, 16)))
@@ -115,6 +117,73 @@ def m27_backtest_short_lookback(spark, sf_dir):
     return _show(_run(spark, sf_dir, DAILY, 288, lookback=timedelta(days=2)))
 
 
+def trained_sql(step_hours: int, rows: int, subs: int = 1, lookback_days: int | None = None, two: bool = False, penalty: float = 0.0) -> str:
+    """Back-test with a regression per origin: of the value at the base time, or of it and the one a day before."""
+    ahead = f"INTERVAL {15 * rows} MINUTE"
+    since = "" if lookback_days is None else f"AND {{}} >= o.origin - INTERVAL {lookback_days} DAY"
+    features = "SELECT x.event_type, x.t, x.y AS x1, d.y AS x2 FROM s x LEFT JOIN s d ON d.event_type = x.event_type AND d.t = x.t - INTERVAL 1 DAY"
+    if two:
+        square = {i: f"(regr_sxx(y, x{i}) + {penalty})" for i in (1, 2)}
+        det = f"({square[1]} * {square[2]} - regr_sxy(x1, x2) ** 2)"
+        fit = f"""(regr_sxy(y, x1) * {square[2]} - regr_sxy(y, x2) * regr_sxy(x1, x2)) / {det} AS w1,
+            (regr_sxy(y, x2) * {square[1]} - regr_sxy(y, x1) * regr_sxy(x1, x2)) / {det} AS w2, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2"""
+        known, predicted = "x1 IS NOT NULL AND x2 IS NOT NULL", "my + w1 * (p.x1 - m1) + w2 * (p.x2 - m2)"
+    else:
+        fit, known = "CASE WHEN regr_sxx(y, x1) > 0 THEN regr_slope(y, x1) ELSE 0 END AS w1, CASE WHEN regr_sxx(y, x1) > 0 THEN regr_intercept(y, x1) ELSE avg(y) END AS w0", "x1 IS NOT NULL"
+        predicted = "w0 + w1 * p.x1"
+    return f"""SELECT event_type, origin, exec_point, date_time, y_pred, y_true FROM (
+    WITH s AS ({SERIES_SQL}), f AS ({features}),
+    o AS (SELECT unnest(generate_series(date_trunc('day', min(t))::TIMESTAMP + INTERVAL {WARM_UP_HOURS} HOUR, max(t), INTERVAL {step_hours} HOUR)) AS origin FROM s),
+    m AS (SELECT g.event_type, o.origin, avg(s.y) AS mean FROM (SELECT DISTINCT event_type FROM s) g CROSS JOIN o
+        LEFT JOIN s ON s.event_type = g.event_type AND s.t < o.origin {since.format('s.t')} GROUP BY ALL),
+    b AS (SELECT f.*, l.t AS lt, l.y FROM f JOIN s l ON l.event_type = f.event_type AND l.t = f.t + {ahead} WHERE {known}),
+    c AS (SELECT event_type, origin, {fit} FROM b JOIN o ON lt < o.origin {since.format('lt')} GROUP BY ALL),
+    x AS (SELECT m.*, c.* EXCLUDE (event_type, origin), unnest(generate_series(m.origin, m.origin + INTERVAL {15 * (subs - 1)} MINUTE, INTERVAL 15 MINUTE)) AS exec_point
+        FROM m LEFT JOIN c ON c.event_type = m.event_type AND c.origin = m.origin),
+    w AS (SELECT *, unnest(generate_series(exec_point, exec_point + INTERVAL {15 * (rows - 1)} MINUTE, INTERVAL 15 MINUTE)) AS date_time FROM x)
+    SELECT w.event_type, w.origin, w.exec_point, w.date_time, coalesce({predicted}, w.mean) AS y_pred, a.y AS y_true FROM w
+    LEFT JOIN f p ON p.event_type = w.event_type AND p.t = w.date_time - {ahead}
+    LEFT JOIN s a ON a.event_type = w.event_type AND a.t = w.date_time)"""
+
+
+def _trained_shown(sql: str) -> str:
+    return f"""SELECT event_type, {TS('origin')} AS origin, {TS('exec_point')} AS exec_point, {TS('date_time')} AS date_time,
+    {R('y_pred', 4)} AS y_pred, {R('y_true', 4)} AS y_true FROM ({sql})"""
+
+
+def _run_trained(spark, sf_dir, step_hours, rows, subs=1, lookback=None, two=False, penalty=0.0):
+    s, features = series(spark, sf_dir), ["y"]
+    if two:
+        before = s.select("event_type", (F.col("t") + F.expr("INTERVAL '1' DAY")).alias("t"), F.col("y").alias("day_before"))
+        s, features = s.join(before, ["event_type", "t"], "left"), ["y", "day_before"]
+    out = backtest_trained(s, ["event_type"], "t", features, "y", origins_of(s, step_hours), rows, subs, lookback, penalty)
+    times = [ts(c).alias(c) for c in ("origin", "exec_point", "date_time")]
+    return out.select("event_type", *times, r("y_pred", 4).alias("y_pred"), r("y_true", 4).alias("y_true"))
+
+
+@query("m25_backtest_trained", _trained_shown(trained_sql(24, 96)))
+def m25_backtest_trained(spark, sf_dir):
+    """A regression of the value a day later on the value now, trained at each daily origin."""
+    return _run_trained(spark, sf_dir, DAILY, 96)
+
+
+@query("m25_backtest_trained_ridge", _trained_shown(trained_sql(24, 288, two=True, penalty=250.0)))
+def m25_backtest_trained_ridge(spark, sf_dir):
+    """Three days ahead from the value now and a day before, with a penalty."""
+    return _run_trained(spark, sf_dir, DAILY, 288, two=True, penalty=250.0)
+
+
+@query("m26_backtest_trained_four_hour", _trained_shown(trained_sql(4, 16, 16)))
+def m26_backtest_trained_four_hour(spark, sf_dir):
+    return _run_trained(spark, sf_dir, FOUR_HOURLY, 16, 16)
+
+
+@query("m27_backtest_trained_lookback", _trained_shown(trained_sql(24, 96, 1, 3)))
+def m27_backtest_trained_lookback(spark, sf_dir):
+    """Each origin learns from the labels of the three days before it."""
+    return _run_trained(spark, sf_dir, DAILY, 96, lookback=timedelta(days=3))
+
+
 def _summary_sql(sql: str) -> str:
     return f"""SELECT event_type, {TS('origin')} AS origin, {R('sqrt(sum((y_true - y_pred) ** 2))', 9)} AS rse,
     {R('coalesce(1 - sum((y_true - y_pred) ** 2) / nullif(var_pop(y_true) * count(*), 0), -1)', 4)} AS r2, count(*) AS n

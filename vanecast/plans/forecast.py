@@ -157,10 +157,9 @@ def summarize(results: DataFrame, by: Sequence[str]) -> DataFrame:
     return known.groupBy(*by).agg(rse(y, p).alias("rse"), r2(y, p).alias("r2"), F.count(F.lit(1)).alias("n"))
 
 
-def all_tasks(series_tasks: Mapping[str, DataFrame]) -> DataFrame:
-    """Back-tests of several tasks in one table."""
-    out = None
-    for name, rows in series_tasks.items():
-        part = rows.withColumn("task", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+def tasks_within(results: DataFrame, tasks: Mapping[str, int]) -> DataFrame:
+    """Back-tests of several tasks (name to number of quarters) from the one of the longest: each has its first quarters."""
+    quarter = F.expr(f"(unix_micros(date_time) - unix_micros(exec_point)) DIV {QUARTER * 60_000_000}")
+    lengths = F.array(*[F.struct(F.lit(name).alias("task"), F.lit(rows).alias("rows")) for name, rows in tasks.items()])
+    held = F.filter(lengths, lambda x: x["rows"] > quarter)
+    return results.withColumn("__task", F.explode(held)).select(*results.columns, F.col("__task.task").alias("task"))
