@@ -13,7 +13,6 @@ from vanecast.functions.registry import Feature, FeatureSet
 from vanecast.operators import clean, drift, groupstat, metrics, sampling, timegrid, weather
 from vanecast.operators.custom import per_group
 from vanecast.operators.joins import lookup_join
-from vanecast.operators.knn import neighbour_distance
 from vanecast.plans.features import enumerate_features
 from vanecast.plans.forecast import Origins, backtest_naive
 
@@ -104,34 +103,6 @@ def test_lookup_join_on_a_hot_key(spark):
         spark.conf.unset("spark.vanecast.groupRows")
 
 
-def brute(points, k):
-    out = []
-    for i, p in enumerate(points):
-        d = np.sqrt(((points - p) ** 2).sum(axis=1))
-        out.append(np.sort(np.delete(d, i))[:k].mean())
-    return np.array(out)
-
-
-@pytest.mark.parametrize("dims, clustered", [(2, True), (8, False)])
-def test_neighbours_against_brute_force(spark, dims, clustered):
-    """A third of the points are copies of one; blocks are far smaller than the data."""
-    rng = np.random.default_rng(5)
-    points = rng.normal(size=(180, dims)) + (rng.integers(0, 4, size=(180, 1)) * 40 if clustered else 0)
-    points[:60] = points[0]
-    points[60:64] = points[60]
-    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(points)], "id long, v array<double>")
-    out = neighbour_distance(df, "id", "v", 5, block_rows=10, max_pivots=6).orderBy("id").collect()
-    assert len(out) == 180
-    np.testing.assert_allclose([r["distance"] for r in out], brute(points, 5), atol=1e-9)
-
-
-def test_neighbours_of_few_rows(spark):
-    df = spark.createDataFrame([(0, [0.0]), (1, [3.0]), (2, [4.0])], "id long, v array<double>")
-    out = neighbour_distance(df, "id", "v", 10).orderBy("id").collect()
-    assert [r["distance"] for r in out] == [3.5, 2.0, 2.5]
-    assert neighbour_distance(df.limit(1), "id", "v", 3).first()["distance"] == 0.0
-
-
 def test_tails():
     assert chi_square_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-10)
     assert chi_square_tail(18.307038053275146, 10) == pytest.approx(0.05, abs=1e-10)

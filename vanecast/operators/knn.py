@@ -1,161 +1,289 @@
-"""Mean distance to the k nearest neighbours, exact, without all pairs in one place.
+"""Mean distance to the k nearest neighbours, exact, by a tree of pivots.
 
 1. Equal vectors are merged into one point with a multiplicity.
-2. Every point joins its nearest of a bounded set of pivots; cells are cut into
-   blocks of bounded size.
-3. Inside its own block each point finds k neighbours: an upper bound of its
-   true k-th distance.
-4. A point is compared with another block only if the triangle inequality
-   leaves the block's cell closer than its bound. Each comparison of the points
-   of two blocks is one numpy product that returns k distances per point.
-5. The lists of a point are merged into its k smallest distances.
-
-How much step 4 prunes depends on the data; the result does not.
+2. A tree is grown level by level: a node with too many points hands them to the nearest of
+   a few of its own points, its pivots. Nodes small enough for one task are *shelves*; inside
+   a shelf the tree goes on down to leaves. Each node knows its pivot and radius, and since
+   nodes shrink as the table grows, so do radii.
+3. Every shelf finds the neighbours of its points among its points: a bound of each k-th distance.
+4. From the root on, a point goes down to the nodes that its bound cannot exclude by the
+   triangle inequality, and asks each other shelf it reaches once. A shelf answers only
+   distances below the bound.
+5. The answers and a point's own list are cut to the k smallest.
+
+A point travels once per shelf it asks, never once per block of a few points or with a
+copy of the other side. How much step 4 excludes depends on the data; the result does not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vanecast.operators.joins import lookup_join
 from vanecast.session import materialize
 
-MAX_PIVOTS = 256
-BLOCK_ROWS = 2000
+LEAF_ROWS = 500
+SHELF_ROWS = 20_000
+FAN = 64  # pivots of a node
+PART_ROWS = 50_000  # points of a node handled by one task
+MAX_DEPTH = 10
+_CELLS = 4_000_000  # numbers of a temporary array
+
+
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks()
+    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+    return np.asarray(flat.flatten(), dtype=float).reshape(len(flat), -1)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Pairwise Euclidean distances, from differences so that close points stay exact."""
     out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
+    step = max(1, _CELLS // max(1, b.size))
     for i in range(0, len(a), step):
         out[i : i + step] = np.sqrt(((a[i : i + step, None, :] - b[None, :, :]) ** 2).sum(axis=2))
     return out
 
 
-def _nearest(d: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k smallest distances of each row and the multiplicities behind them."""
-    kk = min(k, d.shape[1])
-    at = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-    return np.take_along_axis(d, at, axis=1), np.minimum(weight[at], k)
+class Nearest:
+    """The k smallest distances of each row so far with their multiplicities, in order of distance."""
+
+    def __init__(self, rows: int, k: int):
+        self.k = k
+        self.d = np.full((rows, k), np.inf)
+        self.w = np.zeros((rows, k), np.int64)
+
+    @property
+    def bound(self) -> np.ndarray:
+        """Distance of the k-th neighbour counted with multiplicity; infinite if there are fewer."""
+        reached = np.cumsum(self.w, axis=1) >= self.k
+        return np.where(reached[:, -1], self.d[np.arange(len(self.d)), reached.argmax(axis=1)], np.inf)
+
+    def take(self, at: np.ndarray, d: np.ndarray, weight: np.ndarray) -> None:
+        """Offer rows ``at`` the distances ``d`` (rows x others); infinite ones do not count."""
+        if d.shape[1] > self.k:
+            near = np.argpartition(d, self.k - 1, axis=1)[:, : self.k]
+            d, weight = np.take_along_axis(d, near, axis=1), weight[near]
+        else:
+            weight = np.broadcast_to(weight, d.shape)
+        both = np.concatenate([self.d[at], d], axis=1)
+        weights = np.concatenate([self.w[at], np.where(np.isinf(d), 0, np.minimum(weight, self.k))], axis=1)
+        order = np.argsort(both, axis=1, kind="stable")[:, : self.k]
+        self.d[at] = np.take_along_axis(both, order, axis=1)
+        self.w[at] = np.take_along_axis(weights, order, axis=1)
+
+
+def _slack(bound: np.ndarray) -> np.ndarray:
+    return bound * (1 + 1e-9) + 1e-12
+
+
+class Shelf:
+    """Points of one shelf by leaf, and the search among them."""
+
+    def __init__(self, v: np.ndarray, weight: np.ndarray, leaf: np.ndarray):
+        order = np.argsort(leaf, kind="stable")
+        self.order, self.v, self.weight = order, v[order], weight[order]
+        cuts = np.flatnonzero(np.diff(leaf[order], prepend=-1, append=-1)) if len(leaf) else np.zeros(1, int)
+        self.spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+        self.centers = np.array([self.v[a:b].mean(axis=0) for a, b in self.spans])
+        self.radii = np.array([distances(self.v[a:b], c[None])[:, 0].max() for (a, b), c in zip(self.spans, self.centers, strict=True)])
+
+    def search(self, q: np.ndarray, near: Nearest, itself: np.ndarray | None = None) -> None:
+        """Offer each row of ``q`` the points of all leaves its bound cannot exclude, nearest leaves first."""
+        low = np.maximum(distances(q, self.centers) - self.radii, 0)
+        turn = np.argsort(low, axis=1, kind="stable")
+        for j in range(len(self.spans)):
+            leaf = turn[:, j]
+            open_ = low[np.arange(len(q)), leaf] <= _slack(near.bound)
+            if not open_.any():  # leaves to come are farther still
+                break
+            for at_leaf in np.unique(leaf[open_]):
+                a, b = self.spans[at_leaf]
+                rows = np.flatnonzero(open_ & (leaf == at_leaf))
+                step = max(1, _CELLS // (b - a))
+                for i in range(0, len(rows), step):
+                    part = rows[i : i + step]
+                    d = distances(q[part], self.v[a:b])
+                    if itself is not None:
+                        d[itself[part][:, None] == np.arange(a, b)[None, :]] = np.inf
+                    near.take(part, d, self.weight[a:b])
+
+
+def _grow(points: DataFrame, leaf_rows: int, shelf_rows: int, fan: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Points with ``leaf``, ``shelf`` and its ``part``; inner nodes' children; shelves with their number of parts.
 
+    ``children`` holds (parent, node, pivot, radius, shelf) of the nodes from the root down to the shelves.
+    """
+    id_type, v_type = dict(points.dtypes)["id"], dict(points.dtypes)["v"]
+    n = F.col("n")
+    state = points.withColumns({"leaf": F.lit(0).cast("long"), "shelf": F.lit(None).cast("long")})
+    levels: list[DataFrame] = []
+    schema = f"id {id_type}, v {v_type}, m long, leaf long, shelf long, r double"
 
-def _kth(d: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
-    """Distance of the k-th neighbour counted with multiplicity; infinite if there are fewer."""
-    order = np.argsort(d, axis=1)
-    ds, ws = np.take_along_axis(d, order, axis=1), np.take_along_axis(w, order, axis=1)
-    reached = np.cumsum(ws, axis=1) >= k
-    return np.where(reached.any(axis=1), ds[np.arange(len(ds)), reached.argmax(axis=1)], np.inf)
+    def split(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = left.select(["id", "v", "m"])
+        if not left.num_rows or not right.num_rows:
+            empty = pa.array([], pa.int64())
+            return out.slice(0, 0).append_column("leaf", empty).append_column("shelf", empty).append_column("r", pa.array([], pa.float64()))
+        pivots = _vectors(right.column("pivot"))
+        d = distances(_vectors(left.column("v")), pivots)
+        nearest = d.argmin(axis=1)
+        children = right.column("child").to_numpy()[nearest]
+        out = out.append_column("leaf", pa.array(children))
+        out = out.append_column("shelf", left.column("shelf"))
+        return out.append_column("r", pa.array(d[np.arange(len(d)), nearest]))
+
+    for _ in range(MAX_DEPTH):
+        sizes = state.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.first("shelf").alias("s"))
+        sizes = sizes.withColumn("s", F.coalesce("s", F.when(n <= shelf_rows, F.col("leaf"))))  # a node small enough becomes a shelf
+        big = sizes.where(n > leaf_rows)
+        # a node above the shelves is cut into shelves, one inside into leaves
+        aim = F.when(F.col("s").isNull(), F.lit(shelf_rows)).otherwise(F.lit(leaf_rows))
+        big = materialize(
+            big.select(F.col("leaf").alias("node"), "s", F.least(F.lit(fan), F.ceil(2 * n / aim)).alias("fan"), F.ceil(n / PART_ROWS).alias("parts")), "nodes"
+        )
+        if big.isEmpty():
+            state = state.join(sizes.select("leaf", "s"), "leaf").select("id", "v", "m", "leaf", F.coalesce("shelf", "s").alias("shelf"))
+            break
+        held = state.join(big, F.col("leaf") == F.col("node"), "left")
+        inside = held.where(F.col("node").isNotNull())
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("id"), "id"))
+        chosen = inside.select("node", "id", "v", "fan", "parts").withColumn("place", place).where(F.col("place") <= F.least(F.lit(fan), F.col("fan")))
+        chosen = materialize(chosen.select("node", "v", "parts", (F.col("node") * fan + F.col("place")).alias("child")), "pivots")
+        pivots = chosen.select(F.col("node").alias("of"), F.col("v").alias("pivot"), "child", F.explode(F.expr("sequence(0L, parts - 1)")).alias("p"))
+        dealt = inside.select("id", "v", "m", F.col("s").alias("shelf"), "node", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+        moved = dealt.groupBy("node", "part").cogroup(pivots.groupBy("of", "p")).applyInArrow(split, schema)
+        moved = materialize(moved, "moved")
+        radii = moved.groupBy("leaf").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"), F.first("shelf").alias("s"))
+        above = radii.where("s IS NULL").join(chosen.select(F.col("node").alias("parent"), F.col("child").alias("leaf"), F.col("v").alias("pivot")), "leaf")
+        levels.append(above.select("parent", F.col("leaf").alias("node"), "pivot", "radius", (F.col("n") <= shelf_rows).alias("is_shelf")))
+        rest = held.where(F.col("node").isNull())
+        settled = rest.join(sizes.select("leaf", F.col("s").alias("own")), "leaf").select("id", "v", "m", "leaf", F.coalesce("shelf", "own").alias("shelf"))
+        state = materialize(settled.unionByName(moved.select("id", "v", "m", "leaf", "shelf")), "state")
+    state = state.withColumn("shelf", F.coalesce("shelf", "leaf"))  # a node that no depth could make small is a shelf in parts
+    parts = state.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / shelf_rows).alias("parts"))
+    placed = state.join(parts, "shelf").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
+    children = None
+    for level in levels:
+        children = level if children is None else children.unionByName(level)
+    return materialize(placed, "placed"), children, parts
 
 
 def neighbour_distance(
-    df: DataFrame,
-    key: str,
-    vector: str,
-    k: int,
-    block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
+    df: DataFrame, key: str, vector: str, k: int, leaf_rows: int = LEAF_ROWS, shelf_rows: int = SHELF_ROWS, fan: int = FAN
 ) -> DataFrame:
-    """Adds ``distance``: mean distance to the ``k`` nearest other rows (all of them if fewer)."""
-    vec = F.transform(F.col(vector), lambda v: v.cast("double"))
-    rows = df.withColumn("__v", vec)
-    points = materialize(
-        rows.groupBy("__v").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("m")), "points"
-    )
+    """Adds ``distance``: mean distance to the ``k`` nearest other rows (all of them if fewer).
+
+    Rows whose vector is NULL, empty or holds a NULL or non-finite number have no distance
+    (NULL) and are nobody's neighbour. All other vectors have one length.
+    """
+    x = F.col(vector)
+    finite = F.forall(x, lambda e: F.coalesce(F.abs(e.cast("double")) < F.lit(float("inf")), F.lit(False)))
+    rows = df.withColumn("__v", F.when((F.size(x) > 0) & finite, x))
+    usable = rows.where(F.col("__v").isNotNull())
+    points = materialize(usable.groupBy(F.col("__v").alias("v")).agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("m")), "points")
     size = points.agg(F.count(F.lit(1)), F.sum("m")).first()
-    n, total = size[0], size[1] or 0
+    total = size[1] or 0
     k = min(k, total - 1)
     if k <= 0:
-        return rows.withColumn("distance", F.lit(0.0)).drop("__v")
-
-    # cells of about a quarter block, so that most blocks are one cell
-    wanted = max(1, min(max_pivots, n // max(1, block_rows // 4)))
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("__v").collect()
-    pivots = np.array([r[0] for r in chosen])
-
-    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            d = _distances(np.array(batch["__v"].tolist()), pivots)
-            cell = d.argmin(axis=1)
-            yield batch.assign(cell=cell.astype("int32"), r=d[np.arange(len(d)), cell])
-
-    schema = points.schema.simpleString()[7:-1]
-    celled = materialize(
-        points.mapInPandas(to_cells, f"{schema},cell int,r double"), "cells"
-    )
-    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("radius")).collect()
-    radius = np.full(len(pivots), -np.inf)
-    parts = np.ones(len(pivots), dtype=int)
-    for s in stats:
-        radius[s["cell"]] = s["radius"]
-        parts[s["cell"]] = -(-s["n"] // block_rows)
-    first_block = np.concatenate([[0], np.cumsum(parts)])[:-1]
-    cut = F.array(*[F.lit(int(p)) for p in parts])
-    start = F.array(*[F.lit(int(f)) for f in first_block])
-    blocks = celled.withColumn(
-        "block", (start[F.col("cell")] + F.pmod(F.xxhash64("id"), cut[F.col("cell")])).cast("int")
-    )
+        return rows.withColumn("distance", F.when(F.col("__v").isNotNull(), 0.0)).drop("__v")
+    id_type, v_type = dict(points.dtypes)["id"], dict(points.dtypes)["v"]
+    placed, children, parts = _grow(points, leaf_rows, shelf_rows, fan)
 
-    lists = "id " + dict(points.dtypes)["id"] + ", d array<double>, w array<bigint>"
-
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, m = np.array(pdf["__v"].tolist()), pdf["m"].to_numpy()
-        d = _distances(v, v)
-        np.fill_diagonal(d, np.inf)
-        kk = min(k, len(v))
-        dist, weight = _nearest(d, m, k) if len(v) > 1 else (np.full((1, 1), np.inf), np.zeros((1, 1), dtype=int))
-        # a point's own copies are neighbours at distance 0
-        dist = np.concatenate([np.zeros((len(v), 1)), dist[:, :kk]], axis=1)
-        weight = np.concatenate([np.minimum(m - 1, k)[:, None], weight[:, :kk]], axis=1)
-        weight = np.where(np.isinf(dist), 0, weight)
-        bound = _kth(np.where(weight > 0, dist, np.inf), weight, k)
-        to_pivots = _distances(v, pivots)
-        # cells that may hold a closer point than the bound
-        reachable = (to_pivots - radius[None, :] <= bound[:, None] * (1 + 1e-9) + 1e-12) & (radius >= 0)[None, :]
-        block = int(pdf["block"].iloc[0])
-        blocks_of = [[b for b in range(first_block[c], first_block[c] + parts[c]) if b != block] for c in range(len(parts))]
-        out = pd.DataFrame({"id": pdf["id"], "d": list(np.where(weight > 0, dist, 0.0)), "w": list(weight)})
-        out["__v"] = pdf["__v"]
-        out["block"] = block
-        out["near"] = [[b for c in np.flatnonzero(row) for b in blocks_of[c]] for row in reachable]
-        return out
-
-    own = materialize(
-        blocks.groupBy("block").applyInPandas(within, f"{lists}, __v array<double>, block int, near array<int>"), "own"
-    )
-    asked = own.select("block", F.explode("near").alias("other"), "id", "__v")
-    pairs = asked.select("block", "other").distinct()
-    # renamed throughout, since both sides come from the same table
-    answer = pairs.select(F.col("block").alias("b1"), F.col("other").alias("b2"))
-    others = blocks.select(F.col("block").alias("b2"), F.col("__v").alias("v2"), F.col("m").alias("m2")).join(answer, "b2")
-    others = others.select("b1", "b2", "v2", "m2")
-
-    def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "d": [], "w": []})
-        d = _distances(np.array(left["__v"].tolist()), np.array(right["v2"].tolist()))
-        dist, weight = _nearest(d, right["m2"].to_numpy(), k)
-        return pd.DataFrame({"id": left["id"], "d": list(dist), "w": list(weight)})
-
-    found = (
-        asked.groupBy("block", "other").cogroup(others.groupBy("b1", "b2")).applyInPandas(across, lists)
-    )
-    # one list per compared block, at most k entries each
-    every = own.select("id", "d", "w").unionByName(found)
-    merged = every.groupBy("id").agg(
-        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d", "w")))).alias("near")
+    def own(part: pa.Table) -> pa.Table:
+        v, weight = _vectors(part.column("v")), part.column("m").to_numpy()
+        shelf = Shelf(v, weight, part.column("leaf").to_numpy())
+        near = Nearest(len(v), k)
+        near.take(np.arange(len(v)), np.where(shelf.weight > 1, 0.0, np.inf)[:, None], np.ones(1, np.int64))
+        near.w[:, 0] = np.minimum(shelf.weight - 1, k)  # a point's own copies are neighbours at distance 0
+        shelf.search(shelf.v, near, itself=np.arange(len(v)))
+        out = part.select(["id", "v", "shelf", "part"]).take(pa.array(shelf.order))
+        out = out.append_column("bound", pa.array(near.bound))
+        out = out.append_column("d", pa.array(list(np.where(near.w > 0, near.d, 0.0)), pa.list_(pa.float64())))
+        return out.append_column("w", pa.array(list(near.w), pa.list_(pa.int64())))
+
+    mine = placed.groupBy("shelf", "part").applyInArrow(own, f"id {id_type}, v {v_type}, shelf long, part long, bound double, d array<double>, w array<long>")
+    mine = materialize(mine, "own")
+    lists = mine.select("id", F.explode(F.arrays_zip("d", "w")).alias("x")).select("id", "x.d", "x.w")
+    asked = _asks(mine, children, parts)
+    if asked is not None:
+        lists = lists.unionByName(_answers(placed, asked, k, f"id {id_type}, d double, w long"))
+    lists = lists.where("w > 0")
+    nearest = Window.partitionBy("id").orderBy("d")
+    first = lists.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k)
+    before = F.sum("w").over(nearest.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
+    used = F.greatest(F.least(F.col("w"), k - before), F.lit(0))
+    result = first.withColumn("used", used).groupBy("id").agg((F.sum(F.col("used") * F.col("d")) / k).alias("distance"))
+    by_vector = points.join(result, "id").select(F.col("v").alias("__v"), "distance")
+    return rows.join(by_vector, "__v", "left").select(*df.columns, "distance")
+
+
+def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> DataFrame | None:
+    """(id, v, bound, to, part): the other shelves that may hold a closer point than the bound of a point."""
+    asks = None
+    in_parts = mine.select("id", "v", "bound", F.col("shelf").alias("to"), F.col("part").alias("own")).join(
+        parts.where("parts > 1").withColumnRenamed("shelf", "to"), "to"
     )
-    start_state = F.struct(F.lit(k).cast("long").alias("left"), F.lit(0.0).alias("sum"))
+    siblings = in_parts.withColumn("p", F.explode(F.expr("sequence(0L, parts - 1)"))).where("p <> own").select("id", "v", "bound", "to", "p")
+    if children is None:
+        return None if siblings.isEmpty() else siblings
+    id_type, v_type = dict(mine.dtypes)["id"], dict(mine.dtypes)["v"]
+    schema = f"id {id_type}, v {v_type}, bound double, own long, node long, is_shelf boolean"
+
+    def descend(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            out = left.select(["id", "v", "bound", "own"]).slice(0, 0)
+            return out.append_column("node", pa.array([], pa.int64())).append_column("is_shelf", pa.array([], pa.bool_()))
+        d = distances(_vectors(left.column("v")), _vectors(right.column("pivot"))) - right.column("radius").to_numpy()
+        at, child = np.nonzero(d <= _slack(left.column("bound").to_numpy())[:, None])
+        out = left.select(["id", "v", "bound", "own"]).take(pa.array(at))
+        out = out.append_column("node", pa.array(right.column("node").to_numpy()[child]))
+        return out.append_column("is_shelf", pa.array(right.column("is_shelf").to_numpy()[child]))
+
+    children = materialize(children, "children")
+    front = mine.select("id", "v", "bound", F.col("shelf").alias("own"), F.lit(0).cast("long").alias("node"))
+    inner = children.select(F.col("parent").alias("node")).distinct()
+    while True:
+        counts = front.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies")).join(inner, "node")
+        counts = materialize(counts, "front")
+        if counts.isEmpty():
+            break
+        dealt = front.join(counts, "node").withColumn("p", F.pmod(F.xxhash64("id"), F.col("copies"))).drop("copies")
+        spread = counts.select(F.col("node").alias("parent"), "copies").join(children, "parent").withColumn("q", F.explode(F.expr("sequence(0L, copies - 1)")))
+        found = dealt.groupBy("node", "p").cogroup(spread.drop("copies").groupBy("parent", "q")).applyInArrow(descend, schema)
+        found = materialize(found, "descent")
+        ask = found.where("is_shelf AND node <> own").select("id", "v", "bound", F.col("node").alias("to"), F.lit(0).cast("long").alias("p"))
+        asks = ask if asks is None else asks.unionByName(ask)
+        # a node that is no shelf and has no children is a shelf in parts
+        dead = found.where("NOT is_shelf").join(inner, "node", "left_anti").where("node <> own").withColumnRenamed("node", "to")
+        dead = dead.join(parts.withColumnRenamed("shelf", "to"), "to").withColumn("p", F.explode(F.expr("sequence(0L, parts - 1)")))
+        asks = asks.unionByName(dead.select("id", "v", "bound", "to", "p"))
+        front = found.where("NOT is_shelf").drop("is_shelf")
+    return siblings if asks is None else asks.unionByName(siblings)
+
+
+def _answers(placed: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
+    """(id, d, w): at most k distances below its bound for each point and shelf it asked."""
+    asked = materialize(asked, "asked")
+    counts = asked.groupBy("to", "p").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies"))
+    dealt = asked.join(counts, ["to", "p"]).withColumn("c", F.pmod(F.xxhash64("id"), F.col("copies"))).drop("copies")
+    wanted = counts.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
+    shelves = placed.select(F.col("shelf").alias("to"), F.col("part").alias("p"), F.col("v").alias("v2"), F.col("m").alias("m2"), "leaf")
+    spread = shelves.join(wanted.select("to", "p", "copy"), ["to", "p"])
+    spread = spread.select(F.col("to").alias("s"), F.col("p").alias("t"), F.col("copy").alias("u"), "v2", "m2", "leaf")
 
-    def take(state, item):
-        used = F.least(state["left"], item["w"])
-        return F.struct((state["left"] - used).alias("left"), (state["sum"] + used * item["d"]).alias("sum"))
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return left.select(["id"]).slice(0, 0).append_column("d", pa.array([], pa.float64())).append_column("w", pa.array([], pa.int64()))
+        shelf = Shelf(_vectors(right.column("v2")), right.column("m2").to_numpy(), right.column("leaf").to_numpy())
+        bound = left.column("bound").to_numpy()
+        near = Nearest(left.num_rows, k)
+        near.d[:, -1], near.w[:, -1] = bound, np.where(np.isinf(bound), 0, k)  # nothing beyond the bound is wanted
+        shelf.search(_vectors(left.column("v")), near)
+        at, place = np.nonzero((near.w > 0) & (near.d < bound[:, None]))
+        out = left.select(["id"]).take(pa.array(at))
+        return out.append_column("d", pa.array(near.d[at, place])).append_column("w", pa.array(near.w[at, place]))
 
-    result = merged.select("id", F.aggregate("near", start_state, take, lambda s: s["sum"] / k).alias("distance"))
-    by_vector = points.join(result, "id").select("__v", "distance")
-    return lookup_join(rows, by_vector, ["__v"]).drop("__v")
+    return dealt.groupBy("to", "p", "c").cogroup(spread.groupBy("s", "t", "u")).applyInArrow(answer, schema)
