@@ -2,9 +2,9 @@
 
 1. Equal vectors are merged into one point with a multiplicity.
 2. A tree is grown level by level: a node with too many points hands them to the nearest of
-   a few of its own points, its pivots. Nodes small enough for one task are *shelves*; inside
-   a shelf the tree goes on down to leaves. Each node knows its pivot and radius, and since
-   nodes shrink as the table grows, so do radii.
+   a few of its own points, its pivots, down to *shelves*, nodes small enough for one task,
+   which deals its points to leaves alike. Each node knows its pivot and radius, and since
+   shelves keep their size while the table grows, radii shrink.
 3. Every shelf finds the neighbours of its points among its points: a bound of each k-th distance.
 4. From the root on, a point goes down to the nodes that its bound cannot exclude by the
    triangle inequality, and asks each other shelf it reaches once. A shelf answers only
@@ -62,12 +62,7 @@ class Nearest:
         return np.where(reached[:, -1], self.d[np.arange(len(self.d)), reached.argmax(axis=1)], np.inf)
 
     def take(self, at: np.ndarray, d: np.ndarray, weight: np.ndarray) -> None:
-        """Offer rows ``at`` the distances ``d`` (rows x others); infinite ones do not count."""
-        if d.shape[1] > self.k:
-            near = np.argpartition(d, self.k - 1, axis=1)[:, : self.k]
-            d, weight = np.take_along_axis(d, near, axis=1), weight[near]
-        else:
-            weight = np.broadcast_to(weight, d.shape)
+        """Offer rows ``at`` distances and their multiplicities; infinite ones do not count."""
         both = np.concatenate([self.d[at], d], axis=1)
         weights = np.concatenate([self.w[at], np.where(np.isinf(d), 0, np.minimum(weight, self.k))], axis=1)
         order = np.argsort(both, axis=1, kind="stable")[:, : self.k]
@@ -79,13 +74,55 @@ def _slack(bound: np.ndarray) -> np.ndarray:
     return bound * (1 + 1e-9) + 1e-12
 
 
+def closest(q: np.ndarray, v: np.ndarray, k: int, itself: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest rows of ``v`` for each row of ``q`` and their exact distances, infinite where there are fewer.
+
+    Products of matrices pick a few rows more than asked for, whose distances are then taken
+    from differences; a row for which the products' rounding could hide a nearer one is done
+    again with all differences. ``itself`` is the place of a row of ``q`` in ``v``, or -1.
+    """
+    more = k + 8
+    if len(v) <= 2 * more:
+        d = distances(q, v)
+        if itself is not None:
+            d[itself[:, None] == np.arange(len(v))] = np.inf
+        at = np.argsort(d, axis=1, kind="stable")[:, :k]
+        return at, np.take_along_axis(d, at, axis=1)
+    center = v.mean(axis=0)
+    a, b = q - center, v - center
+    a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rough = a2[:, None] + b2[None, :] - 2 * (a @ b.T)
+    if itself is not None:
+        own = np.flatnonzero(itself >= 0)
+        rough[own, itself[own]] = np.inf
+    at = np.argpartition(rough, more - 1, axis=1)[:, :more]
+    d = np.sqrt(((q[:, None, :] - v[at]) ** 2).sum(axis=2))
+    if itself is not None:
+        d[at == itself[:, None]] = np.inf
+    order = np.argsort(d, axis=1, kind="stable")[:, :k]
+    reach = np.take_along_axis(rough, at, axis=1).max(axis=1)  # no row left out is nearer than this
+    at, d = np.take_along_axis(at, order, axis=1), np.take_along_axis(d, order, axis=1)
+    error = 8 * np.finfo(float).eps * (q.shape[1] + 4) * (a2 + b2.max())
+    unsure = np.flatnonzero(~(reach - error > d[:, -1] ** 2))
+    if len(unsure):
+        full = distances(q[unsure], v)
+        if itself is not None:
+            full[itself[unsure][:, None] == np.arange(len(v))] = np.inf
+        at[unsure] = np.argsort(full, axis=1, kind="stable")[:, :k]
+        d[unsure] = np.take_along_axis(full, at[unsure], axis=1)
+    return at, d
+
+
 class Shelf:
-    """Points of one shelf by leaf, and the search among them."""
+    """Points of one shelf, dealt to leaves around some of them, and the search among them."""
 
-    def __init__(self, v: np.ndarray, weight: np.ndarray, leaf: np.ndarray):
+    def __init__(self, v: np.ndarray, weight: np.ndarray, leaf_rows: int):
+        wanted = -(-2 * len(v) // leaf_rows) if len(v) > leaf_rows else 1
+        pivots = v[np.random.default_rng(len(v)).choice(len(v), wanted, replace=False)]
+        leaf = np.concatenate([closest(v[i : i + 1000], pivots, 1)[0][:, 0] for i in range(0, len(v), 1000)])
         order = np.argsort(leaf, kind="stable")
         self.order, self.v, self.weight = order, v[order], weight[order]
-        cuts = np.flatnonzero(np.diff(leaf[order], prepend=-1, append=-1)) if len(leaf) else np.zeros(1, int)
+        cuts = np.flatnonzero(np.diff(leaf[order], prepend=-1, append=-1))
         self.spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         self.centers = np.array([self.v[a:b].mean(axis=0) for a, b in self.spans])
         self.radii = np.array([distances(self.v[a:b], c[None])[:, 0].max() for (a, b), c in zip(self.spans, self.centers, strict=True)])
@@ -102,73 +139,50 @@ class Shelf:
             for at_leaf in np.unique(leaf[open_]):
                 a, b = self.spans[at_leaf]
                 rows = np.flatnonzero(open_ & (leaf == at_leaf))
-                step = max(1, _CELLS // (b - a))
+                step = max(1, _CELLS // max(b - a, (near.k + 8) * q.shape[1]))
                 for i in range(0, len(rows), step):
                     part = rows[i : i + step]
-                    d = distances(q[part], self.v[a:b])
-                    if itself is not None:
-                        d[itself[part][:, None] == np.arange(a, b)[None, :]] = np.inf
-                    near.take(part, d, self.weight[a:b])
-
+                    own = None if itself is None else np.where((itself[part] >= a) & (itself[part] < b), itself[part] - a, -1)
+                    at, d = closest(q[part], self.v[a:b], near.k, own)
+                    near.take(part, d, self.weight[a:b][at])
 
-def _grow(points: DataFrame, leaf_rows: int, shelf_rows: int, fan: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Points with ``leaf``, ``shelf`` and its ``part``; inner nodes' children; shelves with their number of parts.
 
-    ``children`` holds (parent, node, pivot, radius, shelf) of the nodes from the root down to the shelves.
-    """
+def _grow(points: DataFrame, shelf_rows: int, fan: int) -> tuple[DataFrame, DataFrame | None]:
+    """Points with their ``shelf``; the tree above as (parent, node, pivot, radius, is_shelf) from the root, node 0, down to the shelves."""
     id_type, v_type = dict(points.dtypes)["id"], dict(points.dtypes)["v"]
     n = F.col("n")
-    state = points.withColumns({"leaf": F.lit(0).cast("long"), "shelf": F.lit(None).cast("long")})
-    levels: list[DataFrame] = []
-    schema = f"id {id_type}, v {v_type}, m long, leaf long, shelf long, r double"
+    state, tree = points.withColumn("shelf", F.lit(0).cast("long")), None
 
     def split(left: pa.Table, right: pa.Table) -> pa.Table:
         out = left.select(["id", "v", "m"])
         if not left.num_rows or not right.num_rows:
-            empty = pa.array([], pa.int64())
-            return out.slice(0, 0).append_column("leaf", empty).append_column("shelf", empty).append_column("r", pa.array([], pa.float64()))
-        pivots = _vectors(right.column("pivot"))
-        d = distances(_vectors(left.column("v")), pivots)
-        nearest = d.argmin(axis=1)
-        children = right.column("child").to_numpy()[nearest]
-        out = out.append_column("leaf", pa.array(children))
-        out = out.append_column("shelf", left.column("shelf"))
-        return out.append_column("r", pa.array(d[np.arange(len(d)), nearest]))
+            return out.slice(0, 0).append_column("shelf", pa.array([], pa.int64())).append_column("r", pa.array([], pa.float64()))
+        pivots, v = _vectors(right.column("pivot")), _vectors(left.column("v"))
+        near = [closest(v[i : i + 1000], pivots, 1) for i in range(0, len(v), 1000)]
+        at, r = (np.concatenate([x[j][:, 0] for x in near]) for j in (0, 1))
+        return out.append_column("shelf", pa.array(right.column("child").to_numpy()[at])).append_column("r", pa.array(r))
 
     for _ in range(MAX_DEPTH):
-        sizes = state.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.first("shelf").alias("s"))
-        sizes = sizes.withColumn("s", F.coalesce("s", F.when(n <= shelf_rows, F.col("leaf"))))  # a node small enough becomes a shelf
-        big = sizes.where(n > leaf_rows)
-        # a node above the shelves is cut into shelves, one inside into leaves
-        aim = F.when(F.col("s").isNull(), F.lit(shelf_rows)).otherwise(F.lit(leaf_rows))
-        big = materialize(
-            big.select(F.col("leaf").alias("node"), "s", F.least(F.lit(fan), F.ceil(2 * n / aim)).alias("fan"), F.ceil(n / PART_ROWS).alias("parts")), "nodes"
-        )
+        big = state.groupBy("shelf").agg(F.count(F.lit(1)).alias("n")).where(n > shelf_rows)
+        big = big.select(F.col("shelf").alias("node"), F.least(F.lit(fan), F.ceil(2 * n / shelf_rows)).alias("fan"), F.ceil(n / PART_ROWS).alias("parts"))
+        big = materialize(big, "nodes")
         if big.isEmpty():
-            state = state.join(sizes.select("leaf", "s"), "leaf").select("id", "v", "m", "leaf", F.coalesce("shelf", "s").alias("shelf"))
             break
-        held = state.join(big, F.col("leaf") == F.col("node"), "left")
+        held = state.join(big, F.col("shelf") == F.col("node"), "left")
         inside = held.where(F.col("node").isNotNull())
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("id"), "id"))
-        chosen = inside.select("node", "id", "v", "fan", "parts").withColumn("place", place).where(F.col("place") <= F.least(F.lit(fan), F.col("fan")))
+        chosen = inside.select("node", "id", "v", "fan", "parts").withColumn("place", place).where(F.col("place") <= fan).where("place <= fan")
         chosen = materialize(chosen.select("node", "v", "parts", (F.col("node") * fan + F.col("place")).alias("child")), "pivots")
         pivots = chosen.select(F.col("node").alias("of"), F.col("v").alias("pivot"), "child", F.explode(F.expr("sequence(0L, parts - 1)")).alias("p"))
-        dealt = inside.select("id", "v", "m", F.col("s").alias("shelf"), "node", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
-        moved = dealt.groupBy("node", "part").cogroup(pivots.groupBy("of", "p")).applyInArrow(split, schema)
+        dealt = inside.select("id", "v", "m", "node", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+        moved = dealt.groupBy("node", "part").cogroup(pivots.groupBy("of", "p")).applyInArrow(split, f"id {id_type}, v {v_type}, m long, shelf long, r double")
         moved = materialize(moved, "moved")
-        radii = moved.groupBy("leaf").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"), F.first("shelf").alias("s"))
-        above = radii.where("s IS NULL").join(chosen.select(F.col("node").alias("parent"), F.col("child").alias("leaf"), F.col("v").alias("pivot")), "leaf")
-        levels.append(above.select("parent", F.col("leaf").alias("node"), "pivot", "radius", (F.col("n") <= shelf_rows).alias("is_shelf")))
-        rest = held.where(F.col("node").isNull())
-        settled = rest.join(sizes.select("leaf", F.col("s").alias("own")), "leaf").select("id", "v", "m", "leaf", F.coalesce("shelf", "own").alias("shelf"))
-        state = materialize(settled.unionByName(moved.select("id", "v", "m", "leaf", "shelf")), "state")
-    state = state.withColumn("shelf", F.coalesce("shelf", "leaf"))  # a node that no depth could make small is a shelf in parts
-    parts = state.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / shelf_rows).alias("parts"))
-    placed = state.join(parts, "shelf").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
-    children = None
-    for level in levels:
-        children = level if children is None else children.unionByName(level)
-    return materialize(placed, "placed"), children, parts
+        radii = moved.groupBy(F.col("shelf").alias("child")).agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"))
+        level = radii.join(chosen.select("node", "child", F.col("v").alias("pivot")), "child")
+        level = level.select(F.col("node").alias("parent"), F.col("child").alias("node"), "pivot", "radius", (n <= shelf_rows).alias("is_shelf"))
+        tree = level if tree is None else tree.unionByName(level)
+        state = materialize(held.where(F.col("node").isNull()).select("id", "v", "m", "shelf").unionByName(moved.select("id", "v", "m", "shelf")), "state")
+    return state, tree
 
 
 def neighbour_distance(
@@ -190,14 +204,20 @@ def neighbour_distance(
     if k <= 0:
         return rows.withColumn("distance", F.when(F.col("__v").isNotNull(), 0.0)).drop("__v")
     id_type, v_type = dict(points.dtypes)["id"], dict(points.dtypes)["v"]
-    placed, children, parts = _grow(points, leaf_rows, shelf_rows, fan)
+    if size[0] > shelf_rows:
+        shelves, children = _grow(points, shelf_rows, fan)
+        # a node that no depth could make small is a shelf in parts
+        parts = materialize(shelves.groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / shelf_rows).alias("parts")), "parts")
+        placed = shelves.join(parts, "shelf").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
+    else:
+        placed, children, parts = points.withColumns({"shelf": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}), None, None
 
     def own(part: pa.Table) -> pa.Table:
         v, weight = _vectors(part.column("v")), part.column("m").to_numpy()
-        shelf = Shelf(v, weight, part.column("leaf").to_numpy())
+        shelf = Shelf(v, weight, leaf_rows)
         near = Nearest(len(v), k)
-        near.take(np.arange(len(v)), np.where(shelf.weight > 1, 0.0, np.inf)[:, None], np.ones(1, np.int64))
-        near.w[:, 0] = np.minimum(shelf.weight - 1, k)  # a point's own copies are neighbours at distance 0
+        # a point's own copies are neighbours at distance 0
+        near.take(np.arange(len(v)), np.where(shelf.weight > 1, 0.0, np.inf)[:, None], shelf.weight[:, None] - 1)
         shelf.search(shelf.v, near, itself=np.arange(len(v)))
         out = part.select(["id", "v", "shelf", "part"]).take(pa.array(shelf.order))
         out = out.append_column("bound", pa.array(near.bound))
@@ -207,9 +227,8 @@ def neighbour_distance(
     mine = placed.groupBy("shelf", "part").applyInArrow(own, f"id {id_type}, v {v_type}, shelf long, part long, bound double, d array<double>, w array<long>")
     mine = materialize(mine, "own")
     lists = mine.select("id", F.explode(F.arrays_zip("d", "w")).alias("x")).select("id", "x.d", "x.w")
-    asked = _asks(mine, children, parts)
-    if asked is not None:
-        lists = lists.unionByName(_answers(placed, asked, k, f"id {id_type}, d double, w long"))
+    if parts is not None:
+        lists = lists.unionByName(_answers(placed, _asks(mine, children, parts), k, leaf_rows, f"id {id_type}, d double, w long"))
     lists = lists.where("w > 0")
     nearest = Window.partitionBy("id").orderBy("d")
     first = lists.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k)
@@ -220,7 +239,7 @@ def neighbour_distance(
     return rows.join(by_vector, "__v", "left").select(*df.columns, "distance")
 
 
-def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> DataFrame | None:
+def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> DataFrame:
     """(id, v, bound, to, part): the other shelves that may hold a closer point than the bound of a point."""
     asks = None
     in_parts = mine.select("id", "v", "bound", F.col("shelf").alias("to"), F.col("part").alias("own")).join(
@@ -228,7 +247,7 @@ def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> Data
     )
     siblings = in_parts.withColumn("p", F.explode(F.expr("sequence(0L, parts - 1)"))).where("p <> own").select("id", "v", "bound", "to", "p")
     if children is None:
-        return None if siblings.isEmpty() else siblings
+        return siblings
     id_type, v_type = dict(mine.dtypes)["id"], dict(mine.dtypes)["v"]
     schema = f"id {id_type}, v {v_type}, bound double, own long, node long, is_shelf boolean"
 
@@ -264,20 +283,20 @@ def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> Data
     return siblings if asks is None else asks.unionByName(siblings)
 
 
-def _answers(placed: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
+def _answers(placed: DataFrame, asked: DataFrame, k: int, leaf_rows: int, schema: str) -> DataFrame:
     """(id, d, w): at most k distances below its bound for each point and shelf it asked."""
     asked = materialize(asked, "asked")
     counts = asked.groupBy("to", "p").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies"))
     dealt = asked.join(counts, ["to", "p"]).withColumn("c", F.pmod(F.xxhash64("id"), F.col("copies"))).drop("copies")
     wanted = counts.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
-    shelves = placed.select(F.col("shelf").alias("to"), F.col("part").alias("p"), F.col("v").alias("v2"), F.col("m").alias("m2"), "leaf")
+    shelves = placed.select(F.col("shelf").alias("to"), F.col("part").alias("p"), F.col("v").alias("v2"), F.col("m").alias("m2"))
     spread = shelves.join(wanted.select("to", "p", "copy"), ["to", "p"])
-    spread = spread.select(F.col("to").alias("s"), F.col("p").alias("t"), F.col("copy").alias("u"), "v2", "m2", "leaf")
+    spread = spread.select(F.col("to").alias("s"), F.col("p").alias("t"), F.col("copy").alias("u"), "v2", "m2")
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return left.select(["id"]).slice(0, 0).append_column("d", pa.array([], pa.float64())).append_column("w", pa.array([], pa.int64()))
-        shelf = Shelf(_vectors(right.column("v2")), right.column("m2").to_numpy(), right.column("leaf").to_numpy())
+        shelf = Shelf(_vectors(right.column("v2")), right.column("m2").to_numpy(), leaf_rows)
         bound = left.column("bound").to_numpy()
         near = Nearest(left.num_rows, k)
         near.d[:, -1], near.w[:, -1] = bound, np.where(np.isinf(bound), 0, k)  # nothing beyond the bound is wanted
