@@ -102,20 +102,20 @@ def _gini_sql() -> str:
     area = "(sum(a * (n - {r} + 1)) / sum(a) - (max(n) + 1) / 2) / max(n)"
     return f"""WITH l AS (SELECT * FROM ({long}) WHERE p IS NOT NULL),
     k AS (SELECT feature, a, count(*) OVER (PARTITION BY feature) AS n,
-        row_number() OVER (PARTITION BY feature ORDER BY p, event_id) AS r,
-        row_number() OVER (PARTITION BY feature ORDER BY a, event_id) AS b FROM l)
+        rank() OVER (PARTITION BY feature ORDER BY p) + (count(*) OVER (PARTITION BY feature, p) - 1) / 2 AS r,
+        rank() OVER (PARTITION BY feature ORDER BY a) + (count(*) OVER (PARTITION BY feature, a) - 1) / 2 AS b FROM l)
     SELECT feature, {R(f"abs({area.format(r='r')} / ({area.format(r='b')}))")} AS gini FROM k GROUP BY feature"""
 
 
 def _gini(spark, sf_dir):
     e = masked(events(spark, sf_dir)).select("event_id", "value", "user_id", F.hour("ts").alias("hour"), "x")
-    return metrics.gini_table(e, "value", "event_id", list(_GINI_COLUMNS))
+    return metrics.gini_table(e, "value", list(_GINI_COLUMNS))
 
 
 @query("a9_gini", f"SELECT gini FROM ({_gini_sql()}) WHERE feature = 'user_id'")
 def a9_gini(spark, sf_dir):
     e = events(spark, sf_dir)
-    return metrics.gini_table(e, "value", "event_id", ["user_id"]).select(r("gini").alias("gini"))
+    return metrics.gini_table(e, "value", ["user_id"]).select(r("gini").alias("gini"))
 
 
 @query("a10_gini_table", _gini_sql())

@@ -71,7 +71,8 @@ def _gini_sql() -> str:
     )
     area = "(sum(a * (n - {r} + 1)) / sum(a) - (max(n) + 1) / 2) / max(n)"
     return f"""WITH o AS ({ORDER_SQL}), v AS ({_VALUES}), k AS (SELECT feature, a, count(*) OVER (PARTITION BY feature) AS n,
-        row_number() OVER (PARTITION BY feature ORDER BY p, l_orderkey) AS r, row_number() OVER (PARTITION BY feature ORDER BY a, l_orderkey) AS b FROM ({long}))
+        rank() OVER (PARTITION BY feature ORDER BY p) + (count(*) OVER (PARTITION BY feature, p) - 1) / 2 AS r,
+        rank() OVER (PARTITION BY feature ORDER BY a) + (count(*) OVER (PARTITION BY feature, a) - 1) / 2 AS b FROM ({long}))
     SELECT feature, {R(f"abs({area.format(r='r')} / ({area.format(r='b')}))", 5)} AS gini FROM k GROUP BY feature"""
 
 
@@ -82,7 +83,7 @@ def m14_candidate_scores(spark, sf_dir):
     values = FeatureSet(_CANDIDATES).fit(rows).transform(rows)
     names = [f.name for f in _CANDIDATES]
     values = materialize(values.select("l_orderkey", "price", *[F.round(n, 9).alias(n) for n in names]), "candidates")
-    return metrics.gini_table(values, "price", "l_orderkey", names).select("feature", r("gini", 5).alias("gini"))
+    return metrics.gini_table(values, "price", names).select("feature", r("gini", 5).alias("gini"))
 
 
 @query("m14_search_round")
@@ -90,7 +91,7 @@ def m14_search_round(spark, sf_dir):
     """A whole round of the search up to the model: 128 candidates enumerated, computed and scored."""
     rows = materialize(order_rows(spark, sf_dir), "orders")
     found = features.enumerate_features(NUMERIC, CATEGORICAL, ordered=True, limit=ROUND_CANDIDATES)
-    scores = features.score_features(rows, found, "price", "l_orderkey", ["flag"], ["l_orderkey"])
+    scores = features.score_features(rows, found, "price", ["flag"], ["l_orderkey"])
     return metrics.top_features(scores, NUMERIC).select("feature", r("gini").alias("gini"))
 
 
@@ -115,7 +116,7 @@ def m16_select_by_importance(spark, sf_dir):
 def m17_feature_search(spark, sf_dir):
     train, validation = split(kept_orders(spark, sf_dir))
     base = model.validation_score(model.fit(train, "gbt", ["discount"], "price"), validation, "price")
-    found = features.search_features(train, validation, "price", "l_orderkey", NUMERIC, CATEGORICAL, model.selector("price"), base)
+    found = features.search_features(train, validation, "price", NUMERIC, CATEGORICAL, model.selector("price"), base)
     log = spark.createDataFrame(found.log, "round int, candidates int, left_out int, scored int, kept int, score double")
     return log.withColumn("score", r("score", 4))
 

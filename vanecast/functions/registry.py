@@ -129,15 +129,16 @@ class FeatureSet:
                 rows = self._apply(rows, level, state)
         return self
 
-    def _apply(self, df: DataFrame, level: Mapping[str, Feature], state: dict) -> DataFrame:
+    def _apply(self, df: DataFrame, level: Mapping[str, Feature], state: dict, sizes: tuple[int, int] | None = None) -> DataFrame:
         todo = {n: f for n, f in level.items() if n not in df.columns}
+        given = df  # lookups add columns, never rows
         local = {n: ROW_LOCAL[f.op](*f.input_names()) for n, f in todo.items() if f.op in ROW_LOCAL}
         if local:
             df = df.select("*", *[c.alias(n) for n, c in local.items()])
         for keys, table in state["stats"].tables.items():
             names = [c for c in table.columns if c not in keys and c in todo]
             if names:
-                df = lookup_join(df, table.select(*keys, *names), list(keys))
+                df = lookup_join(df, table.select(*keys, *names), list(keys), unique=True)
         for n, f in todo.items():
             if f.op == "combine":
                 df = combine(df, state["combine"][n], *f.input_names(), n)
@@ -148,20 +149,25 @@ class FeatureSet:
             df = rolling_features(
                 df, self.group, self.order,
                 {n: Rolling(f.op, f.input_names()[0], f.span, (f.input_names() + [None])[1]) for n, f in rolling.items()},
+                sizes=sizes,
             )
         ewm = {n: f for n, f in todo.items() if f.op in EWM_OPS}
         if ewm:
             df = ewm_features(
                 df, self.group, self.order,
                 {n: Ewm(EWM_OPS[f.op], f.input_names()[0], f.span, (f.input_names() + [None])[1]) for n, f in ewm.items()},
+                sizes=sizes, source=given,
             )
         return df
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Input columns plus the requested features; helper columns of nested features are dropped."""
-        columns = df.columns
+        columns, sizes = df.columns, None
+        if any(f.op in ROLLING_OPS or f.op in EWM_OPS for level in self.levels for f in level.values()):
+            counts = df.groupBy(*self.group).count() if self.group else df.groupBy().count()
+            sizes = tuple(n or 0 for n in counts.agg(F.max("count"), F.sum("count")).first())
         for level, state in zip(self.levels, self.fitted, strict=True):
-            df = self._apply(df, level, state)
+            df = self._apply(df, level, state, sizes)
         return df.select(*columns, *[n for n in self.wanted if n not in columns])
 
     # -- storing ------------------------------------------------------------------

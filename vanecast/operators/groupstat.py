@@ -49,7 +49,7 @@ class FittedStats:
 
     def transform(self, df: DataFrame) -> DataFrame:
         for keys, table in self.tables.items():
-            df = lookup_join(df, table, list(keys))
+            df = lookup_join(df, table, list(keys), unique=True)
         return df
 
 
@@ -99,7 +99,7 @@ def fit_combined(train: DataFrame, a: str, b: str) -> DataFrame:
 
 def combine(df: DataFrame, codes: DataFrame, a: str, b: str, name: str) -> DataFrame:
     text = F.concat(_number_text(df, a), F.lit("_"), _number_text(df, b))
-    out = lookup_join(df.withColumn("__text", text), codes, ["__text"])
+    out = lookup_join(df.withColumn("__text", text), codes, ["__text"], unique=True)
     return out.withColumnRenamed("__code", name).drop("__text")
 
 

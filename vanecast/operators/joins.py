@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from vanecast.session import broadcast_rows, group_rows, sized
 
+# A lookup that is broadcast takes at most this much memory in each executor.
+BROADCAST_BYTES = 256 << 20
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join in which a NULL key equals a NULL key; right keys are dropped."""
@@ -21,13 +24,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def _bytes(kept: DataFrame) -> int:
+    """Size of a table that has just been kept and counted."""
+    return int(str(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, keys: list[str], broadcast_limit: int | None = None
+    left: DataFrame, lookup: DataFrame, keys: list[str], broadcast_limit: int | None = None, unique: bool = False
 ) -> DataFrame:
     """Left join to a table that is unique per key.
 
-    The lookup is counted first, and several rows for one key are an error. Small: broadcast, so the left side is not
-    shuffled. Large: a shuffle join in which each key holding more than
+    The lookup is counted first, and several rows for one key are an error; ``unique`` says that they are grouped
+    by the key already. Small, in rows and in bytes: broadcast, so the left side is not shuffled. Large: a shuffle join in which each key holding more than
     ``group_rows`` left rows (NULL included) is spread over as many salts as it
     needs, and its one lookup row is copied to each. There are at most
     rows / group_rows such keys and copies, so their list may be broadcast.
@@ -35,10 +43,12 @@ def lookup_join(
     spark = left.sparkSession
     limit = broadcast_rows(spark) if broadcast_limit is None else broadcast_limit
     lookup, rows = sized(lookup)
-    known = lookup.dropna(subset=list(keys))
-    if known.count() > known.select(*keys).distinct().count():
-        raise ValueError(f"the lookup has several rows for one value of {keys}")
-    if rows <= limit:
+    if not unique:  # a NULL in the key counts on neither side
+        keyed = F.count_if(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True)))
+        many, distinct = lookup.agg(keyed, F.count_distinct(*keys)).first()
+        if many > distinct:
+            raise ValueError(f"the lookup has several rows for one value of {keys}")
+    if rows <= limit and _bytes(lookup) <= BROADCAST_BYTES:
         return left.join(F.broadcast(lookup), keys, "left")
     most = group_rows(spark)
     salts = F.ceil(F.col("count") / most).cast("int").alias("__salts")
@@ -71,7 +81,7 @@ def left_on_time(tower: DataFrame, fans: DataFrame, time: str) -> DataFrame:
 
 def _mark_known(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """``__known`` is true where the key occurs in ``keys``; hot keys are spread as in ``lookup_join``."""
-    return lookup_join(df, keys.select(*on).distinct().withColumn("__known", F.lit(True)), on)
+    return lookup_join(df, keys.select(*on).distinct().withColumn("__known", F.lit(True)), on, unique=True)
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ per distinct score, which is a partial aggregate, and on ``OrderedRows``.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,14 +15,12 @@ from pyspark.sql import types as T
 
 from vanecast.operators.joins import lookup_join, scalar_join
 from vanecast.operators.ordered import OrderedRows
-from vanecast.session import materialize, sized
+from vanecast.operators.ranks import rank_sums
+from vanecast.session import sized
 
 # Installed capacity and tolerated relative deviation.
 CAPACITY, TOLERANCE = 147.0, 0.25
 
-# Columns turned into rows by one generated loop; more make it too long to be compiled.
-UNPIVOT_COLUMNS = 16
-
 Metric = Callable[[Column, Column], Column]
 
 
@@ -193,57 +190,17 @@ def _gini_area(weighted: Column, total: Column, n: Column) -> Column:
     return (F.try_divide((n + 1) * total - weighted, total) - (n + 1) / 2) / n
 
 
-def _gini_best(rows: DataFrame, known: Mapping[str, int], total: int, max_rows: int | None) -> DataFrame:
-    """Area of the target ranked by itself, per column over the rows where the column is known.
-
-    One order of (target, key) serves all columns: the place among known rows is
-    a running count. Columns without NULLs share one of them.
-    """
-    partial = [c for c, n in known.items() if n < total]
-    flags = rows.select("a", "key", *[F.col(c).isNotNull().cast("int").alias(f"k_{c}") for c in partial])
-    counts = {"r": F.lit(1).cast("long"), **{f"r_{c}": F.col(f"k_{c}").cast("long") for c in partial}}
-    placed = OrderedRows(flags, [], ["a", "key"], max_rows, (total, total)).running_sum(counts)
-    a = F.col("a")
-    aggs = [_gini_area(F.sum(a * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("whole")]
-    for c in partial:
-        mine = F.col(f"k_{c}") == 1
-        aggs.append(_gini_area(F.sum(F.when(mine, a * F.col(f"r_{c}"))), F.sum(F.when(mine, a)), F.count(F.when(mine, 1))).alias(c))
-    cells = ", ".join(f"'{c}', `{c if c in partial else 'whole'}`" for c in known)
-    return placed.agg(*aggs).select(F.expr(f"stack({len(known)}, {cells}) as (name, best)"))
-
-
-def gini_table(
-    df: DataFrame, target: str, key: str, columns: Sequence[str], max_rows: int | None = None
-) -> DataFrame:
+def gini_table(df: DataFrame, target: str, columns: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """Normalised gini of every column against the target, rows with a NULL column masked.
 
-    Ranks are places in the total order (value, key) inside each feature. One
-    job scores all columns; they travel under short numbers.
+    Rows with equal values share the mean of their places, so the result depends on no order.
+    One job scores all columns. A column that is never known has no row.
     """
-    ids = {f"c{i}": c for i, c in enumerate(columns)}
-    rows = df.select(
-        F.col(target).cast("double").alias("a"), F.col(key).alias("key"), *[F.col(c).cast("double").alias(i) for i, c in ids.items()]
-    )
-    if len(ids) > UNPIVOT_COLUMNS:
-        rows = materialize(rows, "scored")  # read once per part below
-    sizes = rows.agg(F.count(F.lit(1)).alias("total"), *[F.count(i).alias(i) for i in ids]).first().asDict()
-    total = sizes.pop("total")
-    number = F.substring("id", 2, 9).cast("int").alias("id")
-    parts = [
-        rows.unpivot(["a", "key"], list(ids)[i : i + UNPIVOT_COLUMNS], "id", "value").select("a", "key", number, "value")
-        for i in range(0, len(ids), UNPIVOT_COLUMNS)
-    ]
-    long = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
-    largest, cells = max(sizes.values(), default=0), sum(sizes.values())
-    placed = OrderedRows(long, ["id"], ["value", "key"], max_rows, (largest, cells)).positions("r")
-    scores = placed.groupBy("id").agg(
-        _gini_area(F.sum(F.col("a") * F.col("r")), F.sum("a"), F.count(F.lit(1))).alias("g")
-    )
-    names = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    scores = scores.withColumn("name", F.concat(F.lit("c"), "id"))
-    # one row per column on both sides
-    return scores.join(F.broadcast(_gini_best(rows, sizes, total, max_rows)), "name").select(
-        names[F.col("name")].alias("feature"), F.abs(F.try_divide(F.col("g"), F.col("best"))).alias("gini")
+    n, total = F.col("n"), F.col("total")
+    mine, best = _gini_area(F.col("weighted"), total, n), _gini_area(F.col("best"), total, n)
+    names = F.array(*[F.lit(c) for c in columns])
+    return rank_sums(df, target, columns, max_rows).select(
+        F.get(names, F.col("i").cast("int")).alias("feature"), F.abs(F.try_divide(mine, best)).alias("gini")
     )
 
 

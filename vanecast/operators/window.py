@@ -103,10 +103,11 @@ def rolling_features(
     order: Sequence[OrderItem],
     specs: Mapping[str, Rolling],
     max_rows: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """All rolling features in one select over one sort."""
+    """All rolling features in one select over one sort; ``sizes`` as in ``OrderedRows``."""
     reach = max(spec.n for spec in specs.values())
-    rows = OrderedRows(df, group, order, max_rows)
+    rows = OrderedRows(df, group, order, max_rows, sizes)
     return rows.rolling(reach, lambda w: {name: rolling_column(s, w) for name, s in specs.items()})
 
 
@@ -160,11 +161,14 @@ def ewm_features(
     order: Sequence[OrderItem],
     specs: Mapping[str, Ewm],
     max_rows: int | None = None,
+    sizes: tuple[int, int] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Exponentially weighted statistics; a row with a NULL input repeats the last value.
 
     Weights count rows, so a NULL keeps its place. All spans are one pass over
-    blocks that are preceded by the rows that still have weight.
+    blocks that are preceded by the rows that still have weight. ``sizes`` as in
+    ``OrderedRows``; ``source`` has the same rows as ``df`` where that is a longer way.
     """
     alphas = {name: min(2 / (spec.span + 1), 1.0) for name, spec in specs.items()}
     reach = max(_reach(a) for a in alphas.values())
@@ -174,15 +178,16 @@ def ewm_features(
         series = dict(zip(inputs, map(pd.Series, columns), strict=True))
         return [_ewm_values(s, alphas[n], series[s.x], series[s.y or s.x]) for n, s in specs.items()]
 
-    rows = OrderedRows(df, group, order, max_rows)
+    rows = OrderedRows(df, group, order, max_rows, sizes)
     out = rows.in_tables(max(BLOCK_ROWS, 4 * reach), reach, inputs, list(specs), compute)
     gaps = F.lit(False)
     for spec in specs.values():
         gaps = gaps | F.col(spec.x).isNull()
         if spec.y:
             gaps = gaps | F.col(spec.y).isNull()
-    if not df.select(F.max(gaps.cast("int"))).first()[0]:
+    read = source if source is not None and set(inputs) <= set(source.columns) else df
+    if not read.select(F.max(gaps.cast("int"))).first()[0]:
         return out
     names = list(specs)
-    filled = OrderedRows(out.withColumnsRenamed({n: f"__e_{n}" for n in names}), group, order, max_rows)
+    filled = OrderedRows(out.withColumnsRenamed({n: f"__e_{n}" for n in names}), group, order, max_rows, sizes)
     return filled.fill_forward({n: F.col(f"__e_{n}") for n in names}).drop(*[f"__e_{n}" for n in names])

@@ -51,12 +51,11 @@ def enumerate_features(
     return list(out.values())[:limit]
 
 
-def score_features(
-    train: DataFrame, features: Sequence[Feature], target: str, key: str, group: Sequence[str] = (), order: Sequence[str] = ()
-) -> DataFrame:
+def score_features(train: DataFrame, features: Sequence[Feature], target: str, group: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """Gini of every candidate: one transform and one scoring job."""
     values = FeatureSet(features, group, order).fit(train).transform(train)
-    return gini_table(values, target, key, [f.name for f in features])
+    names = [f.name for f in features]
+    return gini_table(materialize(values.select(target, *names), "candidates"), target, names)  # counted, then ranked
 
 
 def transform_parts(fitted: FeatureSet, train: DataFrame, validation: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +80,6 @@ def search_features(
     train: DataFrame,
     validation: DataFrame,
     target: str,
-    key: str,
     numeric: Sequence[str],
     categorical: Sequence[str],
     select: Callable[[DataFrame, DataFrame, list[str], list[str]], tuple[float, list[str]]],
@@ -111,7 +109,7 @@ def search_features(
         if not fresh:
             break
         tried |= {f.name for f in fresh}
-        scores = score_features(train, fresh, target, key, group, order)
+        scores = score_features(train, fresh, target, group, order)
         best = scores.orderBy(F.col("gini").desc_nulls_last(), "feature").limit(top).collect()
         by_name = {f.name: f for f in fresh}
         candidates = [by_name[r["feature"]] for r in best]

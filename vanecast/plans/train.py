@@ -67,7 +67,7 @@ def train_run(
     baseline = validation_score(base, validation, target, classification)
     choose = selector(target, first, classification, **params)
     found = search_features(
-        train, validation, target, key, numeric, categorical, choose, baseline, rounds, group, order, limit=candidates
+        train, validation, target, numeric, categorical, choose, baseline, rounds, group, order, limit=candidates
     )
     fitted = FeatureSet(found.features, group, order).fit(train)
     columns = [*numeric, *[f.name for f in found.features]]
