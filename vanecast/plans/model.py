@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
@@ -19,12 +19,10 @@ from vanecast.operators.clean import round_probability
 from vanecast.operators.drift import accuracy
 from vanecast.operators.groupstat import decode_labels
 from vanecast.operators.metrics import r2
+from vanecast.plans.boosting import DEPTH, RATE, class_probabilities, fit_boosted
 from vanecast.session import materialize
 from vanecast.sources.readers import folder_exists, load_run
 
-# Fixed values of the boosted baseline: about 31 leaves per tree, learning rate 0.05.
-DEPTH, RATE = 5, 0.05
-
 LEARNERS: dict[str, Callable[..., Estimator]] = {
     "gbt": lambda **p: GBTRegressor(**{"maxDepth": DEPTH, "stepSize": RATE, "seed": 42, "maxIter": 20, **p}),
     "linear": lambda **p: LinearRegression(**p),
@@ -45,6 +43,7 @@ SPACES: dict[str, dict[str, tuple]] = {
     "gbt_class": {"maxIter": (20, 40, 80), "maxDepth": (5, 3, 7), "stepSize": (RATE, 0.1, 0.3)},
     "forest_class": {"numTrees": (20, 50), "maxDepth": (5, 8)},
     "logistic": {"regParam": (0.0, 0.01, 0.1)},
+    "boosted": {"rounds": (20, 40, 80), "maxDepth": (5, 3, 7), "stepSize": (RATE, 0.1, 0.3)},
 }
 
 
@@ -79,6 +78,8 @@ def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit(train: DataFrame, learner: str, features: Sequence[str], target: str, **params) -> PipelineModel:
+    if learner == "boosted":  # any number of classes, stops early
+        return fit_boosted(train, features, target, **params).model
     rows = materialize(as_doubles(train, [*features, target]).select(*features, target), "fit")  # read once per pass of the learner
     # an input without any known value has no mean to fill in
     known = rows.agg(*[F.count(f).alias(f) for f in features]).first()
@@ -105,7 +106,7 @@ def predict_run(spark: SparkSession, path: str, rows: DataFrame, name: str = "y_
 
 def predict_probability(model: PipelineModel, df: DataFrame, classes: int) -> DataFrame:
     """Input columns plus one probability per class, rounded to five digits."""
-    p = vector_to_array("probability")
+    p = class_probabilities() if isinstance(model.stages[-1], OneVsRestModel) else vector_to_array("probability")
     scored = model.transform(as_doubles(df, model.stages[0].getInputCols()))
     return scored.select(*df.columns, *[round_probability(p[i]).alias(f"p{i}") for i in range(classes)])
 
@@ -119,7 +120,9 @@ def validation_score(model: PipelineModel, validation: DataFrame, target: str, c
 def importances(model: PipelineModel) -> list[tuple[str, float]]:
     """Inputs of a tree model with positive importance, largest first."""
     names = model.stages[0].getInputCols()
-    values = model.stages[-1].featureImportances.toArray()
+    last = model.stages[-1]
+    models = last.models if isinstance(last, OneVsRestModel) else [last]
+    values = sum(m.featureImportances.toArray() for m in models) / len(models)
     return sorted([(n, float(v)) for n, v in zip(names, values) if v > 0], key=lambda r: (-r[1], r[0]))
 
 
