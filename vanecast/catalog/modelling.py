@@ -9,6 +9,7 @@ from vanecast.functions.registry import Feature, FeatureSet
 from vanecast.operators import metrics, sampling
 from vanecast.operators.metrics import mse
 from vanecast.plans import features, model
+from vanecast.plans.boosting import fit_boosted
 from vanecast.plans.train import train_run
 from vanecast.session import materialize, scratch_path
 from vanecast.sources.sinks import save_run
@@ -136,6 +137,16 @@ def m18_boosted_trees(spark, sf_dir):
     return one.unionByName(_scores(spark, sf_dir, [("gbt_class", {}), ("forest_class", {})], "dear", True))
 
 
+@query("m18_boosted_classes")
+def m18_boosted_classes(spark, sf_dir):
+    """Cheap, middling and dear orders: training and held-out loss of every round that a class keeps."""
+    train, validation = split(kept_orders(spark, sf_dir))
+    graded = F.when(F.col("price") < 60_000, 0).when(F.col("price") < 180_000, 1).otherwise(2)
+    found = fit_boosted(train.withColumn("grade", graded), NUMERIC, "grade", validation.withColumn("grade", graded), rounds=10, stepSize=0.3)
+    out = spark.createDataFrame(found.log, "grade int, round int, training double, held_out double")
+    return out.select("grade", "round", r("training", 4).alias("training"), r("held_out", 4).alias("held_out"))
+
+
 @query("m19_linear_models")
 def m19_linear_models(spark, sf_dir):
     return _scores(spark, sf_dir, [("linear", {})], "price", False).unionByName(_scores(spark, sf_dir, [("logistic", {})], "dear", True))
@@ -149,6 +160,16 @@ def m20_model_search(spark, sf_dir):
     return spark.createDataFrame(log, "trial int, learner string, settings string, loss double").withColumn("loss", r("loss", 2))
 
 
+@query("m20_halving_search")
+def m20_halving_search(spark, sf_dir):
+    """Nine trials on growing samples; the log names the trials that were given more rows."""
+    train, validation = split(kept_orders(spark, sf_dir))
+    trials = model.draw_trials(["linear", "tree", "forest"], 9)
+    _, log = model.halving_search(train, validation, NUMERIC, "price", trials, mse)
+    out = spark.createDataFrame(log, "rung int, trial int, learner string, settings string, rows long, loss double")
+    return out.withColumn("loss", r("loss", 2))
+
+
 @query("m21_train_run")
 def m21_train_run(spark, sf_dir):
     train, validation = split(kept_orders(spark, sf_dir))

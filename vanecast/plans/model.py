@@ -172,3 +172,54 @@ def search_models(
     best = min((r for r in log if r[3] is not None), key=lambda r: (r[3], r[0]))
     learner, params = trials[best[0]]
     return fit(train.unionByName(validation), learner, features, target, **params), log
+
+
+def halving_search(
+    train: DataFrame,
+    validation: DataFrame,
+    features: Sequence[str],
+    target: str,
+    trials: Sequence[tuple[str, Mapping]],
+    loss: Callable,
+    factor: int = 3,
+    least_rows: int = 1000,
+    parallelism: int = 2,
+    seed: int = 42,
+) -> tuple[PipelineModel, list[tuple[int, int, str, str, int, float]]]:
+    """Successive halving: every trial sees a small sample, the best ``1 / factor`` of them one ``factor`` times as large.
+
+    Samples are nested, drawn by a hash of the row, so a repeated search takes the same rows.
+    The first sample is as small as the number of rungs allows but not below ``least_rows``;
+    in the last rung the trials that are left see all rows. A trial whose loss is undefined
+    goes; ties stay in the order of the trials. Returns the best trial refitted on all rows
+    and the log (rung, trial, learner, settings, rows, loss).
+    """
+    if not trials or factor < 2:
+        raise ValueError("a search takes trials and a factor of 2 or more")
+    share = F.pmod(F.xxhash64(F.lit(seed), *features, target), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    train = materialize(train.select(*features, target).withColumn("__share", share), "halving-train")
+    validation = materialize(validation.select(*features, target), "halving-validation")
+    total = train.count()
+    rungs = 1
+    while factor**rungs <= len(trials) and total / factor**rungs >= least_rows:
+        rungs += 1
+    left, log, scored = list(range(len(trials))), [], []
+    for rung in range(rungs):
+        part = train.drop("__share") if rung == rungs - 1 else train.where(F.col("__share") < factor ** (rung + 1 - rungs)).drop("__share")
+        part = materialize(part, "rung")
+        seen = part.count()
+
+        def run(number: int, part=part) -> tuple[int, float | None]:
+            learner, params = trials[number]
+            model = fit(part, learner, features, target, **params)
+            return number, predict(model, validation).agg(loss(F.col(target).cast("double"), F.col("y_pred"))).first()[0]
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            scored = list(pool.map(run, left))
+        log += [(rung, n, trials[n][0], str(dict(trials[n][1])), seen, value) for n, value in scored]
+        scored = sorted((value, n) for n, value in scored if value is not None)
+        if not scored:
+            raise ValueError("no trial has a loss")
+        left = sorted(n for _, n in scored[: max(1, -(-len(left) // factor))])
+    learner, params = trials[scored[0][1]]
+    return fit(train.drop("__share").unionByName(validation), learner, features, target, **params), log
