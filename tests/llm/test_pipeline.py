@@ -11,7 +11,7 @@ from vanecast.session import materialize
 
 
 def test_names():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -67,3 +67,31 @@ def near_sql():
     from vanecast.llm.queries import near_duplicates_sql
 
     return near_duplicates_sql("docs", "doc_id, text") + " WHERE component_id = doc_id"
+
+
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, n_lines int not null, n_removed string, id array<int> not null, block long, rest struct<a: int>"
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stage_with_awkward_rows(spark, sf_dir, name):
+    """Nulls, repeated rows, columns that may not be null or have the operators' names, too few labels, no rows."""
+    from pyspark.sql import types as T
+
+    stage = dict(corpus_pipeline.STAGES)[name]
+    texts = [None, "", "one line here\none line here\nnew", "a long enough line of some ten words to be kept here", "ünï\n\n"]
+    row = lambda i, t: (i, t, "en", "s", len(t) if t else None, 3, "x", [1], None, (1,))
+    rows = [row(100_000_000 + i, t) for i, t in enumerate(texts)] + [row(None, "nobody's copy"), row(None, None)] + [row(100_000_003, texts[3])] * 2
+    docs = spark.createDataFrame(rows, T.StructType.fromDDL(EXTRA))
+    out = materialize(stage(spark, docs, sf_dir), name)
+    if name != "mixing":
+        assert out.columns == docs.columns
+    kept = out.collect()
+    assert {tuple(r.id) for r in kept} <= {(1,)} and {(r.n_lines, r.n_removed) for r in kept} <= {(3, "x")}
+    count = {"quality": len(rows), "lines": len(rows), "near": len(rows), "benchmark": len(rows)}
+    if name == "near":  # equal texts of one id are one document
+        assert len(kept) >= len(rows) - 2
+    elif name in count:
+        assert len(kept) == count[name]
+    if name == "lines":
+        assert [(r.text, r.n_chars) for r in kept if r.doc_id == 100_000_002] == [("one line here\nnew", 17)]
+    assert stage(spark, docs.limit(0), sf_dir).collect() == []

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vanecast.llm.blocks import Deal, add_up, deal_rows, look_up, read_flags, sketch_rows
 from vanecast.llm.kernels import Ranges, Words, batches, find_words, mix, text_bytes
@@ -264,6 +265,17 @@ def _flags(df: DataFrame, kind: int, **columns) -> DataFrame:
     return df.select(*out)
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type with every part of it nullable, as workers return it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType), True)
+    return kind
+
+
 def line_dedup(
     docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text", carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -273,11 +285,14 @@ def line_dedup(
     line goes if an earlier line - smaller id, or same id and further up - has the same words,
     or words within one edit where the longer of both has at least ``min_words``.  Lines are
     judged on the input.  Blank lines stay; a document without removals keeps its text as it
-    is.  A missing text counts as empty.  Rows with equal ids count as one document: a line
+    is.  Columns to carry may not be named like those of the result.  A missing text counts as empty.  Rows with equal ids count as one document: a line
     at the same place of both stays in both.  A missing id is later than all others.  Other
     columns are not read.  An empty table gives an empty table.
     """
-    rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
+    schema, rest = T.StructType.fromDDL("id long, n_lines long, n_removed long, text string"), []
+    if carry:
+        schema = schema.add("rest", nullable(docs.select(*[F.col(f"`{c}`") for c in carry]).schema))
+        rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).cast(schema["rest"].dataType).alias("rest")]
     plain = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), *rest)
     blocks, how = deal_rows(plain, "id", "text")
     by_block = blocks.groupBy("block")
@@ -312,8 +327,5 @@ def line_dedup(
     found = found.join(words, "h").withColumn("text", F.coalesce("text", "__none"))
     near = _flags(found, 2, block=F.col("block"), slice=F.col("place"), h=F.col("v"), first_id=F.col("id"), first_line=F.col("line"), text=F.col("text"))
 
-    kept = by_block.cogroup(known.unionByName(near).groupBy("block")).applyInArrow(
-        _keep(min_words, how, bool(carry)),
-        "id long, n_lines long, n_removed long, text string" + (f", rest {plain.schema['rest'].dataType.simpleString()}" if carry else ""),
-    )
+    kept = by_block.cogroup(known.unionByName(near).groupBy("block")).applyInArrow(_keep(min_words, how, bool(carry)), schema)
     return kept.select(F.when(F.col("id") != LAST, F.col("id")).alias(id_column), "n_lines", "n_removed", "text", *[f"rest.`{c}`" for c in carry])
