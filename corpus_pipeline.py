@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all documents that the one before kept;
 all but the last return the columns of ``documents``.  ``run`` writes every stage's result
 to the shared folder and reads it again for the next.
+
+In every stage a missing or empty text holds no word and no line, so it repeats nothing and
+holds no benchmark item; a missing doc_id is nobody's copy and stays; repeated rows stay
+repeated unless the stage drops their kind; an empty table stays empty; other columns
+come through as they are, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -23,18 +28,27 @@ LEAST_QUALITY = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.7 or more; it learns from the labels outside its held-out fold."""
+    """Documents that the classifier scores 0.7 or more; it learns from the labels outside its held-out fold.
+
+    Without ten labelled documents or with labels of one kind nothing can be learnt, and all stay.
+    """
     known = labelled(spark, sf_dir, "quality", docs).filter(fold("doc_id", 4) != 2)
-    return keep_quality(docs, fit_quality(docs, known), LEAST_QUALITY)
+    model = fit_quality(docs, known)
+    return keep_quality(docs, model, LEAST_QUALITY) if model.network.w2.any() else docs
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand earlier; those of which no word is left go."""
-    own = docs.columns
-    out = line_dedup(docs, carry=tuple(c for c in own if c not in ("doc_id", "text")))
+    """Documents without lines that stand earlier; those of which no word is left go.
+
+    ``n_chars`` follows a text that has lost lines; a missing text becomes an empty one.
+    """
+    carried = {c: f"carry_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}  # names of no one else
+    out = line_dedup(docs.withColumnsRenamed(carried), carry=tuple(carried.values()))
     out = out.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", changed).select(*own)
+    if "n_chars" in carried:
+        changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(carried["n_chars"]))
+        out = out.withColumn(carried["n_chars"], changed)
+    return out.select(*[F.col(carried.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +64,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A draw of about half the tokens with flattened source, language and topic shares."""
+    """A draw of about half the tokens with flattened source, language and topic shares.
+
+    Adds the operator's columns; ``n_tokens`` and ``topic`` replace columns of these names.
+    """
     return mix_sources(measure(docs), MIX_POWERS, MIX_BUDGET)
 
 
