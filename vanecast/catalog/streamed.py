@@ -46,22 +46,21 @@ def st2_quarter_means(spark, sf_dir):
     return _quarters(jobs.quarter_means(events(spark, sf_dir), "ts", ["event_type"], "value"))
 
 
-# windows that end before the watermark, one hour behind the newest event
-_CLOSED = TS("(SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
-
-
-@query(
-    "st2_quarter_means_stream",
-    f"""SELECT {TS(Q15('ts'))} AS start, event_type, {R('avg(value)')} AS mean, count(*) AS n FROM events
-    GROUP BY {Q15('ts')}, event_type HAVING {TS(Q15('ts') + ' + INTERVAL 15 MINUTE')} <= {_CLOSED}""",
-)
+def _to_the_end(spark, sf_dir, label, windows):
+    """Windows of the whole event stream: a delivery after the last file closes those still open."""
+    closing, (out, checkpoint) = scratch_path(spark, f"{label}-closing"), paths(spark, label)
+    rows = stream_of(spark, sf_dir, "events")
+    sinks.append(spark.createDataFrame([], rows.schema), closing)
+    last = events(spark, sf_dir).agg(F.max("ts").alias("last")).first()["last"]
+    result = windows(jobs.event_time(jobs.with_closing(rows, spark, closing), "ts"))
+    end = F.lit(last).cast("timestamp") + F.expr("INTERVAL '1' DAY")  # farther than the delay and the longest window
+    jobs.to_table_closed(result, out, checkpoint, lambda: sinks.append(jobs.closing_row(rows.schema, spark, "ts", end), closing))
+    return spark.read.schema(result.schema).parquet(out)
+
+
+@query("st2_quarter_means_stream", _QUARTERS)
 def st2_quarter_means_stream(spark, sf_dir):
-    """Windows closed by the watermark; the last hour is still open when the stream ends."""
-    rows = jobs.event_time(stream_of(spark, sf_dir, "events"), "ts")
-    out, checkpoint = paths(spark, "quarters")
-    result = jobs.quarter_means(rows, "ts", ["event_type"], "value")
-    jobs.to_table(result, out, checkpoint)
-    return _quarters(spark.read.schema(result.schema).parquet(out))
+    return _quarters(_to_the_end(spark, sf_dir, "quarters", lambda rows: jobs.quarter_means(rows, "ts", ["event_type"], "value")))
 
 
 _SLIDING = f"""WITH q AS (SELECT event_type, {Q15('ts')} AS q, sum(value) AS s, count(*) AS c FROM events GROUP BY ALL),
@@ -75,13 +74,10 @@ def st3_sliding_means(spark, sf_dir):
     return out.select(ts("until").alias("until"), "event_type", r("mean").alias("mean"), "n")
 
 
-@query("st3_sliding_means_stream", f"SELECT * FROM ({_SLIDING}) WHERE until <= {_CLOSED}")
+@query("st3_sliding_means_stream", _SLIDING)
 def st3_sliding_means_stream(spark, sf_dir):
-    rows = jobs.event_time(stream_of(spark, sf_dir, "events"), "ts")
-    out, checkpoint = paths(spark, "sliding")
-    result = jobs.sliding_means(rows, "ts", ["event_type"], "value")
-    jobs.to_table(result, out, checkpoint)
-    return spark.read.schema(result.schema).parquet(out).select(ts("until").alias("until"), "event_type", r("mean").alias("mean"), "n")
+    out = _to_the_end(spark, sf_dir, "sliding", lambda rows: jobs.sliding_means(rows, "ts", ["event_type"], "value"))
+    return out.select(ts("until").alias("until"), "event_type", r("mean").alias("mean"), "n")
 
 
 @query("st4_label_append", f"SELECT user_id, {TS('ts')} AS date_time, value AS power FROM events")

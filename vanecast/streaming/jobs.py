@@ -66,6 +66,28 @@ def to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return run_available(df.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint)
 
 
+def closing_row(schema: T.StructType, spark: SparkSession, time: str, at: Column) -> DataFrame:
+    """The final delivery: one row at a time past every window, all its other columns NULL."""
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*empty).withColumn(time, at.cast(schema[time].dataType))
+
+
+def with_closing(stream: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """The stream and what is delivered to ``folder`` when it has ended."""
+    return stream.unionByName(new_files(spark, folder, stream.schema, "parquet"))
+
+
+def to_table_closed(df: DataFrame, path: str, checkpoint: str, deliver: Callable[[], None]) -> None:
+    """Write the windows closed so far, then have the final delivery made and write the rest.
+
+    The delivered row moves the watermark past the end, so every window with rows of the
+    stream closes; its own window never does and is not written.
+    """
+    to_table(df, path, checkpoint)
+    deliver()
+    to_table(df, path, checkpoint)
+
+
 def label_stream(df: DataFrame, time: str, key: Sequence[str], power: str, delay: str = DELAY) -> DataFrame:
     """Labels in the store's columns, each (key, time) once; rows behind the watermark are dropped."""
     unique = event_time(df, time, delay).dropDuplicatesWithinWatermark([*key, time])
