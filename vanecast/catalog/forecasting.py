@@ -61,33 +61,47 @@ def _run(spark, sf_dir, step_hours, rows, subs=1, lookback=None):
     return forecast.backtest_naive(s, ["event_type"], "t", "y", origins_of(s, step_hours), rows, subs, lookback)
 
 
+# Base times run from the second day of the series to its last quarter.
+_BASE_SQL = """SELECT date_trunc('day', min(t))::TIMESTAMP + INTERVAL 1 DAY AS lo, max(t) AS hi FROM s"""
+
+
+def base_times(s):
+    """First and last base time; nothing for an empty series."""
+    ends = s.agg(F.date_trunc("day", F.min("t")).alias("lo"), F.max("t").alias("hi")).first()
+    if ends["lo"] is None:
+        return datetime(1970, 1, 2), datetime(1970, 1, 1)
+    return ends["lo"] + timedelta(days=1), ends["hi"]
+
+
 @query(
     "m24_forecast_with_fallback",
-    f"""WITH s AS ({SERIES_SQL}), m AS (SELECT event_type, avg(y) AS mean FROM s WHERE t < TIMESTAMP '2024-01-20 00:00:00' GROUP BY event_type),
-    g AS (SELECT event_type, mean, unnest(generate_series(TIMESTAMP '2024-01-20 00:00:00', TIMESTAMP '2024-01-22 00:00:00', INTERVAL 15 MINUTE)) AS t FROM m)
+    f"""WITH s AS ({SERIES_SQL}), b AS ({_BASE_SQL}), m AS (SELECT event_type, avg(y) AS mean FROM s, b WHERE t < lo GROUP BY event_type),
+    g AS (SELECT event_type, mean, lo, unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS t FROM m, b)
     SELECT g.event_type, {TS('g.t')} AS base_time, {TS('g.t + INTERVAL 240 MINUTE')} AS date_time, {R('coalesce(s.y, g.mean)')} AS power,
-    '2024-01-20 04:00:00' AS exec_point FROM g LEFT JOIN s ON s.event_type = g.event_type AND s.t = g.t""",
+    {TS('lo + INTERVAL 240 MINUTE')} AS exec_point FROM g LEFT JOIN s ON s.event_type = g.event_type AND s.t = g.t""",
 )
 def m24_forecast_with_fallback(spark, sf_dir):
-    """Predict the value at the base time; where it was not measured, the mean of the history."""
+    """Predict the value at the base time; where it was not measured, the mean of the first day."""
     s = series(spark, sf_dir)
-    start, end = datetime(2024, 1, 20), datetime(2024, 1, 22)
+    start, end = base_times(s)
     mean = s.where(F.col("t") < F.lit(start)).groupBy("event_type").agg(F.avg("y").alias("mean"))
     grid = grid_between(mean.select("event_type"), start, end, "t")
-    predictions = s.where(F.col("t").between(F.lit(start), F.lit(end))).withColumnRenamed("y", "y_pred")
+    predictions = s.where(F.col("t") >= F.lit(start)).withColumnRenamed("y", "y_pred")
     out = forecast.with_fallback(grid, predictions, mean, "t", 240, ["event_type", "t"])
     return forecast.forecast_text(out).withColumn("power", r("power"))
 
 
 @query(
     "m24_forecast_history_mean",
-    f"""SELECT {TS('t')} AS base_time, {TS('t + INTERVAL 240 MINUTE')} AS date_time, {R('(SELECT avg(value) FROM events)')} AS power,
-    '2024-01-20 12:00:00' AS exec_point FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-20 08:00:00', TIMESTAMP '2024-01-21 08:00:00', INTERVAL 15 MINUTE)) AS t)""",
+    f"""WITH s AS ({SERIES_SQL}), b AS ({_BASE_SQL}) SELECT {TS('t')} AS base_time, {TS('t + INTERVAL 240 MINUTE')} AS date_time,
+    {R('(SELECT avg(value) FROM events)')} AS power, {TS('lo + INTERVAL 240 MINUTE')} AS exec_point
+    FROM (SELECT lo, unnest(generate_series(lo, hi, INTERVAL 15 MINUTE)) AS t FROM b)""",
 )
 def m24_forecast_history_mean(spark, sf_dir):
     """Without any input rows the whole grid gets the history mean."""
     e = events(spark, sf_dir)
-    grid = grid_between(spark.range(1).select(), datetime(2024, 1, 20, 8), datetime(2024, 1, 21, 8), "t")
+    start, end = base_times(series(spark, sf_dir))
+    grid = grid_between(spark.range(1).select(), start, end, "t")
     nothing = e.where("false").select(F.col("ts").alias("t"), F.col("value").alias("y_pred"))
     out = forecast.with_fallback(grid, nothing, history_mean(e, "ts", "value"), "t", 240, ["t"])
     return forecast.forecast_text(out).withColumn("power", r("power"))
