@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from vanecast.catalog.aggregates import SCORED_SQL, scored
 from vanecast.catalog.base import R, events, query, r, rounded, table
-from vanecast.operators import drift
+from vanecast.operators import drift, summary
+from vanecast.session import materialize, scratch_path
 
 _CUT = "ts < TIMESTAMP '2024-01-16 00:00:00'"
 
@@ -84,6 +85,39 @@ def dr6_performance_change(spark, sf_dir):
     return rounded(out, ["drift"], ["statistic", "history_statistic"])
 
 
+def stored(spark, sf_dir, numeric=(), categorical=()):
+    """Summaries of both halves; the history comes in two deliveries and is read back from its store."""
+    history, new = halves(spark, sf_dir)
+    store = summary.SummaryStore(spark, scratch_path(spark, "history-states"))
+    for number, part in enumerate(("hour < 12", "hour >= 12")):
+        store.advance(number, summary.summarise(history.where(part), numeric, categorical))
+    # written, as the tests read it several times
+    return store.state(1), materialize(summary.summarise(new, numeric, categorical), "new-summary")
+
+
+@query(
+    "dr3_stored_distance",
+    f"""WITH l AS (SELECT c, v, ts FROM (SELECT ts, value, CAST(user_id AS DOUBLE) AS user_id FROM events) UNPIVOT (v FOR c IN (value, user_id))),
+    m AS (SELECT c, pow(2, ceil(log2((max(v) - min(v)) / 64))) AS w, count(*) FILTER ({_CUT}) AS t0, count(*) FILTER (NOT ({_CUT})) AS t1 FROM l GROUP BY c),
+    b AS (SELECT c, floor(v / w) AS bin, count(*) FILTER ({_CUT}) / max(t0) AS p, count(*) FILTER (NOT ({_CUT})) / max(t1) AS q FROM l JOIN m USING (c) GROUP BY 1, 2)
+    SELECT c AS name, {R('sqrt(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)')} AS statistic FROM b GROUP BY c""",
+)
+def dr3_stored_distance(spark, sf_dir):
+    """Histograms of a stored history and of new rows, on steps both share."""
+    return rounded(summary.js_distance(*stored(spark, sf_dir, ["value", "user_id"])), ["name"], ["statistic"])
+
+
+@query(
+    "dr7_stored_detect",
+    f"""SELECT name, 'ttest' AS method, statistic FROM ({_welch('value')} UNION ALL {_welch('user_id')}) UNION ALL SELECT 'event_type', 'chi', {R('statistic')} FROM ({_CHI})""",
+)
+def dr7_stored_detect(spark, sf_dir):
+    """Tests of all columns out of one stored summary per side."""
+    history, new = stored(spark, sf_dir, ["value", "user_id"], ["event_type"])
+    out = summary.detect(history, new, "ttest").unionByName(summary.detect(history, new, "chi"))
+    return rounded(out, ["name", "method"], ["statistic"])
+
+
 @query(
     "dr7_detect",
     f"""SELECT name, 'ttest' AS method, statistic FROM ({_welch('value')} UNION ALL {_welch('user_id')}) UNION ALL SELECT 'event_type', 'chi', {R('statistic')} FROM ({_CHI})""",

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from vanecast.catalog.base import Q15, R, TS, events, query, r, table, ts
 from vanecast.catalog.joining import ISSUE, VINTAGES_SQL, vintages
-from vanecast.operators import drift, weather
+from vanecast.operators import summary, weather
 from vanecast.plans import model
-from vanecast.session import materialize, scratch_path
+from vanecast.session import scratch_path
 from vanecast.sources import readers, sinks
 from vanecast.streaming import jobs
 
@@ -126,7 +126,8 @@ def st6_stream_static_join(spark, sf_dir):
 )
 def st7_retrain_on_drift(spark, sf_dir):
     """New orders against the customers' balances: the batch drifts, so a model is trained, stored and used."""
-    history = materialize(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("amount")), "history")
+    store = summary.SummaryStore(spark, scratch_path(spark, "balances"))
+    store.start(summary.summarise(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("amount")), ["amount"]))
     rows = stream_of(spark, sf_dir, "orders").select("o_custkey", F.col("o_totalprice").alias("amount"))
     out, checkpoint = paths(spark, "runs")
     trained = scratch_path(spark, "trained")
@@ -134,7 +135,7 @@ def st7_retrain_on_drift(spark, sf_dir):
     def train(batch, number):
         sinks.save_model(model.fit(batch, "linear", ["o_custkey"], "amount"), f"{trained}/{number}")
 
-    jobs.retrain_on_drift(rows, lambda b: drift.detect(history, b, "ttest", ["amount"]), train, out, checkpoint)
+    jobs.retrain_on_drift(rows, lambda b, n: summary.check_batch(store, n, b, "ttest", ["amount"]), train, out, checkpoint)
     runs = spark.read.parquet(out).select("seq", "training_type", "state", "drift")
     newest = runs.where("drift").agg(F.max("seq")).first()[0]
     scored = model.predict(readers.load_model(f"{trained}/{newest}"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))

@@ -167,7 +167,9 @@ def performance_change(
     )
 
 
-def _with_p(stats: DataFrame, method: str, tail: Callable[[float, float], float], threshold: float) -> DataFrame:
+def with_p(stats: DataFrame, method: str, tail: Callable[[float, float], float], threshold: float) -> DataFrame:
+    """Add the tail probability and the flag to rows (name, statistic, dof)."""
+
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             p = [tail(s, d) if pd.notna(s) and pd.notna(d) else None for s, d in zip(b["statistic"], b["dof"])]
@@ -179,7 +181,8 @@ def _with_p(stats: DataFrame, method: str, tail: Callable[[float, float], float]
     return out.withColumn("p", p).withColumn("drift", F.coalesce(F.col("p") < threshold, F.lit(False)))
 
 
-def _with_distance(stats: DataFrame, method: str, threshold: float) -> DataFrame:
+def with_distance(stats: DataFrame, method: str, threshold: float) -> DataFrame:
+    """Flag rows (name, statistic) whose distance is above the threshold."""
     none = F.lit(None).cast("double")
     return stats.select(
         "name", F.lit(method).alias("method"), "statistic", none.alias("dof"), none.alias("p"),
@@ -215,14 +218,14 @@ def detect(
     if history is None:
         return new.sparkSession.createDataFrame([(c, method, None, None, None, True) for c in (columns or ["*"])], RESULT)
     if method == "chi":
-        parts = [_with_p(chi_square(history, new, c), method, chi_square_tail, p_limit) for c in columns]
+        parts = [with_p(chi_square(history, new, c), method, chi_square_tail, p_limit) for c in columns]
         return _stack(parts)
     if method == "ttest":
-        return _with_p(welch(history, new, columns), method, t_two_sided, p_limit)
+        return with_p(welch(history, new, columns), method, t_two_sided, p_limit)
     if method == "kl":
-        return _stack([_with_distance(js_distance(history, new, c), method, p_limit) for c in columns])
+        return _stack([with_distance(js_distance(history, new, c), method, p_limit) for c in columns])
     if method == "Clustering":
-        return _stack([_with_distance(cluster_distance(history, new, c), method, p_limit) for c in columns])
+        return _stack([with_distance(cluster_distance(history, new, c), method, p_limit) for c in columns])
     if method in ("ddm", "eddm"):
         one = (
             performance(new, actual, predicted, classification, score_limit)

@@ -146,14 +146,17 @@ def latest_status(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def retrain_on_drift(
-    stream: DataFrame, check: Callable[[DataFrame], DataFrame], train: Callable[[DataFrame, int], None], log: str, checkpoint: str
+    stream: DataFrame, check: Callable[[DataFrame, int], DataFrame], train: Callable[[DataFrame, int], None], log: str, checkpoint: str
 ) -> StreamingQuery:
-    """Check every batch for drift; log the outcome under the batch number and retrain when it drifted."""
+    """Check every batch for drift; log the outcome under the batch number and retrain when it drifted.
+
+    ``check`` gets the batch and its number and compares with a stored summary, not with the rows of history.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         batch = batch.persist()  # read by the check and by the training
         try:
-            drifted = bool(check(batch).where("drift").limit(1).count())
+            drifted = bool(check(batch, number).where("drift").limit(1).count())
             if drifted:
                 train(batch, number)
         finally:
