@@ -8,6 +8,7 @@ issue chosen by a rule.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,18 +95,54 @@ def join_vintage(
     return lookup_join(left, right, ["__target", "__issue"]).drop("__target", "__issue")
 
 
+def by_target(sources: Sequence[DataFrame]) -> DataFrame:
+    """One row per target: for source i the issues that forecast it, ascending (``__i{i}``), and their values (``__v{i}``).
+
+    (issue, target) is unique in a source, so an array is as long as there are issues that
+    reach one target. Rows lacking a key are left out; a repeated pair is an error.
+    """
+    rows = []
+    for i, source in enumerate(sources):
+        values = [F.col(c) for c in source.columns if c not in ("issue", "target")]
+        vintage = F.struct(F.col("issue"), F.struct(*values).alias("values")).alias(f"__s{i}")
+        rows.append(source.where(F.col("issue").isNotNull() & F.col("target").isNotNull()).select("target", vintage))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    by_issue = lambda a, b: F.when(a["issue"] < b["issue"], -1).when(a["issue"] > b["issue"], 1).otherwise(0)
+    lists = stacked.groupBy("target").agg(
+        *[F.array_sort(F.collect_list(f"__s{i}"), by_issue).alias(f"__s{i}") for i in range(len(sources))]
+    )
+    columns = []
+    for i in range(len(sources)):
+        issues = F.col(f"__s{i}.issue")
+        repeated = F.raise_error(F.lit("a source has several rows for one issue and target"))
+        columns.append(F.when(F.size(F.array_distinct(issues)) < F.size(issues), repeated).otherwise(issues).alias(f"__i{i}"))
+        columns.append(F.col(f"__s{i}.values").alias(f"__v{i}"))
+    return lists.select("target", *columns)
+
+
 def join_vintages(
     df: DataFrame, sources: Sequence[DataFrame], time: str, minutes: int, days_back: Sequence[int], hour: int = 8
 ) -> DataFrame:
-    """Every source at every day offset, suffixed ``_prev_day_{k}`` (and ``_src{i}`` after the first)."""
-    out = df
+    """Every source at every day offset, suffixed ``_prev_day_{k}`` (and ``_src{i}`` after the first).
+
+    All vintages of a target are one row, so the rows are joined once, by target; sources and
+    offsets only look up their issue in its arrays.
+    """
+    if not sources:
+        return df
+    table = by_target(sources).withColumnRenamed("target", "__target").persist()
+    latest = table.agg(*[F.max(F.get(F.col(f"__i{i}"), F.size(f"__i{i}") - 1)) for i in range(len(sources))]).first()
+    joined = lookup_join(
+        df.withColumn("__target", F.col(time) + F.expr(f"INTERVAL '{minutes}' MINUTE")), table, ["__target"], unique=True
+    )
+    forecasts = []
     for i, source in enumerate(sources):
-        latest = F.lit(source.agg(F.max("issue")).first()[0])
         for k in days_back:
             suffix = ("" if i == 0 else f"_src{i}") + ("" if k == 0 else f"_prev_day_{k}")
-            issue = issue_published(time, latest, hour, k)
-            out = join_vintage(out, source, time, minutes, issue, suffix)
-    return out
+            issue = issue_published(time, F.lit(latest[i]).cast(source.schema["issue"].dataType), hour, k)
+            found = F.get(F.col(f"__v{i}"), F.array_position(F.col(f"__i{i}"), issue).cast("int") - 1)
+            forecasts += [found[c].alias(f"{c}{suffix}") for c in source.columns if c not in ("issue", "target")]
+    return joined.select(*[joined[c] for c in df.columns], *forecasts)
 
 
 def join_by_target(df: DataFrame, vintages: DataFrame, time: str, minutes: int, issue: Column) -> DataFrame:
