@@ -49,3 +49,57 @@ def test_monitor_accumulates_over_batches(spark, tmp_path):
 
     want = evaluate(data, "y", "p", {"r2": r2}).first()["r2"]
     assert got["n"] == 200 and abs(got["r2"] - want) < 1e-9 and not got["drift"]
+
+
+def _deliver(spark, folder, key, day, n):
+    data = spark.range(n).select(
+        F.lit(key).alias("k"), (F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("id"))).alias("t"),
+        (F.col("id") + 1e6).alias("y"), (F.col("id") + 1e6 + F.col("id") % 3).alias("p"),
+    )
+    sinks.append(data, folder)
+    return data
+
+
+def test_idle_keys_vanish_and_start_anew(spark, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    from vanecast.operators.metrics import evaluate, r2
+
+    def run(key, day, n):
+        data = _deliver(spark, folder, key, day, n)
+        stream = jobs.new_files(spark, folder, data.schema, "parquet")
+        jobs.keep_status(jobs.score_monitor_until_idle(stream, "k", "t", "y", "p", ttl="3 days"), out, mark, key="k")
+        return {r["k"]: r for r in jobs.latest_status(spark, out, "k").collect()}, data
+
+    got, data = run("a", 1, 200)
+    want = evaluate(data, "y", "p", {"r2": r2}).first()["r2"]
+    assert got["a"]["n"] == 200 and abs(got["a"]["r2"] - want) < 1e-6 and not got["a"]["expired"]
+    got, _ = run("b", 2, 50)
+    assert not got["a"]["expired"] and got["b"]["n"] == 50
+    got, _ = run("b", 5, 50)  # moves the watermark three days past the last row of a
+    assert got["a"]["expired"] and got["a"]["n"] == 200 and got["b"]["n"] == 100
+    got, _ = run("a", 6, 10)  # the old sums are gone
+    assert got["a"]["n"] == 10 and not got["a"]["expired"]
+
+
+def test_status_folder_is_bounded(spark, tmp_path):
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for i in range(9):
+        data = _deliver(spark, folder, f"k{i % 2}", 1, 20)
+        jobs.keep_status(jobs.score_monitor(jobs.new_files(spark, folder, data.schema, "parquet"), "k", "y", "p"), out, mark, key="k", every=2)
+    got = {r["k"]: r["n"] for r in jobs.latest_status(spark, out, "k").collect()}
+    assert got == {"k0": 100, "k1": 80}
+    found = jobs._folders(spark, out)
+    assert len(found["snapshot"]) <= 2 and len(found["batch"]) <= 4
+
+
+def test_a_repeated_batch_writes_the_same_snapshot(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = lambda name, rows: spark.createDataFrame(rows, "k string, n int, expired boolean").write.mode("overwrite").parquet(f"{out}/{name}")
+    write("batch=0", [("a", 1, False), ("b", 1, True)])
+    write("batch=1", [("a", 2, False)])
+    for _ in range(2):
+        current = jobs.latest_status(spark, out, "k", upto=1)
+        assert rows(current) == {("a", 2, False), ("b", 1, True)}
+        current.where("NOT expired").write.mode("overwrite").parquet(f"{out}/snapshot=1")
+    write("batch=2", [("c", 1, False)])
+    assert rows(jobs.latest_status(spark, out, "k")) == {("a", 2, False), ("c", 1, False)}

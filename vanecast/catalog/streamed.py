@@ -104,6 +104,26 @@ def st5_score_monitor(spark, sf_dir):
     return jobs.latest_status(spark, out, "l_returnflag").select("l_returnflag", "n", r("r2").alias("r2"), "drift")
 
 
+_IDLE_R2 = "1 - sum((value - 25) ** 2) / (var_pop(value) * count(*))"
+
+
+@query(
+    "st5_idle_keys",
+    f"""SELECT user_id, n, r2, drift, last + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS expired, {TS('last')} AS last FROM (
+    SELECT user_id, count(*) AS n, CASE WHEN var_pop(value) > 0 THEN {R(_IDLE_R2)} END AS r2,
+    CASE WHEN var_pop(value) > 0 THEN {_IDLE_R2} < 0.85 END AS drift, max(ts) AS last FROM events GROUP BY user_id)""",
+)
+def st5_idle_keys(spark, sf_dir):
+    """Scores per user; users without an event in the last day are reported as expired and forgotten."""
+    rows = stream_of(spark, sf_dir, "events").withColumn("p", F.lit(25.0))
+    out, checkpoint = paths(spark, "idle")
+    scored = jobs.score_monitor_until_idle(rows, "user_id", "ts", "value", "p", ttl="1 day")
+    jobs.keep_status(scored, out, checkpoint, key="user_id")
+    return jobs.latest_status(spark, out, "user_id").select(
+        "user_id", "n", r("r2").alias("r2"), "drift", "expired", ts("last").alias("last")
+    )
+
+
 @query(
     "st6_stream_static_join",
     f"""WITH v AS ({VINTAGES_SQL}) SELECT event_id, {R('v.speed')} AS speed FROM events e LEFT JOIN v

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vanecast.operators.drift import SCORE_THRESHOLD
 from vanecast.operators.metrics import r2
@@ -126,23 +128,148 @@ def score_monitor(stream: DataFrame, key: str, actual: str, predicted: str, thre
     return scored.withColumn("drift", F.col("r2") < threshold)
 
 
-def keep_status(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+# Sums of a key relative to its first actual value, so that a large level costs no digits.
+_SUMS = "n long, base double, sy double, syy double, see double, ms long"
+_STATUS = "n long, r2 double, drift boolean, expired boolean, ms long"
+
+
+def _partial_sums(key: str, actual: str, predicted: str, time: str) -> Callable:
+    """Per Arrow batch one row per key, so a hot key's group gets one row for thousands, and no task holds all keys."""
+
+    def reduce_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            y, p = b[actual], b[predicted]
+            base = y.groupby(b[key]).transform("first")
+            d, e = y - base, y - p
+            yield pd.DataFrame({
+                key: b[key], "n": 1, "base": base, "sy": d, "syy": d * d, "see": e * e, "ms": b[time],
+            }).groupby(key, as_index=False).agg({"n": "sum", "base": "first", "sy": "sum", "syy": "sum", "see": "sum", "ms": "max"})
+
+    return reduce_batch
+
+
+def _add_sums(held: tuple, n: int, base: float, sy: float, syy: float, see: float) -> tuple:
+    """Held sums and others, the others moved to the held base."""
+    if not held[0]:
+        return n, base, sy, syy, see
+    move = base - held[1]
+    return held[0] + n, held[1], held[2] + sy + n * move, held[3] + syy + 2 * move * sy + n * move * move, held[4] + see
+
+
+def score_monitor_until_idle(
+    stream: DataFrame, key: str, time: str, actual: str, predicted: str, ttl: str = "7 days", delay: str = DELAY,
+    threshold: float = SCORE_THRESHOLD,
+) -> DataFrame:
+    """Running R2 and drift flag per key; the state of a key goes when it has been idle for ``ttl``.
+
+    Rows (key, n, r2, drift, expired, last). The watermark stays ``delay`` behind the newest row; once it is ``ttl`` past
+    a key's own newest row, the key is reported as expired and forgotten, and starts anew when it returns. State is
+    bounded by the keys seen within ``ttl`` and ``delay``. Rows lacking the key, the time or a value are left out.
+    Rows of one key and task are late when all of them are behind the watermark.
+    """
+    wait = int(pd.Timedelta(ttl).total_seconds() * 1000)
+    kind = stream.schema[key].dataType.simpleString()
+    known = stream.select(key, F.unix_millis(F.col(time).cast("timestamp")).alias(time), *[F.col(c).cast("double").alias(c) for c in (actual, predicted)])
+    known = known.dropna().where(~F.isnan(actual) & ~F.isnan(predicted))
+    sums = known.mapInPandas(_partial_sums(key, actual, predicted, time), f"`{key}` {kind}, {_SUMS}")
+
+    def update(keys: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            held = state.get
+            state.remove()
+            yield _status(keys, held, True)
+            return
+        held = state.get if state.exists else (0, 0.0, 0.0, 0.0, 0.0, 0)
+        for part in parts:
+            for row in part.itertuples(index=False):
+                last = max(held[5], int(row.ms))
+                held = (*_add_sums(held, int(row.n), float(row.base), float(row.sy), float(row.syy), float(row.see)), last)
+        state.update(held)
+        # a time behind the watermark cannot be set; then the key has been idle for that long already
+        state.setTimeoutTimestamp(max(held[5] + wait, state.getCurrentWatermarkMs() + 1))
+        yield _status(keys, held, False)
+
+    def _status(keys: tuple, held: tuple, expired: bool) -> pd.DataFrame:
+        n, _, sy, syy, see, last = held
+        spread = syy - sy * sy / n
+        share = 1 - see / spread if spread > 0 else None
+        return pd.DataFrame({
+            key: [keys[0]], "n": [n], "r2": pd.Series([share], dtype="float64"),
+            "drift": pd.Series([None if share is None else share < threshold], dtype="boolean"), "expired": [expired], "ms": [last],
+        })
+
+    timed = sums.withColumn("last", F.timestamp_millis("ms")).withWatermark("last", delay)
+    out = timed.groupBy(key).applyInPandasWithState(
+        update, f"`{key}` {kind}, {_STATUS}", "n long, base double, sy double, syy double, see double, last long", "update",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return out.select(key, "n", "r2", "drift", "expired", F.timestamp_millis("ms").alias("last"))
+
+
+# Batches between two snapshots of a status folder.
+SNAPSHOT_EVERY = 20
+
+
+def keep_status(
+    df: DataFrame, path: str, checkpoint: str, key: str | None = None, every: int = SNAPSHOT_EVERY
+) -> StreamingQuery:
     """Write the keys that a batch changed to a folder of their own; ``latest_status`` reads the current ones.
 
-    Files that readers use are never replaced, and a repeated batch writes the same folder again.
+    Files that readers use are never replaced, and a repeated batch writes the same folder again. With ``key``, every
+    ``every``-th batch also writes a snapshot of all current keys, without those that expired, and removes
+    what lies before the last but one snapshot: the folder holds at most two snapshots and 2 x ``every`` batches.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if key is not None and (number + 1) % every == 0:
+            spark = batch.sparkSession
+            current = latest_status(spark, path, key, upto=number)
+            if "expired" in current.columns:
+                current = current.where(~F.col("expired"))
+            current.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+            _remove_before(spark, path, number - every)
 
     return run_available(df.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
-def latest_status(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The newest row of every key."""
-    rows = spark.read.parquet(path)
-    columns = [c for c in rows.columns if c != "batch"]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*columns), "batch").alias("__row")).select("__row.*")
+def _folders(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Numbers of the finished snapshot and batch folders, ascending."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"snapshot": [], "batch": []}
+    for entry in fs.listStatus(root) if fs.exists(root) else []:
+        kind, _, number = entry.getPath().getName().partition("=")
+        done = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
+        if kind in found and fs.exists(done):
+            found[kind].append(int(number))
+    return {kind: sorted(numbers) for kind, numbers in found.items()}
+
+
+def _remove_before(spark: SparkSession, path: str, number: int) -> None:
+    """Batches up to ``number`` and snapshots before it: no reader that looks up the newest snapshot needs them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = _folders(spark, path)
+    old = [f"batch={n}" for n in found["batch"] if n <= number] + [f"snapshot={n}" for n in found["snapshot"] if n < number]
+    for name in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, name), True)
+
+
+def latest_status(spark: SparkSession, path: str, key: str, upto: int | None = None) -> DataFrame:
+    """The newest row of every key: out of the last snapshot and the batches after it."""
+    found = _folders(spark, path)
+    held = [n for n in found["snapshot"] if upto is None or n < upto][-1:]
+    after = [n for n in found["batch"] if n > (held[0] if held else -1) and (upto is None or n <= upto)]
+    parts = [(f"{path}/snapshot={n}", n) for n in held] + [(f"{path}/batch={n}", n) for n in after]
+    if not parts:
+        raise FileNotFoundError(f"no status has been written to {path}")
+    schema = spark.read.parquet(parts[-1][0]).schema
+    rows = spark.read.schema(schema).parquet(*[p for p, _ in parts])
+    at = F.regexp_extract(F.input_file_name(), r"(?:snapshot|batch)=(\d+)/[^/]*$", 1).cast("long")
+    numbered = rows.select(*schema.names, at.alias("__batch"))
+    newest = numbered.groupBy(key).agg(F.max_by(F.struct(*schema.names), "__batch").alias("__row"))
+    return newest.select("__row.*")
 
 
 def retrain_on_drift(
