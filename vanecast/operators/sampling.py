@@ -12,24 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vanecast.operators.cut import first_rows
 from vanecast.operators.joins import lookup_join
 from vanecast.operators.knn import neighbour_distance
 from vanecast.operators.ordered import OrderedRows, OrderItem, first_rows_per_group
+from vanecast.session import materialize
 
 # Fixed value: classes smaller than this are filled up when no mode is chosen.
 SMALL_CLASS = 10
-# Up to this many rows a top-n is kept in memory; more are cut by position.
-TOP_IN_MEMORY = 100_000
 # A task makes at most this many copies of one row at a time.
 COPIES_PER_TASK = 100_000
 
 
 def top_rows(df: DataFrame, order: Sequence[OrderItem], n: int) -> DataFrame:
-    """First ``n`` rows of the total order."""
-    if n <= TOP_IN_MEMORY:
-        items = [(o, "asc") if isinstance(o, str) else o for o in order]
-        return df.orderBy(*[F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in items]).limit(n)
-    return first_rows_per_group(df, [], order, F.lit(n))
+    """First ``n`` rows of the total order, as a set."""
+    return first_rows(df, order, n)
 
 
 def random_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
@@ -89,7 +86,7 @@ def density_sample(
     if order not in ("sparse", "dense"):
         raise ValueError("order is 'sparse' or 'dense'")
     vector = F.array(*[F.col(c).cast("double") for c in columns])
-    scored = neighbour_distance(df.withColumn("__vec", vector), key, "__vec", k).drop("__vec")
+    scored = materialize(neighbour_distance(df.withColumn("__vec", vector), key, "__vec", k).drop("__vec"), "distances")
     direction = "desc" if order == "sparse" else "asc"
     return top_rows(scored, [("distance", direction), key], n)
 
