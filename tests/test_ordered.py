@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from vanecast.operators import ordered
 from vanecast.operators.ordered import OrderedRows, first_rows_per_group
 from vanecast.operators.window import Ewm, Rolling, ewm_features, rolling_features
 
@@ -65,6 +66,33 @@ def test_fill_forward(spark, max_rows):
     np.testing.assert_allclose(by_key(out, "f"), grouped(pdf, lambda p: p["x"].ffill()))
 
 
+@pytest.mark.parametrize("max_rows", SPLITS)
+def test_fill_both_ways(spark, max_rows):
+    pdf = skewed()
+    pdf.loc[(pdf["k"] > 40) & (pdf["k"] < 200), "x"] = np.nan
+    rows = OrderedRows(frame(spark, pdf), ["g"], ["k"], max_rows)
+    np.testing.assert_allclose(by_key(rows.fill_backward({"b": F.col("x")}), "b"), grouped(pdf, lambda p: p["x"].bfill()))
+    out = rows.fill({"before": ("last", F.col("x"), False), "after": ("next", F.col("x"), False)})
+    np.testing.assert_allclose(by_key(out, "before"), grouped(pdf, lambda p: p["x"].shift(1).ffill()))
+    np.testing.assert_allclose(by_key(out, "after"), grouped(pdf, lambda p: p["x"].shift(-1).bfill()))
+
+
+@pytest.mark.parametrize("group", [["g"], []], ids=["grouped", "whole"])
+def test_carries_in_lots(spark, monkeypatch, group):
+    """Sums, places and fills over lots of three partitions."""
+    monkeypatch.setattr(ordered, "LOT", 3)
+    pdf = skewed()
+    pdf.loc[(pdf["k"] > 40) & (pdf["k"] < 200), "x"] = np.nan
+    rows = OrderedRows(frame(spark, pdf), group, ["k"], 7)
+    assert rows.chunks > 9
+    known = pdf if group else pdf.assign(g="all")
+    np.testing.assert_allclose(by_key(rows.running_sum({"s": F.col("x")}), "s"), grouped(known, lambda p: p["x"].fillna(0).cumsum()))
+    np.testing.assert_allclose(by_key(rows.positions("p"), "p"), grouped(known, lambda p: pd.Series(np.arange(1, len(p) + 1), p.index)))
+    out = rows.fill({"f": ("last", F.col("x"), True), "b": ("next", F.col("x"), False)})
+    np.testing.assert_allclose(by_key(out, "f"), grouped(known, lambda p: p["x"].ffill()))
+    np.testing.assert_allclose(by_key(out, "b"), grouped(known, lambda p: p["x"].shift(-1).bfill()))
+
+
 @pytest.mark.parametrize("max_rows", SPLITS)
 def test_first_rows(spark, max_rows):
     out = first_rows_per_group(frame(spark, skewed()), ["g"], ["k"], F.lit(5), max_rows)

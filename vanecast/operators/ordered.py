@@ -13,6 +13,7 @@ consecutive rows, each with a copy of the few rows before it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from typing import Literal
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,27 @@ from vanecast.session import group_rows, materialize
 _ID, _CHUNK, _POS, _BLOCK, _MAIN = "__vc_id", "__vc_chunk", "__vc_pos", "__vc_block", "__vc_main"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
+_LOT = "__vc_lot"
+# More partitions than this are carried over in lots of so many.
+LOT = 1024
+
 OrderItem = str | tuple[str, str]
+Carry = Literal["sum", "last", "next"]
+
+
+def _beyond(kind: Carry, x: Column, over: WindowSpec, own: bool = False) -> Column:
+    """What the rows before (after, for "next") hand to a row; ``own`` counts the row itself."""
+    if kind == "next":
+        return F.first(x, ignorenulls=True).over(over.rowsBetween(0 if own else 1, Window.unboundedFollowing))
+    frame = over.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    return (F.sum(x) if kind == "sum" else F.last(x, ignorenulls=True)).over(frame)
+
+
+def _whole(kind: Carry, x: Column) -> Column:
+    """What a lot of partitions hands on."""
+    if kind == "sum":
+        return F.sum(x)
+    return (F.max_by if kind == "last" else F.min_by)(x, F.when(x.isNotNull(), F.col(_CHUNK)))
 
 
 def sort_columns(order: Sequence[OrderItem]) -> list[Column]:
@@ -64,16 +85,16 @@ class OrderedRows:
             sizes = tuple(counts.agg(F.max("count"), F.sum("count")).first())
         largest, total = sizes[0] or 0, sizes[1] or 0
         self.split = largest > self.max_rows
-        self.df = self._place(df, total) if self.split else df
+        self.chunks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // self.max_rows))
+        self.df = self._place(df) if self.split else df
         self._spanning = self._groups_in_several_chunks() if self.split else None
 
     # -- layout -----------------------------------------------------------------
 
-    def _place(self, df: DataFrame, total: int) -> DataFrame:
+    def _place(self, df: DataFrame) -> DataFrame:
         keys = [F.col(g).asc() for g in self.group] + sort_columns(self.order)
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = (
-            df.repartitionByRange(max(shuffle, -(-total // self.max_rows)), *keys)
+            df.repartitionByRange(self.chunks, *keys)
             .sortWithinPartitions(*keys)
             .withColumn(_ID, F.monotonically_increasing_id())
             .withColumn(_CHUNK, F.shiftright(F.col(_ID), _ROW_BITS))
@@ -97,6 +118,28 @@ class OrderedRows:
             rows = null_safe_join(rows, F.broadcast(self._spanning), self.group, "left_semi")
         return rows.groupBy(*self.group, _CHUNK).agg(*aggs)
 
+    def _carried(self, totals: DataFrame, carries: Mapping[str, Carry]) -> DataFrame:
+        """Column ``__o_{n}`` per (group, partition): ``__t_{n}`` of all partitions before (after, for "next") it.
+
+        Many partitions are combined in lots: inside each lot, and over the lots.
+        """
+        if self.chunks <= LOT:
+            over = Window.partitionBy(*self.group).orderBy(_CHUNK)
+            return totals.select("*", *[_beyond(kind, F.col(f"__t_{n}"), over).alias(f"__o_{n}") for n, kind in carries.items()])
+        lots = totals.withColumn(_LOT, F.floor(F.col(_CHUNK) / LOT))
+        inner = Window.partitionBy(*self.group, _LOT).orderBy(_CHUNK)
+        outer = Window.partitionBy(*self.group).orderBy(_LOT)
+        near = lots.select("*", *[_beyond(kind, F.col(f"__t_{n}"), inner).alias(f"__i_{n}") for n, kind in carries.items()])
+        whole = lots.groupBy(*self.group, _LOT).agg(*[_whole(kind, F.col(f"__t_{n}")).alias(f"__w_{n}") for n, kind in carries.items()])
+        # one row per lot and group: a thousandth of the partitions and at most two per partition border
+        far = whole.select(*self.group, _LOT, *[_beyond(kind, F.col(f"__w_{n}"), outer).alias(f"__f_{n}") for n, kind in carries.items()])
+        both = null_safe_join(near, F.broadcast(far), [*self.group, _LOT], "left")
+        joined = {}
+        for n, kind in carries.items():
+            i, f = F.col(f"__i_{n}"), F.col(f"__f_{n}")
+            joined[f"__o_{n}"] = F.coalesce(i + f, i, f) if kind == "sum" else F.coalesce(i, f)
+        return both.withColumns(joined).drop(_LOT, *[f"__{p}_{n}" for p in "if" for n in carries])
+
     def _attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
         return null_safe_join(df, F.broadcast(carry), [*self.group, _CHUNK], "left")
 
@@ -122,12 +165,9 @@ class OrderedRows:
         out = self.df.select("*", *[F.sum(e).over(w).alias(n) for n, e in safe.items()])
         if not self.split:
             return out
-        before = Window.partitionBy(*self.group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         totals = self._per_chunk([F.sum(e).alias(f"__t_{n}") for n, e in safe.items()])
-        carry = totals.select(
-            *self.group, _CHUNK, *[F.sum(f"__t_{n}").over(before).alias(f"__o_{n}") for n in safe]
-        )
-        out = self._attach(out, carry)
+        carry = self._carried(totals, {n: "sum" for n in safe})
+        out = self._attach(out, carry.select(*self.group, _CHUNK, *[f"__o_{n}" for n in safe]))
         for n in safe:
             out = out.withColumn(n, F.col(n) + F.coalesce(F.col(f"__o_{n}"), F.lit(0)))
         return out.drop(*[f"__o_{n}" for n in safe])
@@ -144,30 +184,31 @@ class OrderedRows:
         Rows of a group are consecutive inside a partition, so their place
         follows from the row number given when they were written.
         """
-        before = Window.partitionBy(*self.group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        sizes = self._per_chunk([F.count(F.lit(1)).alias("__n"), F.min(_ID).alias("__first")])
-        carry = sizes.select(*self.group, _CHUNK, "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        sizes = self._per_chunk([F.count(F.lit(1)).alias("__t_n"), F.min(_ID).alias("__first")])
+        carry = self._carried(sizes, {"n": "sum"})
+        carry = carry.select(*self.group, _CHUNK, "__first", F.coalesce(F.col("__o_n"), F.lit(0)).alias("__before"))
         place = F.col(_ID) - F.col("__first") + F.col("__before") + 1
         return self._attach(self.df, carry).withColumn(_POS, place).drop("__first", "__before")
 
     def fill_forward(self, values: Mapping[str, Column]) -> DataFrame:
         """Last non-NULL value up to and including each row."""
-        w = self.window().rowsBetween(Window.unboundedPreceding, 0)
-        out = self.df.select("*", *[F.last(e, ignorenulls=True).over(w).alias(n) for n, e in values.items()])
+        return self.fill({n: ("last", e, True) for n, e in values.items()})
+
+    def fill_backward(self, values: Mapping[str, Column]) -> DataFrame:
+        """First non-NULL value from each row on."""
+        return self.fill({n: ("next", e, True) for n, e in values.items()})
+
+    def fill(self, values: Mapping[str, tuple[Carry, Column, bool]]) -> DataFrame:
+        """Nearest non-NULL values: (``"last"`` or ``"next"``, the value, whether the row's own counts)."""
+        here = {n: _beyond(kind, e, self.window(), own) for n, (kind, e, own) in values.items()}
+        out = self.df.select("*", *[c.alias(n) for n, c in here.items()])
         if self.split:
-            before = Window.partitionBy(*self.group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-            ends = self._per_chunk(
-                [
-                    F.max_by(e, F.when(e.isNotNull(), F.col(_ID))).alias(f"__t_{n}")
-                    for n, e in values.items()
-                ]
-            )
-            carry = ends.select(
-                *self.group,
-                _CHUNK,
-                *[F.last(f"__t_{n}", ignorenulls=True).over(before).alias(f"__o_{n}") for n in values],
-            )
-            out = self._attach(out, carry)
+            ends = self._per_chunk([
+                (F.max_by if kind == "last" else F.min_by)(e, F.when(e.isNotNull(), F.col(_ID))).alias(f"__t_{n}")
+                for n, (kind, e, _) in values.items()
+            ])
+            carry = self._carried(ends, {n: kind for n, (kind, _, _) in values.items()})
+            out = self._attach(out, carry.select(*self.group, _CHUNK, *[f"__o_{n}" for n in values]))
             for n in values:
                 out = out.withColumn(n, F.coalesce(F.col(n), F.col(f"__o_{n}")))
             out = out.drop(*[f"__o_{n}" for n in values])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.operators.clean import floor_time
@@ -102,17 +102,16 @@ def interpolate(
     ends = df.groupBy(*group).agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
     grid = ends.select(*group, F.explode(time_range(floor_time("__lo", minutes), floor_time("__hi", minutes), minutes)).alias(time))
     joined = grid.join(cells, [*group, time], "left")
-    w = Window.partitionBy(*group).orderBy(time)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    onward = w.rowsBetween(0, Window.unboundedFollowing)
+    # rows per group and in all follow from the ends, so nothing is counted
+    points = F.floor((F.unix_micros(floor_time("__hi", minutes)) - F.unix_micros(floor_time("__lo", minutes))) / (minutes * 60_000_000)) + 1
+    sizes = ends.agg(F.max(points), F.sum(points)).first()
+    fills = {f"__p_{v}": ("last", F.col(f"__last_{v}"), False) for v in values}
+    fills |= {f"__n_{v}": ("next", F.col(f"__first_{v}"), True) for v in values}
+    near = OrderedRows(joined, list(group), [time], sizes=tuple(sizes)).fill(fills)
     at = F.unix_micros(F.col(time))
-    columns = []
     for v in values:
         here = F.col(f"__first_{v}")
-        before = F.when(here["t"] == at, here).otherwise(F.last(f"__last_{v}", ignorenulls=True).over(earlier))
-        after = F.first(f"__first_{v}", ignorenulls=True).over(onward)
-        columns += [before.alias(f"__p_{v}"), after.alias(f"__n_{v}")]
-    near = joined.select(*group, time, *columns)
+        near = near.withColumn(f"__p_{v}", F.when(here["t"] == at, here).otherwise(F.col(f"__p_{v}")))
     out = []
     for v in values:
         p, n = F.col(f"__p_{v}"), F.col(f"__n_{v}")
