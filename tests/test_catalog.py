@@ -21,6 +21,7 @@ SPLIT = [
     "g3_crosscount", "g12_feature_set", "w3_ts_mean", "w9_ts_rank", "w12_ewm_cov", "w14_row_lead", "j3_vintage_join",
     "j6_lookup_join", "a10_gini_table", "a16_roc", "a18_median_half", "a19_box_summary", "m3_uniform_sample",
     "j7_asof_fill", "w15_fill_grid", "w16_interpolate", "m8_oversample", "m10_stratified_split", "m11_time_split", "o9_first_rows_from_origin",
+    "j4_multi_vintage_join", "m24_forecast_with_fallback", "m25_backtest_trained", "m26_backtest_four_hour", "m27_backtest_lookback",
 ]
 
 

@@ -7,9 +7,11 @@ above it, means drift.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -22,6 +24,9 @@ from vanecast.operators.metrics import r2
 
 # Fixed values.
 BINS, CLUSTERS, CLUSTER_SEED = 50, 3, 42
+WORDS = "\\W+"
+# Bounds of the text clusters: centres hold clusters x places doubles; rounds of k-means.
+MOST_PLACES, MOST_MOVES = 1 << 20, 200
 P_THRESHOLD, SCORE_THRESHOLD = 0.05, 0.85
 
 RESULT = "name string, method string, statistic double, dof double, p double, drift boolean"
@@ -106,29 +111,41 @@ def js_distance(history: DataFrame, new: DataFrame, column: str, bins: int = BIN
     )
 
 
-def text_clusters(
-    history: DataFrame, new: DataFrame, column: str, clusters: int = CLUSTERS, features: int = 1 << 16
-) -> DataFrame:
-    """Rows (cluster, n0, n1): both sides assigned to clusters fitted on the history texts.
+def hashed_width(texts: DataFrame, column: str) -> int:
+    """Places for hashed words: a power of two of at least twice the distinct words, so few words share one."""
+    words = F.explode(F.split(F.lower(F.col(column)), WORDS))
+    known = texts.select(words.alias("w")).agg(F.approx_count_distinct("w", 0.02)).first()[0]
+    return min(MOST_PLACES, 1 << max(10, (2 * known).bit_length()))
+
 
-    Words are hashed, so no vocabulary is gathered.
+def text_clusters(history: DataFrame, new: DataFrame, column: str, clusters: int = CLUSTERS, features: int | None = None) -> DataFrame:
+    """Rows (cluster, n0, n1): both sides assigned to clusters fitted on the history texts, so a number means the same on both.
+
+    Words are hashed to as many places as the history's vocabulary needs; no vocabulary is gathered. Centres move
+    until they rest; texts are weighted by idf and have length one, so long texts weigh as much as short ones.
     """
-    pipeline = Pipeline(
+    text = F.coalesce(F.col(column).cast("string"), F.lit("")).alias("__text")
+    past = history.select(text)
+    width = hashed_width(past, "__text") if features is None else features
+    weigh = Pipeline(
         stages=[
-            RegexTokenizer(inputCol="__text", outputCol="__words", pattern="\\W+"),
-            HashingTF(inputCol="__words", outputCol="__tf", numFeatures=features),
+            RegexTokenizer(inputCol="__text", outputCol="__words", pattern=WORDS),
+            HashingTF(inputCol="__words", outputCol="__tf", numFeatures=width),
             IDF(inputCol="__tf", outputCol="__idf"),
             Normalizer(inputCol="__idf", outputCol="__unit"),
-            KMeans(featuresCol="__unit", predictionCol="cluster", k=clusters, seed=CLUSTER_SEED, maxIter=10),
         ]
-    )
-    text = F.coalesce(F.col(column).cast("string"), F.lit("")).alias("__text")
-    model = pipeline.fit(history.select(text))
-    rows = history.select(text, F.lit(0).alias("side")).unionByName(new.select(text, F.lit(1).alias("side")))
-    return (
-        model.transform(rows)
-        .groupBy("cluster")
-        .agg(F.count(F.when(F.col("side") == 0, 1)).alias("n0"), F.count(F.when(F.col("side") == 1, 1)).alias("n1"))
+    ).fit(past)
+    group = KMeans(featuresCol="__unit", predictionCol="cluster", k=clusters, seed=CLUSTER_SEED, maxIter=MOST_MOVES, tol=1e-6)
+    vectors = weigh.transform(past).select("__unit").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        centres = group.fit(vectors)
+    finally:
+        vectors.unpersist()
+    if centres.summary.numIter >= MOST_MOVES:
+        warnings.warn(f"text clusters still moved after {MOST_MOVES} rounds", stacklevel=2)
+    rows = past.withColumn("side", F.lit(0)).unionByName(new.select(text, F.lit(1).alias("side")))
+    return centres.transform(weigh.transform(rows)).groupBy("cluster").agg(
+        F.count(F.when(F.col("side") == 0, 1)).alias("n0"), F.count(F.when(F.col("side") == 1, 1)).alias("n1")
     )
 
 
