@@ -174,12 +174,8 @@ _AUC = """SELECT (sum(CASE WHEN y = {c} THEN rk END) - count(*) FILTER (y = {c})
     {R('(SELECT ll FROM l)')} AS log_loss, {R('(SELECT auc FROM a)')} AS auc FROM k""",
 )
 def a12_classification_metrics(spark, sf_dir):
-    d = scored(spark, sf_dir)
-    scores = metrics.class_scores(d, "y", "named")
-    loss = d.agg(metrics.log_loss(F.when(F.col("y") == 1, F.col("p")).otherwise(1 - F.col("p"))).alias("log_loss"))
-    areas = metrics.auc_table(d, "y", {0: "q", 1: "p"}).where("cls = 'macro'").select("auc")
-    out = scores.crossJoin(F.broadcast(loss)).crossJoin(F.broadcast(areas))
-    return rounded(out, [], ["accuracy", "precision", "recall", "f1", "log_loss", "auc"])
+    out = metrics.classification_report(scored(spark, sf_dir), "y", "named", {0: "q", 1: "p"})
+    return rounded(out, [], list(metrics.CLASS_REPORT))
 
 
 @query(

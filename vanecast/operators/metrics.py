@@ -182,6 +182,25 @@ def auc_table(df: DataFrame, actual: str, scores: Mapping[object, str]) -> DataF
     return per.unionByName(macro).unionByName(micro)
 
 
+CLASS_REPORT = ("accuracy", "precision", "recall", "f1", "log_loss", "auc")
+
+
+def classification_report(df: DataFrame, actual: str, predicted: str, scores: Mapping[object, str]) -> DataFrame:
+    """All measures of a classifier in one row; ``scores`` names the probability column of every class.
+
+    Precision, recall and F1 are weighted by support, the area is the mean over classes that have rows and do not
+    have all. A true class without a column counts as given no probability. Rows lacking a class, a prediction
+    or a probability are left out. ``df`` is read three times.
+    """
+    known = df.dropna(subset=[actual, predicted, *scores.values()])
+    p_true = F.lit(0.0)
+    for cls, column in scores.items():
+        p_true = F.when(F.col(actual) == F.lit(cls), F.col(column).cast("double")).otherwise(p_true)
+    loss = known.agg(log_loss(p_true).alias("log_loss"))
+    areas = auc_table(known, actual, scores).where("cls = 'macro'").select("auc")
+    return scalar_join(scalar_join(class_scores(known, actual, predicted), loss), areas).select(*CLASS_REPORT)
+
+
 # -- feature scoring ----------------------------------------------------------------------
 
 

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from vanecast.functions.registry import Feature, FeatureSet
 from vanecast.operators.drift import accuracy
-from vanecast.operators.metrics import as_rows, capacity_error, evaluate, mae, mse, r2, rmse
+from vanecast.operators.metrics import CLASS_REPORT, as_rows, capacity_error, classification_report, evaluate, mae, mse, r2, rmse
 from vanecast.plans.features import search_features, transform_parts
-from vanecast.plans.model import CLASSIFIERS, REGRESSORS, fit, predict, search_models, selector, validation_score
+from vanecast.plans.model import CLASSIFIERS, REGRESSORS, fit, predict, predict_probability, search_models, selector, validation_score
 from vanecast.session import materialize
 from vanecast.sources.sinks import append, log_run, save_run
 
 METRICS = {"mse": mse, "rmse": rmse, "mae": mae, "r2": r2, "capacity_error": capacity_error}
-CLASS_METRICS = {"accuracy": accuracy}
 
 
 def error_share(y: Column, p: Column) -> Column:
@@ -61,7 +60,7 @@ def train_run(
     """
     spark = train.sparkSession
     learners = learners or (CLASSIFIERS if classification else REGRESSORS)
-    first, measures, loss = ("gbt_class", CLASS_METRICS, error_share) if classification else ("gbt", METRICS, mse)
+    first, loss = ("gbt_class", error_share) if classification else ("gbt", mse)
     train, validation = materialize(train, "train"), materialize(validation, "validation")
     base = fit(train, first, numeric, target, **params)
     baseline = validation_score(base, validation, target, classification)
@@ -77,8 +76,16 @@ def train_run(
     best = min((r for r in log if r[3] is not None), key=lambda r: (r[3], r[0]))
     # measured on rows the model has not seen; the stored one is fitted on all
     name, settings = trials[best[0]]
-    scored = predict(fit(wide_train, name, columns, target, **settings), wide_validation)
-    metrics = as_rows(evaluate(scored, target, "y_pred", measures), list(measures), f"run-{model_id}")
+    measured = fit(wide_train, name, columns, target, **settings)
+    scored = predict(measured, wide_validation)
+    if classification:
+        codes = int(wide_train.agg(F.max(target)).first()[0]) + 1
+        chances = {float(i): f"p{i}" for i in range(codes)}
+        likely = predict_probability(measured, scored, codes).select(F.col(target).cast("double").alias("y"), "y_pred", *chances.values())
+        report = classification_report(materialize(likely, "likely"), "y", "y_pred", chances)
+        metrics = as_rows(report, CLASS_REPORT, f"run-{model_id}")
+    else:
+        metrics = as_rows(evaluate(scored, target, "y_pred", METRICS), list(METRICS), f"run-{model_id}")
     model = fit(wide_train.unionByName(wide_validation), name, columns, target, **settings)
     save_run(spark, f"{out}/model-{model_id}", model, fitted, classes)
     append(metrics, f"{out}/metrics")
