@@ -77,3 +77,29 @@ def test_lookups_broadcast_by_rows_and_bytes(spark, monkeypatch):
         with pytest.raises(ValueError):
             lookup_join(left, spark.createDataFrame(rows, "k long, v long"), ["k"])
     assert lookup_join(left, spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k long, v long"), ["k"]).where("v = 3").count() == 1
+
+
+@pytest.mark.parametrize("max_rows", [2_000_000, 20])
+def test_every_row_has_a_place_of_its_own_by_key(spark, max_rows):
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({"k": rng.permutation(200).astype(float), "a": rng.integers(0, 9, 200) + 1.0, "few": rng.integers(0, 4, 200) * 1.0, "smooth": rng.normal(size=200)})
+    df = spark.createDataFrame([tuple(map(float, r)) for r in frame.itertuples(index=False)], "k double, a double, few double, smooth double").repartition(4)
+
+    def area(by):
+        ordered = frame.sort_values(by)["a"].to_numpy()
+        return ((ordered * np.arange(200, 0, -1)).sum() / ordered.sum() - 201 / 2) / 200
+
+    got = {r["feature"]: r["gini"] for r in gini_table(df, "a", ["few", "smooth"], max_rows, key="k").collect()}
+    for c in ("few", "smooth"):
+        assert got[c] == pytest.approx(abs(area([c, "k"]) / area(["a", "k"])), abs=1e-12)
+    shared = {r["feature"]: r["gini"] for r in gini_table(df, "a", ["few"]).collect()}
+    assert got["few"] != pytest.approx(shared["few"], abs=1e-6)
+
+
+def test_key_ties_and_nulls(spark):
+    rows = [(None, 3.0, 1.0), (1.0, 2.0, 1.0), (1.0, 2.0, 1.0), (2.0, None, 0.0), (3.0, 5.0, None)]
+    df = spark.createDataFrame(rows, "k double, a double, x double")
+    got = gini_table(df, "a", ["x"], key="k").first()["gini"]  # places by x: NULL target 1, key NULL (3) 2, then 2 and 2
+    weighted, best = 3 * 2 + 2 * 3 + 2 * 4, 2 * 2 + 2 * 3 + 3 * 4
+    assert got == pytest.approx(abs((5 * 7 - weighted) / 7 - 2.5) / abs((5 * 7 - best) / 7 - 2.5))
+    assert gini_table(df.limit(0), "a", ["x"], key="k").collect() == []
