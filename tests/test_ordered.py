@@ -179,3 +179,24 @@ def test_ewm_keeps_its_digits_over_a_level_shift(spark, monkeypatch, max_rows, s
     for name, values in want.items():
         np.testing.assert_allclose(by_key(out, name), values.to_numpy(), rtol=1e-9, err_msg=name)
     out.unpersist()
+
+
+def test_window_features_cut_long_groups(spark, monkeypatch):
+    """One task never computes the frames of more than ``WINDOW_ROWS`` rows, however few the groups."""
+    from vanecast.functions.registry import Feature, FeatureSet
+    from vanecast.operators import window
+
+    df = spark.range(120).selectExpr("id AS k", "CAST(id % 2 AS STRING) AS g", "(id * 37 % 101) * 1.0D AS x", "(id * 11 % 17) * 1.0D AS y").repartition(3)
+    asked = [Feature("ts_corr", ("x", "y"), 4), Feature("ts_rank", ("x",), 3), Feature("ewm_mean", ("y",), 2), Feature("log", ("x",)), Feature("aggmean", ("g", "x"))]
+    found = lambda: {tuple(r)[0]: [None if v is None else round(v, 9) for v in tuple(r)[4:]] for r in FeatureSet(asked, ["g"], ["k"]).fit(df).transform(df).collect()}
+    whole, split = found(), []
+    plain = window.OrderedRows
+
+    def watched(*args, **kwargs):
+        out = plain(*args, **kwargs)
+        split.append(out.split)
+        return out
+
+    monkeypatch.setattr(window, "OrderedRows", watched)
+    monkeypatch.setattr(window, "WINDOW_ROWS", 20, raising=False)
+    assert found() == whole and split == [True, True]

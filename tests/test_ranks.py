@@ -103,3 +103,10 @@ def test_key_ties_and_nulls(spark):
     weighted, best = 3 * 2 + 2 * 3 + 2 * 4, 2 * 2 + 2 * 3 + 3 * 4
     assert got == pytest.approx(abs((5 * 7 - weighted) / 7 - 2.5) / abs((5 * 7 - best) / 7 - 2.5))
     assert gini_table(df.limit(0), "a", ["x"], key="k").collect() == []
+
+
+def test_wide_tables_are_counted_in_parts(spark):
+    n = ranks.COUNTED_COLUMNS + 3
+    df = spark.range(1, 30).selectExpr("id * 1.0D AS a", *[f"if(id % {i + 2} = 0, NULL, id * 1.0D) AS x{i}" for i in range(n)])
+    got = {r["i"]: r["n"] for r in rank_sums(df, "a", [f"x{i}" for i in range(n)]).collect()}
+    assert got == {i: sum(v % (i + 2) != 0 for v in range(1, 30)) for i in range(n)}
