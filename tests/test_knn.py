@@ -98,3 +98,17 @@ def test_asks_grow_slower_than_pairs(spark):
         mine = placed.selectExpr("id", "v", "shelf", "0L AS part", f"{60 / n ** 0.5}D AS bound")
         asked.append(knn._asks(mine, children, parts).count())
     assert asked[1] < 7 * asked[0]
+
+
+def test_tasks_of_the_answers_follow_the_shelves(spark):
+    """Forty shelves in a session of four shuffle partitions: a task reads a few shelves and their askers, not a fourth of all."""
+    from pyspark.sql import functions as F
+
+    placed = spark.range(400).select("id", F.array((F.col("id") * 7 % 40).cast("double")).alias("v"), (F.col("id") % 40).alias("shelf"), F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("m"))
+    asked = placed.select("id", "v", F.lit(1.5).alias("bound"), F.explode(F.expr("sequence(0L, 39L)")).alias("to"), F.lit(0).cast("long").alias("p")).where("to <> shelf")
+    out = knn._answers(placed, asked, 3, 100, "id long, d double, w long")
+    assert out.rdd.getNumPartitions() >= 40
+    # every other shelf holds ten copies of one value; those within the bound answer
+    near = {v: sum(x != v and abs(x - v) < 1.5 for x in range(40)) for v in range(40)}
+    got = {r["id"]: r["n"] for r in out.groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert got == {i: 3 * near[i * 7 % 40] for i in range(400)}  # three each, as many as are looked for

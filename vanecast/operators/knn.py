@@ -239,6 +239,12 @@ def neighbour_distance(
     return rows.join(by_vector, "__v", "left").select(*df.columns, "distance")
 
 
+def _one_each(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], groups: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a cogroup in as many partitions as there are groups, so that no task reads more as the groups become more."""
+    n = max(groups, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return left.repartition(n, *left_keys), right.repartition(n, *right_keys)
+
+
 def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> DataFrame:
     """(id, v, bound, to, part): the other shelves that may hold a closer point than the bound of a point."""
     asks = None
@@ -271,7 +277,8 @@ def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> Data
             break
         dealt = front.join(counts, "node").withColumn("p", F.pmod(F.xxhash64("id"), F.col("copies"))).drop("copies")
         spread = counts.select(F.col("node").alias("parent"), "copies").join(children, "parent").withColumn("q", F.explode(F.expr("sequence(0L, copies - 1)")))
-        found = dealt.groupBy("node", "p").cogroup(spread.drop("copies").groupBy("parent", "q")).applyInArrow(descend, schema)
+        dealt, spread = _one_each(dealt, ["node", "p"], spread.drop("copies"), ["parent", "q"], counts.agg(F.sum("copies")).first()[0])
+        found = dealt.groupBy("node", "p").cogroup(spread.groupBy("parent", "q")).applyInArrow(descend, schema)
         found = materialize(found, "descent")
         ask = found.where("is_shelf AND node <> own").select("id", "v", "bound", F.col("node").alias("to"), F.lit(0).cast("long").alias("p"))
         asks = ask if asks is None else asks.unionByName(ask)
@@ -286,7 +293,7 @@ def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> Data
 def _answers(placed: DataFrame, asked: DataFrame, k: int, leaf_rows: int, schema: str) -> DataFrame:
     """(id, d, w): at most k distances below its bound for each point and shelf it asked."""
     asked = materialize(asked, "asked")
-    counts = asked.groupBy("to", "p").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies"))
+    counts = materialize(asked.groupBy("to", "p").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies")), "wanted")
     dealt = asked.join(counts, ["to", "p"]).withColumn("c", F.pmod(F.xxhash64("id"), F.col("copies"))).drop("copies")
     wanted = counts.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
     shelves = placed.select(F.col("shelf").alias("to"), F.col("part").alias("p"), F.col("v").alias("v2"), F.col("m").alias("m2"))
@@ -305,4 +312,5 @@ def _answers(placed: DataFrame, asked: DataFrame, k: int, leaf_rows: int, schema
         out = left.select(["id"]).take(pa.array(at))
         return out.append_column("d", pa.array(near.d[at, place])).append_column("w", pa.array(near.w[at, place]))
 
+    dealt, spread = _one_each(dealt, ["to", "p", "c"], spread, ["s", "t", "u"], counts.agg(F.sum("copies")).first()[0] or 0)
     return dealt.groupBy("to", "p", "c").cogroup(spread.groupBy("s", "t", "u")).applyInArrow(answer, schema)
