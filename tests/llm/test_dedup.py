@@ -175,3 +175,64 @@ def test_missing_and_repeated_ids_part(spark, monkeypatch):
     assert len(out) == 600 and len(again) == 1
     monkeypatch.undo()
     assert sorted(map(str, substring_dedup(docs).collect())) == sorted(map(str, out))
+
+
+def test_a_large_group_is_not_compared_in_pairs(spark, monkeypatch):
+    """Copies with 1 to 6 words changed: most of them are no near copies of each other, and few pairs reach the comparison of sets."""
+    from vanecast.llm import jaccard as J
+
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(150)]
+    data = []
+    for k in range(300):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            copy[at] = rng.choice("abcdefgh")
+        data.append((k, " ".join(copy)))
+    sets = [shingles(t) for _, t in data]
+    up = list(range(len(sets)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, x in enumerate(sets):
+        for b in range(a):
+            if 100 * len(x & sets[b]) >= 80 * len(x | sets[b]):
+                p, q = find(a), find(b)
+                up[max(p, q)] = min(p, q)
+    compared, verified = [], J._verified
+
+    def counted(pairs, candidates):
+        compared.append(pairs.count())
+        return verified(pairs, candidates)
+
+    monkeypatch.setattr(J, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in near_duplicates(frame(spark, data)).collect()}
+    assert got == {k: find(k) for k in range(len(sets))}
+    assert len(set(got.values())) > 1 and sum(compared) < 3 * len(sets)
+
+
+def test_parity_bits_keep_all_similar_pairs():
+    import numpy as np
+    import pyarrow as pa
+
+    from vanecast.llm import jaccard as J
+
+    rng = np.random.default_rng(2)
+    sets = []
+    for size in (5, 60, 70, 300):  # widths 64 to 1,024; of 60 and 70 they differ
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for k in range(30):
+            gone, new = int(rng.integers(0, size // 4 + 1)), int(rng.integers(0, size // 4 + 1))
+            sets.append(np.unique(np.concatenate([base[gone:], rng.integers(0, 1 << 63, new, dtype=np.uint64)])))
+    n, ids = [len(s) for s in sets], list(range(len(sets)))
+    bits = pa.array([J.parity_bits(s, len(s)) for s in sets], pa.binary())
+    side = pa.table({"entry": [7] * len(ids), "part": [0] * len(ids), "id": ids, "n": n, "alone": [0] * len(ids), "component": ids, "bits": bits})
+    met = J._met(side, side)
+    met = set(zip(met["id"].to_pylist(), met["hub"].to_pylist(), strict=True))
+    overlap = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in ids for b in ids if a != b}
+    similar = {(a, b) for (a, b), both in overlap.items() if 100 * both >= 80 * (n[a] + n[b] - both)}
+    assert len(similar) > 100 and similar <= met
+    assert not any(overlap[pair] == 0 for pair in met)

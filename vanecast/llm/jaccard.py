@@ -14,18 +14,24 @@ documents use the same one, and the sketch never undercounts, so a shingle that
 once is shared with nobody and needs no index entry.  Equal sets are merged before; only
 documents whose prefix holds a shared shingle go on.
 
-Lists are not expanded into pairs.  In a first round all documents of a list are compared with
-one hub of it, the one with the smallest share of unshared shingles.  After that only documents
-outside the largest component of their list are hubs, up to 64 of a list per round: what is
-left once they have met everyone is one component.  Documents that are already connected, or
-cannot be similar by size, are not compared; a list ends when it holds one component.
+Lists are not expanded into pairs, and of lists with the same documents one is kept.  In a first
+round all documents of a list are compared with one hub of it, the one with the smallest share of
+unshared shingles.  After that only documents outside the largest component of their list are
+hubs, up to 64 of a list, then 16 times as many in every round: what is left once they have met
+everyone is one component.  Documents that are already connected are not compared; a list ends
+when it holds one component.
+
+Hubs and lists meet as arrays inside tasks, each a bounded part of the lists.  A pair becomes a row
+only if its sizes and parity bits allow a similarity of 0.8: a set's shingles toggle the bits of a
+field of at least twice its size, so two fields differ in no more bits than the sets in shingles.
+Only these pairs are compared by their sets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.llm.blocks import Deal, add_up, deal, look_up, read_flags, sketch_rows
@@ -35,6 +41,10 @@ from vanecast.session import materialize
 
 WIDTH = 5
 RARE = 16  # a shingle counted more often is frequent
+PART_ROWS = 4096  # rows of a list that meet its hubs at once
+TASK_ROWS = 20_000  # rows of lists in a group of parts
+PAIR_WORDS = 1 << 20  # pairs of rows, and words of their parity fields, compared at a time
+MORE_HUBS = 16  # times as many in each round
 _U = np.uint64
 
 
@@ -102,6 +112,13 @@ def prefix_signatures(hashes: np.ndarray, counts: np.ndarray, rare: int = RARE)
     return np.concatenate([hashes[:single][counts[:single] > 1], pairs])
 
 
+def parity_bits(hashes: np.ndarray, n: int) -> bytes:
+    """Which places hold an odd number of the hashes; a power of two of at least ``2 * n`` places."""
+    width = max(64, 1 << (2 * n - 1).bit_length())
+    odd = np.bincount((hashes & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _candidates(width: int, how: Deal, rare: int):
     def give(part: pa.Table, flags: pa.Table) -> pa.Table:
         rows = []
@@ -112,14 +129,16 @@ def _candidates(width: int, how: Deal, rare: int):
                 entries = prefix_signatures(s, counts, rare)
                 if len(entries):
                     shared = s[counts > 1]
-                    rows.append((i, len(s), len(s) - len(shared), entries.view(np.int64), shared.tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        return pa.table(dict(zip(("id", "n", "alone", "entries", "shared"), columns, strict=True)), _CANDIDATES)
+                    rows.append((i, len(s), len(s) - len(shared), entries.view(np.int64), shared.tobytes(), parity_bits(shared, len(s))))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        return pa.table(dict(zip(("id", "n", "alone", "entries", "shared", "bits"), columns, strict=True)), _CANDIDATES)
 
     return give
 
 
-_CANDIDATES = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("entries", pa.list_(pa.int64())), ("shared", pa.binary())])
+_CANDIDATES = pa.schema(
+    [("id", pa.int64()), ("n", pa.int64()), ("alone", pa.int64()), ("entries", pa.list_(pa.int64())), ("shared", pa.binary()), ("bits", pa.binary())]
+)
 _FLAGS = ("block long", "kind int", "slice long", "cells binary", "counts binary", "id long", "s1 long")
 
 
@@ -131,9 +150,75 @@ def _flags(df: DataFrame, kind: int, names: tuple[str, ...]) -> DataFrame:
     return df.select(*out)
 
 
-def _possible(n1: Column, alone1: Column, n2: Column, alone2: Column) -> Column:
-    """Whether two sets can reach 0.8, from their sizes and what they share with nobody."""
-    return 9 * F.least(n1 - alone1, n2 - alone2) >= 4 * (n1 + n2)
+class _Fields:
+    """Parity fields of some rows; a field folds to half its width by adding its halves."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        fields = [np.frombuffer(x.as_buffer(), "<u8") for x in column]
+        self.words = np.array([len(x) for x in fields], np.int64)
+        self.place = np.zeros(len(fields), np.int64)
+        self.own = {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.place[at] = np.arange(len(at))
+            self.own[w] = np.stack([fields[i] for i in at])
+
+    def take(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """The fields of ``rows``, all of them ``width`` or twice as many words wide, as ``width`` words."""
+        out = np.empty((len(rows), width), np.uint64)
+        wide = self.words[rows] > width
+        if not wide.all():
+            out[~wide] = self.own[width][self.place[rows[~wide]]]
+        if wide.any():
+            both = self.own[2 * width][self.place[rows[wide]]]
+            out[wide] = both[:, :width] ^ both[:, width:]
+        return out
+
+
+def _near(a: np.ndarray, b: np.ndarray, one: dict, two: dict) -> np.ndarray:
+    """Which pairs (rows ``a`` of ``one``, ``b`` of ``two``) can reach 0.8."""
+    total = one["n"][a] + two["n"][b]
+    known = one["n"][a] - one["alone"][a], two["n"][b] - two["alone"][b]
+    ok = np.flatnonzero((one["component"][a] != two["component"][b]) & (9 * np.minimum(*known) >= 4 * total))
+    # sizes differ by a quarter at most, so widths by a factor of two at most
+    widths = np.minimum(one["bits"].words[a[ok]], two["bits"].words[b[ok]])
+    keep = [np.zeros(0, np.int64)]
+    for w in np.unique(widths).tolist():
+        same = ok[widths == w]
+        for at in range(0, len(same), max(1, PAIR_WORDS // w)):
+            some = same[at : at + max(1, PAIR_WORDS // w)]
+            odd = np.bitwise_count(one["bits"].take(a[some], w) ^ two["bits"].take(b[some], w)).sum(axis=1, dtype=np.int64)
+            keep.append(some[9 * (known[0][some] + known[1][some] - odd) >= 8 * total[some]])
+    return np.concatenate(keep)
+
+
+def _met(lists: pa.Table, hubs: pa.Table) -> pa.Table:
+    """Distinct pairs (``id``, ``hub``) of some parts of lists that can be similar."""
+    sides = []
+    for table in (lists, hubs):
+        table = table.sort_by([("entry", "ascending"), ("part", "ascending")])
+        side = {c: table.column(c).to_numpy() for c in ("entry", "part", "id", "n", "alone", "component")}
+        sides.append(side | {"bits": _Fields(table.column("bits"))})
+    one, two = sides
+    # a part is known by its rank among all parts, the same on both sides
+    keys = [np.rec.fromarrays([x["entry"], x["part"]], names="entry,part") for x in sides]
+    _, code = np.unique(np.concatenate(keys), return_inverse=True)
+    own, other = code[: len(keys[0])], code[len(keys[0]) :]
+    first, last = np.searchsorted(other, own, "left"), np.searchsorted(other, own, "right")
+    ends = np.cumsum(last - first)
+    found = [np.zeros((0, 2), np.int64)]
+    at = 0
+    while at < len(own):
+        begin = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begin + PAIR_WORDS, "right")))
+        counts = (last - first)[at:stop]
+        a = np.repeat(np.arange(at, stop), counts)
+        b = np.arange(counts.sum()) - np.repeat(ends[at:stop] - counts - begin, counts) + first[a]
+        keep = _near(a, b, one, two)
+        found.append(np.unique(np.stack([one["id"][a[keep]], two["id"][b[keep]]], axis=1), axis=0))
+        at = stop
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"id": pairs[:, 0], "hub": pairs[:, 1]}, pa.schema([("id", pa.int64()), ("hub", pa.int64())]))
 
 
 def _overlaps(stream):
@@ -158,42 +243,60 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("id", "hub", "n", "m", "x", "y").mapInArrow(_overlaps, "a long, b long")
 
 
+def _distinct_lists(lists: DataFrame) -> DataFrame:
+    """(``entry``, ``least``, ``parts``): one entry of all those with the same documents, without lists of one row."""
+    hashes = F.xxhash64("id", "set"), F.xxhash64("set", "id", F.lit(1))
+    halves = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]  # sums of halves cannot overflow
+    sums = [F.sum(x).alias(f"sum{k}") for k, x in enumerate(halves)]
+    known = lists.groupBy("entry").agg(F.count("*").alias("size"), F.min("n").alias("least"), *sums).filter("size > 1")
+    kept = known.groupBy("size", "sum0", "sum1", "sum2", "sum3").agg(F.min("entry").alias("entry"), F.min("least").alias("least"))
+    return kept.select("entry", "least", F.ceil(F.col("size") / PART_ROWS).alias("parts"))
+
+
 def link_components(candidates: DataFrame) -> DataFrame:
     """(``id``, ``component``) of all candidates that are similar to another one."""
     spark = candidates.sparkSession
-    lists = candidates.select(F.explode("entries").alias("entry"), "id", "n", "alone")
+    known = candidates.withColumn("set", F.xxhash64("shared"))  # tells apart rows of the same id
+    lists = known.select(F.explode("entries").alias("entry"), "id", "set", "n", "alone")
     # aggregates are written out before they are joined, so that a join can split a long list
-    shared = materialize(lists.groupBy("entry").agg(F.count("*").alias("size"), F.min("n").alias("least")).filter("size > 1"), "entries")
+    shared = materialize(_distinct_lists(lists), "entries")
     # a document stays in a list only if some document of the list is small enough for it
-    lists = lists.join(shared, "entry").filter("4 * least <= 5 * n - 9 * alone").select("entry", "id", "n", "alone")
-    lists = materialize(lists.withColumns({"component": F.col("id"), "minor": F.lit(True)}), "lists")
+    lists = lists.join(shared, "entry").filter("4 * least <= 5 * n - 9 * alone").drop("least").distinct()
+    lists = lists.join(known.select("id", "set", "bits").dropDuplicates(["id", "set"]), ["id", "set"])
+    columns = ["entry", "parts", "id", "set", "n", "alone", "bits", "component", "minor"]
+    lists = materialize(lists.withColumns({"component": F.col("id"), "minor": F.lit(True)}).select(*columns), "lists")
     labels = spark.createDataFrame([], "id long, component long")
     buckets = 1
     rows = lists.count()
+    left_rows = rows
     while rows:
-        rank = F.struct((F.col("alone") / F.col("n")).alias("share"), "id", "n", "alone", "component")
+        rank = F.struct((F.col("alone") / F.col("n")).alias("share"), "id", "set", "n", "alone", "component", "parts", "bits")
         bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket")
         hubs = lists.filter("minor").groupBy("entry", bucket).agg(F.min(rank).alias("hub"))
-        hubs = materialize(compact(hubs.select(F.col("entry").alias("at"), "hub"), rows), "hubs")
-        hub = {c: F.col(f"hub.{c}") for c in ("id", "n", "alone", "component")}
-        wanted = (F.col("entry") == F.col("at")) & (F.col("component") != hub["component"])
-        met = lists.join(hubs, wanted & _possible(F.col("n"), F.col("alone"), hub["n"], hub["alone"]))
-        pairs = met.select("id", hub["id"].alias("hub")).distinct()
-        found = materialize(_verified(pairs, candidates), "found")
-        # known groups are stars; only new links join them
-        labels = components(found.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        hubs = materialize(compact(hubs.select("entry", "hub.*"), rows), "hubs")
+        # hubs go to every part of their list
+        group = F.pmod(F.xxhash64("entry", "part"), F.lit(max(8, left_rows // TASK_ROWS))).alias("group")
+        wanted = ["entry", "part", "id", "n", "alone", "component", "bits", group]
+        parted = lists.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), "parts")).select(*wanted)
+        spread = hubs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*wanted)
+        pairs = parted.groupBy("group").cogroup(spread.groupBy("group")).applyInArrow(_met, "id long, hub long").distinct()
+        found = materialize(_verified(materialize(pairs, "pairs"), candidates), "found")
+        if not found.isEmpty():
+            # known groups are stars; only new links join them
+            labels = components(found.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
         # hubs have met everyone in their list; what is left of it is open while it has several components
-        done = hubs.select(F.col("at").alias("entry"), hub["id"].alias("id"), F.lit(True).alias("__done"))
-        left = lists.drop("component", "minor").join(done, ["entry", "id"], "left").filter("__done IS NULL").drop("__done")
-        left = materialize(compact(left.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), rows), "left")
+        done = hubs.select("entry", "id", "set", F.lit(True).alias("__done"))
+        left = lists.drop("component", "minor").join(done, ["entry", "id", "set"], "left").filter("__done IS NULL").drop("__done")
+        left = materialize(compact(left.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), left_rows), "left")
         parts = left.groupBy("entry", "component").agg(F.count("*").alias("size"), F.min("n").alias("least"))
         open_ = parts.groupBy("entry").agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("big"), F.min("least").alias("least"))
         open_ = materialize(compact(open_.filter("parts > 1").select("entry", "least", F.col("big.component").alias("big")), rows), "open")
         left = left.join(open_, "entry").filter("4 * least <= 5 * n - 9 * alone")
         left = left.withColumn("minor", F.col("component") != F.col("big"))
-        lists = materialize(compact(left.select("entry", "id", "n", "alone", "component", "minor"), rows), "lists")
-        rows = lists.filter("minor").count()
-        buckets = 64
+        lists = materialize(compact(left.select(*columns), left_rows), "lists")
+        counts = lists.agg(F.count("*"), F.count(F.when(F.col("minor"), 1))).first()
+        left_rows, rows = counts
+        buckets = 64 if buckets == 1 else min(buckets * MORE_HUBS, 1 << 30)
     return labels
 
 
@@ -221,7 +324,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, rare: int = RARE, id_co
     counted = sketches.groupBy("slice").applyInArrow(add_up(how, 2), "block long, slice long, cells binary, counts binary")
     flags = copies.unionByName(_flags(counted, 1, ("block", "slice", "cells", "counts")))
     candidates = by_block.cogroup(flags.groupBy("block")).applyInArrow(
-        _candidates(width, how, rare), "id long, n long, alone long, entries array<long>, shared binary"
+        _candidates(width, how, rare), "id long, n long, alone long, entries array<long>, shared binary, bits binary"
     )
     similar = link_components(materialize(candidates, "candidates"))
     # equal sets link their documents to the first of them
