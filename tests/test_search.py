@@ -46,3 +46,12 @@ def test_small_tables_and_no_trials(parts, monkeypatch):
     with pytest.raises(ValueError):
         halving_search(train, validation, ["a"], "y", [], mse)
     assert "tree" in LEARNERS
+
+
+def test_rows_are_prepared_once_for_all_trials(parts, monkeypatch):
+    from vanecast.plans import model as M
+
+    seen, prepare = [], M.prepare
+    monkeypatch.setattr(M, "prepare", lambda *args: seen.append(1) or prepare(*args))
+    _, log = M.search_models(*parts, ["a", "b"], "y", TRIALS[:3], mse)
+    assert len(log) == 3 and len(seen) == 2  # the trials, and the best one on all rows

@@ -77,13 +77,18 @@ def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
+def prepare(train: DataFrame, features: Sequence[str], target: str) -> tuple[DataFrame, list[str]]:
+    """Typed rows, written as a learner reads them once per pass, and the inputs it can use."""
+    rows = materialize(as_doubles(train, [*features, target]).select(*features, target), "fit")
+    # an input without any known value has no mean to fill in
+    known = rows.agg(*[F.count(f).alias(f) for f in features]).first()
+    return rows, [f for f in features if known[f]]
+
+
 def fit(train: DataFrame, learner: str, features: Sequence[str], target: str, **params) -> PipelineModel:
     if learner == "boosted":  # any number of classes, stops early
         return fit_boosted(train, features, target, **params).model
-    rows = materialize(as_doubles(train, [*features, target]).select(*features, target), "fit")  # read once per pass of the learner
-    # an input without any known value has no mean to fill in
-    known = rows.agg(*[F.count(f).alias(f) for f in features]).first()
-    usable = [f for f in features if known[f]]
+    rows, usable = prepare(train, features, target)
     return build_pipeline(learner, usable, target, **params).fit(rows)
 
 
@@ -156,14 +161,19 @@ def search_models(
     """Fit every trial (learner, settings), then refit the one with the least loss on all rows.
 
     ``loss`` is an aggregate column of (actual, predicted). Fits of different
-    trials overlap; each is a distributed job.
+    trials overlap; each is a distributed job. The rows are typed and written once for all trials.
     """
     train = materialize(train.select(*features, target), "trials-train")
     validation = materialize(validation.select(*features, target), "trials-validation")
 
+    rows, usable = prepare(train, features, target) if any(learner != "boosted" for learner, _ in trials) else (train, [])
+
     def run(number: int) -> tuple[int, str, str, float]:
         learner, params = trials[number]
-        model = fit(train, learner, features, target, **params)
+        if learner == "boosted":
+            model = fit(train, learner, features, target, **params)
+        else:
+            model = build_pipeline(learner, usable, target, **params).fit(rows)
         value = predict(model, validation).agg(loss(F.col(target).cast("double"), F.col("y_pred"))).first()[0]
         return number, learner, str(dict(params)), value
 
