@@ -55,3 +55,16 @@ def test_rows_are_prepared_once_for_all_trials(parts, monkeypatch):
     monkeypatch.setattr(M, "prepare", lambda *args: seen.append(1) or prepare(*args))
     _, log = M.search_models(*parts, ["a", "b"], "y", TRIALS[:3], mse)
     assert len(log) == 3 and len(seen) == 2  # the trials, and the best one on all rows
+
+
+def test_a_run_stores_the_model_of_its_search(spark, parts, monkeypatch, tmp_path):
+    """The baseline and the measured model are fitted by the run itself, the model on all rows by the search."""
+    from vanecast.plans import train as T
+
+    fits, fit = [], T.fit
+    monkeypatch.setattr(T, "fit", lambda rows, *args, **params: fits.append(rows) or fit(rows, *args, **params))
+    one, two = (p.selectExpr("monotonically_increasing_id() AS id", "*") for p in parts)
+    done = T.train_run(one, two, "y", "id", ["a", "b"], [], str(tmp_path), candidates=2, maxIter=2)
+    assert len(fits) == 2
+    kept = list(done.model.stages[0].getInputCols())
+    assert kept[:2] == ["a", "b"] and predict(done.model, done.validation.drop("y_pred")).where("y_pred IS NULL").count() == 0

@@ -72,7 +72,7 @@ def train_run(
     columns = [*numeric, *[f.name for f in found.features]]
     wide_train, wide_validation = transform_parts(fitted, train, validation)
     trials = [(name, params if name.startswith("gbt") else {}) for name in learners]
-    _, log = search_models(wide_train, wide_validation, columns, target, trials, loss)
+    model, log = search_models(wide_train, wide_validation, columns, target, trials, loss)
     best = min((r for r in log if r[3] is not None), key=lambda r: (r[3], r[0]))
     # measured on rows the model has not seen; the stored one is fitted on all
     name, settings = trials[best[0]]
@@ -86,7 +86,6 @@ def train_run(
         metrics = as_rows(report, CLASS_REPORT, f"run-{model_id}")
     else:
         metrics = as_rows(evaluate(scored, target, "y_pred", METRICS), list(METRICS), f"run-{model_id}")
-    model = fit(wide_train.unionByName(wide_validation), name, columns, target, **settings)
     save_run(spark, f"{out}/model-{model_id}", model, fitted, classes)
     append(metrics, f"{out}/metrics")
     append(scored.select(key, F.col(target).alias("y_true"), "y_pred"), f"{out}/validation")
