@@ -1,6 +1,7 @@
 """Toxicity and quality: exact inference, held-out accuracy, awkward rows."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -137,3 +138,16 @@ def test_quality_rows(spark):
     assert Q.score_quality(awkward.limit(0), model).collect() == []
     empty = Q.fit_quality(awkward.limit(0), labelled.limit(0))
     assert {r.score for r in Q.score_quality(awkward, empty).collect()} == {0.5}
+
+
+def test_pooling_holds_vectors_of_a_small_part_of_the_texts():
+    text = " ".join(f"word{i % 977}" for i in range(1000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 400)], names=["text"])  # 3 MB, 400,000 tokens
+    table = np.random.default_rng(0).normal(size=(Q.ROWS, Q.WIDTH)).astype(np.float32)
+    ((_, one),) = Q._pool_stream(iter([batch.slice(0, 1)]), table, 0)
+    tracemalloc.start()
+    ((_, x),) = Q._pool_stream(iter([batch]), table, 0)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (x == one).all()
+    assert peak < 40e6  # the vectors of all tokens take 51 MB

@@ -25,6 +25,8 @@ WIDTH = 32  # length of a vector: ROWS * WIDTH * 4 bytes = 2 MB go to every task
 SLICES = 64
 REACH = 2  # words on either side that count as context
 ENTRIES = 2  # non-zero entries of an index vector
+COUNT_BYTES = 2 << 20  # text whose contexts are counted at once
+POOL_BYTES = 1 << 17  # text pooled at once: each token takes a vector, so the arrays are a hundred times as large
 
 # letters and digits are one kind of token, other visible bytes another; case is kept
 KINDS = np.full(256, 2, np.uint8)
@@ -32,9 +34,9 @@ KINDS[[*range(0x00, 0x21), 0x7F]] = 0
 KINDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 
 
-def _tokens(column):
+def _tokens(column, size: int):
     raw, offsets = text_bytes(column)
-    for a, b in batches(offsets, 2 << 20):
+    for a, b in batches(offsets, size):
         yield a, b, find_tokens(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], KINDS)
 
 
@@ -55,7 +57,7 @@ def word_table(docs: DataFrame, text_column: str = "text") -> np.ndarray:
         place, sign = index_vectors()
         total = np.zeros(ROWS * WIDTH)
         for batch in stream:
-            for _, _, words in _tokens(batch.column(0)):
+            for _, _, words in _tokens(batch.column(0), COUNT_BYTES):
                 row, owner = _rows(words.hash), words.owner()
                 for step in range(1, REACH + 1):
                     near = owner[step:] == owner[:-step]
@@ -196,7 +198,7 @@ def _pool_stream(stream, table: np.ndarray, keep: int):
     """(kept columns, pooled vectors) per batch; the text comes last."""
     for batch in stream:
         out = np.zeros((batch.num_rows, 2 * WIDTH + 5), np.float32)
-        for a, b, words in _tokens(batch.column(keep)):
+        for a, b, words in _tokens(batch.column(keep), POOL_BYTES):
             out[a:b] = pooled(words, table)
         yield batch.columns[:keep], out
 
@@ -251,7 +253,7 @@ def keep_quality(docs: DataFrame, model: Quality, least: float = 0.7, text_colum
         table, network = spread.value
         for batch in stream:
             x = np.zeros((batch.num_rows, 2 * WIDTH + 5), np.float32)
-            for a, b, words in _tokens(batch.column(at)):
+            for a, b, words in _tokens(batch.column(at), POOL_BYTES):
                 x[a:b] = pooled(words, table)
             yield batch.filter(pa.array(network.score(x.astype(float)) >= least))
 
