@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from vanecast.operators import drift
+from vanecast.operators.centres import settled_counts
 
 TOPICS = {t: [f"{t}{i}" for i in range(60)] for t in ("sea", "ore", "law")}
 COMMON = [f"common{i}" for i in range(15)]
@@ -45,3 +47,32 @@ def test_width_follows_the_vocabulary_and_empty_texts_count(spark, history):
     assert 6000 <= drift.hashed_width(many, "text") <= 16384
     new = spark.createDataFrame([("",), (None,)], "text string")
     assert sum(r["n1"] for r in drift.text_clusters(history, new, "text").collect()) == 2
+
+
+def test_rounds_of_k_means_stay_off_the_driver(spark, history, monkeypatch):
+    rounds = []
+    fit = drift.KMeans.fit
+    monkeypatch.setattr(drift.KMeans, "fit", lambda self, rows: rounds.append(self.getMaxIter()) or fit(self, rows))
+    drift.text_clusters(history, history.limit(10), "text").collect()
+    assert rounds == [0]  # a round of Spark's k-means gathers all centres
+
+
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_settled_counts_are_those_of_plain_rounds(spark, blocks):
+    draw = np.random.default_rng(blocks)
+    x = np.where(draw.random((90, 37)) < 0.2, draw.random((90, 37)), 0.0)
+    x[5] = 0
+    side = (np.arange(90) % 3 == 0).astype(int)
+    first = [x[0] + 0.1, x[1], x[2], np.full(37, 50.0) * (x.sum(0) > 0)]  # the last one has no member and stays
+    centres, old = np.stack(first), None
+    while True:
+        near = ((x[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+        if old is not None and (near == old).all():
+            break
+        old = near
+        own = [(near == j) & (side == 0) for j in range(4)]
+        centres = np.stack([x[m].mean(axis=0) if m.any() else c for m, c in zip(own, centres, strict=True)])
+    rows = [(int(s), np.flatnonzero(v).tolist(), v[v != 0].tolist()) for s, v in zip(side, x, strict=True)]
+    df = spark.createDataFrame(rows, "side int, indices array<int>, values array<double>")
+    want = [(j, int(((near == j) & (side == 0)).sum()), int(((near == j) & (side == 1)).sum())) for j in range(4)]
+    assert settled_counts(df, first, 200, blocks) == [r for r in want if r[1] + r[2]]

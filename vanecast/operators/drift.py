@@ -7,7 +7,6 @@ above it, means drift.
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -19,14 +18,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanecast.functions.distributions import chi_square_tail, t_two_sided
+from vanecast.operators.centres import settled_counts
 from vanecast.operators.joins import scalar_join
 from vanecast.operators.metrics import r2
 
 # Fixed values.
 BINS, CLUSTERS, CLUSTER_SEED = 50, 3, 42
 WORDS = "\\W+"
-# Bounds of the text clusters: centres hold clusters x places doubles; rounds of k-means.
+# Bounds of the text clusters: seeds hold clusters x places doubles; rounds of k-means.
 MOST_PLACES, MOST_MOVES = 1 << 20, 200
+BLOCK_BYTES = 8 << 20  # text whose vectors are in one block
 P_THRESHOLD, SCORE_THRESHOLD = 0.05, 0.85
 
 RESULT = "name string, method string, statistic double, dof double, p double, drift boolean"
@@ -135,18 +136,18 @@ def text_clusters(history: DataFrame, new: DataFrame, column: str, clusters: int
             Normalizer(inputCol="__idf", outputCol="__unit"),
         ]
     ).fit(past)
-    group = KMeans(featuresCol="__unit", predictionCol="cluster", k=clusters, seed=CLUSTER_SEED, maxIter=MOST_MOVES, tol=1e-6)
+    # only the seeds come from the driver's k-means; its rounds would gather dense centres there
+    seeds = KMeans(featuresCol="__unit", predictionCol="cluster", k=clusters, seed=CLUSTER_SEED, maxIter=0)
     vectors = weigh.transform(past).select("__unit").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centres = group.fit(vectors)
+        first = seeds.fit(vectors).clusterCenters()
     finally:
         vectors.unpersist()
-    if centres.summary.numIter >= MOST_MOVES:
-        warnings.warn(f"text clusters still moved after {MOST_MOVES} rounds", stacklevel=2)
     rows = past.withColumn("side", F.lit(0)).unionByName(new.select(text, F.lit(1).alias("side")))
-    return centres.transform(weigh.transform(rows)).groupBy("cluster").agg(
-        F.count(F.when(F.col("side") == 0, 1)).alias("n0"), F.count(F.when(F.col("side") == 1, 1)).alias("n1")
-    )
+    parts = weigh.transform(rows).select("side", F.unwrap_udt("__unit").alias("v")).select("side", "v.indices", "v.values")
+    size = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
+    found = settled_counts(parts, first, MOST_MOVES, max(1, -(-size // BLOCK_BYTES)))
+    return history.sparkSession.createDataFrame(found, "cluster int, n0 long, n1 long")
 
 
 def cluster_distance(history: DataFrame, new: DataFrame, column: str) -> DataFrame:
