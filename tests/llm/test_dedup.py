@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from vanecast.llm.jaccard import near_duplicates
+from vanecast.llm.jaccard import near_duplicates, shingle_sets
 from vanecast.llm.lines import line_dedup, within_one
 from vanecast.llm.substring import substring_dedup
 
@@ -236,3 +238,19 @@ def test_parity_bits_keep_all_similar_pairs():
     similar = {(a, b) for (a, b), both in overlap.items() if 100 * both >= 80 * (n[a] + n[b] - both)}
     assert len(similar) > 100 and similar <= met
     assert not any(overlap[pair] == 0 for pair in met)
+
+
+@pytest.mark.parametrize("words_long", [6, 300_000])
+def test_texts_are_read_in_small_pieces(words_long):
+    """The arrays of a block's words are those of a part of its texts; the hashes do not depend on the parts."""
+    words = ["x" * (words_long - 4) + f"{i:04d}" for i in range(max(40, 6000 // words_long))]
+    text = " ".join(words)
+    column = pa.array([text] * max(2, 8_000_000 // len(text)))
+    (one,) = shingle_sets(column.slice(0, 1))
+    tracemalloc.start()
+    same = all((s == one).all() for s in shingle_sets(column))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert same and len(one) == len(words) - 4
+    if words_long == 6:
+        assert peak < 30e6

@@ -22,7 +22,8 @@ NOT_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-CHUNK = 1 << 20  # bytes hashed at a time; bounds the temporary arrays, never the text
+CHUNK = 1 << 17  # bytes hashed at a time; bounds the temporary arrays, never the text
+PIECE_BYTES = 1 << 20  # text read at a time; a word takes some 30 times its bytes in arrays
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _U = np.uint64
 
@@ -152,7 +153,7 @@ def window_starts(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     return first[:-1][owner] + inner, owner
 
 
-def batches(offsets: np.ndarray, size: int = 4 * CHUNK):
+def batches(offsets: np.ndarray, size: int = PIECE_BYTES):
     """Ranges of consecutive texts of at most ``size`` bytes together (a longer text stands alone)."""
     at, n = 0, len(offsets) - 1
     while at < n:

@@ -15,6 +15,7 @@ variant, its earliest line, however many lines have it.
 
 from __future__ import annotations
 
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -181,10 +182,20 @@ def _earliest(min_words: int, how: Deal):
                 if old is None or line[:2] < old[:2]:
                     best[v, place] = line
         block = part.column("block")[0].as_py() if part.num_rows else 0
-        rows = [(v, p, x.id, x.number, x.h, block, None) for (v, p), x in best.items()]
-        rows += [(h, None, x.id, x.number, h, block, b" ".join(x.words).decode()) for h, x in {x.h: x for x in best.values()}.items()]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        return pa.table(dict(zip(("v", "place", "id", "line", "h", "block", "text"), columns, strict=True)), _EARLIEST)
+        texts = {x.h: x for x in best.values()}
+        n, m = len(best), len(texts)
+        # column by column: a tuple per variant would take ten times as much memory
+        both = [*best.values(), *texts.values()]
+        out = {
+            "v": np.fromiter(chain((k[0] for k in best), texts), np.int64, n + m),
+            "place": pa.array(np.concatenate([np.fromiter((k[1] for k in best), np.int64, n), np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n),
+            "id": np.fromiter((x.id for x in both), np.int64, n + m),
+            "line": np.fromiter((x.number for x in both), np.int64, n + m),
+            "h": np.fromiter((x.h for x in both), np.int64, n + m),
+            "block": np.full(n + m, block, np.int64),
+            "text": pa.concat_arrays([pa.nulls(n, pa.string()), pa.array([b" ".join(x.words).decode() for x in texts.values()], pa.string())]),
+        }
+        return pa.table(out, _EARLIEST)
 
     return give
 
@@ -214,13 +225,16 @@ def _keep(min_words: int, how: Deal, carry: bool):
         gone = ~_is_first(lines, ids, later)
         near: set[tuple[int, int]] = set()
         if flags.num_rows:
-            local: dict[int, dict[int, Variant]] = {}
+            local: dict[tuple[int, int], Variant] = {}
             mine = list(_variants(pieces, ids, flags, min_words, how))
             for v, place, line in mine:
-                places = local.setdefault(v, {})
-                old = places.get(place)
+                old = local.get((v, place))
                 if old is None or line[:2] < old[:2]:
-                    places[place] = line
+                    local[v, place] = line
+            same: dict[int, list[Variant]] = {v: [] for v, place, _ in mine if place == WHOLE}
+            for (v, _), line in local.items():
+                if v in same:
+                    same[v].append(line)
             far: dict[tuple[int, int], list[Variant]] = {}
             remote = _kind(flags, 2)
             for v, place, i, n, text in zip(*(remote.column(c).to_pylist() for c in ("h", "slice", "first_id", "first_line", "text")), strict=True):
@@ -228,8 +242,7 @@ def _keep(min_words: int, how: Deal, carry: bool):
             for v, place, line in mine:
                 if (line.row, line.number) in near:
                     continue
-                same = local[v]
-                others = list(same.values()) if place == WHOLE else [same[p] for p in (place, WHOLE) if p in same]
+                others = same[v] if place == WHOLE else [local[v, p] for p in (place, WHOLE) if (v, p) in local]
                 for other in sorted(others + far.get((v, place), []), key=lambda x: x[:2]):
                     if other[:2] >= line[:2]:
                         break
