@@ -13,10 +13,18 @@
 
 A point travels once per shelf it asks, never once per block of a few points or with a
 copy of the other side. How much step 4 excludes depends on the data; the result does not.
+
+Where bounds exclude little, as in high dimensions, a point would ask almost every shelf.
+Then the points of a few shelves form a *block* that stays in one task, and the shelves which
+any of them reaches stream past it. The task holds the block and a few sheets of points, and
+ends with one row per point instead of k answers per point and shelf. Which way moves fewer
+points is counted, per shelf, before either.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,6 +36,8 @@ LEAF_ROWS = 500
 SHELF_ROWS = 20_000
 FAN = 64  # pivots of a node
 PART_ROWS = 50_000  # points of a node handled by one task
+SHEET_BYTES = 4_096  # vectors that stream as one row, so that ten thousand rows are a batch of 40 MB
+ASK_ROWS, PASS_ROWS = 1_024, 2_048  # rows on both sides of a product
 MAX_DEPTH = 10
 _CELLS = 4_000_000  # numbers of a temporary array
 
@@ -58,8 +68,11 @@ class Nearest:
     @property
     def bound(self) -> np.ndarray:
         """Distance of the k-th neighbour counted with multiplicity; infinite if there are fewer."""
-        reached = np.cumsum(self.w, axis=1) >= self.k
-        return np.where(reached[:, -1], self.d[np.arange(len(self.d)), reached.argmax(axis=1)], np.inf)
+        return self.bound_at(slice(None))
+
+    def bound_at(self, at: np.ndarray | slice) -> np.ndarray:
+        d, reached = self.d[at], np.cumsum(self.w[at], axis=1) >= self.k
+        return np.where(reached[:, -1], d[np.arange(len(d)), reached.argmax(axis=1)], np.inf)
 
     def take(self, at: np.ndarray, d: np.ndarray, weight: np.ndarray) -> None:
         """Offer rows ``at`` distances and their multiplicities; infinite ones do not count."""
@@ -127,13 +140,33 @@ class Shelf:
         self.centers = np.array([self.v[a:b].mean(axis=0) for a, b in self.spans])
         self.radii = np.array([distances(self.v[a:b], c[None])[:, 0].max() for (a, b), c in zip(self.spans, self.centers, strict=True)])
 
-    def search(self, q: np.ndarray, near: Nearest, itself: np.ndarray | None = None) -> None:
-        """Offer each row of ``q`` the points of all leaves its bound cannot exclude, nearest leaves first."""
+    def search_itself(self, near: Nearest) -> None:
+        """Offer each point the others: first those of its leaf, then leaf by leaf or, where bounds exclude few leaves, as a block."""
+        leaf = np.repeat(np.arange(len(self.spans)), [b - a for a, b in self.spans])
+        for a, b in self.spans:
+            step = max(1, _CELLS // max(b - a, (near.k + 8) * self.v.shape[1]))
+            for i in range(a, b, step):
+                rows = np.arange(i, min(i + step, b))
+                at, d = closest(self.v[rows], self.v[a:b], near.k, rows - a)
+                near.take(rows, d, self.weight[a:b][at])
+        low = distances(self.v, self.centers) - self.radii
+        if (low <= _slack(near.bound)[:, None]).mean() <= 0.5:
+            self.search(self.v, near, searched=leaf)
+            return
+        block = Block(self.v, near, leaf)  # the points are in order of their leaves already
+        for i, (a, b) in enumerate(self.spans):
+            block.offer(self.v[a:b], self.weight[a:b], i)
+
+    def search(self, q: np.ndarray, near: Nearest, itself: np.ndarray | None = None, searched: np.ndarray | None = None) -> None:
+        """Offer each row of ``q`` the points of all leaves its bound cannot exclude, nearest leaves first, but not of the one it has searched."""
         low = np.maximum(distances(q, self.centers) - self.radii, 0)
+        if searched is not None:
+            low[np.arange(len(q)), searched] = np.inf
         turn = np.argsort(low, axis=1, kind="stable")
         for j in range(len(self.spans)):
             leaf = turn[:, j]
-            open_ = low[np.arange(len(q)), leaf] <= _slack(near.bound)
+            at_turn = low[np.arange(len(q)), leaf]
+            open_ = (at_turn <= _slack(near.bound)) & (at_turn < np.inf)
             if not open_.any():  # leaves to come are farther still
                 break
             for at_leaf in np.unique(leaf[open_]):
@@ -147,6 +180,80 @@ class Shelf:
                     near.take(part, d, self.weight[a:b][at])
 
 
+class Block:
+    """Points that stay in their task while all points they may reach pass by.
+
+    ``unit`` numbers the shelf that a point has searched already.
+    """
+
+    def __init__(self, v: np.ndarray, near: Nearest, unit: np.ndarray):
+        order = np.argsort(unit, kind="stable")
+        self.order, self.v, self.unit = order, v[order], unit[order]
+        self.near = near
+        near.d, near.w = near.d[order], near.w[order]
+        self.bound = near.bound
+        self.center = self.v.mean(axis=0)
+        a = self.v - self.center
+        self.scale = float(np.abs(a).max()) or 1.0
+        a /= self.scale
+        self.a2 = (a * a).sum(axis=1)
+        # a product with (b, |b|^2) is |b|^2 - 2 ab
+        self.left = np.concatenate([-2 * a, np.ones((len(a), 1))], axis=1).astype(np.float32)
+
+    def offer(self, v: np.ndarray, weight: np.ndarray, unit: int) -> None:
+        """Points of one shelf pass by; those of the same shelf know them."""
+        center = v.mean(axis=0)
+        low = distances(self.v, center[None])[:, 0] - distances(v, center[None]).max()
+        rows = np.flatnonzero((self.unit != unit) & (low <= _slack(self.bound)))
+        if not len(rows):
+            return
+        b = (v - self.center) / self.scale
+        b2 = (b * b).sum(axis=1)
+        if not b2.max() < 1e30:  # too far for single precision
+            for i in range(0, len(rows), ASK_ROWS):
+                self._whole(rows[i : i + ASK_ROWS], v, weight)
+            return
+        right = np.concatenate([b, b2[:, None]], axis=1).astype(np.float32).T
+        # single precision only picks pairs; its rounding is added to the bound, so that none is lost
+        terms = v.shape[1] + 4
+        error = terms * (8 * float(np.finfo(np.float32).eps) * (self.a2[rows] + b2.max()) + 1e-36)
+        with np.errstate(over="ignore"):
+            limit = ((_slack(self.bound[rows]) / self.scale) ** 2 - self.a2[rows] + error).astype(np.float32)
+        for i in range(0, len(rows), ASK_ROWS):
+            part = rows[i : i + ASK_ROWS]
+            picked = np.flatnonzero((self.left[part] @ right) < limit[i : i + ASK_ROWS, None])
+            if len(picked) > len(part) * len(v) // 8:
+                self._whole(part, v, weight)
+            elif len(picked):
+                self._some(part, *np.divmod(picked, len(v)), v, weight)
+
+    def _whole(self, part: np.ndarray, v: np.ndarray, weight: np.ndarray) -> None:
+        at, d = closest(self.v[part], v, self.near.k)
+        self._take(part, d, weight[at])
+
+    def _some(self, part: np.ndarray, row: np.ndarray, col: np.ndarray, v: np.ndarray, weight: np.ndarray) -> None:
+        """Exact distances of the picked pairs, in order of their rows."""
+        step = max(1, _CELLS // v.shape[1])
+        d = np.concatenate([
+            np.sqrt(((self.v[part[row[i : i + step]]] - v[col[i : i + step]]) ** 2).sum(axis=1)) for i in range(0, len(row), step)
+        ])
+        good = d < self.bound[part[row]]
+        row, col, d = row[good], col[good], d[good]
+        if not len(row):
+            return
+        lead = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        n = np.diff(np.append(lead, len(row)))
+        line = np.repeat(np.arange(len(lead)), n)
+        place = np.arange(len(row)) - np.repeat(lead, n)
+        wide, counted = np.full((len(lead), n.max()), np.inf), np.zeros((len(lead), n.max()), np.int64)
+        wide[line, place], counted[line, place] = d, weight[col]
+        self._take(part[row[lead]], wide, counted)
+
+    def _take(self, rows: np.ndarray, d: np.ndarray, weight: np.ndarray) -> None:
+        self.near.take(rows, d, weight)
+        self.bound[rows] = self.near.bound_at(rows)
+
+
 def _grow(points: DataFrame, shelf_rows: int, fan: int) -> tuple[DataFrame, DataFrame | None]:
     """Points with their ``shelf``; the tree above as (parent, node, pivot, radius, is_shelf) from the root, node 0, down to the shelves."""
     id_type, v_type = dict(points.dtypes)["id"], dict(points.dtypes)["v"]
@@ -218,16 +325,18 @@ def neighbour_distance(
         near = Nearest(len(v), k)
         # a point's own copies are neighbours at distance 0
         near.take(np.arange(len(v)), np.where(shelf.weight > 1, 0.0, np.inf)[:, None], shelf.weight[:, None] - 1)
-        shelf.search(shelf.v, near, itself=np.arange(len(v)))
-        out = part.select(["id", "v", "shelf", "part"]).take(pa.array(shelf.order))
+        shelf.search_itself(near)
+        out = part.select(["id", "v", "m", "shelf", "part"]).take(pa.array(shelf.order))
         out = out.append_column("bound", pa.array(near.bound))
         out = out.append_column("d", pa.array(list(np.where(near.w > 0, near.d, 0.0)), pa.list_(pa.float64())))
         return out.append_column("w", pa.array(list(near.w), pa.list_(pa.int64())))
 
-    mine = placed.groupBy("shelf", "part").applyInArrow(own, f"id {id_type}, v {v_type}, shelf long, part long, bound double, d array<double>, w array<long>")
+    mine = placed.groupBy("shelf", "part").applyInArrow(own, f"id {id_type}, v {v_type}, m long, shelf long, part long, bound double, d array<double>, w array<long>")
     mine = materialize(mine, "own")
-    lists = mine.select("id", F.explode(F.arrays_zip("d", "w")).alias("x")).select("id", "x.d", "x.w")
-    if parts is not None:
+    passing = None if parts is None else _passing(mine, children, parts)
+    lists = mine if passing is None else _sweep(mine, *passing, k)
+    lists = lists.select("id", F.explode(F.arrays_zip("d", "w")).alias("x")).select("id", "x.d", "x.w")
+    if parts is not None and passing is None:
         lists = lists.unionByName(_answers(placed, _asks(mine, children, parts), k, leaf_rows, f"id {id_type}, d double, w long"))
     lists = lists.where("w > 0")
     nearest = Window.partitionBy("id").orderBy("d")
@@ -245,6 +354,149 @@ def _one_each(left: DataFrame, left_keys: list[str], right: DataFrame, right_key
     return left.repartition(n, *left_keys), right.repartition(n, *right_keys)
 
 
+def _passing(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Blocks as (shelf, part, block) and the blocks each shelf must pass as (shelf, blocks), or None where asking moves fewer points."""
+    tree: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    # a row per shelf and node above it: a ten-thousandth of the points
+    by_parent: dict[int, list] = {}
+    for r in [] if children is None else children.orderBy("parent", "node").collect():
+        by_parent.setdefault(r["parent"], []).append(r)
+    for parent, kids in by_parent.items():
+        tree[parent] = np.array([r["node"] for r in kids]), np.array([r["pivot"] for r in kids], float), np.array([r["radius"] for r in kids])
+    split = {r["shelf"]: r["parts"] for r in parts.where("parts > 1").collect()}
+
+    def reach(part: pa.Table) -> pa.Table:
+        v, bound = _vectors(part.column("v")), _slack(part.column("bound").to_numpy())
+        own = part.column("shelf")[0].as_py()
+        found = {own: len(v) * (split[own] - 1)} if own in split else {}  # the other parts of its shelf
+        open_ = [(0, np.arange(len(v)))] if tree else []
+        while open_:
+            node, rows = open_.pop()
+            names, pivots, radii = tree[node]
+            low = distances(v[rows], pivots) - radii <= bound[rows, None]
+            for j, child in enumerate(names.tolist()):
+                some = rows[low[:, j]]
+                if child in tree and len(some):
+                    open_.append((child, some))
+                elif child != own and len(some):
+                    found[child] = len(some) * split.get(child, 1)
+        n = len(found)
+        first = [part.column(c)[:1].combine_chunks() for c in ("shelf", "part")]
+        same = [pa.concat_arrays([x] * n) if n else pa.array([], pa.int64()) for x in first]
+        return pa.table({"shelf": same[0], "part": same[1], "to": pa.array(list(found), pa.int64()), "asks": pa.array(list(found.values()), pa.int64())})
+
+    spark = mine.sparkSession
+    units = [tuple(r) for r in mine.groupBy("shelf", "part").count().orderBy("shelf", "part").collect()]
+    total = sum(n for *_, n in units)
+    # two blocks or more for every core, and none larger than one task takes
+    most = min(PART_ROWS, max(1, total // (2 * spark.sparkContext.defaultParallelism)))
+    numbered, block, held = [], 0, 0
+    for shelf, part, n in units:
+        if held and held + n > most:
+            block, held = block + 1, 0
+        numbered.append((shelf, part, block))
+        held += n
+    blocks = materialize(spark.createDataFrame(numbered, "shelf long, part long, block int"), "blocks")
+    reached = mine.select("shelf", "part", "v", "bound").groupBy("shelf", "part").applyInArrow(reach, "shelf long, part long, to long, asks long")
+    pairs = reached.join(blocks, ["shelf", "part"]).groupBy("block", F.col("to").alias("shelf")).agg(F.sum("asks").alias("asks"))
+    pairs = materialize(pairs, "reached")
+    sizes = mine.groupBy("shelf").agg(F.count(F.lit(1)).alias("n"))
+    moved, asks = pairs.join(sizes, "shelf").agg(F.sum("n"), F.sum("asks")).first()
+    # an ask travels down the tree, to its shelf and back with k answers
+    if not asks or moved > 2 * asks:
+        return None
+    return blocks, pairs.groupBy("shelf").agg(F.collect_set("block").alias("blocks"))
+
+
+def _sweep(mine: DataFrame, blocks: DataFrame, passed: DataFrame, k: int) -> DataFrame:
+    """(id, d, w) with the k smallest distances of every point: a block holds its points and their own lists while the shelves it reaches pass by."""
+    id_type = mine.schema["id"].dataType
+    sheet = "shelf long, part long, rows int, short boolean, v binary, m binary"
+    kept = f"ids array<{id_type.simpleString()}>, d binary, w binary"
+
+    def pack(part: pa.Table) -> pa.Table:
+        v, d, w = (_vectors(part.column(c)) for c in ("v", "d", "w"))
+        with np.errstate(over="ignore"):
+            single = v.astype(np.float32)
+        short = bool((single == v).all())
+        v = single if short else v
+        rows = max(1, SHEET_BYTES // (v.shape[1] * v.itemsize))
+        cuts = range(0, len(v), rows)
+        out = {c: pa.concat_arrays([part.column(c)[:1].combine_chunks()] * len(cuts)) for c in ("shelf", "part")}
+        out["rows"] = pa.array([min(rows, len(v) - i) for i in cuts], pa.int32())
+        out["short"] = pa.array([short] * len(cuts))
+        arrays = {"v": v, "m": part.column("m").to_numpy(), "ids": None, "d": d, "w": w.astype(np.int64)}
+        ids = pa.concat_arrays(part.column("id").chunks)
+        for name, x in arrays.items():
+            if x is None:
+                out[name] = pa.ListArray.from_arrays(pa.array([*cuts, len(v)], pa.int32()), ids)
+            else:
+                out[name] = pa.array([x[i : i + rows].tobytes() for i in cuts], pa.binary())
+        return pa.table(out)
+
+    def finished(block: Block, ids: list[pa.Array]) -> pa.RecordBatch:
+        near = block.near
+        d, w = (pa.array(list(x), pa.list_(t)) for x, t in ((np.where(near.w > 0, near.d, 0.0), pa.float64()), (near.w, pa.int64())))
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(ids).take(pa.array(block.order)), d, w], names=["id", "d", "w"])
+
+    def begun(sheets: list[tuple]) -> Block:
+        near = Nearest(0, k)
+        near.d, near.w = (np.concatenate([np.frombuffer(x[c], t) for x in sheets]).reshape(-1, k) for c, t in ((2, float), (3, np.int64)))
+        near.d = np.where(near.w > 0, near.d, np.inf)
+        units = {u: i for i, u in enumerate(dict.fromkeys(x[0] for x in sheets))}
+        unit = np.concatenate([np.full(len(x[1]), units[x[0]]) for x in sheets])
+        block = Block(np.concatenate([x[1] for x in sheets]), near, unit)
+        block.units = units
+        return block
+
+    def sweep(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block, own, ids = None, None, [], []
+        unit, vectors, weights, held = None, [], [], 0
+
+        def offer() -> None:
+            nonlocal vectors, weights, held
+            if held:
+                block.offer(np.concatenate(vectors), np.concatenate(weights), block.units.get(unit, -1))
+            vectors, weights, held = [], [], 0
+
+        for batch in stream:
+            names = ("block", "passes", "shelf", "part", "rows", "short", "v", "m", "d", "w")
+            columns = [batch.column(c).to_pylist() for c in names]
+            for i, (of, passes, shelf, part, rows, short, v, m, d, w) in enumerate(zip(*columns, strict=True)):
+                if of != number:
+                    if number is not None:
+                        offer()
+                        yield finished(block or begun(own), ids)
+                    number, block, own, ids = of, None, [], []
+                v = np.frombuffer(v, np.float32 if short else float).reshape(rows, -1)
+                if not passes:
+                    own.append(((shelf, part), v.astype(float), d, w))
+                    ids.append(batch.column("ids")[i].values)
+                    continue
+                if block is None:
+                    block, own = begun(own), []
+                if (shelf, part) != unit or held >= PASS_ROWS:
+                    offer()
+                    unit = (shelf, part)
+                vectors.append(v.astype(float))
+                weights.append(np.frombuffer(m, np.int64))
+                held += rows
+        if number is not None:
+            offer()
+            yield finished(block or begun(own), ids)
+
+    sheets = mine.select("id", "v", "m", "shelf", "part", "d", "w").groupBy("shelf", "part").applyInArrow(pack, f"{sheet}, {kept}")
+    sheets = materialize(sheets, "sheets")
+    askers = sheets.join(F.broadcast(blocks), ["shelf", "part"]).withColumn("passes", F.lit(False))  # a row per shelf
+    passing = sheets.select("shelf", "part", "rows", "short", "v", "m").join(passed, "shelf")
+    passing = passing.withColumn("block", F.explode("blocks")).drop("blocks").withColumn("passes", F.lit(True))
+    both = askers.unionByName(passing, allowMissingColumns=True)
+    count = blocks.agg(F.max("block")).first()[0] + 1
+    dealt = both.repartitionById(count, F.col("block")).sortWithinPartitions("block", "passes", "shelf", "part")
+    swept = dealt.mapInArrow(sweep, f"id {id_type.simpleString()}, d array<double>, w array<long>")
+    return materialize(swept, "swept")
+
+
 def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> DataFrame:
     """(id, v, bound, to, part): the other shelves that may hold a closer point than the bound of a point."""
     asks = None
