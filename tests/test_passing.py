@@ -77,3 +77,18 @@ def test_a_shelf_searches_itself(dims):
     near = Nearest(400, 6)
     shelf.search_itself(near)
     np.testing.assert_allclose(near.d.mean(axis=1), brute(shelf.v, 6))
+
+
+def test_a_descent_holds_few_points(spark, monkeypatch):
+    """A group of a descent reaches all children of its node: it is cut by its own measure, not by that of the points a task holds."""
+    monkeypatch.setattr(knn, "DESCENT_ROWS", 25)
+    groups = []
+    one_each = knn._one_each
+    monkeypatch.setattr(knn, "_one_each", lambda left, lk, right, rk, n: groups.append(n) or one_each(left, lk, right, rk, n))
+    points = np.random.default_rng(5).uniform(0, 20, size=(200, 2))
+    df = spark.createDataFrame([(i, p.tolist(), 1) for i, p in enumerate(points)], "id long, v array<double>, m long")
+    placed, children = knn._grow(df, 40, 8)
+    parts = placed.selectExpr("shelf", "1L AS parts").distinct()
+    mine = placed.selectExpr("id", "v", "shelf", "0L AS part", "1D AS bound")
+    assert knn._asks(mine, children, parts).count() > 0
+    assert groups[0] == 8

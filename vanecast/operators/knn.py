@@ -36,6 +36,7 @@ LEAF_ROWS = 500
 SHELF_ROWS = 20_000
 FAN = 64  # pivots of a node
 PART_ROWS = 50_000  # points of a node handled by one task
+DESCENT_ROWS = 4_000  # points of a node that go down together, as each may reach all its children
 SHEET_BYTES = 4_096  # vectors that stream as one row, so that ten thousand rows are a batch of 40 MB
 ASK_ROWS, PASS_ROWS = 1_024, 2_048  # rows on both sides of a product
 MAX_DEPTH = 10
@@ -523,7 +524,7 @@ def _asks(mine: DataFrame, children: DataFrame | None, parts: DataFrame) -> Data
     front = mine.select("id", "v", "bound", F.col("shelf").alias("own"), F.lit(0).cast("long").alias("node"))
     inner = children.select(F.col("parent").alias("node")).distinct()
     while True:
-        counts = front.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("copies")).join(inner, "node")
+        counts = front.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / min(PART_ROWS, DESCENT_ROWS)).alias("copies")).join(inner, "node")
         counts = materialize(counts, "front")
         if counts.isEmpty():
             break
