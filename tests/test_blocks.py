@@ -1,9 +1,12 @@
 """Rolling features of groups cut into blocks: array operations that equal Spark's windows to the last bit."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from vanecast.operators import ordered, window
+from vanecast.functions.registry import Feature, FeatureSet
+from vanecast.operators import ordered, ranks, window
 from vanecast.operators.window import ROLLING_OPS, Rolling, rolling_features
 
 
@@ -49,3 +52,30 @@ def test_an_overflow_is_an_error_in_blocks_too(spark):
     df = spark.sql("SELECT id AS t, IF(id = 7, -9223372036854775807L, 9) AS x FROM range(30)")
     with pytest.raises(Exception, match="overflow"):
         rolling_features(df, [], ["t"], {"d": Rolling("diff", "x", 1)}, max_rows=10).collect()
+
+
+def test_joins_do_not_copy_row_local_features(spark):
+    df = rows(spark).withColumn("h", F.col("b") % 3)
+    fitted = FeatureSet([Feature("log", ("a",)), Feature("aggmean", ("g", "a")), Feature("combine", ("g", "h")), Feature("pow", ("a",))]).fit(df)
+    out = fitted._apply(df, fitted.levels[0], fitted.fitted[0])
+    assert out.columns[-2:] == ["log__a", "pow__a"]
+    assert out.columns[:5] == df.columns and set(out.columns[5:-2]) == {"aggmean__g__a", "combine__g__h"}
+
+
+def test_only_distinct_values_are_put_in_order(spark, monkeypatch):
+    """2,000 rows of three values and one of many: a sum of weights per value, ranks as before."""
+    df = spark.range(2000).selectExpr("CAST(id % 3 AS DOUBLE) AS few", "CAST(id * 7 % 2000 AS DOUBLE) AS many", "CAST(id AS DOUBLE) AS y")
+    sorted_ = []
+
+    def argsort(x, *a, keep=np.argsort, **k):
+        sorted_.append(len(x))
+        return keep(x, *a, **k)
+
+    packed = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema, keep=type(df).mapInArrow: packed.append(f) or keep(self, f, schema))
+    got = {r["i"]: r for r in ranks.rank_sums(df, "y", ["few", "many"]).collect()}
+    assert {i: (r["n"], r["total"]) for i, r in got.items()} == {0: (2000, 1999000.0), 1: (2000, 1999000.0)}
+    batch = pa.Table.from_pandas(df.selectExpr("y AS a", "few AS c0", "many AS c1").toPandas()).to_batches()
+    monkeypatch.setattr(np, "argsort", argsort)
+    assert len(list(packed[-1](iter(batch)))) == 1
+    assert sorted(sorted_) == [3, 2000, 2000]  # few, many and the target
